@@ -120,3 +120,24 @@ def strip_post_parts(c: Column | str) -> Column:
 def word_tokens(c: Column | str) -> Column:
     """Lower-cased runs of at least two word characters."""
     return F.regexp_extract_all(F.lower(_col(c)), F.lit(r"([\p{L}\p{N}_]{2,})"), F.lit(1))
+
+
+def fixed3(c: Column | str) -> Column:
+    """A number in [-1, 1] that was rounded to 4 decimals, printed with 3.
+
+    Rounds the binary value itself, exact ties to even, as C's ``%.3f`` does;
+    ``format_string`` would round the decimal digits half up, which differs for one value
+    in ten that ends in a 5. ``|x| * 2^63`` is a whole number, so the comparison with the
+    tie is exact in decimals.
+    """
+    c = _col(c)
+    size = F.abs(c)
+    n = F.round(size * 10000).cast("long")
+    low, last = F.floor(n / 10), n % 10
+    two63 = F.lit("9223372036854775808").cast("decimal(19,0)")
+    value = (size * F.lit(float(2**63))).cast("long").cast("decimal(19,0)") * F.lit(10000).cast("decimal(5,0)")
+    tie = n.cast("decimal(5,0)") * two63
+    up = (last > 5) | ((last == 5) & ((value > tie) | ((value == tie) & (low % 2 == 1))))
+    q = low + up.cast("long")
+    sign = F.when(c < 0, "-").otherwise("")
+    return F.format_string("%s%d.%03d", sign, F.floor(q / 1000), q % 1000)
