@@ -52,20 +52,20 @@ def membership_matrix(d2: np.ndarray, power: float) -> np.ndarray:
     return weights / weights.sum(axis=1, keepdims=True)
 
 
-def _by_cluster(
-    df: DataFrame, vector_col: str, width: int, partial: Callable[[np.ndarray], np.ndarray]
-) -> DataFrame:
-    """Sum ``partial(batch)``, a (k, width) matrix, over the whole table.
+def sum_by_cluster(
+    df: DataFrame, shape: tuple[int, int], partial: Callable[[pa.RecordBatch], np.ndarray]
+) -> np.ndarray:
+    """Sum ``partial(batch)``, a matrix of the given (small) shape, over the whole table.
 
-    A task adds its batches up and hands on k*width numbers; Spark sums them by position.
-    No row is shuffled, however unevenly the clusters are filled.
+    A task adds its batches up and hands on one matrix; Spark sums them by position. No row
+    is shuffled, however unevenly the clusters are filled.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = None
         for batch in batches:
             if batch.num_rows:
-                part = partial(to_matrix(batch.column(0)))
+                part = partial(batch)
                 total = part if total is None else total + part
         if total is not None:
             cluster, pos = np.indices(total.shape, dtype=np.int32)
@@ -74,14 +74,9 @@ def _by_cluster(
                 names=["cluster", "pos", "value"],
             )
 
-    vectors = df.select(vector_col).where(F.col(vector_col).isNotNull())
-    parts = vectors.mapInArrow(run, "cluster int, pos int, value double")
-    return parts.groupBy("cluster", "pos").agg(F.sum("value").alias("value"))
-
-
-def _collect_matrix(sums: DataFrame, k: int, width: int) -> np.ndarray:
-    out = np.zeros((k, width))
-    rows = sums.toPandas()  # k * width numbers
+    parts = df.mapInArrow(run, "cluster int, pos int, value double")
+    rows = parts.groupBy("cluster", "pos").agg(F.sum("value").alias("value")).toPandas()
+    out = np.zeros(shape)
     out[rows["cluster"].to_numpy(), rows["pos"].to_numpy()] = rows["value"].to_numpy()
     return out
 
@@ -144,12 +139,14 @@ def fcm_step(
     k, d = v.shape
     power = ratio_exponent(m, exponent)
 
-    def partial(x: np.ndarray) -> np.ndarray:
+    def partial(batch: pa.RecordBatch) -> np.ndarray:
+        x = to_matrix(batch.column(0))
         d2 = distance_matrix(x, v)
         um = membership_matrix(d2, power) ** m
         return np.hstack([um.T @ x, um.sum(axis=0)[:, None], (um * d2).sum(axis=0)[:, None]])
 
-    sums = _collect_matrix(_by_cluster(df, vector_col, d + 2, partial), k, d + 2)
+    vectors = df.select(vector_col).where(F.col(vector_col).isNotNull())
+    sums = sum_by_cluster(vectors, (k, d + 2), partial)
     weight = sums[:, d]
     means = sums[:, :d] / np.where(weight > 0, weight, 1.0)[:, None]
     norms = np.sqrt((means * means).sum(axis=1, keepdims=True))
