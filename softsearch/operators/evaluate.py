@@ -49,9 +49,7 @@ def cluster_quality(
 
     def totals(batch: pa.RecordBatch) -> np.ndarray:
         label, x = _read(batch)
-        out = np.zeros((k, 2 * d + 1))
-        np.add.at(out, label, np.hstack([_unit(x), x, np.ones((len(x), 1))]))
-        return out
+        return np.eye(k)[label].T @ np.hstack([_unit(x), x, np.ones((len(x), 1))])
 
     sums = sum_by_cluster(rows, (k, 2 * d + 1), totals)
     n = sums[:, -1]
@@ -71,9 +69,7 @@ def cluster_quality(
         other = far.min(axis=1)
         top = np.maximum(own, other)
         s = np.where((n[label] > 1) & (top > 0), (other - own) / np.where(top > 0, top, 1.0), 0.0)
-        out = np.zeros((k, 2))
-        np.add.at(out, label, np.stack([s, np.linalg.norm(x - mean[label], axis=1)], axis=1))
-        return out
+        return np.eye(k)[label].T @ np.stack([s, np.linalg.norm(x - mean[label], axis=1)], axis=1)
 
     parts = sum_by_cluster(rows, (k, 2), scores)
     silhouette = parts[:, 0].sum() / n.sum()

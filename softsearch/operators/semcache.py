@@ -172,7 +172,7 @@ _STEP = (
 )
 
 
-def _lru_step(threshold: float, max_size: int):
+def lru_step(threshold: float, max_size: int):
     """Continue one cache over one slice of its log, in order.
 
     Held per group: at most ``max_size`` entries and the slice. Similarities of a chunk of
@@ -242,7 +242,7 @@ def _step_table(cache_id, seq, hit, match, sim, entry, access, vec, filed) -> pa
     )
 
 
-def _log_rows(log: DataFrame, boundary: float) -> DataFrame:
+def log_rows(log: DataFrame, boundary: float) -> DataFrame:
     """Log rows in the form the bounded step takes."""
     filed = buckets("membership", boundary)
     return log.select(
@@ -267,7 +267,7 @@ def replay_lru(
     executor costs at most the running slice.
     """
     spark = log.sparkSession
-    rows = cut_lineage(_log_rows(log, boundary))
+    rows = cut_lineage(log_rows(log, boundary))
     sizes = rows.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n"))
     largest = sizes.agg(F.max("n")).first()[0] or 0
     n_slices = min(MAX_SLICES, -(-largest // slice_rows)) or 1
@@ -291,7 +291,7 @@ def replay_lru(
         if state is not None:
             ids = part.select("cache_id").distinct()
             part = state.join(ids, "cache_id", "left_semi").unionByName(part)
-        step = part.groupBy("cache_id").applyInArrow(_lru_step(threshold, max_size), _STEP)
+        step = part.groupBy("cache_id").applyInArrow(lru_step(threshold, max_size), _STEP)
         step.write.partitionBy("kind").parquet(f"{out}/slice={i}")
         if n_slices > 1:
             # the newest entries of a cache are those of the last slice it took part in
