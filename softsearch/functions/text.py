@@ -46,11 +46,11 @@ def blank_emails(c: Column | str) -> Column:
     """Replace every run of non-space characters that holds an address by a space.
 
     Anchored at the start of the run and with a possessive scan to the first usable ``@``,
-    so one very long run costs linear time.
+    so one very long run costs linear time; texts without any ``@`` skip the search.
     """
-    return F.regexp_replace(
-        _col(c), rf"(?U)(?<![^{_WS}])[^{_WS}][^{_WS}@]*+@[^{_WS}]+\.[^{_WS}]+", " "
-    )
+    c = _col(c)
+    blanked = F.regexp_replace(c, rf"(?U)(?<![^{_WS}])[^{_WS}][^{_WS}@]*+@[^{_WS}]+\.[^{_WS}]+", " ")
+    return F.when(F.contains(c, F.lit("@")), blanked).otherwise(c)
 
 
 def blank_punctuation(c: Column | str) -> Column:
@@ -70,10 +70,13 @@ def truncate(c: Column | str, max_chars: int = DEFAULTS.max_chars) -> Column:
 def clean_text(
     c: Column | str, max_chars: int = DEFAULTS.max_chars, strict_headers: bool = False
 ) -> Column:
-    """All cleaning steps in order, over the whole text; only the result is cut."""
-    c = strip_header_lines(c, strict_headers)
-    c = blank_punctuation(blank_emails(strip_quoted_lines(c)))
-    return truncate(collapse_space(c), max_chars)
+    """All cleaning steps in order, over the whole text; only the result is cut.
+
+    Blanking punctuation and collapsing white space are one step here: a run of anything
+    but word characters becomes one space.
+    """
+    c = blank_emails(strip_quoted_lines(strip_header_lines(c, strict_headers)))
+    return truncate(F.btrim(F.regexp_replace(c, r"[^\p{L}\p{N}_]+", " ")), max_chars)
 
 
 def text_hash(c: Column | str) -> Column:

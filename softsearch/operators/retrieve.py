@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from softsearch.config import DEFAULTS
+from softsearch.config import DEFAULTS, cut_lineage
 from softsearch.functions.membership import nth_cluster, ranked
 from softsearch.functions.text import NO_RESULT, fixed3, snippet
 from softsearch.operators.similarity import similarity_topk
@@ -39,13 +39,15 @@ def _with_types(pairs: DataFrame, queries: DataFrame, query_id: str, table: Data
 
 
 def _drop_self(pairs: DataFrame, k: int) -> DataFrame:
-    """Of the best k+1, the best k that are not the query itself."""
-    own = pairs.where(F.col("left_id") == F.col("right_id")).select(
-        "left_id", F.col("rank").alias("own_rank")
-    )
-    other = pairs.where(F.col("left_id") != F.col("right_id")).join(own, "left_id", "left")
+    """Of the best k+1, the best k that are not the query itself.
+
+    The window keeps the partitioning of the ranking before it, so nothing is shuffled.
+    """
+    is_self = F.col("left_id") == F.col("right_id")
+    own_rank = F.max(F.when(is_self, F.col("rank"))).over(Window.partitionBy("left_id"))
     moved = F.when(F.col("own_rank") < F.col("rank"), F.col("rank") - 1).otherwise(F.col("rank"))
-    return other.withColumn("rank", moved).where(F.col("rank") <= k)
+    others = pairs.withColumn("own_rank", own_rank).where(~is_self)
+    return others.withColumn("rank", moved).where(F.col("rank") <= k)
 
 
 def knn(
@@ -70,6 +72,7 @@ def knn(
         search_side(metadata_filter(table, where), key, anywhere, order),
         k + exclude_self,
         prefer_small="left",
+        unique_pairs=True,
         **join_options,
     )
     pairs = _drop_self(pairs, k) if exclude_self else pairs
@@ -101,7 +104,7 @@ def knn_by_cluster(
     names = F.transform(present, lambda c: c.cast("string"))
     if fallback:
         names = F.when(F.size(present) == 0, F.array(F.lit(ANYWHERE))).otherwise(names)
-    left = search_side(queries, query_id, names)
+    left = cut_lineage(search_side(queries, query_id, names))  # scored once
     used = {r[0] for r in left.select(F.explode("keys")).distinct().collect()}  # one row per cluster
     rows = table
     keys = F.array(F.col("dominant_cluster").cast("string"))
@@ -110,7 +113,7 @@ def knn_by_cluster(
     elif len(used) < len(filled):  # reaches the scan: pruned or pushed down
         rows = table.where(F.col("dominant_cluster").isin(sorted(int(c) for c in used)))
     pairs = similarity_topk(
-        left, search_side(rows, key, keys, order), k + exclude_self, prefer_small="left", **join_options
+        left, search_side(rows, key, keys, order), k + exclude_self, prefer_small="left", unique_pairs=True, **join_options
     )
     pairs = _drop_self(pairs, k) if exclude_self else pairs
     return _with_types(pairs, queries, query_id, table, key)

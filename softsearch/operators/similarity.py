@@ -67,12 +67,16 @@ class Side:
 
 @dataclass(frozen=True)
 class Rule:
-    """Which pairs count: similarity floor, and whether the right row must come earlier."""
+    """Which pairs count: similarity floor, and whether the right row must come earlier.
+
+    ``unique`` says that no pair of rows shares more than one key.
+    """
 
     k: int
     min_sim: float | None = None
     earlier: bool = False
     ranked_keys: bool = False
+    unique: bool = False
 
 
 def _block_winners(left: Side, right: Side, rows: np.ndarray, cols: np.ndarray, rule: Rule):
@@ -119,17 +123,17 @@ def _winners(left: Side, right: Side, rule: Rule) -> dict[str, np.ndarray]:
     if not parts:
         return _EMPTY
     r, c, s, g = (np.concatenate(x) for x in zip(*parts))
-    return _trim({"l": left.ids[r], "r": right.ids[c], "s": s, "g": g, "o": right.ord[c]}, rule.k)
+    return _trim({"l": left.ids[r], "r": right.ids[c], "s": s, "g": g, "o": right.ord[c]}, rule)
 
 
-def _trim(found: dict[str, np.ndarray], k: int) -> dict[str, np.ndarray]:
+def _trim(found: dict[str, np.ndarray], rule: Rule) -> dict[str, np.ndarray]:
     """Keep the best ``k`` per left id; a pair found under two keys counts once."""
     if not len(found["l"]):
         return found
     left = found["l"].astype(str)
     at = np.lexsort((found["r"].astype(str), found["o"], found["g"], -found["s"], left))
     found = {name: values[at] for name, values in found.items()}
-    if k > 1:
+    if rule.k > 1 and not rule.unique:
         pair = np.char.add(np.char.add(found["l"].astype(str), "\x01"), found["r"].astype(str))
         _, first = np.unique(pair, return_index=True)
         first.sort()
@@ -137,7 +141,7 @@ def _trim(found: dict[str, np.ndarray], k: int) -> dict[str, np.ndarray]:
     left = found["l"].astype(str)
     starts = np.concatenate([[True], left[1:] != left[:-1]])
     begin = np.maximum.accumulate(np.where(starts, np.arange(len(left)), 0))
-    keep = np.arange(len(left)) - begin < k
+    keep = np.arange(len(left)) - begin < rule.k
     return {name: values[keep] for name, values in found.items()}
 
 
@@ -164,7 +168,7 @@ def _take_small(df: DataFrame, max_bytes: int) -> pa.Table | None:
 
 def _best(pairs: DataFrame, rule: Rule) -> DataFrame:
     """Final ranking of the winners of all tasks."""
-    if rule.k > 1:
+    if rule.k > 1 and not rule.unique:
         pairs = pairs.groupBy("left_id", "right_id").agg(
             F.max("similarity").alias("similarity"), F.min("key_rank").alias("key_rank"), F.min("ord").alias("ord")
         )
@@ -190,7 +194,7 @@ def _scan_right(small: pa.Table, right: DataFrame, rule: Rule) -> DataFrame:
                 found = _winners(left, Side.of(batch), rule)
                 if best is not None:
                     found = {name: np.concatenate([best[name], found[name]]) for name in found}
-                best = _trim(found, rule.k)
+                best = _trim(found, rule)
         if best is not None:
             yield _as_batch(best)
 
@@ -246,6 +250,7 @@ def similarity_topk(
     min_sim: float | None = None,
     earlier: bool = False,
     ranked_keys: bool = False,
+    unique_pairs: bool = False,
     prefer_small: str = "right",
     max_bytes: int = BROADCAST_BYTES,
     tile_bytes: int = TILE_BYTES,
@@ -254,9 +259,10 @@ def similarity_topk(
 
     Both sides need ``id STRING`` (unique), ``vec``, ``ord LONG`` (tie-break, and the clock
     for ``earlier``) and ``keys ARRAY<STRING>``. With ``ranked_keys`` a tie goes to the pair
-    that meets in the left row's first key. ``prefer_small`` is the side measured first.
+    that meets in the left row's first key; ``unique_pairs`` promises that no two rows share
+    more than one key, which saves a step. ``prefer_small`` is the side measured first.
     """
-    rule = Rule(k, min_sim, earlier, ranked_keys)
+    rule = Rule(k, min_sim, earlier, ranked_keys, unique_pairs)
     cols = ["id", "vec", "ord", "keys"]
     left, right = left.select(*cols), right.select(*cols)
     for side in (prefer_small, "left" if prefer_small == "right" else "right"):

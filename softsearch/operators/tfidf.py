@@ -7,6 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from softsearch.config import cut_lineage
 from softsearch.functions.text import word_tokens
 
 # Common English words that carry no topic. Pass any other list instead.
@@ -49,6 +50,7 @@ def tfidf_weights(
     Terms in fewer than ``min_df`` documents are dropped, then the ``max_features`` most
     frequent of the corpus are kept, equal counts in alphabetical order.
     """
+    docs = cut_lineage(docs.select(key, text_col))  # read three times below
     tf = term_counts(docs, key, text_col, stop_words)
     terms = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocabulary = terms.where(F.col("df") >= min_df)

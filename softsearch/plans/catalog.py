@@ -29,6 +29,7 @@ from softsearch.streaming import sinks
 K, M, ROUNDS, THRESHOLD, BOUNDARY = 10, 1.5, 3, 0.35, 0.15
 SAMPLE, EVICT_SIZE, LRU_SIZE = 200, 20, 15
 ANSWER_THRESHOLD = 0.6
+K_RANGE, SWEEP_ROUNDS = range(8, 12), 4
 FUZZINESS = (1.2, 1.5, 2.0, 2.5)
 PAIR_THRESHOLDS = (-0.2, -0.1, 0.0, 0.1, 0.2, 0.3, 0.35, 0.4)
 
@@ -45,7 +46,8 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{sf}/{name}.parquet")
+    path = f"{sf}/{name}.parquet"
+    return corpus.read_spread(spark, path) if name in ("documents", "conversations") else spark.read.parquet(path)
 
 
 def label_of_source() -> Column:
@@ -87,6 +89,17 @@ def vector_rows(spark: SparkSession, sf: str) -> DataFrame:
     return build_vector_table(joined, categories(spark, sf), model(spark, sf))
 
 
+_stored: dict[tuple, DataFrame] = {}
+
+
+def stored_rows(spark: SparkSession, sf: str) -> DataFrame:
+    """The vector table as searches find it: written once, then only read."""
+    key = (spark.sparkContext.applicationId, sf)
+    if key not in _stored:
+        _stored[key] = cut_lineage(vector_rows(spark, sf))
+    return _stored[key]
+
+
 def cache_log(spark: SparkSession, sf: str, cache_id: Column | None = None) -> DataFrame:
     """The vectors as a query log, of one cache or of one per label."""
     rows = scored(spark, sf)
@@ -95,7 +108,7 @@ def cache_log(spark: SparkSession, sf: str, cache_id: Column | None = None) -> D
 
 
 def _long(df: DataFrame, key: str, array: Column | str, pos: str, value: str) -> DataFrame:
-    return df.select(key, F.posexplode(array).alias(pos, "_v")).select(key, pos, F.round("_v", 6).alias(value))
+    return df.select(key, F.posexplode(array).alias(pos, "_v")).select(key, pos, F.round(F.col("_v").cast("double"), 6).alias(value))
 
 
 def neighbours(spark: SparkSession, sf: str) -> DataFrame:
@@ -353,7 +366,7 @@ def knn_topk(spark, sf):
 
 
 def _search(spark, sf, rows: DataFrame | None = None, **options) -> DataFrame:
-    rows = vector_rows(spark, sf) if rows is None else rows
+    rows = stored_rows(spark, sf) if rows is None else rows
     return retrieve.knn_by_cluster(_as_queries(scored(spark, sf)), rows, 5, order="doc_id", exclude_self=True, **options)
 
 
@@ -364,7 +377,7 @@ def knn_cluster_filtered(spark, sf):
 
 @query
 def knn_with_fallback(spark, sf):
-    rows = vector_rows(spark, sf).where("dominant_cluster NOT IN (3, 7)")
+    rows = stored_rows(spark, sf).where("dominant_cluster NOT IN (3, 7)")
     return _hits(_search(spark, sf, rows))
 
 
@@ -375,7 +388,7 @@ def knn_nprobe2(spark, sf):
 
 @query
 def format_results(spark, sf):
-    return retrieve.format_results(_search(spark, sf), vector_rows(spark, sf), _as_queries(scored(spark, sf)))
+    return retrieve.format_results(_search(spark, sf), stored_rows(spark, sf), _as_queries(scored(spark, sf)))
 
 
 # -- cache --------------------------------------------------------------------------
@@ -482,7 +495,7 @@ def cluster_quality_degenerate(spark, sf):
 
 @query
 def select_k(spark, sf):
-    found = evaluate.select_k(vectors(spark, sf), range(8, 12), M, 4)
+    found = evaluate.select_k(vectors(spark, sf), K_RANGE, M, SWEEP_ROUNDS, tol=None)
     return found.select("k", F.round("silhouette", 6).alias("silhouette"), F.round("davies_bouldin", 6).alias("davies_bouldin"), "is_best")
 
 
@@ -493,7 +506,7 @@ def m_sweep_metrics(spark, sf):
 
 @query
 def m_sweep(spark, sf):
-    return evaluate.m_sweep(vectors(spark, sf), FUZZINESS, K, 4)
+    return evaluate.m_sweep(vectors(spark, sf), FUZZINESS, K, SWEEP_ROUNDS, tol=None)
 
 
 def _profile_docs(spark, sf):

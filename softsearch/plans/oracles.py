@@ -168,7 +168,7 @@ def _knn(left: str, rows: str, on: str, k: int) -> str:
 SEARCH = VECTOR_ROWS + ["q AS (SELECT vec_id AS query_id, v, filed.cl FROM x JOIN filed USING (vec_id))"]
 _IN_CLUSTER = "d.dominant_cluster = q.cl[1] AND d.doc_id <> q.query_id"
 WITH_FALLBACK = SEARCH + [
-    "some AS (SELECT * FROM vt WHERE dominant_cluster NOT IN (3, 7))",
+    "part_vt AS (SELECT * FROM vt WHERE dominant_cluster NOT IN (3, 7))",
 ]
 
 
@@ -210,8 +210,31 @@ def _replay(threshold: float) -> list[str]:
     ]
 
 
+def _replay_lru(threshold: float, max_size: int) -> list[str]:
+    """Walk ``log`` in order with at most ``max_size`` entries, the least recently used going."""
+    near = _replay(threshold)[0]
+    return [
+        near,
+        """steps AS (SELECT log.cache_id, log.seq, row_number() OVER (PARTITION BY log.cache_id ORDER BY log.seq) AS n,
+    coalesce(e, []) AS e FROM log LEFT JOIN (
+        SELECT cache_id, seq, list(entry ORDER BY sim DESC, bucket_rank, entry) AS e FROM near GROUP BY ALL) USING (cache_id, seq))""",
+        f"""walk AS (SELECT DISTINCT cache_id, 0::BIGINT AS n, NULL::BIGINT AS seq, NULL::BIGINT AS hit,
+        []::STRUCT(seq BIGINT, used BIGINT)[] AS held FROM log
+    UNION ALL SELECT cache_id, n, seq, hit, CASE
+        WHEN hit IS NOT NULL THEN list_transform(held, lambda t: CASE WHEN t.seq = hit THEN {{'seq': hit, 'used': seq}} ELSE t END)
+        WHEN len(held) < {max_size} THEN list_append(held, {{'seq': seq, 'used': seq}})
+        ELSE list_append(list_filter(held, lambda t: t.used > oldest), {{'seq': seq, 'used': seq}}) END
+    FROM (SELECT walk.cache_id, walk.n + 1 AS n, steps.seq, held, list_min(list_transform(held, lambda t: t.used)) AS oldest,
+            list_filter(e, lambda s: list_contains(list_transform(held, lambda t: t.seq), s))[1] AS hit
+        FROM walk JOIN steps ON steps.cache_id = walk.cache_id AND steps.n = walk.n + 1))""",
+        """decisions AS (SELECT walk.cache_id, walk.seq, hit IS NOT NULL AS cache_hit, hit AS matched_seq, sim AS similarity
+    FROM walk LEFT JOIN near ON near.cache_id = walk.cache_id AND near.seq = walk.seq AND near.entry = hit WHERE n > 0)""",
+    ]
+
+
 ONE_CACHE = _log("'all'") + _replay(c.THRESHOLD)
 BY_LABEL = _log("label::VARCHAR") + _replay(c.THRESHOLD)
+LRU_BY_LABEL = _log("label::VARCHAR") + _replay_lru(c.THRESHOLD, c.LRU_SIZE)
 _DECISIONS = "SELECT cache_id, seq, cache_hit, matched_seq, round(similarity, 6) AS similarity FROM decisions"
 
 # -- the offline flow and the answers ------------------------------------------------------
@@ -236,14 +259,46 @@ ASKED = PREPARED + [
 ]
 
 
-def _quality(u: str = "filed") -> list[str]:
-    return FILED + [
-        "n AS (SELECT dominant_cluster AS l, count(*) AS n FROM filed GROUP BY ALL)",
-        "p AS (SELECT vec_id, v, dominant_cluster AS l FROM x JOIN filed USING (vec_id))",
+_UNIT = "list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v))"
+
+
+def _score(p: str, u: str) -> list[str]:
+    """Silhouette ``{p}sil`` and Davies-Bouldin ``{p}db`` of the dominant clusters of ``u``."""
+    return [
+        *_filed(u, "vec_id", f"{p}f"),
+        f"{p}p AS (SELECT vec_id, v, dominant_cluster AS l FROM x JOIN {p}f USING (vec_id))",
+        f"""{p}far AS (SELECT a.vec_id, a.l, b.l AS other, sum(1 - {_UNIT}) AS total, count(*) AS n
+    FROM {p}p a JOIN {p}p b ON a.vec_id <> b.vec_id GROUP BY ALL)""",
+        f"""{p}ab AS (SELECT vec_id, max(CASE WHEN l = other THEN total / n END) AS own, min(CASE WHEN l <> other THEN total / n END) AS away
+    FROM {p}far GROUP BY vec_id)""",
+        f"{p}sil AS (SELECT round(avg(CASE WHEN own IS NULL THEN 0 ELSE (away - own) / greatest(own, away) END), 6) AS silhouette FROM {p}ab)",
+        f"""{p}means AS (SELECT l, list(e ORDER BY dim) AS c FROM (
+    SELECT l, dim, avg(e) AS e FROM (SELECT l, unnest(v) AS e, generate_subscripts(v, 1) AS dim FROM {p}p) GROUP BY ALL) GROUP BY l)""",
+        f"{p}spread AS (SELECT p.l, avg(list_distance(v, c)) AS s FROM {p}p p JOIN {p}means USING (l) GROUP BY p.l)",
+        f"""{p}db AS (SELECT round(avg(worst), 6) AS davies_bouldin FROM (
+    SELECT a.l, max((sa.s + sb.s) / list_distance(a.c, b.c)) AS worst FROM {p}means a JOIN {p}means b ON a.l <> b.l
+    JOIN {p}spread sa ON sa.l = a.l JOIN {p}spread sb ON sb.l = b.l GROUP BY a.l))""",
     ]
 
 
-_UNIT = "list_dot_product(a.v, b.v) / sqrt(list_dot_product(a.v, a.v) * list_dot_product(b.v, b.v))"
+def _select_k() -> str:
+    ctes, rows = list(X), []
+    for k in c.K_RANGE:
+        p = f"k{k}_"
+        ctes += _fit("x", "vec_id", k, c.M, c.SWEEP_ROUNDS, p) + _score(p, f"{p}u{c.SWEEP_ROUNDS}")
+        rows.append(f"SELECT {k} AS k, silhouette, davies_bouldin FROM {p}sil, {p}db")
+    ctes.append("found AS (" + " UNION ALL ".join(rows) + ")")
+    return _sql(ctes, "SELECT *, k = (SELECT k FROM found ORDER BY silhouette DESC, k LIMIT 1) AS is_best FROM found")
+
+
+def _m_sweep() -> str:
+    ctes, rows = list(X), []
+    for i, m in enumerate(c.FUZZINESS):
+        ctes += _fit("x", "vec_id", c.K, m, c.SWEEP_ROUNDS, f"m{i}_")
+        rows.append(_metrics(m, f"m{i}_u{c.SWEEP_ROUNDS}"))
+    return _sql(ctes, "\nUNION ALL ".join(rows))
+
+
 _STOP = ", ".join(f"'{w}'" for w in STOP_WORDS)
 
 
@@ -316,7 +371,7 @@ UNION ALL SELECT vec_id, 2, cluster2, round(u2, 6) FROM filed""",
             FILED, f"SELECT cluster, count(vec_id) AS n_docs FROM (SELECT unnest(range({c.K + 2}))::INT AS cluster) LEFT JOIN filed ON dominant_cluster = cluster GROUP BY cluster"
         ),
         "boundary_rate": _sql(
-            FILED, "SELECT count(*) AS n_docs, count_if(is_boundary) AS n_boundary, round(100.0 * avg(is_boundary::INT), 1) AS boundary_pct FROM filed"
+            FILED, "SELECT count(*) AS n_docs, count_if(is_boundary)::BIGINT AS n_boundary, round(100.0 * avg(is_boundary::INT), 1) AS boundary_pct FROM filed"
         ),
         "doc_metadata": _sql(VECTOR_ROWS, f"SELECT {_META} FROM vt"),
         "metadata_filter": _sql(VECTOR_ROWS, f"SELECT {_META} FROM vt WHERE dominant_cluster IN (1, 3, 5) AND is_boundary AND mem_top1 >= 0.3"),
@@ -332,7 +387,7 @@ UNION ALL SELECT vec_id, 2, cluster2, round(u2, 6) FROM filed""",
         "knn_cluster_filtered": _sql(SEARCH, _knn("q", "vt", _IN_CLUSTER, 5)),
         "knn_with_fallback": _sql(
             WITH_FALLBACK,
-            _knn("q", "some", "d.doc_id <> q.query_id AND (d.dominant_cluster = q.cl[1] OR q.cl[1] NOT IN (SELECT dominant_cluster FROM some))", 5),
+            _knn("q", "part_vt", "d.doc_id <> q.query_id AND (d.dominant_cluster = q.cl[1] OR q.cl[1] NOT IN (SELECT dominant_cluster FROM part_vt))", 5),
         ),
         "knn_nprobe2": _sql(SEARCH, _knn("q", "vt", "d.dominant_cluster IN (q.cl[1], q.cl[2]) AND d.doc_id <> q.query_id", 5)),
         "format_results": _sql(SEARCH + ["found AS (" + _knn("q", "vt", _IN_CLUSTER, 5) + ")"], _results("found", "vt", "q")),
@@ -349,13 +404,15 @@ FROM log a LEFT JOIN (SELECT b.seq, e.seq AS entry, round(list_dot_product(b.v,
 WHERE a.label >= 5""",
         ),
         "cache_replay": _sql(ONE_CACHE, _DECISIONS, True),
+        "cache_replay_lru": _sql(LRU_BY_LABEL, _DECISIONS, True),
+        "stream_cache_decisions": _sql(LRU_BY_LABEL, _DECISIONS, True),
         "cache_touch": _sql(BY_LABEL, "SELECT cache_id, seq, access_time FROM used", True),
         "cache_evict_lru": _sql(
             BY_LABEL, f"SELECT cache_id, seq, access_time FROM used QUALIFY row_number() OVER (PARTITION BY cache_id ORDER BY access_time DESC, seq DESC) <= {c.EVICT_SIZE}", True
         ),
         "cache_stats": _sql(
             BY_LABEL,
-            """SELECT (SELECT count(*) FROM entries) AS total_entries, count_if(cache_hit) AS hit_count, count_if(NOT cache_hit) AS miss_count,
+            """SELECT (SELECT count(*) FROM entries) AS total_entries, count_if(cache_hit)::BIGINT AS hit_count, count_if(NOT cache_hit)::BIGINT AS miss_count,
 round(count_if(cache_hit) / count(*), 4) AS hit_rate FROM decisions""",
             True,
         ),
@@ -366,7 +423,7 @@ round(count_if(cache_hit) / count(*), 4) AS hit_rate FROM decisions""",
             True,
         ),
         "stream_cache_stats": _sql(
-            BY_LABEL, "SELECT cache_id, count_if(cache_hit) AS hit_count, count_if(NOT cache_hit) AS miss_count FROM decisions GROUP BY cache_id", True
+            BY_LABEL, "SELECT cache_id, count_if(cache_hit)::BIGINT AS hit_count, count_if(NOT cache_hit)::BIGINT AS miss_count FROM decisions GROUP BY cache_id", True
         ),
         "query_validation": """SELECT conv_id, turn, reason IS NULL AS accepted, reason FROM (
     SELECT conv_id, turn, CASE role WHEN 'user' THEN CASE WHEN length(text) < 1 THEN 'empty' END WHEN 'system' THEN 'empty' ELSE 'missing' END AS reason FROM conversations)""",
@@ -378,22 +435,10 @@ FROM decisions d JOIN log l USING (cache_id, seq) JOIN log e ON e.cache_id = d.c
 JOIN results r ON r.query_id = e.seq""",
             True,
         ),
-        "silhouette_cosine": _sql(
-            _quality() + [
-                f"""far AS (SELECT a.vec_id, a.l, b.l AS other, sum(1 - {_UNIT}) AS total, count(*) AS n FROM p a JOIN p b ON a.vec_id <> b.vec_id GROUP BY ALL)""",
-                """ab AS (SELECT vec_id, max(CASE WHEN l = other THEN total / n END) AS own, min(CASE WHEN l <> other THEN total / n END) AS away FROM far GROUP BY vec_id)""",
-            ],
-            "SELECT round(avg(CASE WHEN own IS NULL THEN 0 ELSE (away - own) / greatest(own, away) END), 6) AS silhouette FROM ab",
-        ),
-        "davies_bouldin": _sql(
-            _quality() + [
-                "means AS (SELECT l, list(e ORDER BY dim) AS c FROM (SELECT l, dim, avg(e) AS e FROM (SELECT l, unnest(v) AS e, generate_subscripts(v, 1) AS dim FROM p) GROUP BY ALL) GROUP BY l)",
-                "spread AS (SELECT p.l, avg(list_distance(v, c)) AS s FROM p JOIN means USING (l) GROUP BY p.l)",
-            ],
-            """SELECT round(avg(worst), 6) AS davies_bouldin FROM (
-    SELECT a.l, max((sa.s + sb.s) / list_distance(a.c, b.c)) AS worst FROM means a JOIN means b ON a.l <> b.l
-    JOIN spread sa ON sa.l = a.l JOIN spread sb ON sb.l = b.l GROUP BY a.l)""",
-        ),
+        "silhouette_cosine": _sql(FIT + _score("s_", U), "SELECT silhouette FROM s_sil"),
+        "davies_bouldin": _sql(FIT + _score("s_", U), "SELECT davies_bouldin FROM s_db"),
+        "select_k": _select_k(),
+        "m_sweep": _m_sweep(),
         "cluster_quality_degenerate": """SELECT CASE WHEN n_labels < 2 OR n_labels >= n THEN 0.0::DOUBLE END AS silhouette,
     CASE WHEN n_labels < 2 OR n_labels >= n THEN 999.0::DOUBLE END AS davies_bouldin
 FROM (SELECT count(DISTINCT 0) AS n_labels, count(*) AS n FROM embeddings)""",
@@ -404,7 +449,7 @@ FROM (SELECT count(DISTINCT 0) AS n_labels, count(*) AS n FROM embeddings)""",
                 "member AS (SELECT vec_id AS doc_id, dominant_cluster, u1 FROM filed WHERE vec_id IN (SELECT doc_id FROM vt))",
                 "size AS (SELECT dominant_cluster, count(*) AS n_docs FROM member GROUP BY ALL)",
                 """score AS (SELECT dominant_cluster AS cluster, n_docs, term, round(sum(u1 * weight) / n_docs, 9) AS score
-    FROM weights JOIN member USING (doc_id) JOIN size USING (dominant_cluster) GROUP BY ALL)""",
+    FROM weights JOIN member USING (doc_id) JOIN size USING (dominant_cluster) GROUP BY dominant_cluster, n_docs, term)""",
             ],
             """SELECT cluster, n_docs, rank, term, round(score, 6) AS score FROM (
     SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY score DESC, term)::INT AS rank FROM score) WHERE rank <= 12""",
@@ -422,8 +467,8 @@ FROM filed JOIN cleaned ON src_id = vec_id ORDER BY u2 DESC, vec_id LIMIT 5""",
         "threshold_sweep": _sql(
             PAIRS + [
                 f"t AS (SELECT unnest([{', '.join(map(str, c.PAIR_THRESHOLDS))}])::DOUBLE AS threshold)",
-                """n AS (SELECT threshold, count_if(similarity >= threshold AND same_intent) AS true_hits, count_if(same_intent) AS n_same,
-    count_if(similarity >= threshold AND NOT same_intent) AS false_hits, count_if(NOT same_intent) AS n_diff FROM pairs, t GROUP BY threshold)""",
+                """n AS (SELECT threshold, count_if(similarity >= threshold AND same_intent)::BIGINT AS true_hits, count_if(same_intent)::BIGINT AS n_same,
+    count_if(similarity >= threshold AND NOT same_intent)::BIGINT AS false_hits, count_if(NOT same_intent)::BIGINT AS n_diff FROM pairs, t GROUP BY threshold)""",
                 """r AS (SELECT *, CASE WHEN true_hits + false_hits > 0 THEN true_hits / (true_hits + false_hits) ELSE 1.0 END AS p,
     CASE WHEN n_same > 0 THEN true_hits / n_same ELSE 0.0 END AS q FROM n)""",
             ],
@@ -437,10 +482,10 @@ _UPSERT = """SELECT doc_id, document, label, category FROM vt WHERE doc_id NOT I
 UNION ALL SELECT src_id, 'updated ' || cleaned.text, raw.label, raw.category FROM cleaned JOIN raw USING (src_id) WHERE lang = 'fr'"""
 
 
-def _metrics(m: float) -> str:
+def _metrics(m: float, u: str = U) -> str:
     power = 2.0 / (m - 1.0)
     return f"""SELECT {m}::DOUBLE AS m, round(100.0 * avg((us[2] > {c.BOUNDARY})::INT), 4) AS boundary_pct,
     round(avg(list_sum(list_transform(us, lambda e: -e * ln(e + 1e-12)))), 6) AS mean_entropy, round(avg(us[1]), 6) AS mean_top
 FROM (SELECT vec_id, list(u ORDER BY u DESC) AS us FROM (
     SELECT vec_id, pow(near / d2, {power}) / sum(pow(near / d2, {power})) OVER (PARTITION BY vec_id) AS u
-    FROM (SELECT vec_id, d2, min(d2) OVER (PARTITION BY vec_id) AS near FROM {U})) GROUP BY vec_id)"""
+    FROM (SELECT vec_id, d2, min(d2) OVER (PARTITION BY vec_id) AS near FROM {u})) GROUP BY vec_id)"""

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from softsearch.config import DEFAULTS
@@ -46,7 +46,9 @@ def load_corpus(
     """``corpus(doc_id, src_id, text, label)``: cleaned, long enough, first of its copies.
 
     One shuffle (by hash); documents that agree in their first ``max_chars`` cleaned
-    characters are copies of each other.
+    characters are copies of each other. Copies are equally long, so the length test comes
+    after the deduplication: before it, the optimizer would clean every text twice, once
+    for the filter and once for the result.
     """
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
     cleaned = select_subset(raw, subset, split_col).select(
@@ -54,9 +56,16 @@ def load_corpus(
         clean_text(as_col(text_col), max_chars).alias("text"),
         as_col(label_col).cast("int").alias("label"),
     )
-    kept = cleaned.where(long_enough("text", min_chars))
-    hashed = kept.select(text_hash("text").alias("doc_id"), "src_id", "text", "label")
-    return dedupe_exact(hashed)
+    hashed = cleaned.select(text_hash("text").alias("doc_id"), "src_id", "text", "label")
+    return dedupe_exact(hashed).where(long_enough("text", min_chars))
+
+
+def read_spread(spark: SparkSession, path: str) -> DataFrame:
+    """Read a Parquet table; deal its rows out if the files give fewer tasks than there are
+    cores. Only a small table has so few splits; a large one is read as it lies."""
+    df = spark.read.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
 
 
 def load_summary(
