@@ -8,6 +8,7 @@ import uuid
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 
 @dataclass(frozen=True)
@@ -81,6 +82,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
+    """Mark a narrow table for broadcast if a count shows that it is small; else leave the
+    join to Spark. Meant for keys and dimensions, not for rows that carry texts or vectors."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint in the shared folder; survives the loss of executors."""
     shared_dir(df.sparkSession)

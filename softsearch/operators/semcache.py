@@ -19,18 +19,17 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from softsearch.config import DEFAULTS, cut_lineage, scratch_path
+from softsearch.config import DEFAULTS, broadcast_if_small, cut_lineage, scratch_path
 from softsearch.functions.membership import buckets
 from softsearch.functions.vectors import dot
 from softsearch.operators.fcm import to_list_array, to_matrix
+from softsearch.operators.ranking import top_per_group
 from softsearch.operators.similarity import SIM_DECIMALS, similarity_topk
 
 #: undecided queries per cache settled in one task
 BLOCK_ROWS = 8192
 #: queries per cache and slice of the bounded replay
 SLICE_ROWS = 100_000
-#: most slices one cache is cut into; slices grow beyond that
-MAX_SLICES = 5000
 
 _SEP = "\x1f"
 
@@ -125,36 +124,68 @@ def _first_copies(nodes: DataFrame, threshold: float) -> DataFrame:
     return firsts.select(_row_id().alias("id"), "cache_id", "seq", F.col("seq").alias("ord"), "vec", "keys")
 
 
+def _in_slices(rows: DataFrame, slice_rows: int) -> DataFrame:
+    """Number runs of at most ``slice_rows`` rows in the order of cache and ``seq``.
+
+    Range partitioning splits a cache that holds most of the log over many tasks; the row
+    numbers of ``monotonically_increasing_id`` grow along that order.
+    """
+    ordered = rows.repartitionByRange("cache_id", "seq").sortWithinPartitions("cache_id", "seq")
+    return cut_lineage(ordered.withColumn("slice", F.floor(F.monotonically_increasing_id() / slice_rows)))
+
+
+def _cuts(undecided: DataFrame, limit: int) -> DataFrame:
+    """For each cache with more than ``limit`` undecided queries the last slice of its next
+    block: ``(cache_id, cut)``. Works on counts per slice, not on rows."""
+    counts = undecided.groupBy("cache_id", "slice").agg(F.count(F.lit(1)).alias("n"))
+    so_far = F.sum("n").over(Window.partitionBy("cache_id").orderBy("slice"))
+    ends = counts.withColumn("so_far", so_far).groupBy("cache_id").agg(
+        F.coalesce(F.max(F.when(F.col("so_far") <= limit, F.col("slice"))), F.min("slice")).alias("cut"),
+        F.max("slice").alias("last"),
+    )
+    return cut_lineage(ends.where(F.col("cut") < F.col("last")).select("cache_id", "cut"))
+
+
 def _stored_queries(
     nodes: DataFrame, threshold: float, block_rows: int, stop_after: int | None, **join_options
 ) -> tuple[DataFrame, DataFrame | None]:
     """The queries an unbounded cache stores, and the caches that store more than
-    ``stop_after`` (their search is cut short)."""
+    ``stop_after`` (their search is cut short).
+
+    A round settles the next block of every cache, up to ``block_rows`` undecided queries
+    (four times as many later on), and drops what the new entries answer from the rest.
+    """
     spark, schema = nodes.sparkSession, nodes.schema
-    undecided, found, over = cut_lineage(_first_copies(nodes, threshold)), None, None
-    path = scratch_path(spark, "leaders")
+    undecided = cut_lineage(_first_copies(nodes, threshold))
+    largest = undecided.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
+    if largest > block_rows:
+        undecided = _in_slices(undecided, block_rows)
+    path, limit, step = scratch_path(spark, "leaders"), block_rows, 0
     while True:
-        place = F.row_number().over(Window.partitionBy("cache_id").orderBy("seq"))
-        block = undecided.withColumn("place", place).where(F.col("place") <= block_rows).drop("place")
+        cuts, block = None, undecided
+        if largest > block_rows:
+            cuts = _cuts(undecided, limit)
+            small_cuts = broadcast_if_small(cuts)
+            block = undecided.join(small_cuts, "cache_id", "left").where("cut IS NULL OR slice <= cut")
+        block = block.select(*schema.names)
         leaders = block.groupBy("cache_id").applyInArrow(_settle_block(threshold), schema)
-        leaders.write.mode("append").parquet(path)
-        found = spark.read.schema(schema).parquet(path)
-        sizes = undecided.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n"))
-        larger = cut_lineage(sizes.where(F.col("n") > block_rows).select("cache_id"))
+        leaders.write.parquet(f"{path}/round={step}")
+        found, over = spark.read.parquet(path).select(*schema.names), None
         if stop_after is not None:
-            full = found.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") > stop_after)
-            over = full.select("cache_id")
-            larger = cut_lineage(larger.join(over, "cache_id", "left_anti"))
-        if larger.isEmpty():
+            stored = found.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n"))
+            over = cut_lineage(stored.where(F.col("n") > stop_after).select("cache_id"))
+            cuts = cuts and cuts.join(over, "cache_id", "left_anti")
+        if cuts is None or cuts.isEmpty():
             return found, over
-        # what is left: caches that did not fit the block, after their last settled query
-        ends = block.groupBy("cache_id").agg(F.max("seq").alias("end")).join(larger, "cache_id", "left_semi")
-        rest = undecided.join(ends, "cache_id").where(F.col("seq") > F.col("end")).drop("end")
-        recent = found.join(ends, "cache_id").where(F.col("seq") <= F.col("end")).drop("end")
+        # what is left: the caches that did not fit, after their block
+        small_cuts = broadcast_if_small(cuts)
+        rest = undecided.join(small_cuts, "cache_id").where("slice > cut").drop("cut")
+        recent = spark.read.parquet(f"{path}/round={step}").join(small_cuts, "cache_id", "left_semi")
         hits = similarity_topk(
             rest, recent, 1, min_sim=threshold, earlier=True, ranked_keys=True, **join_options
         ).select(F.col("left_id").alias("id"))
-        undecided = cut_lineage(rest.join(hits, "id", "left_anti").select(*schema.names))
+        undecided = cut_lineage(rest.join(hits, "id", "left_anti").select(*schema.names, "slice"))
+        limit, step = min(2 * limit, 4 * block_rows), step + 1
 
 
 def _access_times(leaders: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -261,55 +292,44 @@ def replay_lru(
 ) -> Replay:
     """Replay with least-recently-used eviction: in order per cache, caches in parallel.
 
-    A long log is cut into slices by quantiles of ``seq``, so that no task holds more than
-    about ``slice_rows`` queries of a cache; between slices the entries (at most
+    A long log is cut into slices in the order of ``seq``, so that no task holds more than
+    ``slice_rows`` queries of a cache; between slices the entries (at most
     ``max_size`` per cache) are written to the shared folder and read back, so a lost
     executor costs at most the running slice.
     """
     spark = log.sparkSession
     rows = cut_lineage(log_rows(log, boundary))
     sizes = rows.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n"))
-    largest = sizes.agg(F.max("n")).first()[0] or 0
-    n_slices = min(MAX_SLICES, -(-largest // slice_rows)) or 1
-    if n_slices > 1:
-        shares = [i / n_slices for i in range(1, n_slices)]
-        long_logs = sizes.where(F.col("n") > slice_rows).select("cache_id")
-        ends = (
-            rows.join(long_logs, "cache_id", "left_semi")
-            .groupBy("cache_id")
-            .agg(F.percentile_approx("seq", shares, max(10_000, 20 * n_slices)).alias("ends"))
-        )
-        after = F.size(F.filter(F.array_distinct("ends"), lambda e: e < F.col("seq")))
+    largest, n_slices = sizes.agg(F.max("n")).first()[0] or 0, 1
+    if largest > slice_rows:
+        rows = _in_slices(rows, slice_rows)
+        runs = rows.groupBy("cache_id", "slice").agg(F.lit(1).alias("one"))
+        step = F.row_number().over(Window.partitionBy("cache_id").orderBy("slice")) - 1
+        steps = cut_lineage(runs.select("cache_id", "slice", step.alias("step")).where("step > 0"))
+        n_slices = 1 + steps.agg(F.max("step")).first()[0]
         path = scratch_path(spark, "slices")
-        rows.join(ends, "cache_id", "left").withColumn(
-            "slice", F.when(F.col("ends").isNull(), 0).otherwise(after)
-        ).drop("ends").write.partitionBy("slice").parquet(path)
+        placed = rows.join(broadcast_if_small(steps), ["cache_id", "slice"], "left").drop("slice")
+        placed.withColumn("step", F.coalesce("step", F.lit(0))).write.partitionBy("step").parquet(path)
         rows = spark.read.parquet(path)
-    out, state = scratch_path(spark, "replay"), None
+    out = scratch_path(spark, "replay")
     for i in range(n_slices):
-        part = rows if n_slices == 1 else rows.where(F.col("slice") == i).drop("slice")
-        if state is not None:
-            ids = part.select("cache_id").distinct()
+        part = rows if n_slices == 1 else rows.where(F.col("step") == i).drop("step")
+        if i > 0:  # its caches took part in the slice before
+            state = spark.read.parquet(f"{out}/slice={i - 1}").where("kind = 'entry'").select(*part.columns)
+            ids = broadcast_if_small(part.select("cache_id").distinct())
             part = state.join(ids, "cache_id", "left_semi").unionByName(part)
         step = part.groupBy("cache_id").applyInArrow(lru_step(threshold, max_size), _STEP)
         step.write.partitionBy("kind").parquet(f"{out}/slice={i}")
-        if n_slices > 1:
-            # the newest entries of a cache are those of the last slice it took part in
-            state = _entries_after(spark, out, i)
     done = spark.read.parquet(out)
     decisions = done.where("kind = 'decision'").select("cache_id", "seq", "cache_hit", "matched_seq", "similarity")
-    entries = _entries_after(spark, out, n_slices - 1) if n_slices > 1 else done.where("kind = 'entry'")
-    return Replay(decisions, entries.select("cache_id", "seq", "access_time"))
+    return Replay(decisions, _last_entries(done))
 
 
-def _entries_after(spark, out: str, i: int) -> DataFrame:
-    """Entries held after slice ``i``. Every long log takes part in every slice; the caches
-    that end earlier are taken from slice 0."""
-    last = spark.read.parquet(f"{out}/slice={i}").where("kind = 'entry'")
-    if i > 0:
-        first = spark.read.parquet(f"{out}/slice=0").where("kind = 'entry'")
-        last = last.unionByName(first.join(last.select("cache_id").distinct(), "cache_id", "left_anti"))
-    return last.select("cache_id", "seq", "access_time", "vec", "b1", "b2")
+def _last_entries(done: DataFrame) -> DataFrame:
+    """Of each cache the entries held after the last slice it took part in."""
+    held = done.where("kind = 'entry'").select("cache_id", "seq", "access_time", "slice")
+    last = held.groupBy("cache_id").agg(F.max("slice").alias("slice"))
+    return held.join(last, ["cache_id", "slice"]).select("cache_id", "seq", "access_time")
 
 
 # -- replay -----------------------------------------------------------------------
@@ -333,10 +353,8 @@ def replay(
     """
     nodes = cut_lineage(_cache_side(log, boundary))
     leaders, over = _stored_queries(nodes, threshold, block_rows, max_size, **join_options)
-    if over is not None:
-        over = cut_lineage(over)
-        if over.isEmpty():
-            over = None
+    if over is not None and over.isEmpty():
+        over = None
     if over is not None:
         nodes = nodes.join(over, "cache_id", "left_anti")
         leaders = leaders.join(over, "cache_id", "left_anti")
@@ -361,8 +379,8 @@ def touch(entries: DataFrame, decisions: DataFrame) -> DataFrame:
 
 def evict_lru(entries: DataFrame, max_size: int = DEFAULTS.cache_max_size) -> DataFrame:
     """Keep the ``max_size`` most recently used entries of each cache."""
-    newest = F.row_number().over(Window.partitionBy("cache_id").orderBy(F.desc("access_time"), F.desc("seq")))
-    return entries.withColumn("place", newest).where(F.col("place") <= max_size).drop("place")
+    order = [F.desc("access_time"), F.desc("seq")]
+    return top_per_group(entries, ["cache_id"], order, max_size, "place").drop("place")
 
 
 def stats(decisions: DataFrame, entries: DataFrame) -> DataFrame:

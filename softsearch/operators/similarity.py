@@ -25,7 +25,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from softsearch.config import BROADCAST_BYTES, TILE_BYTES
+from softsearch.config import BROADCAST_BYTES, TILE_BYTES, broadcast_if_small, cut_lineage
 from softsearch.operators.fcm import to_matrix
 
 #: similarities that agree to this many decimals are ties, decided by key rank and order
@@ -212,14 +212,17 @@ def _tiled(left: DataFrame, right: DataFrame, rule: Rule, tile_rows: int) -> Dat
         return df.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / tile_rows).cast("int").alias(name))
 
     lhs, rhs = spread(left), spread(right)
-    grid = tiles(lhs, "n_l").join(tiles(rhs, "n_r"), "key")
+    # one row per key with more than one tile: at most (rows / tile_rows) of them
+    grid = tiles(lhs, "n_l").join(tiles(rhs, "n_r"), "key").where("n_l > 1 OR n_r > 1")
+    grid = broadcast_if_small(cut_lineage(grid))
 
     def place(df: DataFrame, is_left: bool) -> DataFrame:
         own, other = ("l", "r") if is_left else ("r", "l")
+        number = lambda side: F.coalesce(F.col(f"n_{side}"), F.lit(1))
         return (
-            df.join(grid, "key")
-            .withColumn(f"tile_{own}", F.pmod(F.xxhash64("id"), F.col(f"n_{own}")).cast("int"))
-            .withColumn(f"tile_{other}", F.explode(F.sequence(F.lit(0), F.col(f"n_{other}") - 1)))
+            df.join(grid, "key", "left")
+            .withColumn(f"tile_{own}", F.pmod(F.xxhash64("id"), number(own)).cast("int"))
+            .withColumn(f"tile_{other}", F.explode(F.sequence(F.lit(0), number(other) - 1)))
             .select("key", "tile_l", "tile_r", F.lit(is_left).alias("is_left"), "id", "vec", "ord", "key_rank")
         )
 

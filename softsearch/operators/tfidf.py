@@ -4,11 +4,12 @@ from __future__ import annotations
 
 from collections.abc import Collection
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from softsearch.config import cut_lineage
 from softsearch.functions.text import word_tokens
+from softsearch.operators.ranking import top_per_group
 
 # Common English words that carry no topic. Pass any other list instead.
 STOP_WORDS = tuple(
@@ -65,11 +66,6 @@ def tfidf_weights(
     return raw.select(key, "term", "tf", (F.col("raw") / norm).alias("weight"))
 
 
-def _top(df: DataFrame, by: str, order: list[Column], n: int) -> DataFrame:
-    w = Window.partitionBy(by).orderBy(*order)
-    return df.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
-
-
 def cluster_top_terms(weights: DataFrame, assigned: DataFrame, key: str = "doc_id", n: int = 12) -> DataFrame:
     """``(cluster, n_docs, rank, term, score)``.
 
@@ -87,10 +83,10 @@ def cluster_top_terms(weights: DataFrame, assigned: DataFrame, key: str = "doc_i
         F.col("dominant_cluster").alias("cluster"), "n_docs", "term",
         F.round(F.col("total") / F.col("n_docs"), 9).alias("score"),
     )
-    return _top(scores, "cluster", [F.desc("score"), F.col("term")], n)
+    return top_per_group(scores, ["cluster"], [F.desc("score"), F.col("term")], n)
 
 
 def cluster_top_categories(assigned: DataFrame, n: int = 3) -> DataFrame:
     """``(cluster, rank, label, n)``: the most frequent labels of each cluster."""
     counts = assigned.groupBy(F.col("dominant_cluster").alias("cluster"), "label").agg(F.count(F.lit(1)).alias("n"))
-    return _top(counts, "cluster", [F.desc("n"), F.col("label")], n)
+    return top_per_group(counts, ["cluster"], [F.desc("n"), F.col("label")], n)

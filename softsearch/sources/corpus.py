@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from softsearch.config import DEFAULTS
+from softsearch.config import DEFAULTS, broadcast_if_small
 from softsearch.functions.text import clean_text, long_enough, text_hash
 
 
@@ -17,8 +17,9 @@ def select_subset(df: DataFrame, subset: str = "all", split_col: str = "split")
 
 
 def with_category(df: DataFrame, categories: DataFrame) -> DataFrame:
-    """Attach the category name by label. Spark broadcasts the dimension if it is small."""
-    return df.join(categories.select("label", "category"), "label", "inner")
+    """Attach the category name by label; the dimension is broadcast if it is small, so the
+    documents of a very frequent category stay where they are."""
+    return df.join(broadcast_if_small(categories.select("label", "category")), "label", "inner")
 
 
 def dedupe_exact(df: DataFrame, key: str = "doc_id", order: str = "src_id") -> DataFrame:

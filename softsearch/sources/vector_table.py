@@ -8,7 +8,7 @@ from typing import Any
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from softsearch.config import DEFAULTS, cut_lineage
+from softsearch.config import DEFAULTS, broadcast_if_small, cut_lineage
 from softsearch.functions.membership import dominant_cluster, is_boundary, nth_membership
 
 
@@ -95,7 +95,8 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "doc_id", order: st
         last = F.max_by(F.struct(*rest), F.col(order)).alias("last")
         updates = updates.groupBy(key).agg(last).select(key, "last.*")
     updates = updates.select(*target.columns)
-    return target.join(updates, key, "left_anti").unionByName(updates)
+    changed = broadcast_if_small(updates.select(key))  # then the table is not shuffled
+    return target.join(changed, key, "left_anti").unionByName(updates)
 
 
 ID_BUCKET = "id_bucket"
@@ -105,21 +106,20 @@ def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return df.withColumn(ID_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
+def _for_write(df: DataFrame):
+    """One partition per bucket, split or merged to the advisory size while the job runs."""
+    return df.hint("rebalance", ID_BUCKET).sortWithinPartitions(ID_BUCKET, "dominant_cluster").write.mode("overwrite")
+
+
 def write_table(df: DataFrame, path: str, key: str = "doc_id", buckets: int = 64) -> None:
     """Write the table partitioned by a hash of its key.
 
     The partition depends on the key alone, so a document that moves to another cluster
     stays in its partition. Inside the files rows are sorted by cluster, so the row-group
-    statistics let a cluster filter skip data.
+    statistics let a cluster filter skip data. A bucket is what an upsert rewrites at
+    least: choose ``buckets`` so that one is a few gigabytes.
     """
-    (
-        _with_bucket(df, key, buckets)
-        .repartition(ID_BUCKET, F.pmod(F.xxhash64(F.col(key), F.lit("file")), F.lit(4)))
-        .sortWithinPartitions(ID_BUCKET, "dominant_cluster")
-        .write.mode("overwrite")
-        .partitionBy(ID_BUCKET)
-        .parquet(path)
-    )
+    _for_write(_with_bucket(df, key, buckets)).partitionBy(ID_BUCKET).parquet(path)
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
@@ -146,13 +146,4 @@ def upsert_into(
     if not touched:
         return
     merged = cut_lineage(upsert(stored.where(F.col(ID_BUCKET).isin(touched)), fresh, key))
-    (
-        merged.repartition(ID_BUCKET, F.pmod(F.xxhash64(F.col(key), F.lit("file")), F.lit(4)))
-        .sortWithinPartitions(ID_BUCKET, "dominant_cluster")
-        .write.mode("overwrite")
-        .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(ID_BUCKET)
-        .parquet(path)
-    )
-
-
+    _for_write(merged).option("partitionOverwriteMode", "dynamic").partitionBy(ID_BUCKET).parquet(path)

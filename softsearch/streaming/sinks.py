@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming.query import StreamingQuery
 
 from softsearch.config import scratch_path
@@ -38,22 +39,22 @@ def upsert_stream(
 
 
 def keep_latest(stream: DataFrame, path: str, checkpoint: str | None = None) -> StreamingQuery:
-    """Write an aggregated stream's full result after every batch, each to its own folder."""
+    """Write the rows of an aggregated stream that a batch changed, each batch to its own
+    folder; a repeated batch replaces its own folder."""
     checkpoint = checkpoint or scratch_path(stream.sparkSession, "stream")
 
-    def replace(batch: DataFrame, batch_id: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id:012d}")
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{path}/batch={batch_id}")
 
     return (
-        stream.writeStream.outputMode("complete").foreachBatch(replace)
+        stream.writeStream.outputMode("update").foreachBatch(write)
         .option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     )
 
 
-def read_latest(spark: SparkSession, path: str) -> DataFrame:
-    """The newest result that ``keep_latest`` wrote."""
-    all_batches = spark.read.parquet(path)
-    newest = all_batches.agg({"batch": "max"}).first()[0]
-    return all_batches.where(all_batches["batch"] == newest).drop("batch")
-
-
+def read_latest(spark: SparkSession, path: str, key: str = "cache_id") -> DataFrame:
+    """The newest row of every key that ``keep_latest`` wrote."""
+    rows = spark.read.parquet(path)
+    values = [c for c in rows.columns if c not in (key, "batch")]
+    newest = F.max_by(F.struct(*values), F.col("batch")).alias("newest")
+    return rows.groupBy(key).agg(newest).select(key, "newest.*")
