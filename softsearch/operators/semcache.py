@@ -217,11 +217,12 @@ def lru_step(threshold: float, max_size: int):
         x = to_matrix(table.column("vec"))
         seq = table.column("seq").to_numpy()
         b = np.stack([table.column(c).fill_null(-1).to_numpy() for c in ("b1", "b2")], axis=1)
-        width, slots = x.shape[1], max_size + 1
-        vec, entry, access = np.zeros((slots, width)), np.full(slots, -1), np.full(slots, np.iinfo(np.int64).max)
-        filed, used = np.full((slots, 2), -2), int(held.sum())
+        slots, used = max_size + 1, int(held.sum())
+        vec, entry, filed = np.zeros((slots, x.shape[1])), np.full(slots, -1), np.full((slots, 2), -2)
         vec[:used], entry[:used], filed[:used] = x[held], seq[held], b[held]
-        access[:used] = table.column("access_time").drop_null().to_numpy()
+        times = table.column("access_time").drop_null().to_numpy()
+        # slots by last use, oldest first: seq only grows, so a used slot moves to the end
+        access = {int(s): int(times[s]) for s in np.argsort(times)}
         free = list(range(slots - 1, used - 1, -1))
         rows = np.flatnonzero(~held)
         hit, match, best_sim = np.zeros(len(rows), bool), np.full(len(rows), -1), np.zeros(len(rows))
@@ -229,27 +230,32 @@ def lru_step(threshold: float, max_size: int):
             chunk = rows[start : start + 256]
             sims = np.round(x[chunk] @ vec.T, SIM_DECIMALS)
             mutual = np.round(x[chunk] @ x[chunk].T, SIM_DECIMALS)
+            near, near_mutual = (sims >= threshold) & (entry >= 0), mutual >= threshold
             for i, row in enumerate(chunk):
-                first = (filed == b[row, 0]).any(axis=1)
-                seen = first | (filed == b[row, 1]).any(axis=1) if b[row, 1] >= 0 else first
-                candidates = np.where(seen, sims[i], -np.inf)
-                top = candidates.max()
-                at = start + i
-                if top >= threshold:
-                    ties = np.flatnonzero(candidates == top)
-                    slot = min(ties, key=lambda s: (not first[s], entry[s]))
-                    hit[at], match[at], best_sim[at] = True, entry[slot], top
-                    access[slot] = seq[row]
+                at, now, own = start + i, int(seq[row]), b[row]
+                found = near[i].nonzero()[0]
+                if len(found):
+                    first = (filed[found] == own[0]).any(axis=1)
+                    second = (filed[found] == own[1]).any(axis=1) if own[1] >= 0 else np.zeros_like(first)
+                    shared = first | second
+                    found, first = found[shared], first[shared]
+                if len(found):
+                    slot = int(found[np.lexsort((entry[found], ~first, -sims[i, found]))[0]])
+                    hit[at], match[at], best_sim[at] = True, entry[slot], sims[i, slot]
+                    del access[slot]
+                    access[slot] = now
                     continue
                 slot = free.pop()
-                vec[slot], entry[slot], access[slot], filed[slot] = x[row], seq[row], seq[row], b[row]
-                sims[:, slot] = mutual[:, i]
+                vec[slot], entry[slot], access[slot], filed[slot] = x[row], now, now, own
+                sims[:, slot], near[:, slot] = mutual[:, i], near_mutual[:, i]
                 if not free:
-                    oldest = int(access.argmin())
-                    entry[oldest], access[oldest], filed[oldest] = -1, np.iinfo(np.int64).max, -2
+                    oldest = next(iter(access))
+                    del access[oldest]
+                    entry[oldest], filed[oldest], near[:, oldest] = -1, -2, False
                     free.append(oldest)
-        kept = np.flatnonzero(entry >= 0)
-        return _step_table(cache_id, seq[rows], hit, match, best_sim, entry[kept], access[kept], vec[kept], filed[kept])
+        kept = np.array(sorted(access), dtype=int)
+        last = np.array([access[s] for s in kept], dtype=np.int64)
+        return _step_table(cache_id, seq[rows], hit, match, best_sim, entry[kept], last, vec[kept], filed[kept])
 
     return run
 
@@ -292,8 +298,8 @@ def replay_lru(
 ) -> Replay:
     """Replay with least-recently-used eviction: in order per cache, caches in parallel.
 
-    A long log is cut into slices in the order of ``seq``, so that no task holds more than
-    ``slice_rows`` queries of a cache; between slices the entries (at most
+    A long log is cut into slices in the order of ``seq``, so that no task holds many
+    more than ``slice_rows`` queries of a cache; between slices the entries (at most
     ``max_size`` per cache) are written to the shared folder and read back, so a lost
     executor costs at most the running slice.
     """
@@ -302,9 +308,10 @@ def replay_lru(
     sizes = rows.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n"))
     largest, n_slices = sizes.agg(F.max("n")).first()[0] or 0, 1
     if largest > slice_rows:
-        rows = _in_slices(rows, slice_rows)
-        runs = rows.groupBy("cache_id", "slice").agg(F.lit(1).alias("one"))
-        step = F.row_number().over(Window.partitionBy("cache_id").orderBy("slice")) - 1
+        rows = _in_slices(rows, max(1, slice_rows // 4))
+        runs = rows.groupBy("cache_id", "slice").agg(F.count(F.lit(1)).alias("n"))
+        before = Window.partitionBy("cache_id").orderBy("slice").rowsBetween(Window.unboundedPreceding, -1)
+        step = F.floor(F.coalesce(F.sum("n").over(before), F.lit(0)) / slice_rows).cast("int")
         steps = cut_lineage(runs.select("cache_id", "slice", step.alias("step")).where("step > 0"))
         n_slices = 1 + steps.agg(F.max("step")).first()[0]
         path = scratch_path(spark, "slices")
