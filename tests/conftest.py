@@ -15,7 +15,7 @@ DIM, CLUSTERS = 8, 4
 @pytest.fixture(scope="session")
 def spark():
     session = build_session(
-        "tests", "local[8]", spark__sql__shuffle__partitions="8", spark__driver__memory="8g",
+        "tests", "local[8]", spark__sql__shuffle__partitions="4", spark__driver__memory="8g",
         spark__ui__showConsoleProgress="false",
     )
     session.sparkContext.setLogLevel("ERROR")
