@@ -13,6 +13,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from softsearch.config import cut_lineage
+from softsearch.functions.vectors import dot
+from softsearch.sources.corpus import distinct_queries
+
 #: makes, inside the worker, a function from a batch of strings to a matrix
 ModelFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
@@ -71,3 +75,15 @@ def embed(
 
     encode = predict_batch_udf(make_unit, return_type=T.ArrayType(T.FloatType()), batch_size=batch_size)
     return df.withColumn(out_col, encode(F.lower(F.coalesce(F.col(text_col), F.lit("")))))
+
+
+def embed_pairs(pairs: DataFrame, model: ModelFactory | None = None, batch_size: int = 64) -> DataFrame:
+    """Similarity of the two texts of each pair, ``(..., q1, q2, similarity)``.
+
+    Every distinct text is embedded once, however many pairs it occurs in.
+    """
+    vectors = cut_lineage(embed(distinct_queries(pairs, "q1", "q2"), "query", "vec", model, batch_size))
+    left = vectors.select(F.col("query").alias("q1"), F.col("vec").alias("left_vec"))
+    right = vectors.select(F.col("query").alias("q2"), F.col("vec").alias("right_vec"))
+    found = pairs.join(left, "q1").join(right, "q2")
+    return found.select(*pairs.columns, dot("left_vec", "right_vec").alias("similarity"))

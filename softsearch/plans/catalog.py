@@ -18,7 +18,7 @@ from softsearch.functions import membership as mem
 from softsearch.functions import text as tx
 from softsearch.functions import vectors as vx
 from softsearch.operators import evaluate, fcm, retrieve, semcache, tfidf
-from softsearch.operators.embed import embed
+from softsearch.operators.embed import embed, embed_pairs
 from softsearch.operators.sampling import sample_fixed
 from softsearch.plans.answer import answer_queries, reject_reason
 from softsearch.plans.prepare import build_vector_table, prepare
@@ -547,6 +547,15 @@ def threshold_sweep(spark, sf):
     return evaluate.threshold_sweep(evaluate.pair_similarity(neighbours(spark, sf)), PAIR_THRESHOLDS)
 
 
+@query
+def text_pair_similarity(spark, sf):
+    turns = table(spark, sf, "conversations").where("role = 'user'")
+    following = turns.select("conv_id", (F.col("turn") - 2).alias("turn"), F.col("text").alias("q2"))
+    pairs = turns.withColumnRenamed("text", "q1").join(following, ["conv_id", "turn"])
+    found = embed_pairs(pairs.select("conv_id", "turn", "q1", "q2"))
+    return found.select("conv_id", "turn", F.round("similarity", 6).alias("similarity"))
+
+
 # -- streams ------------------------------------------------------------------------
 
 

@@ -442,6 +442,13 @@ JOIN results r ON r.query_id = e.seq""",
         "cluster_quality_degenerate": """SELECT CASE WHEN n_labels < 2 OR n_labels >= n THEN 0.0::DOUBLE END AS silhouette,
     CASE WHEN n_labels < 2 OR n_labels >= n THEN 999.0::DOUBLE END AS davies_bouldin
 FROM (SELECT count(DISTINCT 0) AS n_labels, count(*) AS n FROM embeddings)""",
+        "text_pair_similarity": _sql(
+            ["said AS (SELECT conv_id, turn, text AS query FROM conversations WHERE role = 'user')",
+             "turns AS (SELECT a.conv_id, a.turn, a.query AS q1, b.query AS q2 FROM said a JOIN said b ON a.conv_id = b.conv_id AND b.turn = a.turn + 2)",
+             "texts AS (SELECT q1 AS query FROM turns UNION SELECT q2 FROM turns)", *_hashed("texts", "query", "query", "te")],
+            """SELECT conv_id, turn, round(list_dot_product(a.v, b.v), 6) AS similarity FROM turns
+JOIN te a ON a.query = q1 JOIN te b ON b.query = q2""",
+        ),
         "m_sweep_metrics": _sql(FIT, "\nUNION ALL ".join(_metrics(m) for m in c.FUZZINESS)),
         "tfidf_weights": _sql(CORPUS + _tfidf("corpus"), "SELECT doc_id, term, tf, round(weight, 6) AS weight FROM weights"),
         "cluster_top_terms": _sql(

@@ -5,7 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as entry_points
-from softsearch.operators import evaluate, fcm
+from softsearch.operators import fcm
+from softsearch.operators.embed import embed_pairs
 from softsearch.plans import catalog, report
 from softsearch.plans.prepare import categories_of, prepare
 from softsearch.schemas import VECTOR_TABLE
@@ -46,13 +47,21 @@ def test_prepare_and_stream_upsert(spark, small, tmp_path):
 
 
 def test_report(spark, toy, tmp_path):
-    sections = {
-        "k": evaluate.select_k(toy, range(2, 4), max_iter=3),
-        "m": evaluate.m_sweep(toy, (1.5, 2.0), 3, 3),
-    }
+    words = F.array(F.lit("apple pear apple"), F.lit("stone rock"), F.lit("river lake"))
+    docs = toy.select("vec_id", F.get(words, F.col("true_cluster")).alias("text"), "embedding", F.col("true_cluster").alias("label"))
+    texts = spark.createDataFrame([("a red cat", "A red cat!", True), ("a red cat", "wide river", False)], "q1 string, q2 string, same_intent boolean")
+    pairs = embed_pairs(texts)
+    model = fcm.FuzzyCMeans(3, 1.5, 5, tol=None).fit(docs)
+    sections = report.analyse(docs, model, pairs, key="vec_id", ks=range(2, 4), ms=(1.5, 2.0), max_iter=3)
+    assert set(sections) == set(report.SECTION_ORDER)
+    assert [r.true_hits for r in sections["thresholds"].where("threshold = 0.9").collect()] == [1]
+    best = {r.term for r in sections["cluster_terms"].where("rank = 1").collect()}
+    assert best == {"apple", "rock", "lake"}
+    assert sections["boundary_examples"].count() == 5
+    assert {r.n for r in sections["cluster_categories"].where("rank = 1").collect()} == {30}
     report.write_report(sections, str(tmp_path / "tables"))
-    assert spark.read.json(str(tmp_path / "tables" / "k")).count() == 2
-    lines = report.report_lines(sections, {"k": ["k"], "m": ["m"]})
+    assert spark.read.json(str(tmp_path / "tables" / "k_selection")).count() == 2
+    lines = report.report_lines(sections, report.SECTION_ORDER)
     report.write_text_report(lines, str(tmp_path / "text"))
-    text = [r[0] for r in spark.read.text(str(tmp_path / "text")).collect()]
-    assert [t.split("  ")[:2] for t in text] == [["k", "k=2"], ["k", "k=3"], ["m", "m=1.5"], ["m", "m=2.0"]]
+    text = [r[0].split("  ")[:2] for r in spark.read.text(str(tmp_path / "text")).collect()]
+    assert text[:4] == [["k_selection", "k=2"], ["k_selection", "k=3"], ["fuzziness", "m=1.5"], ["fuzziness", "m=2.0"]]
