@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from softsearch.config import DEFAULTS, cut_lineage
-from softsearch.functions.membership import nth_cluster, ranked
+from softsearch.functions.membership import ranked
 from softsearch.functions.text import NO_RESULT, fixed3, snippet
 from softsearch.operators.similarity import similarity_topk
 from softsearch.sources.vector_table import metadata_filter
@@ -133,7 +133,3 @@ def format_results(
     return queries.select(query_id).join(joined, query_id, "left").select(
         query_id, F.coalesce("result", F.lit(NO_RESULT)).alias("result")
     )
-
-
-def with_dominant(df: DataFrame) -> DataFrame:
-    return df.withColumn("dominant_cluster", nth_cluster("membership", 1))

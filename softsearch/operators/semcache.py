@@ -419,6 +419,21 @@ def flush(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
     return entries.limit(0), report
 
 
+def split_by_flush(log: DataFrame, flushes: DataFrame) -> DataFrame:
+    """Apply flushes to a log: every stretch between two flushes becomes a cache of its own.
+
+    ``flushes(cache_id, seq)`` are control rows, few per cache; a flush acts on the queries
+    after it. ``cache_id`` gets the number of flushes so far appended, so ``replay`` and
+    ``stats`` need no further rule.
+    """
+    times = flushes.groupBy("cache_id").agg(F.collect_set(F.col("seq").cast("long")).alias("_flushed"))
+    before = F.size(F.filter(F.coalesce("_flushed", F.array().cast("array<bigint>")), lambda t: t < F.col("seq")))
+    marked = log.join(broadcast_if_small(times), "cache_id", "left").withColumn(
+        "cache_id", F.concat_ws("#", "cache_id", before.cast("string"))
+    )
+    return marked.drop("_flushed")
+
+
 def health(table: DataFrame, entries: DataFrame, threshold: float = DEFAULTS.cache_threshold) -> DataFrame:
     one = F.lit(1).alias("one")
     docs = table.agg(F.count(F.lit(1)).alias("vector_db_docs")).select(one, "*")

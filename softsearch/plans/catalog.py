@@ -28,7 +28,7 @@ from softsearch.streaming import sinks
 
 K, M, ROUNDS, THRESHOLD, BOUNDARY = 10, 1.5, 3, 0.35, 0.15
 SAMPLE, EVICT_SIZE, LRU_SIZE = 200, 20, 15
-ANSWER_THRESHOLD = 0.6
+ANSWER_THRESHOLD = 0.45
 K_RANGE, SWEEP_ROUNDS = range(8, 12), 4
 FUZZINESS = (1.2, 1.5, 2.0, 2.5)
 PAIR_THRESHOLDS = (-0.2, -0.1, 0.0, 0.1, 0.2, 0.3, 0.35, 0.4)
@@ -445,6 +445,14 @@ def cache_flush(spark, sf):
     return semcache.flush(semcache.replay(_by_label(spark, sf), THRESHOLD, None).entries)[1]
 
 
+@query
+def cache_replay_flushed(spark, sf):
+    """The cache is flushed after every document that is labelled toxic."""
+    toxic = table(spark, sf, "labels").where("toxic = 1")
+    flushes = toxic.select(F.lit("all").alias("cache_id"), F.col("doc_id").alias("seq"))
+    return _decisions(semcache.replay(semcache.split_by_flush(cache_log(spark, sf), flushes), THRESHOLD, None).decisions)
+
+
 @query
 def health_summary(spark, sf):
     entries = semcache.replay(_by_label(spark, sf), THRESHOLD, None).entries

@@ -417,6 +417,9 @@ round(count_if(cache_hit) / count(*), 4) AS hit_rate FROM decisions""",
             True,
         ),
         "cache_flush": _sql(BY_LABEL, "SELECT 'Cache flushed successfully.' AS message, count(*) AS entries_cleared FROM entries", True),
+        "cache_replay_flushed": _sql(
+            _log("'all#' || (SELECT count(*) FROM labels WHERE toxic = 1 AND doc_id < vec_id)") + _replay(c.THRESHOLD), _DECISIONS, True
+        ),
         "health_summary": _sql(
             BY_LABEL + VECTOR_ROWS,
             f"SELECT 'ok' AS status, (SELECT count(*) FROM vt) AS vector_db_docs, (SELECT count(*) FROM entries) AS cache_entries, {c.THRESHOLD}::DOUBLE AS cache_threshold",

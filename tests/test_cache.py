@@ -195,6 +195,17 @@ def test_stats_touch_evict_flush(spark):
     assert emptied.isEmpty() and report.first().asDict() == {"message": "Cache flushed successfully.", "entries_cleared": 7}
 
 
+def test_flush_between_queries(spark):
+    v = unit(7)
+    rows = [(name, i, v, member(0)) for name in ("c", "d") for i in range(5)]
+    flushes = spark.createDataFrame([("c", 2), ("c", 9)], "cache_id string, seq long")
+    run = sc.replay(sc.split_by_flush(log_of(spark, rows), flushes), 0.9, None)
+    assert outcome(run) == {
+        ("c#0", 0): None, ("c#0", 1): 0, ("c#0", 2): 0, ("c#1", 3): None, ("c#1", 4): 3,
+        **{("d#0", i): 0 if i else None for i in range(5)},
+    }
+
+
 def test_hot_cache_is_cut_before_the_shuffle(spark):
     entries = spark.createDataFrame([("c", 1, 1)], "cache_id string, seq long, access_time long")
     assert "WindowGroupLimit" in sc.evict_lru(entries, 2)._jdf.queryExecution().executedPlan().toString()

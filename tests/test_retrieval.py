@@ -1,7 +1,6 @@
 import numpy as np
 import pytest
 from conftest import unit
-from pyspark.sql import functions as F
 
 from softsearch.operators import retrieve, tfidf
 from softsearch.operators.similarity import similarity_topk
