@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 from dataclasses import dataclass
@@ -63,14 +64,16 @@ def build_session(app: str = "softsearch", master: str | None = None, **conf: st
 def shared_dir(spark: SparkSession) -> str:
     """The folder all executors share, as named by ``spark.checkpoint.dir``.
 
-    Only where the session names none (a test or a laptop) a temporary folder is made and
-    set, so that ``DataFrame.checkpoint`` works as well.
+    On a cluster a session that names none is refused. On a local master, where driver and
+    executors are one process, a temporary folder is made and set instead.
     """
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir", None
     )
     current = spark.sparkContext.getCheckpointDir()
     if named is None and current is None:
+        if not re.match(r"local(\[|$)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that driver and executors share")
         named = tempfile.mkdtemp(prefix="softsearch-")
     if current is None:
         spark.sparkContext.setCheckpointDir(named)
