@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from softsearch.llm.chat_format import OP7_SQL, op7_chat_round_trip
+from softsearch.llm.importance import op6_importance_resampling
 from softsearch.llm.metric_join import op3_metric_join
 from softsearch.llm.minhash import op8_minhash
 from softsearch.llm.packing import op9_cost_packing
@@ -10,5 +11,5 @@ from softsearch.llm.quality_rules import op1_quality_divergence
 from softsearch.llm.secret_scan import op2_secret_ownership
 from softsearch.llm.sharding import op10_minimax_sharding
 
-QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_secret_ownership, op3_metric_join, op7_chat_round_trip, op8_minhash, op9_cost_packing, op10_minimax_sharding)}
+QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_secret_ownership, op3_metric_join, op6_importance_resampling, op7_chat_round_trip, op8_minhash, op9_cost_packing, op10_minimax_sharding)}
 ORACLES: dict[str, str] = {"op7_chat_round_trip": OP7_SQL}
