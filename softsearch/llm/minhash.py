@@ -1,8 +1,8 @@
 """MinHash near-duplicate search: minima, bands, signatures, full sets, components.
 
-1. One pass over the texts gives every document the digest of its shingle set, ``ROWS *
-   BANDS`` minima of universal hashes, as one key per band, and a byte of each minimum as
-   its signature. Documents with equal sets are one class, the rest is about classes.
+1. One pass over the texts gives every document the digest of its shingle set, up to
+   ``HASHES`` minima of universal hashes, as one key per band, and a byte of each minimum
+   as its signature. Documents with equal sets are one class, the rest is about classes.
 2. Classes that share a band key form a bucket. Each is linked to the least of its bucket if
    the signatures allow it and the full sets, computed in a second pass for these classes
    only, confirm it. Components of these links settle most of each bucket.
@@ -13,8 +13,8 @@
 4. Components again, by alternating large-star and small-star.
 
 No pair of copies is ever listed, and no partner is left out: a pair at the similarity limit
-misses all bands with a probability of 3e-7 and fails the signature test with less than 1e-6;
-whatever is linked has been confirmed on the full sets.
+misses all bands with a probability of ``MISS`` at most and fails the signature test with
+less than 1e-6; whatever is linked has been confirmed on the full sets.
 
 Defined results: a null text, an empty one and one without words have an empty set, are
 linked with nothing and kept; below ``size`` words the whole sequence is the one shingle;
@@ -34,7 +34,8 @@ from pyspark.sql import functions as F
 from softsearch.llm.common import SLICE, map_texts, saved, table
 from softsearch.llm.components import components
 
-ROWS, BANDS = 6, 32
+#: Hash functions at most, and chance at most that a pair at the limit shares no band.
+HASHES, MISS = 192, 1e-6
 #: Signatures agree in this many standard deviations less than the limit at least.
 DEVIATIONS = 5
 #: Classes of a bucket that a task compares with each other.
@@ -94,9 +95,17 @@ def minima(items: np.ndarray, family: tuple[np.ndarray, np.ndarray]) -> np.ndarr
     return least
 
 
-def sketches(df: DataFrame, keep: list[str], text: str, size: int, seed: int) -> DataFrame:
+def banding(percent: int) -> tuple[int, int]:
+    """Rows of a band and number of bands: the longest bands that keep to ``MISS``."""
+    s = percent / 100
+    return next(((r, HASHES // r) for r in range(12, 0, -1) if (1 - s**r) ** (HASHES // r) <= MISS), (1, HASHES))
+
+
+def sketches(df: DataFrame, keep: list[str], text: str, size: int, seed: int, percent: int) -> DataFrame:
+    per_band, bands = banding(percent)
+
     def make():
-        shingles, family = Shingles(size), hash_family(ROWS * BANDS, seed)
+        shingles, family = Shingles(size), hash_family(per_band * bands, seed)
 
         def func(texts):
             rows = []
@@ -106,8 +115,8 @@ def sketches(df: DataFrame, keep: list[str], text: str, size: int, seed: int) ->
                     rows.append((0, None, None, None))
                     continue
                 least = minima(items, family)
-                by_band = least.reshape(BANDS, ROWS)
-                keys = chained((by_band[:, i] for i in range(ROWS)), np.arange(1, BANDS + 1, dtype=np.uint64))
+                by_band = least.reshape(bands, per_band)
+                keys = chained((by_band[:, i] for i in range(per_band)), np.arange(1, bands + 1, dtype=np.uint64))
                 rows.append((
                     len(items), hashlib.blake2b(items.tobytes(), digest_size=16).digest(), keys.astype("<u8").tobytes(),
                     (least >> np.uint64(56)).astype(np.uint8).tobytes(),
@@ -217,7 +226,7 @@ def _open_pairs(frame: pd.DataFrame, limit: int):
 def link_classes(nodes: DataFrame, sets_of, limit: int) -> DataFrame:
     """``node, root`` of the classes ``nodes`` (node, digest, least, n_shingles, bands, sig)."""
     band_keys = F.transform(
-        F.sequence(F.lit(0), F.lit(BANDS - 1)), lambda i: F.struct(i.alias("band"), F.substring("bands", i * 8 + 1, F.lit(8)).alias("key"))
+        F.sequence(F.lit(0), F.lit(banding(limit)[1] - 1)), lambda i: F.struct(i.alias("band"), F.substring("bands", i * 8 + 1, F.lit(8)).alias("key"))
     )
     places = nodes.select("node", F.explode(band_keys).alias("p")).select("node", "p.band", "p.key")
     buckets = places.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count("*").alias("many")).where("many > 1")
@@ -290,7 +299,7 @@ def near_duplicates(
     keep = [c for c in keep if c not in ("n_shingles", "component_id", "kept")]
     src = df.withColumn("_key", F.col(f"`{key}`").cast("long"))
     docs = saved(
-        sketches(src, [*keep, "_key"], text, size, seed).withColumn("_row", F.monotonically_increasing_id()), "minhash-documents"
+        sketches(src, [*keep, "_key"], text, size, seed, percent).withColumn("_row", F.monotonically_increasing_id()), "minhash-documents"
     )
     last = F.lit((1 << 63) - 1)
     rank = F.struct(F.coalesce("_key", last).alias("k"), F.col("_row").alias("r"))

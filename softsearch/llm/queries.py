@@ -9,8 +9,15 @@ from softsearch.llm.minhash import op8_minhash
 from softsearch.llm.packing import op9_cost_packing
 from softsearch.llm.quality_rules import op1_quality_divergence
 from softsearch.llm.secret_scan import op2_secret_ownership
+from softsearch.llm.segment_sampling import op4_gumbel_segmentation
 from softsearch.llm.sharding import op10_minimax_sharding
 from softsearch.llm.toxicity import op5_toxicity
 
-QUERIES = {f.__name__: f for f in (op1_quality_divergence, op2_secret_ownership, op3_metric_join, op5_toxicity, op6_importance_resampling, op7_chat_round_trip, op8_minhash, op9_cost_packing, op10_minimax_sharding)}
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_quality_divergence, op2_secret_ownership, op3_metric_join, op4_gumbel_segmentation, op5_toxicity,
+        op6_importance_resampling, op7_chat_round_trip, op8_minhash, op9_cost_packing, op10_minimax_sharding,
+    )
+}
 ORACLES: dict[str, str] = {"op7_chat_round_trip": OP7_SQL}

@@ -20,7 +20,7 @@ import math
 import re
 from collections import Counter
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from softsearch.llm.common import map_texts, saved, table
@@ -139,6 +139,22 @@ def scan(
     return whole.withColumn("spans", spans).select(*keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "found")
 
 
+def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
+    """The text with its live spans, or runs of overlapping ones, replaced by a mark."""
+    start = F.struct(F.lit("").alias("out"), F.lit(0).alias("at"))
+
+    def add(done, span):
+        upto = F.concat(done["out"], F.substring(text, done["at"] + 1, span["start"] - done["at"]), F.lit(mark))
+        out = F.when(span["start"] >= done["at"], upto).otherwise(done["out"])
+        return F.struct(out.alias("out"), F.greatest(done["at"], span["end"]).alias("at"))
+
+    def end(done):
+        return F.concat(done["out"], F.substring(text, done["at"] + 1, F.char_length(text) - done["at"]))
+
+    live = F.filter(found, lambda x: x["live"])
+    return F.when(F.size(live) > 0, F.aggregate(live, start, add, end)).otherwise(text)
+
+
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Owner is the source. The table names no repositories: each document is one of its own."""
     found = scan(table(spark, sf_dir, "documents"), ["doc_id"], owner="source", repo="doc_id")
