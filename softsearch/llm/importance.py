@@ -3,7 +3,8 @@
 Two generative models over hashed n-grams, one of target text (documents labelled good) and
 one of raw text (all documents), give every document the log ratio of its probabilities.
 With Gumbel noise added, the ``k`` largest values are a sample without replacement in
-proportion to the ratios; ``k`` is the number of documents that the labels lead to expect.
+proportion to the ratios; ``k`` is the number of documents, of the whole table, whose ratio is
+at least the one that best parts the labelled documents into good ones and the rest.
 
 N-grams are words and pairs of words in lower case, and pairs of word shapes (letters in
 upper and lower case, digits and other characters as runs, and whether a word repeats the one
@@ -35,10 +36,10 @@ WORD_BUCKETS, SHAPE_BUCKETS = 1 << 15, 1 << 12
 BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
 #: Largest number of labelled documents that the target model is fitted on.
 MAX_LABELLED = 20_000
-#: Added to the count of every bucket.
-SMOOTHING = 0.5
-#: Standard deviations of the labelled share by which the sample is larger than expected.
-MARGIN = 2.0
+#: Counts that pull the ratio of a bucket towards 1, so that rare n-grams decide little.
+SMOOTHING = 10.0
+#: What a good document that is lost costs, in documents of the rest that stay.
+LOSS = 4.0
 REMEMBERED = 500_000
 RUNS = [(re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[0-9]+"), b"0")]
 
@@ -117,25 +118,38 @@ def kth_largest(values: DataFrame, column: str, k: int) -> float:
     return low
 
 
+def parting(weights: np.ndarray, good: np.ndarray) -> float:
+    """The value from which on documents count as good at the least cost; the lowest on ties."""
+    order = np.argsort(weights, kind="stable")
+    weights, good = weights[order], good[order]
+    cost = np.cumsum(np.where(good, LOSS, -1.0))  # of dropping the first rows
+    cost = np.concatenate([[0.0], cost])
+    ends = np.concatenate([[True], weights[1:] != weights[:-1], [True]])  # equal values are not parted
+    at = int(np.argmin(np.where(ends, cost, np.inf)))
+    if at == len(weights):
+        return float("inf")
+    return float(weights[at] if at == 0 else (weights[at] + weights[at - 1]) / 2)
+
+
 def resample(
     df: DataFrame, labels: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text", label: str = "quality", *,
-    max_labelled: int = MAX_LABELLED, margin: float = MARGIN, seed: int = 6,
+    max_labelled: int = MAX_LABELLED, seed: int = 6,
 ) -> DataFrame:
     """Add ``n_grams``, ``log_weight``, ``gumbel_score`` and ``kept`` to the columns ``keep``.
 
-    ``labels`` holds ``key`` and ``label``, 1 for target text and 0 for the rest. The sample
-    takes the share of labelled documents that are good, and ``margin`` standard deviations
-    more, since a document of doubt that stays costs less than a good one that is lost.
+    ``labels`` holds ``key`` and ``label``, 1 for target text and 0 for the rest.
     """
-    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull()).select(F.col(key).alias("_k"), F.col(label).alias("_l"))
-    n, good = known.agg(F.count("*"), F.count_if(F.col("_l") == 1)).first()
-    share = good / n if n else 1.0
-    share = min(1.0, share + margin * (share * (1 - share) / n) ** 0.5) if n else 1.0
-    part = F.lit(min(1.0, 0.95 * max_labelled / max(1, good)))
-    target = known.where((F.col("_l") == 1) & (uniform(F.col("_k"), seed + 1) < part)).select("_k").distinct().limit(max_labelled)
-    fitted = df.join(F.broadcast(target), F.col(f"`{key}`") == F.col("_k"), "left_semi")  # max_labelled keys at most
-    p, q = (x + SMOOTHING for x in (bucket_counts(fitted, text), bucket_counts(df, text)))
-    ratio = np.log(p / p.sum()) - np.log(q / q.sum()) if good else np.zeros(BUCKETS)
+    known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
+    known = known.groupBy(F.col(key).alias("_k")).agg((F.min(label) == 1).alias("_good"))
+    part = min(1.0, 0.95 * max_labelled / max(1, known.count()))
+    # max_labelled keys at most are sent to the tasks
+    sample = F.broadcast(saved(known.where(uniform(F.col("_k"), seed + 1) < part).limit(max_labelled), "importance-labels"))
+    # two thirds of the keys fit the target model, the rest part good documents from others
+    fitting = uniform(F.col("_k"), seed + 2) < 2 / 3
+    target = df.join(sample.where(fitting & F.col("_good")), F.col(f"`{key}`") == F.col("_k"), "left_semi")
+    counts, raw = bucket_counts(target, text), bucket_counts(df, text)
+    expected = raw / max(1.0, raw.sum()) * counts.sum()
+    ratio = np.log((counts + SMOOTHING) / (expected + SMOOTHING))
 
     def make():
         features = Features()
@@ -147,13 +161,17 @@ def resample(
         return func
 
     keep = [c for c in keep if c not in ("n_grams", "log_weight", "gumbel_score", "kept")]
-    src = df.withColumn("_noise", -F.log(-F.log(uniform(F.col(f"`{key}`"), seed))))
-    scored = map_texts(src, text, [*keep, "_noise"], make, "n_grams long, log_weight double")
+    src = df.withColumn("_key", F.col(f"`{key}`")).withColumn("_noise", -F.log(-F.log(uniform(F.col("_key"), seed))))
+    scored = map_texts(src, text, [*keep, "_key", "_noise"], make, "n_grams long, log_weight double")
     scored = saved(scored.withColumn("gumbel_score", F.col("log_weight") + F.col("_noise")).drop("_noise"), "importance")
-    rows = scored.count()
-    k = min(rows, -int(-share * rows // 1))
+    marked = scored.select("_key", "log_weight").join(sample.where(~fitting), F.col("_key") == F.col("_k"))
+    # a number for each labelled key: max_labelled at most
+    rows = marked.groupBy("_key").agg(F.min("log_weight").alias("w"), F.first("_good").alias("good")).collect()
+    good = np.array([r.good for r in rows], bool)
+    least = parting(np.array([r.w for r in rows]), good) if good.any() else float("-inf")
+    k = scored.where(F.col("log_weight") >= least).count()
     limit = kth_largest(scored.select("gumbel_score"), "gumbel_score", k) if k else float("inf")
-    return scored.withColumn("kept", F.col("gumbel_score") >= limit)
+    return scored.drop("_key").withColumn("kept", F.col("gumbel_score") >= limit)
 
 
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
