@@ -20,7 +20,6 @@ the noise of its own hash; without labels everything is kept; an empty table giv
 
 from __future__ import annotations
 
-import hashlib
 import re
 import zlib
 
@@ -29,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from softsearch.llm.common import map_texts, saved, table
+from softsearch.llm.common import SLICE, map_texts, saved, table
 
 #: Buckets of word n-grams and of shape n-grams.
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 15, 1 << 12
@@ -41,36 +40,39 @@ SMOOTHING = 10.0
 #: What a good document that is lost costs, in documents of the rest that stay.
 LOSS = 4.0
 REMEMBERED = 500_000
-RUNS = [(re.compile(rb"[A-Z]+"), b"A"), (re.compile(rb"[a-z\x80-\xff]+"), b"a"), (re.compile(rb"[0-9]+"), b"0")]
+#: Bytes by the kind of character that they belong to, others stay as they are.
+KINDS = bytes.maketrans(
+    bytes([*range(ord("A"), ord("Z") + 1), *range(ord("a"), ord("z") + 1), *range(0x80, 0x100), *range(ord("0"), ord("9") + 1)]),
+    b"A" * 26 + b"a" * (26 + 128) + b"0" * 10,
+)
+RUN = re.compile(rb"(.)\1+", re.DOTALL)
+GOLDEN, MIX_A, MIX_B = 0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB
 
 
 class Features:
     """Buckets of the n-grams of a text, repeated as often as they occur."""
 
     def __init__(self):
-        self.known: dict[bytes, tuple[int, int]] = {}
+        self.known: dict[bytes, int] = {}
 
-    def of_word(self, word: bytes) -> tuple[int, int]:
-        shape = word
-        for pattern, mark in RUNS:
-            shape = pattern.sub(mark, shape)
-        shape = re.sub(rb"(.)\1+", rb"\1\1", shape[:24], flags=re.DOTALL)
-        low = int.from_bytes(hashlib.blake2b(word.lower(), digest_size=8).digest(), "little")
-        return low, zlib.crc32(shape)
+    def of_word(self, word: bytes) -> int:
+        """Hash of the word in lower case above that of its shape, 32 bits each."""
+        shape = RUN.sub(rb"\1\1", word.translate(KINDS))
+        return zlib.crc32(word.lower()) << 32 | zlib.crc32(shape)
 
     def __call__(self, text: str | None) -> np.ndarray:
         words = (text or "").encode("utf-8", "surrogatepass").split()
         if len(self.known) > REMEMBERED:
             self.known.clear()
         known = self.known
-        for w in {w for w in words if w not in known}:
+        for w in set(words).difference(known):
             known[w] = self.of_word(w)
-        pairs = np.array([known[w] for w in words], np.uint64).reshape(-1, 2)
-        one, shape = pairs[:, 0], pairs[:, 1]
-        two = one[:-1] * np.uint64(0x9E3779B97F4A7C15) + one[1:]
+        both = np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
+        one, shape = both >> np.uint64(32), both & np.uint64(0xFFFFFFFF)
+        two = one[:-1] * np.uint64(GOLDEN) + one[1:]
         same = (one[:-1] == one[1:]).astype(np.uint64)
-        shapes = (shape[:-1] * np.uint64(0xBF58476D1CE4E5B9) + shape[1:]) * np.uint64(0x94D049BB133111EB) + same
-        spread = lambda x, n: (x * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - n.bit_length() + 1)
+        shapes = (shape[:-1] * np.uint64(MIX_A) + shape[1:]) * np.uint64(MIX_B) + same
+        spread = lambda x, n: (x * np.uint64(GOLDEN)) >> np.uint64(65 - n.bit_length())
         buckets = [spread(one, WORD_BUCKETS), spread(two, WORD_BUCKETS), spread(shapes, SHAPE_BUCKETS) + np.uint64(WORD_BUCKETS)]
         return np.concatenate(buckets).astype(np.int64)
 
@@ -81,8 +83,9 @@ def bucket_counts(df: DataFrame, text: str) -> np.ndarray:
     def run(batches):
         features, total = Features(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for value in batch.column(0):
-                total += np.bincount(features(value.as_py()), minlength=BUCKETS)
+            for at in range(0, batch.num_rows, SLICE):
+                found = [features(x) for x in batch.column(0).slice(at, SLICE).to_pylist()]
+                total += np.bincount(np.concatenate(found), minlength=BUCKETS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["bucket", "n"])
 
