@@ -151,8 +151,11 @@ def near_vectors(
     """Add ``n_links``, ``component_id`` and ``kept`` to the columns ``keep``."""
     radius = math.sqrt(2 - 2 * cosine)
     keep = [c for c in keep if c not in ("n_links", "component_id", "kept")]
-    src = df.withColumn("_key", F.col(f"`{key}`").cast("long")).withColumn("_label", F.col(f"`{label}`").cast("string"))
-    rows = unit_vectors(src, [*keep, "_key", "_label"], vec).withColumn("_row", F.monotonically_increasing_id())
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_kept")  # apart from names used below
+    src = df.select(
+        row, F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{label}`").cast("string").alias("_label"), F.col(f"`{vec}`").alias("_vec")
+    )
+    rows = unit_vectors(src, ["_kept", "_key", "_label"], "_vec").withColumn("_row", F.monotonically_increasing_id())
     valid = F.col("unit").isNotNull() & F.col("_label").isNotNull()
     rows = saved(rows.withColumn("part", F.when(valid, F.concat_ws(":", "_label", "dim"))), "vectors")
     last = F.lit((1 << 63) - 1)
@@ -187,7 +190,7 @@ def near_vectors(
     whole = saved(named.join(best, "root").select("part", "digest", F.coalesce("n_links", F.lit(0)).alias("n_links"), "first"), "vector-named")
     out = rows.drop("unit").join(whole, ["part", "digest"], "left")
     return out.select(
-        *keep, F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        "_kept.*", F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce(F.nullif(F.col("first.k"), last), F.col("_key")).alias("component_id"),
         F.coalesce(F.col("first.r") == F.col("_row"), F.lit(True)).alias("kept"),
     )

@@ -297,9 +297,10 @@ def near_duplicates(
     """Add ``n_shingles``, ``component_id`` (the least key of the component) and ``kept`` (one
     row of each component: that of the least key) to the columns ``keep``."""
     keep = [c for c in keep if c not in ("n_shingles", "component_id", "kept")]
-    src = df.withColumn("_key", F.col(f"`{key}`").cast("long"))
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_kept")  # apart from names used below
+    src = df.select(row, F.col(f"`{key}`").cast("long").alias("_key"), F.col(f"`{text}`").alias("_text"))
     docs = saved(
-        sketches(src, [*keep, "_key"], text, size, seed, percent).withColumn("_row", F.monotonically_increasing_id()), "minhash-documents"
+        sketches(src, ["_kept", "_key"], "_text", size, seed, percent).withColumn("_row", F.monotonically_increasing_id()), "minhash-documents"
     )
     last = F.lit((1 << 63) - 1)
     rank = F.struct(F.coalesce("_key", last).alias("k"), F.col("_row").alias("r"))
@@ -309,14 +310,14 @@ def near_duplicates(
         first.select(F.col("first.r").alias("node"), "digest", F.col("first.k").alias("least_key"), F.col("x._key").alias("least"), "x.n_shingles", "x.bands", "x.sig"),
         "minhash-classes",
     )
-    roots = link_classes(nodes, lambda wanted: full_sets(src, "_key", text, size, wanted), percent)
+    roots = link_classes(nodes, lambda wanted: full_sets(src, "_key", "_text", size, wanted), percent)
     placed = saved(roots.join(nodes.select("node", "digest", "least_key"), "node"), "minhash-roots")
     named = placed.groupBy("root").agg(F.min(F.struct("least_key", "node")).alias("best"))
     classes = saved(placed.join(named, "root").select("digest", "best.least_key", "best.node"), "minhash-named")
     found = docs.drop("bands", "sig").join(classes, "digest", "left")
     own = F.coalesce(F.nullif("least_key", last), F.col("_key"))
     return found.select(
-        *keep, "n_shingles", own.alias("component_id"), F.coalesce(F.col("node") == F.col("_row"), F.lit(True)).alias("kept")
+        "_kept.*", "n_shingles", own.alias("component_id"), F.coalesce(F.col("node") == F.col("_row"), F.lit(True)).alias("kept")
     )
 
 

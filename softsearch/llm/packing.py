@@ -5,11 +5,11 @@ Documents are tokenised, an end token is added, and the tokens are laid into seq
 one part for the layers that are linear in the tokens, one for attention, which stays inside
 a piece. Whole ``capacity``-long pieces of long documents fill sequences of their own. What
 remains is placed in descending order, each on the sequence of lowest cost that still has
-room; what fits nowhere whole is cut over the sequences with the most room.
+room, over as many sequences as it fills; what fits nowhere whole is cut over the room left.
 
 Sequences are formed inside the tasks that tokenise, window by window (``WINDOW`` tokens, the
-bound of memory besides one document), so no tokens are shuffled. The sequences that a window
-leaves partly filled are opened again with the next one; a task ends with at most one.
+bound of memory besides one document), so no tokens are shuffled. The sequence that a window
+leaves partly filled is opened again with the next one, so a task ends with one at most.
 
 Defined results: a null or empty text is the end token alone; repeated rows are packed
 separately; an empty table gives no rows. Sequence ids are unique, not gapless.
@@ -103,7 +103,7 @@ def place(lengths: list[int], open_: list[list], new: int, capacity: int = CAPAC
             rest.append((n % capacity, item))
     rest.sort(key=lambda x: (-x[0], x[1]))
     room = sum(capacity - s[1] for s in open_)
-    for _ in range(max(0, -(-(sum(n for n, _ in rest) - room) // capacity))):
+    for _ in range(max(0, (sum(n for n, _ in rest) - room) // capacity)):  # all of them will be full
         open_.append([0.0, 0, new])
         new += 1
     heap, homeless = [(s[0], s[2], s) for s in open_], []
@@ -128,6 +128,10 @@ def place(lengths: list[int], open_: list[list], new: int, capacity: int = CAPAC
     for n, item in homeless:
         start = lengths[item] - n
         while n:
+            if at == len(free):
+                free.append([0.0, 0, new])
+                open_.append(free[at])
+                new += 1
             take = min(n, capacity - free[at][1])
             put(item, start, take, free[at])
             start, n = start + take, n - take

@@ -149,11 +149,12 @@ def score(
     fitted = saved(df.join(F.broadcast(sample), F.col(f"`{key}`") == F.col("_k")).select(F.col(f"`{text}`").alias("text"), "label", fold.alias("fold")), "toxic-sample")
     counts = {(r.part, r.label): r.n for r in fitted.groupBy((F.when(F.col("fold") < 5, 0).when(F.col("fold") < 8, 1).otherwise(2)).alias("part"), "label").agg(F.count("*").alias("n")).collect()}
     keep = [c for c in keep if c not in ("held_out", "score", "predicted")]
-    flagged = df.withColumn("held_out", out(F.col(f"`{key}`")))
+    row = F.struct(*[F.col(f"`{c}`") for c in keep]).alias("_kept")  # apart from the names of features
+    flagged = df.select(row, out(F.col(f"`{key}`")).alias("held_out"), F.col(f"`{text}`").alias("_text"))
     if not all(counts.get((part, x)) for part in range(3) for x in (0, 1)):
         rows = sum(counts.values())
         share = sum(v for (_, x), v in counts.items() if x == 1) / rows if rows else 0.0
-        scored = flagged.select(*keep, "held_out", F.lit(float(share)).alias("score"))
+        scored = flagged.select("_kept.*", "held_out", F.lit(float(share)).alias("score"))
     else:
         lexicon = lexicon_of(fitted.where("fold < 5"))
         rows = VectorAssembler(inputCols=FEATURES, outputCol="features")
@@ -165,9 +166,9 @@ def score(
         calibrated = IsotonicRegression(labelCol="label", featuresCol="margin", predictionCol="calibrated").fit(
             raw(described.where("fold >= 8")).select("label", "margin")
         )
-        found = raw(rows.transform(describe(flagged, text, [*keep, "held_out"], lexicon)))
+        found = raw(rows.transform(describe(flagged, "_text", ["_kept", "held_out"], lexicon)))
         scored = calibrated.transform(found).select(
-            *keep, "held_out", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("calibrated"))).alias("score")
+            "_kept.*", "held_out", F.least(F.lit(1.0), F.greatest(F.lit(0.0), F.col("calibrated"))).alias("score")
         )
     return scored.withColumn("predicted", (F.col("score") >= 0.5).cast("int"))
 
