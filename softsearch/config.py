@@ -16,13 +16,12 @@ from pyspark.sql import functions as F
 class Defaults:
     """Default parameters of the text, clustering and cache steps."""
 
-    max_chars: int = 512
+    truncate_chars: int = 512
     min_chars: int = 50
     n_clusters: int = 15
     m: float = 2.0
     max_iter: int = 150
     tol: float = 1e-4
-    fit_sample: int = 5000
     boundary: float = 0.15
     n_results: int = 5
     snippet_chars: int = 200

@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from softsearch.config import DEFAULTS
-from softsearch.functions.vectors import MIN_SQUARED_DISTANCE
+from softsearch.functions.vectors import MIN_SQUARED_DISTANCE, bound
 
 
 def ratio_exponent(m: float, exponent: str = "squared") -> float:
@@ -29,13 +29,13 @@ def memberships(d2: Column | str, m: float = DEFAULTS.m, exponent: str = "square
     """
     d2 = F.col(d2) if isinstance(d2, str) else d2
     power = ratio_exponent(m, exponent)
-    nearest = F.array_min(d2)
-    weights = F.transform(d2, lambda d: F.pow(nearest / d, F.lit(power)))
-    total = F.aggregate(weights, F.lit(0.0), lambda acc, w: acc + w)
-    on_centroid = F.array_position(d2, nearest) - 1
-    hard = F.transform(d2, lambda _, i: F.when(i == on_centroid, 1.0).otherwise(0.0))
-    soft = F.transform(weights, lambda w: w / total)
-    return F.when(nearest < MIN_SQUARED_DISTANCE, hard).otherwise(soft)
+    nearest = F.struct(F.array_min(d2).alias("d"), F.array_position(d2, F.array_min(d2)).alias("at"))
+    hard = bound(nearest, lambda n: F.transform(d2, lambda _, i: F.when(i == n["at"] - 1, 1.0).otherwise(0.0)))
+    weights = bound(nearest, lambda n: F.transform(d2, lambda d: F.pow(n["d"] / d, F.lit(power))))
+    shares = lambda w, total: F.transform(w, lambda x: x / total)
+    summed = lambda w: F.aggregate(w, F.lit(0.0), lambda acc, x: acc + x)
+    soft = bound(weights, lambda w: bound(summed(w), lambda total: shares(w, total)))
+    return F.when(F.array_min(d2) < MIN_SQUARED_DISTANCE, hard).otherwise(soft)
 
 
 def _u(u: Column | str) -> Column:
@@ -69,8 +69,13 @@ def is_boundary(u: Column | str, threshold: float = DEFAULTS.boundary) -> Column
 
 def buckets(u: Column | str, threshold: float = DEFAULTS.boundary) -> Column:
     """Clusters a vector is filed under, in order: the dominant, and the second if boundary."""
-    first = F.array(nth_cluster(u, 1))
-    return F.when(is_boundary(u, threshold), F.array(nth_cluster(u, 1), nth_cluster(u, 2))).otherwise(first)
+
+    def filed(top: Column) -> Column:
+        second = F.get(top, F.lit(1))
+        n = F.when(-second["neg"] > threshold, 2).otherwise(1)
+        return F.transform(F.slice(top, F.lit(1), n), lambda r: r["cluster"])
+
+    return bound(ranked(u), filed)
 
 
 def entropy(u: Column | str) -> Column:

@@ -62,25 +62,27 @@ def collapse_space(c: Column | str) -> Column:
     return F.btrim(F.regexp_replace(_col(c), rf"(?U)[{_WS}]+", " "))
 
 
-def truncate(c: Column | str, max_chars: int = DEFAULTS.max_chars) -> Column:
+def truncate(c: Column | str, max_chars: int = DEFAULTS.truncate_chars) -> Column:
     """The first ``max_chars`` code points."""
     return F.substring(_col(c), 1, max_chars)
 
 
 def clean_text(
-    c: Column | str, max_chars: int = DEFAULTS.max_chars, strict_headers: bool = False
+    c: Column | str, max_chars: int | None = None, strict_headers: bool = False
 ) -> Column:
-    """All cleaning steps in order, over the whole text; only the result is cut.
+    """All cleaning steps in order, over the whole text; the result is cut if ``max_chars`` says so.
 
     Blanking punctuation and collapsing white space are one step here: a run of anything
     but word characters becomes one space.
     """
     c = blank_emails(strip_quoted_lines(strip_header_lines(c, strict_headers)))
-    return truncate(F.btrim(F.regexp_replace(c, r"[^\p{L}\p{N}_]+", " ")), max_chars)
+    cleaned = F.btrim(F.regexp_replace(c, r"[^\p{L}\p{N}_]+", " "))
+    return cleaned if max_chars is None else truncate(cleaned, max_chars)
 
 
 def text_hash(c: Column | str) -> Column:
-    """Stable id: 16 hex digits of the SHA-256 of the UTF-8 text."""
+    """Short id for display and joins by hand: 16 hex digits of the SHA-256 of the UTF-8 text.
+    Whether texts are equal is decided by all of it, see ``load_corpus``."""
     return F.substring(F.sha2(_col(c), 256), 1, 16)
 
 

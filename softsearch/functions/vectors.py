@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,9 +26,16 @@ def l2_norm(v: Column | str) -> Column:
     return F.sqrt(F.aggregate(_vec(v), F.lit(0.0), lambda acc, x: acc + x * x))
 
 
+def bound(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with the value computed once per row, however often it is used: an
+    expression inside a lambda would be evaluated for every element again."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def l2_normalize(v: Column | str) -> Column:
     """``v / max(|v|, 1e-8)``; a zero vector stays zero."""
-    return F.transform(_vec(v), lambda x: x / F.greatest(l2_norm(v), F.lit(MIN_NORM)))
+    size = F.greatest(l2_norm(v), F.lit(MIN_NORM))
+    return bound(size, lambda n: F.transform(_vec(v), lambda x: x / n))
 
 
 def squared_distance(x: Column | str, v: Column | str) -> Column:

@@ -96,7 +96,7 @@ def select_k(
     *,
     key: str = "vec_id",
     tol: float | None = DEFAULTS.tol,
-    sample: int | None = DEFAULTS.fit_sample,
+    sample: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
     """``(k, silhouette, davies_bouldin, is_best)``: fit and judge every k on the same rows.
@@ -150,7 +150,7 @@ def m_sweep(
     *,
     key: str = "vec_id",
     tol: float | None = DEFAULTS.tol,
-    sample: int | None = DEFAULTS.fit_sample,
+    sample: int | None = None,
 ) -> DataFrame:
     """Fit once per m, then report the fuzziness metrics of that fit."""
     models = [FuzzyCMeans(n_clusters, m, max_iter, tol, sample=sample).fit(df, key=key) for m in ms]

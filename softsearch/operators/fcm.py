@@ -165,8 +165,7 @@ def initial_centroids(df: DataFrame, k: int, key: str, vector_col: str = "embedd
 class FuzzyCMeans:
     """Soft clustering of unit vectors.
 
-    ``sample`` caps the rows the centroids are fitted on (as a uniform sample); ``None``
-    fits on everything. ``tol=None`` runs exactly ``max_iter`` rounds.
+    All rows are fitted on; ``sample`` asks for a uniform sample of that many instead. ``tol=None`` runs exactly ``max_iter`` rounds.
     """
 
     def __init__(
@@ -176,7 +175,7 @@ class FuzzyCMeans:
         max_iter: int = DEFAULTS.max_iter,
         tol: float | None = DEFAULTS.tol,
         seed: int = 42,
-        sample: int | None = DEFAULTS.fit_sample,
+        sample: int | None = None,
         exponent: str = "squared",
     ):
         ratio_exponent(m, exponent)

@@ -422,16 +422,34 @@ def flush(entries: DataFrame) -> tuple[DataFrame, DataFrame]:
 def split_by_flush(log: DataFrame, flushes: DataFrame) -> DataFrame:
     """Apply flushes to a log: every stretch between two flushes becomes a cache of its own.
 
-    ``flushes(cache_id, seq)`` are control rows, few per cache; a flush acts on the queries
-    after it. ``cache_id`` gets the number of flushes so far appended, so ``replay`` and
-    ``stats`` need no further rule.
+    ``flushes(cache_id, seq)`` are control rows; a flush acts on the queries after it, and
+    repeated ones count once. ``cache_id`` gets the number of flushes so far appended, so
+    ``replay`` needs no further rule; what is held or counted after the last flush is what
+    ``last_stretch`` selects. The numbers are running sums over both logs: by ranges of
+    (cache, seq), so a busy cache is spread over tasks, and sums of the ranges before.
     """
-    times = flushes.groupBy("cache_id").agg(F.collect_set(F.col("seq").cast("long")).alias("_flushed"))
-    before = F.size(F.filter(F.coalesce("_flushed", F.array().cast("array<bigint>")), lambda t: t < F.col("seq")))
-    marked = log.join(broadcast_if_small(times), "cache_id", "left").withColumn(
-        "cache_id", F.concat_ws("#", "cache_id", before.cast("string"))
-    )
-    return marked.drop("_flushed")
+    marks = flushes.select(F.col("cache_id").cast("string"), F.col("seq").cast("long")).distinct()
+    columns = [F.col(c) for c in log.columns]
+    both = log.select(*columns, F.lit(0).alias("_flush")).unionByName(marks.withColumn("_flush", F.lit(1)), allowMissingColumns=True)
+    ranged = both.repartitionByRange("cache_id", "seq", "_flush").withColumn("_range", F.spark_partition_id())
+    ranged = cut_lineage(ranged)
+    sums = ranged.groupBy("cache_id", "_range").agg(F.sum("_flush").alias("n"))
+    before = Window.partitionBy("cache_id").orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    at = sums.select(F.col("cache_id").alias("_cache"), F.col("_range").alias("_at"), F.coalesce(F.sum("n").over(before), F.lit(0)).alias("_before"))
+    inner = Window.partitionBy("cache_id", "_range").orderBy("seq", "_flush").rowsBetween(Window.unboundedPreceding, 0)
+    counted = ranged.withColumn("_inner", F.sum("_flush").over(inner)).where("_flush = 0")
+    numbered = counted.join(at, F.col("cache_id").eqNullSafe(F.col("_cache")) & (F.col("_range") == F.col("_at")))
+    stretch = F.concat_ws("#", "cache_id", (F.col("_before") + F.col("_inner")).cast("string"))
+    return numbered.withColumn("cache_id", stretch).select(*log.columns)
+
+
+def last_stretch(rows: DataFrame, log: DataFrame, flushes: DataFrame) -> DataFrame:
+    """The decisions or entries of a flushed log that still count: those after the last flush
+    of their cache. ``log`` is the one that was split."""
+    last = flushes.select("cache_id", F.col("seq").cast("long").alias("seq")).distinct().groupBy("cache_id").agg(F.count("*").alias("n"))
+    held = log.select("cache_id").distinct().join(last, "cache_id", "left")
+    name = F.concat_ws("#", "cache_id", F.coalesce("n", F.lit(0)).cast("string"))
+    return rows.join(broadcast_if_small(held.select(name.alias("cache_id"))), "cache_id", "left_semi")
 
 
 def health(table: DataFrame, entries: DataFrame, threshold: float = DEFAULTS.cache_threshold) -> DataFrame:

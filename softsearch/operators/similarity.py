@@ -18,6 +18,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -55,8 +56,9 @@ class Side:
         keys = table.column("keys").to_pylist()
         return cls(ids[at], to_matrix(table.column("vec"))[at], order[at], [keys[i] for i in at])
 
+    @cached_property
     def by_key(self) -> dict[tuple[int, str], np.ndarray]:
-        """Row positions by (rank of the key in its row, key)."""
+        """Row positions by (rank of the key in its row, key), built once for a side."""
         out: dict[tuple[int, str], list[int]] = {}
         for i, keys in enumerate(self.keys):
             for rank, key in enumerate(keys or ()):
@@ -107,10 +109,10 @@ def _block_winners(left: Side, right: Side, rows: np.ndarray, cols: np.ndarray,
 def _winners(left: Side, right: Side, rule: Rule) -> dict[str, np.ndarray]:
     """Per left row its best ``k`` right rows over all shared keys (one batch or tile)."""
     right_by_key: dict[str, list[np.ndarray]] = {}
-    for (_, key), cols in right.by_key().items():
+    for (_, key), cols in right.by_key.items():
         right_by_key.setdefault(key, []).append(cols)
     parts = []
-    for (rank, key), rows in left.by_key().items():
+    for (rank, key), rows in left.by_key.items():
         if key not in right_by_key:
             continue
         cols = np.sort(np.concatenate(right_by_key[key]))

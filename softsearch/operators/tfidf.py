@@ -7,7 +7,7 @@ from collections.abc import Collection
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from softsearch.config import cut_lineage
+from softsearch.config import broadcast_if_small, cut_lineage
 from softsearch.functions.text import word_tokens
 from softsearch.operators.ranking import top_per_group
 
@@ -44,12 +44,12 @@ def tfidf_weights(
     *,
     stop_words: Collection[str] = STOP_WORDS,
     min_df: int = 2,
-    max_features: int | None = 5000,
+    max_features: int | None = None,
 ) -> DataFrame:
     """``(key, term, tf, weight)``: smoothed idf ``ln((1+n)/(1+df)) + 1``, unit-length rows.
 
-    Terms in fewer than ``min_df`` documents are dropped, then the ``max_features`` most
-    frequent of the corpus are kept, equal counts in alphabetical order.
+    Terms in fewer than ``min_df`` documents are dropped. With ``max_features`` only that
+    many, the most frequent of the corpus, are kept, equal counts in alphabetical order.
     """
     docs = cut_lineage(docs.select(key, text_col))  # read three times below
     tf = term_counts(docs, key, text_col, stop_words)
@@ -59,8 +59,7 @@ def tfidf_weights(
         vocabulary = vocabulary.orderBy(F.desc("total"), "term").limit(max_features)
     n_docs = docs.count()
     vocabulary = vocabulary.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
-    if max_features is not None and max_features <= _SMALL_VOCABULARY:
-        vocabulary = F.broadcast(vocabulary)
+    vocabulary = broadcast_if_small(vocabulary, _SMALL_VOCABULARY)
     raw = tf.join(vocabulary, "term").withColumn("raw", F.col("tf") * F.col("idf"))
     norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
     return raw.select(key, "term", "tf", (F.col("raw") / norm).alias("weight"))

@@ -13,7 +13,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from softsearch.config import cut_lineage, scratch_path
+from softsearch.config import DEFAULTS, cut_lineage, scratch_path
 from softsearch.functions import membership as mem
 from softsearch.functions import text as tx
 from softsearch.functions import vectors as vx
@@ -23,10 +23,12 @@ from softsearch.operators.sampling import sample_fixed
 from softsearch.plans.answer import answer_queries, reject_reason
 from softsearch.plans.prepare import build_vector_table, prepare
 from softsearch.sources import corpus, vector_table
+from softsearch.sources.model_store import load_model, save_model
 from softsearch.streaming import cache as stream_cache
 from softsearch.streaming import sinks
 
 K, M, ROUNDS, THRESHOLD, BOUNDARY = 10, 1.5, 3, 0.35, 0.15
+CONVERGENCE_ROUNDS, CONVERGENCE_TOL = 6, 2.0
 SAMPLE, EVICT_SIZE, LRU_SIZE = 200, 20, 15
 ANSWER_THRESHOLD = 0.45
 K_RANGE, SWEEP_ROUNDS = range(8, 12), 4
@@ -46,8 +48,7 @@ def query(fn: Query) -> Query:
 
 
 def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    path = f"{sf}/{name}.parquet"
-    return corpus.read_spread(spark, path) if name in ("documents", "conversations") else spark.read.parquet(path)
+    return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
 def label_of_source() -> Column:
@@ -150,6 +151,13 @@ def dedup_exact(spark, sf):
     return corpus.load_corpus(raw_documents(spark, sf)).select("doc_id", "src_id", "text", "label")
 
 
+@query
+def corpus_from_posts(spark, sf):
+    """Documents wrapped as posts, loaded without their header, footer and quotes."""
+    posts = raw_documents(spark, sf).join(table(spark, sf, "documents").select(F.col("doc_id").alias("src_id"), _post().alias("post")), "src_id")
+    return corpus.load_corpus(posts, text_col="post", strip_parts=True).select("doc_id", "src_id", "text", "label")
+
+
 def _mail() -> Column:
     """Document text behind two header lines and a quoted line."""
     head = F.format_string("SUBJECT: %s\n> %s\nlines %d\n", "source", "lang", "n_chars")
@@ -176,7 +184,7 @@ _text_query("clean_emails", tx.blank_emails)
 _text_query("clean_punct", tx.blank_punctuation)
 _text_query("clean_space", tx.collapse_space)
 _text_query("truncate_text", tx.truncate)
-_text_query("clean_text", tx.clean_text, _mail)
+_text_query("clean_text", lambda c: tx.clean_text(c, DEFAULTS.truncate_chars), _mail)
 _text_query("strip_post_parts", tx.strip_post_parts, _post)
 
 
@@ -233,6 +241,22 @@ def fcm_objective(spark, sf):
     return model(spark, sf).history_table(spark).select("iteration", F.round("objective", 6).alias("objective"))
 
 
+@query
+def fcm_convergence(spark, sf):
+    """Rounds that a fit took until the objective changed by less than the tolerance."""
+    fitted = fcm.FuzzyCMeans(K, M, CONVERGENCE_ROUNDS, tol=CONVERGENCE_TOL).fit(vectors(spark, sf))
+    rows = [(fitted.iterations, fitted.converged, round(fitted.objective, 6))]
+    return spark.createDataFrame(rows, "iterations int, converged boolean, objective double")
+
+
+@query
+def model_round_trip(spark, sf):
+    """Centroids of a model that was saved and loaded again."""
+    path = scratch_path(spark, "model")
+    save_model(spark, model(spark, sf), path)
+    return _long(load_model(spark, path).centroid_table(spark), "cluster", "centroid", "dim", "value")
+
+
 @query
 def pair_similarity(spark, sf):
     return evaluate.pair_similarity(neighbours(spark, sf)).select("vec_id", F.round("similarity", 6).alias("similarity"), "same_intent")
@@ -445,12 +469,24 @@ def cache_flush(spark, sf):
     return semcache.flush(semcache.replay(_by_label(spark, sf), THRESHOLD, None).entries)[1]
 
 
+def _toxic_flushes(spark, sf):
+    toxic = table(spark, sf, "labels").where("toxic = 1")
+    return toxic.select(F.lit("all").alias("cache_id"), F.col("doc_id").alias("seq"))
+
+
 @query
 def cache_replay_flushed(spark, sf):
     """The cache is flushed after every document that is labelled toxic."""
-    toxic = table(spark, sf, "labels").where("toxic = 1")
-    flushes = toxic.select(F.lit("all").alias("cache_id"), F.col("doc_id").alias("seq"))
-    return _decisions(semcache.replay(semcache.split_by_flush(cache_log(spark, sf), flushes), THRESHOLD, None).decisions)
+    log = semcache.split_by_flush(cache_log(spark, sf), _toxic_flushes(spark, sf))
+    return _decisions(semcache.replay(log, THRESHOLD, None).decisions)
+
+
+@query
+def cache_stats_flushed(spark, sf):
+    """Entries and counters after the last flush of that log."""
+    log, flushes = cache_log(spark, sf), _toxic_flushes(spark, sf)
+    run = semcache.replay(semcache.split_by_flush(log, flushes), THRESHOLD, None)
+    return semcache.stats(semcache.last_stretch(run.decisions, log, flushes), semcache.last_stretch(run.entries, log, flushes))
 
 
 @query
@@ -588,7 +624,8 @@ def stream_cache_decisions(spark, sf):
 
 @query
 def stream_cache_stats(spark, sf):
-    path, out = _streamed_decisions(spark, sf, 100_000), scratch_path(spark, "stats")
+    path, out = scratch_path(spark, "decisions"), scratch_path(spark, "stats")
+    semcache.replay(_by_label(spark, sf), THRESHOLD, None).decisions.write.parquet(path)
     decisions = spark.readStream.schema(stream_cache.DECISIONS).parquet(path)
     sinks.keep_latest(stream_cache.stream_stats(decisions), out).awaitTermination()
     return sinks.read_latest(spark, out)

@@ -5,12 +5,18 @@ Shared steps are CTEs joined in front of each query, so a text is as long as wha
 
 from __future__ import annotations
 
-from softsearch.functions.text import HEADER_WORDS, NO_RESULT, QUOTE_MARKS
 from softsearch.operators.tfidf import STOP_WORDS
 from softsearch.plans import catalog as c
 
 # Fixed value: white space in the Unicode sense, as a character class body.
 WS = r"\s\x0b\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"
+# Fixed values, as literals: a wrong list in the code under test must not pass.
+HEADER_WORDS = (
+    "From", "Subject", "Organization", "Lines", "Message-ID", "NNTP-Posting-Host", "Distribution", "Newsgroups", "Path", "Date",
+    "Xref", "Article-I.D.", "Reply-To", "Summary", "Keywords", "Expires", "Followup-To", "Sender", "References",
+)
+QUOTE_MARKS = ("writes in", "writes:", "wrote:", "says:", "said:", "^In article", "^Quoted from", r"^\|", "^>")
+NO_RESULT = "No relevant documents found."
 _WORDS = "|".join(w.replace(".", r"\.") for w in HEADER_WORDS)
 
 
@@ -35,7 +41,7 @@ def _space(x: str) -> str:
 
 
 def _clean(x: str = "text") -> str:
-    return f"substr({_space(_punct(_emails(_quotes(_headers(x)))))}, 1, 512)"
+    return _space(_punct(_emails(_quotes(_headers(x)))))
 
 
 _MAIL = r"('SUBJECT: ' || source || chr(10) || '> ' || lang || chr(10) || 'lines ' || n_chars || chr(10) || text)"
@@ -53,7 +59,7 @@ CORPUS = CLEANED + [
     """corpus AS (
     SELECT substr(sha256(text), 1, 16) AS doc_id, src_id, text, label FROM cleaned
     WHERE length(text) >= 50
-    QUALIFY row_number() OVER (PARTITION BY substr(sha256(text), 1, 16) ORDER BY src_id) = 1)"""
+    QUALIFY row_number() OVER (PARTITION BY sha256(text) ORDER BY src_id) = 1)"""
 ]
 X = ["x AS (SELECT vec_id, embedding::DOUBLE[] AS v, label FROM embeddings)"]
 
@@ -308,15 +314,28 @@ def _tfidf(src: str) -> list[str]:
     SELECT doc_id, unnest(regexp_extract_all(lower(text), '[\p{{L}}\p{{N}}_]{{2,}}')) AS term FROM {src})
     WHERE term NOT IN ({_STOP}) GROUP BY ALL)""",
         f"""vocabulary AS (SELECT term, ln((1.0 + (SELECT count(*) FROM {src})) / (1.0 + df)) + 1.0 AS idf FROM (
-    SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2 ORDER BY total DESC, term LIMIT 5000))""",
+    SELECT term, sum(tf) AS total, count(*) AS df FROM tf GROUP BY term HAVING count(*) >= 2))""",
         """weights AS (SELECT doc_id, term, tf, tf * idf / sqrt(sum(tf * idf * tf * idf) OVER (PARTITION BY doc_id)) AS weight
     FROM tf JOIN vocabulary USING (term))""",
     ]
 
 
+_FLUSHED = "'all#' || (SELECT count(DISTINCT doc_id) FROM labels WHERE toxic = 1 AND doc_id < vec_id)"
 _META = "doc_id, label, category, dominant_cluster, is_boundary, mem_top1, mem_top2"
 
 
+def _converged() -> str:
+    n = c.CONVERGENCE_ROUNDS
+    rounds = "\nUNION ALL ".join(f"SELECT {i + 1} AS i, sum(pow(u, {c.M}) * d2) AS j FROM u{i}" for i in range(n))
+    return _sql(
+        X + _fit("x", "vec_id", c.K, c.M, n) + [
+            f"js AS ({rounds})",
+            f"stops AS (SELECT min(b.i) AS i FROM js a JOIN js b ON b.i = a.i + 1 WHERE abs(a.j - b.j) < {c.CONVERGENCE_TOL})",
+        ],
+        f"SELECT js.i::INT AS iterations, stops.i IS NOT NULL AS converged, round(j, 6) AS objective FROM stops JOIN js ON js.i = coalesce(stops.i, {n})",
+    )
+
+
 def oracles() -> dict[str, str]:
     return {
         "corpus_scan_subset": _sql(RAW, "SELECT src_id, text, label FROM raw WHERE src_id IN (SELECT doc_id FROM labels)"),
@@ -328,6 +347,14 @@ def oracles() -> dict[str, str]:
     SELECT (SELECT count(*) FROM cleaned) AS n_read, (SELECT count(*) FROM corpus) AS n_kept,
     (SELECT count(*) FROM cleaned WHERE length(text) < 50) AS n_short)""",
         ),
+        "corpus_from_posts": _sql(
+            RAW + [
+                f"posts AS ({_strip_post()})",
+                f"cleaned AS (SELECT src_id, {_clean('posts.text')} AS text, label FROM posts JOIN raw ON posts.doc_id = src_id)",
+                CORPUS[-1],
+            ],
+            "SELECT doc_id, src_id, text, label FROM corpus",
+        ),
         "dedup_exact": _sql(CORPUS, "SELECT doc_id, src_id, text, label FROM corpus"),
         "clean_headers": _text(_headers(_MAIL)),
         "clean_quotes": _text(_quotes(_MAIL)),
@@ -335,7 +362,7 @@ def oracles() -> dict[str, str]:
         "clean_punct": _text(_punct("text")),
         "clean_space": _text(_space("text")),
         "truncate_text": _text("substr(text, 1, 512)"),
-        "clean_text": _text(_clean(_MAIL)),
+        "clean_text": _text(f"substr({_clean(_MAIL)}, 1, 512)"),
         "strip_post_parts": _strip_post(),
         "doc_hash_id": _sql(CLEANED, "SELECT src_id, substr(sha256(text), 1, 16) AS doc_id FROM cleaned"),
         "distinct_pair_queries": """SELECT a.text AS query FROM conversations a JOIN conversations b ON a.conv_id = b.conv_id AND b.turn = a.turn + 1
@@ -355,6 +382,8 @@ UNION SELECT b.text FROM conversations a JOIN conversations b ON a.conv_id = b.c
                 f"SELECT {i + 1} AS iteration, round(sum(pow(u, {c.M}) * d2), 6) AS objective FROM u{i}" for i in range(c.ROUNDS)
             ),
         ),
+        "fcm_convergence": _converged(),
+        "model_round_trip": _sql(FIT, _long(CENTROIDS, "cluster", "c", "dim", "value")),
         "pair_similarity": _sql(PAIRS, "SELECT vec_id, round(similarity, 6) AS similarity, same_intent FROM pairs"),
         "sample_fixed_rows": f"SELECT vec_id, label FROM embeddings ORDER BY md5(vec_id::VARCHAR || '-42'), vec_id LIMIT {c.SAMPLE}",
         "fcm_init": _sql(FIT, "SELECT cluster, seed_id AS vec_id FROM c0"),
@@ -418,7 +447,15 @@ round(count_if(cache_hit) / count(*), 4) AS hit_rate FROM decisions""",
         ),
         "cache_flush": _sql(BY_LABEL, "SELECT 'Cache flushed successfully.' AS message, count(*) AS entries_cleared FROM entries", True),
         "cache_replay_flushed": _sql(
-            _log("'all#' || (SELECT count(*) FROM labels WHERE toxic = 1 AND doc_id < vec_id)") + _replay(c.THRESHOLD), _DECISIONS, True
+            _log(_FLUSHED) + _replay(c.THRESHOLD), _DECISIONS, True
+        ),
+        "cache_stats_flushed": _sql(
+            _log(_FLUSHED) + _replay(c.THRESHOLD) + ["last_one AS (SELECT 'all#' || count(DISTINCT doc_id) AS cache_id FROM labels WHERE toxic = 1)"],
+            """SELECT (SELECT count(*) FROM entries WHERE cache_id IN (SELECT cache_id FROM last_one)) AS total_entries,
+    coalesce(count_if(cache_hit), 0)::BIGINT AS hit_count, coalesce(count_if(NOT cache_hit), 0)::BIGINT AS miss_count,
+    CASE WHEN count(*) = 0 THEN 0.0 ELSE round(count_if(cache_hit) / count(*), 4) END AS hit_rate
+    FROM decisions WHERE cache_id IN (SELECT cache_id FROM last_one)""",
+            True,
         ),
         "health_summary": _sql(
             BY_LABEL + VECTOR_ROWS,

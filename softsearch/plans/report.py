@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from softsearch.config import DEFAULTS, cut_lineage
+from softsearch.config import cut_lineage
 from softsearch.functions.membership import dominant_cluster
 from softsearch.operators.evaluate import THRESHOLDS, boundary_examples, m_sweep, select_k, threshold_sweep
 from softsearch.operators.fcm import FuzzyModel
@@ -28,17 +28,18 @@ def analyse(
     pairs: DataFrame,
     *,
     key: str = "doc_id",
-    sample: int = DEFAULTS.fit_sample,
+    sample: int | None = None,
     ks: Iterable[int] = range(10, 21),
     ms: Iterable[float] = (1.2, 1.5, 2.0, 2.5),
     thresholds: Iterable[float] = THRESHOLDS,
     max_iter: int = 80,
 ) -> dict[str, DataFrame]:
-    """The sections of the analysis for a sample of ``docs(key, text, embedding, label)``.
+    """The sections of the analysis of ``docs(key, text, embedding, label)``, or of a sample.
 
     ``pairs(similarity, same_intent)`` are labelled query pairs, see ``embed_pairs``.
     """
-    rows = cut_lineage(model.score(sample_fixed(docs.select(key, "text", "embedding", "label"), sample, key)))
+    docs = docs.select(key, "text", "embedding", "label")
+    rows = cut_lineage(model.score(docs if sample is None else sample_fixed(docs, sample, key)))
     assigned = rows.select(
         key, "label", dominant_cluster("membership").alias("dominant_cluster"), F.array_max("membership").alias("mem_top1")
     )

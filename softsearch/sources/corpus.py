@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from softsearch.config import DEFAULTS, broadcast_if_small
-from softsearch.functions.text import clean_text, long_enough, text_hash
+from softsearch.functions.text import clean_text, long_enough, strip_post_parts, text_hash
 
 
 def select_subset(df: DataFrame, subset: str = "all", split_col: str = "split") -> DataFrame:
@@ -17,9 +17,10 @@ def select_subset(df: DataFrame, subset: str = "all", split_col: str = "split")
 
 
 def with_category(df: DataFrame, categories: DataFrame) -> DataFrame:
-    """Attach the category name by label; the dimension is broadcast if it is small, so the
-    documents of a very frequent category stay where they are."""
-    return df.join(broadcast_if_small(categories.select("label", "category")), "label", "inner")
+    """Attach the category name by label, null where the label is null or unknown; the
+    dimension is broadcast if it is small, so the documents of a very frequent category stay
+    where they are."""
+    return df.join(broadcast_if_small(categories.select("label", "category")), "label", "left")
 
 
 def dedupe_exact(df: DataFrame, key: str = "doc_id", order: str = "src_id") -> DataFrame:
@@ -41,45 +42,39 @@ def load_corpus(
     text_col: str | Column = "text",
     label_col: str | Column = "label",
     split_col: str = "split",
-    max_chars: int = DEFAULTS.max_chars,
+    max_chars: int | None = None,
     min_chars: int = DEFAULTS.min_chars,
+    strip_parts: bool = False,
 ) -> DataFrame:
     """``corpus(doc_id, src_id, text, label)``: cleaned, long enough, first of its copies.
 
-    One shuffle (by hash); documents that agree in their first ``max_chars`` cleaned
-    characters are copies of each other. Copies are equally long, so the length test comes
+    ``strip_parts`` first takes header, footer and quotes of a post away. One shuffle, by the
+    whole SHA-256 of the cleaned text (cut, if at all, to ``max_chars``). Copies are equally long, so the length test comes
     after the deduplication: before it, the optimizer would clean every text twice, once
     for the filter and once for the result.
     """
     as_col = lambda c: F.col(c) if isinstance(c, str) else c
     cleaned = select_subset(raw, subset, split_col).select(
         as_col(id_col).cast("long").alias("src_id"),
-        clean_text(as_col(text_col), max_chars).alias("text"),
+        clean_text(strip_post_parts(as_col(text_col)) if strip_parts else as_col(text_col), max_chars).alias("text"),
         as_col(label_col).cast("int").alias("label"),
     )
-    hashed = cleaned.select(text_hash("text").alias("doc_id"), "src_id", "text", "label")
-    return dedupe_exact(hashed).where(long_enough("text", min_chars))
-
-
-def read_spread(spark: SparkSession, path: str) -> DataFrame:
-    """Read a Parquet table; deal its rows out if the files give fewer tasks than there are
-    cores. Only a small table has so few splits; a large one is read as it lies."""
-    df = spark.read.parquet(path)
-    cores = spark.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    hashed = cleaned.select(F.sha2("text", 256).alias("text_sha"), "src_id", "text", "label")
+    first = dedupe_exact(hashed, "text_sha").where(long_enough("text", min_chars))
+    return first.select(text_hash("text").alias("doc_id"), "src_id", "text", "label")
 
 
 def load_summary(
     raw: DataFrame,
     *,
     text_col: str = "text",
-    max_chars: int = DEFAULTS.max_chars,
+    max_chars: int | None = None,
     min_chars: int = DEFAULTS.min_chars,
 ) -> DataFrame:
     """Counts of rows read, kept, too short and duplicate, in one pass over the raw table."""
     cleaned = raw.select(clean_text(text_col, max_chars).alias("text"))
     per_text = cleaned.groupBy(
-        text_hash("text").alias("doc_id"), F.coalesce(long_enough("text", min_chars), F.lit(False)).alias("ok")
+        F.sha2("text", 256).alias("text_sha"), F.coalesce(long_enough("text", min_chars), F.lit(False)).alias("ok")
     ).agg(F.count(F.lit(1)).alias("n"))
     total = F.coalesce(F.sum("n"), F.lit(0))
     kept = F.count_if("ok")

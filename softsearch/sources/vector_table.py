@@ -5,7 +5,8 @@ from __future__ import annotations
 from functools import reduce
 from typing import Any
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from softsearch.config import DEFAULTS, broadcast_if_small, cut_lineage
@@ -84,66 +85,116 @@ def is_populated(table: DataFrame) -> bool:
 # -- writes -------------------------------------------------------------------
 
 
+def last_per_key(rows: DataFrame, key: str, order: str | None = None) -> DataFrame:
+    """One row per key: the one with the highest ``order``, the greatest row on ties."""
+    rest = [c for c in rows.columns if c != key]
+    rank = F.struct(*([F.col(order)] if order else []), *rest)
+    last = F.max_by(F.struct(*rest), rank).alias("last")
+    return rows.groupBy(key).agg(last).select(key, "last.*")
+
+
 def upsert(target: DataFrame, updates: DataFrame, key: str = "doc_id", order: str | None = None) -> DataFrame:
     """``target`` with the updated rows replaced and the new ones added.
 
     Should a key occur more than once among the updates, the row with the highest ``order``
-    wins. Applying the same updates again changes nothing.
+    wins, without an order the greatest row. Applying the same updates again changes nothing.
     """
-    if order is not None:
-        rest = [c for c in updates.columns if c != key]
-        last = F.max_by(F.struct(*rest), F.col(order)).alias("last")
-        updates = updates.groupBy(key).agg(last).select(key, "last.*")
-    updates = updates.select(*target.columns)
+    updates = last_per_key(updates, key, order).select(*target.columns)
     changed = broadcast_if_small(updates.select(key))  # then the table is not shuffled
     return target.join(changed, key, "left_anti").unionByName(updates)
 
 
 ID_BUCKET = "id_bucket"
+_POINTER = "version int, id_bucket int, folder string, buckets int, batch long"
 
 
 def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return df.withColumn(ID_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
-def _for_write(df: DataFrame):
-    """One partition per bucket, split or merged to the advisory size while the job runs."""
-    return df.hint("rebalance", ID_BUCKET).sortWithinPartitions(ID_BUCKET, "dominant_cluster").write.mode("overwrite")
+def _write_version(df: DataFrame, path: str, version: int) -> str:
+    """Write rows beside what is stored: one partition per bucket, split or merged to the
+    advisory size while the job runs, sorted by cluster where there is one."""
+    folder = f"data/version={version}"
+    order = [ID_BUCKET, *(["dominant_cluster"] if "dominant_cluster" in df.columns else [])]
+    rows = df.hint("rebalance", ID_BUCKET).sortWithinPartitions(*order)
+    rows.write.mode("overwrite").partitionBy(ID_BUCKET).parquet(f"{path}/{folder}")
+    return folder
+
+
+def _pointers(spark: SparkSession, path: str) -> list[Row]:
+    """The newest pointer: for each bucket that holds rows the folder it lies in."""
+    try:
+        rows = spark.read.schema(_POINTER).parquet(f"{path}/pointer")
+        newest = rows.agg(F.max("version")).first()[0]
+    except AnalysisException:
+        return []
+    return rows.where(F.col("version") == newest).collect()  # a row per bucket
+
+
+def _switch(spark: SparkSession, path: str, version: int, folders: dict[int, str], buckets: int, batch: int | None) -> None:
+    """Written last, as one new file: a reader sees the old version or the new one."""
+    rows = [(version, b, folder, buckets, batch) for b, folder in folders.items()] or [(version, None, None, buckets, batch)]
+    spark.createDataFrame(rows, _POINTER).coalesce(1).write.mode("append").parquet(f"{path}/pointer")
 
 
 def write_table(df: DataFrame, path: str, key: str = "doc_id", buckets: int = 64) -> None:
-    """Write the table partitioned by a hash of its key.
+    """Write the table partitioned by a hash of its key, as a new version.
 
     The partition depends on the key alone, so a document that moves to another cluster
     stays in its partition. Inside the files rows are sorted by cluster, so the row-group
     statistics let a cluster filter skip data. A bucket is what an upsert rewrites at
-    least: choose ``buckets`` so that one is a few gigabytes.
+    least: choose ``buckets`` so that one is a few gigabytes. Their number is stored with
+    the table and holds for all later upserts.
     """
-    _for_write(_with_bucket(df, key, buckets)).partitionBy(ID_BUCKET).parquet(path)
+    spark = df.sparkSession
+    version = max([r.version for r in _pointers(spark, path)], default=0) + 1
+    folder = _write_version(_with_bucket(last_per_key(df, key), key, buckets), path, version)
+    held = spark.read.parquet(f"{path}/{folder}").select(ID_BUCKET).distinct().collect() if not df.isEmpty() else []
+    _switch(spark, path, version, {r[0]: folder for r in held}, buckets, None)
+
+
+def _stored(spark: SparkSession, path: str, pointers: list[Row]) -> DataFrame:
+    held = [r for r in pointers if r.folder is not None]
+    if not held:
+        raise FileNotFoundError(f"no rows are stored at {path}")
+    folders = sorted(f"{path}/{r.folder}/{ID_BUCKET}={r.id_bucket}" for r in held)
+    rows = spark.read.option("basePath", f"{path}/data").parquet(*folders)
+    return rows.drop("version")
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(path).drop(ID_BUCKET)
+    return _stored(spark, path, _pointers(spark, path)).drop(ID_BUCKET)
 
 
 def upsert_into(
-    path: str, updates: DataFrame, key: str = "doc_id", buckets: int = 64, order: str | None = None
+    path: str, updates: DataFrame, key: str = "doc_id", buckets: int | None = None, order: str | None = None,
+    batch: int | None = None,
 ) -> None:
     """Upsert into a stored table, rewriting only the partitions the updates fall into.
 
-    The merged partitions are checkpointed before they replace the stored ones: the job
-    never overwrites what it still has to read, and a failed write can be repeated.
+    The merged partitions are written beside the stored ones and become valid with the
+    pointer, which is written last. Whatever fails before that leaves the table as it was,
+    and the update can be repeated; a ``batch`` number that the table has already taken in
+    is left out. ``buckets`` other than the stored number is an error.
     """
     spark = updates.sparkSession
-    stored = spark.read.parquet(path)
-    fresh = _with_bucket(updates, key, buckets)
-    if order is not None:
-        rest = [c for c in fresh.columns if c != key]
-        last = F.max_by(F.struct(*rest), F.col(order)).alias("last")
-        fresh = fresh.groupBy(key).agg(last).select(key, "last.*")
-    fresh = cut_lineage(fresh.select(*stored.columns))
-    touched = [r[0] for r in fresh.select(ID_BUCKET).distinct().collect()]  # at most `buckets`
-    if not touched:
+    pointers = _pointers(spark, path)
+    if not pointers:
+        raise FileNotFoundError(f"no table at {path}; write one first")
+    version, stored_buckets, done = pointers[0].version, pointers[0].buckets, pointers[0].batch
+    if buckets not in (None, stored_buckets):
+        raise ValueError(f"the table has {stored_buckets} buckets, not {buckets}")
+    if batch is not None and done is not None and batch <= done:
+        return
+    fresh = cut_lineage(_with_bucket(last_per_key(updates, key, order), key, stored_buckets))
+    touched = [r[0] for r in fresh.select(ID_BUCKET).distinct().collect()]  # at most ``buckets``
+    folders = {r.id_bucket: r.folder for r in pointers if r.folder is not None}
+    if touched:
+        old = [r for r in pointers if r.id_bucket in touched]
+        merged = upsert(_stored(spark, path, old), fresh, key) if old else fresh
+        folder = _write_version(merged, path, version + 1)
+        folders |= dict.fromkeys(touched, folder)
+    elif batch is None:
         return
-    merged = cut_lineage(upsert(stored.where(F.col(ID_BUCKET).isin(touched)), fresh, key))
-    _for_write(merged).option("partitionOverwriteMode", "dynamic").partitionBy(ID_BUCKET).parquet(path)
+    _switch(spark, path, version + 1, folders, stored_buckets, batch if batch is not None else done)

@@ -20,17 +20,19 @@ def append_to(stream: DataFrame, path: str, checkpoint: str | None = None) -> St
 
 
 def upsert_stream(
-    updates: DataFrame, path: str, checkpoint: str | None = None, key: str = "doc_id", order: str | None = None
+    updates: DataFrame, path: str, checkpoint: str | None = None, key: str = "doc_id", order: str | None = None,
+    once: bool = False,
 ) -> StreamingQuery:
     """Keep a stored vector table up to date from a stream of rows.
 
     A batch that is delivered again rewrites the same rows, so the table is right after a
-    restart as well.
+    restart as well. ``once`` leaves such a batch out; use it where this stream alone
+    writes to the table, as it goes by the batch number stored there.
     """
     checkpoint = checkpoint or scratch_path(updates.sparkSession, "stream")
 
-    def merge(batch: DataFrame, _: int) -> None:
-        upsert_into(path, batch, key=key, order=order)
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        upsert_into(path, batch, key=key, order=order, batch=batch_id if once else None)
 
     return (
         updates.writeStream.foreachBatch(merge)
