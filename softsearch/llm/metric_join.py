@@ -198,3 +198,21 @@ def near_vectors(
 
 def op3_metric_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(table(spark, sf_dir, "embeddings"), ["vec_id"], "vec_id", "embedding", "label")
+
+
+#: All pairs of a label, and everything reachable over links.
+OP3_SQL = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, label, embedding::DOUBLE[] AS e FROM embeddings
+  WHERE label IS NOT NULL AND embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.label = b.label AND a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_cosine_similarity(a.e, b.e) >= 0.98
+), reach AS (
+  SELECT vec_id AS node, vec_id AS other FROM embeddings
+  UNION SELECT links.b, reach.other FROM reach JOIN links ON links.a = reach.node
+)
+SELECT vec_id, (SELECT count(*) FROM links WHERE a = vec_id) AS n_links, component_id, vec_id = component_id AS kept
+FROM (SELECT node AS vec_id, min(other) AS component_id FROM reach GROUP BY node)
+"""

@@ -323,3 +323,25 @@ def near_duplicates(
 
 def op8_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"), ["doc_id"], size=3, percent=85)
+
+
+#: Pairs that share a shingle, and everything reachable over links.
+OP8_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws
+  FROM documents
+), s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(ws) = 0 THEN [] WHEN len(ws) < 3 THEN [array_to_string(ws, ' ')]
+    ELSE list_transform(range(1, len(ws) - 1), lambda i: ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2]) END) AS g FROM w
+), n AS (
+  SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id
+), links AS (
+  SELECT a, b FROM (SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM s a JOIN s b ON a.g = b.g AND a.doc_id <> b.doc_id GROUP BY ALL)
+  JOIN n x ON x.doc_id = a JOIN n y ON y.doc_id = b WHERE 100 * c >= 85 * (x.n + y.n - c)
+), reach AS (
+  SELECT doc_id AS node, doc_id AS other FROM documents
+  UNION SELECT links.b, reach.other FROM reach JOIN links ON links.a = reach.node
+)
+SELECT r.doc_id, coalesce(n.n, 0) AS n_shingles, component_id, r.doc_id = component_id AS kept
+FROM (SELECT node AS doc_id, min(other) AS component_id FROM reach GROUP BY node) r LEFT JOIN n ON n.doc_id = r.doc_id
+"""

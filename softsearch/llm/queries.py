@@ -4,8 +4,8 @@ from __future__ import annotations
 
 from softsearch.llm.chat_format import OP7_SQL, op7_chat_round_trip
 from softsearch.llm.importance import op6_importance_resampling
-from softsearch.llm.metric_join import op3_metric_join
-from softsearch.llm.minhash import op8_minhash
+from softsearch.llm.metric_join import OP3_SQL, op3_metric_join
+from softsearch.llm.minhash import OP8_SQL, op8_minhash
 from softsearch.llm.packing import op9_cost_packing
 from softsearch.llm.quality_rules import op1_quality_divergence
 from softsearch.llm.secret_scan import op2_secret_ownership
@@ -20,4 +20,4 @@ QUERIES = {
         op6_importance_resampling, op7_chat_round_trip, op8_minhash, op9_cost_packing, op10_minimax_sharding,
     )
 }
-ORACLES: dict[str, str] = {"op7_chat_round_trip": OP7_SQL}
+ORACLES: dict[str, str] = {"op3_metric_join": OP3_SQL, "op7_chat_round_trip": OP7_SQL, "op8_minhash": OP8_SQL}

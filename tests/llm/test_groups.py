@@ -159,10 +159,11 @@ def test_metric_join_on_odd_rows(spark):
 # chats
 
 
-def test_chat_query_matches_its_sql(spark, small):
-    out = QUERIES["op7_chat_round_trip"](spark, small)
+@pytest.mark.parametrize("name", sorted(ORACLES))
+def test_query_matches_its_sql(spark, small, name):
+    out = QUERIES[name](spark, small)
     rows = [tuple(r) for r in out.collect()]
-    assert not compare.differences((out.columns, rows), compare.sql_rows(small, ORACLES["op7_chat_round_trip"]))
+    assert not compare.differences((out.columns, rows), compare.sql_rows(small, ORACLES[name]))
 
 
 def test_chats_with_control_strings_and_odd_rows(spark):
