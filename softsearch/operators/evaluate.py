@@ -16,7 +16,7 @@ from softsearch.functions.membership import (
 )
 from softsearch.functions.text import snippet
 from softsearch.functions.vectors import dot
-from softsearch.operators.fcm import FuzzyCMeans, FuzzyModel, sum_by_cluster, to_matrix
+from softsearch.operators.fcm import FuzzyCMeans, FuzzyModel, fit_all, sum_by_cluster, to_matrix
 from softsearch.operators.sampling import sample_fixed
 
 #: scores of a clustering that cannot be judged
@@ -108,9 +108,8 @@ def select_k(
         vectors = sample_fixed(vectors, sample, key, seed)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found = []
-        for k in ks:
-            model = FuzzyCMeans(k, m, max_iter, tol, seed, None).fit(vectors, key=key)
+        found, ks = [], list(ks)
+        for k, model in zip(ks, fit_all([FuzzyCMeans(k, m, max_iter, tol, seed, None) for k in ks], vectors, key=key) if ks else []):
             labelled = model.score(vectors).select("embedding", dominant_cluster("membership").alias("dominant_cluster"))
             found.append((k, *cluster_quality(labelled, k)))
     finally:
@@ -153,7 +152,7 @@ def m_sweep(
     sample: int | None = None,
 ) -> DataFrame:
     """Fit once per m, then report the fuzziness metrics of that fit."""
-    models = [FuzzyCMeans(n_clusters, m, max_iter, tol, sample=sample).fit(df, key=key) for m in ms]
+    models = fit_all([FuzzyCMeans(n_clusters, m, max_iter, tol, sample=sample) for m in ms], df, key=key)
     return _stack([fuzziness_metrics(model.score(df), model.m) for model in models])
 
 

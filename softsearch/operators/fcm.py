@@ -136,21 +136,33 @@ def fcm_step(
     df: DataFrame, v: np.ndarray, m: float, vector_col: str = "embedding", exponent: str = "squared"
 ) -> tuple[np.ndarray, float]:
     """One round: new centroids and the objective under the old ones. One Spark job."""
-    k, d = v.shape
-    power = ratio_exponent(m, exponent)
+    return fcm_steps(df, [(v, m, exponent)], vector_col)[0]
+
+
+def fcm_steps(
+    df: DataFrame, models: list[tuple[np.ndarray, float, str]], vector_col: str = "embedding"
+) -> list[tuple[np.ndarray, float]]:
+    """One round for several models (centroids, m, exponent) in one pass over the vectors."""
+    d = models[0][0].shape[1]
 
     def partial(batch: pa.RecordBatch) -> np.ndarray:
-        x = to_matrix(batch.column(0))
-        d2 = distance_matrix(x, v)
-        um = membership_matrix(d2, power) ** m
-        return np.hstack([um.T @ x, um.sum(axis=0)[:, None], (um * d2).sum(axis=0)[:, None]])
+        x, parts = to_matrix(batch.column(0)), []
+        for v, m, exponent in models:
+            d2 = distance_matrix(x, v)
+            um = membership_matrix(d2, ratio_exponent(m, exponent)) ** m
+            parts.append(np.hstack([um.T @ x, um.sum(axis=0)[:, None], (um * d2).sum(axis=0)[:, None]]))
+        return np.vstack(parts)
 
     vectors = df.select(vector_col).where(F.col(vector_col).isNotNull())
-    sums = sum_by_cluster(vectors, (k, d + 2), partial)
-    weight = sums[:, d]
-    means = sums[:, :d] / np.where(weight > 0, weight, 1.0)[:, None]
-    norms = np.sqrt((means * means).sum(axis=1, keepdims=True))
-    return means / np.maximum(norms, MIN_NORM), float(sums[:, d + 1].sum())
+    stacked = sum_by_cluster(vectors, (sum(len(v) for v, _, _ in models), d + 2), partial)
+    found, at = [], 0
+    for v, _, _ in models:
+        sums, at = stacked[at : at + len(v)], at + len(v)
+        weight = sums[:, d]
+        means = sums[:, :d] / np.where(weight > 0, weight, 1.0)[:, None]
+        norms = np.sqrt((means * means).sum(axis=1, keepdims=True))
+        found.append((means / np.maximum(norms, MIN_NORM), float(sums[:, d + 1].sum())))
+    return found
 
 
 def initial_centroids(df: DataFrame, k: int, key: str, vector_col: str = "embedding", seed: int = 42) -> DataFrame:
@@ -186,29 +198,7 @@ class FuzzyCMeans:
         self.model: FuzzyModel | None = None
 
     def fit(self, df: DataFrame, vector_col: str = "embedding", key: str = "vec_id") -> FuzzyModel:
-        vectors = df.select(key, vector_col).where(F.col(vector_col).isNotNull())
-        if self.sample is not None:
-            vectors = sample_fixed(vectors, self.sample, key, self.seed)
-        vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            start = initial_centroids(vectors, self.n_clusters, key, vector_col, self.seed)
-            rows = start.orderBy("cluster").select(vector_col).collect()  # n_clusters rows
-            if len(rows) < self.n_clusters:
-                raise ValueError(f"{self.n_clusters} clusters asked for, {len(rows)} vectors given")
-            v = np.array([r[0] for r in rows], dtype=np.float64)
-            previous, history, converged = math.inf, [], False
-            for iteration in range(1, self.max_iter + 1):
-                v, objective = fcm_step(vectors, v, self.m, vector_col, self.exponent)
-                delta = abs(previous - objective)
-                history.append((iteration, objective, delta))
-                previous = objective
-                if self.tol is not None and delta < self.tol:
-                    converged = True
-                    break
-        finally:
-            vectors.unpersist()
-        self.model = FuzzyModel(v, self.m, self.exponent, len(history), previous, converged, tuple(history))
-        return self.model
+        return fit_all([self], df, vector_col, key)[0]
 
     def predict(self, df: DataFrame, vector_col: str = "embedding") -> DataFrame:
         if self.model is None:
@@ -216,6 +206,41 @@ class FuzzyCMeans:
         return self.model.score(df, vector_col)
 
 
+def fit_all(
+    estimators: list[FuzzyCMeans], df: DataFrame, vector_col: str = "embedding", key: str = "vec_id"
+) -> list[FuzzyModel]:
+    """Fit several estimators together: every round is one pass over the vectors for all that
+    have not converged. They share the sample size and seed of the first."""
+    vectors = df.select(key, vector_col).where(F.col(vector_col).isNotNull())
+    if estimators[0].sample is not None:
+        vectors = sample_fixed(vectors, estimators[0].sample, key, estimators[0].seed)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        most = max(e.n_clusters for e in estimators)
+        start = initial_centroids(vectors, most, key, vector_col, estimators[0].seed)
+        rows = start.orderBy("cluster").select(vector_col).collect()  # as many rows as clusters
+        if len(rows) < most:
+            raise ValueError(f"{most} clusters asked for, {len(rows)} vectors given")
+        centroids = [np.array([r[0] for r in rows[: e.n_clusters]], dtype=np.float64) for e in estimators]
+        history: list[list[tuple[int, float, float]]] = [[] for _ in estimators]
+        done = [False] * len(estimators)
+        for iteration in range(1, max(e.max_iter for e in estimators) + 1):
+            live = [i for i, e in enumerate(estimators) if not done[i] and iteration <= e.max_iter]
+            if not live:
+                break
+            steps = fcm_steps(vectors, [(centroids[i], estimators[i].m, estimators[i].exponent) for i in live], vector_col)
+            for i, (v, objective) in zip(live, steps):
+                centroids[i] = v
+                delta = abs((history[i][-1][1] if history[i] else math.inf) - objective)
+                history[i].append((iteration, objective, delta))
+                done[i] = estimators[i].tol is not None and delta < estimators[i].tol
+    finally:
+        vectors.unpersist()
+    for e, v, h, converged in zip(estimators, centroids, history, done):
+        e.model = FuzzyModel(v, e.m, e.exponent, len(h), h[-1][1], converged, tuple(h))
+    return [e.model for e in estimators]
+
+
 # -- summaries of scored tables -------------------------------------------------
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from typing import Any
 
 from pyspark.sql import Column, DataFrame, Window
@@ -50,6 +51,12 @@ def _drop_self(pairs: DataFrame, k: int) -> DataFrame:
     return others.withColumn("rank", moved).where(F.col("rank") <= k)
 
 
+def _included(hits: DataFrame, table: DataFrame, key: str, include: Sequence[str]) -> DataFrame:
+    """Columns of the found rows, such as document and metadata, joined after the cut to k:
+    the search itself reads vectors and keys only."""
+    return hits.join(table.select(key, *include), key, "left").select(*hits.columns, *include) if include else hits
+
+
 def knn(
     queries: DataFrame,
     table: DataFrame,
@@ -60,11 +67,13 @@ def knn(
     key: str = "doc_id",
     order: str | None = None,
     exclude_self: bool = False,
+    include: Sequence[str] = (),
     **join_options: Any,
 ) -> DataFrame:
     """The ``k`` nearest rows of every query, nearest first: ``(query_id, rank, key, similarity, distance)``.
 
-    ``order`` names a numeric column that decides between equal similarities (else the key).
+    ``order`` names a numeric column that decides between equal similarities (else the key);
+    ``include`` names columns of the table that the result carries as well.
     """
     anywhere = F.array(F.lit(ANYWHERE))
     pairs = similarity_topk(
@@ -76,7 +85,7 @@ def knn(
         **join_options,
     )
     pairs = _drop_self(pairs, k) if exclude_self else pairs
-    return _with_types(pairs, queries, query_id, table, key)
+    return _included(_with_types(pairs, queries, query_id, table, key), table, key, include)
 
 
 def knn_by_cluster(
@@ -90,6 +99,7 @@ def knn_by_cluster(
     key: str = "doc_id",
     order: str | None = None,
     exclude_self: bool = False,
+    include: Sequence[str] = (),
     **join_options: Any,
 ) -> DataFrame:
     """The ``k`` nearest rows among those filed in the query's best ``n_probe`` clusters.
@@ -116,7 +126,7 @@ def knn_by_cluster(
         left, search_side(rows, key, keys, order), k + exclude_self, prefer_small="left", unique_pairs=True, **join_options
     )
     pairs = _drop_self(pairs, k) if exclude_self else pairs
-    return _with_types(pairs, queries, query_id, table, key)
+    return _included(_with_types(pairs, queries, query_id, table, key), table, key, include)
 
 
 def format_results(

@@ -28,6 +28,7 @@ from softsearch.streaming import cache as stream_cache
 from softsearch.streaming import sinks
 
 K, M, ROUNDS, THRESHOLD, BOUNDARY = 10, 1.5, 3, 0.35, 0.15
+STORED_BUCKETS = 8
 CONVERGENCE_ROUNDS, CONVERGENCE_TOL = 6, 2.0
 SAMPLE, EVICT_SIZE, LRU_SIZE = 200, 20, 15
 ANSWER_THRESHOLD = 0.45
@@ -68,6 +69,8 @@ def vectors(spark: SparkSession, sf: str) -> DataFrame:
     return table(spark, sf, "embeddings").select("vec_id", "embedding")
 
 
+#: What several queries share, made once per session and folder. ``forget_shared`` drops it
+#: where tables may have changed, and where a query is to be timed with all its inputs.
 _models: dict[tuple, fcm.FuzzyModel] = {}
 
 
@@ -97,7 +100,9 @@ def stored_rows(spark: SparkSession, sf: str) -> DataFrame:
     """The vector table as searches find it: written once, then only read."""
     key = (spark.sparkContext.applicationId, sf)
     if key not in _stored:
-        _stored[key] = cut_lineage(vector_rows(spark, sf))
+        path = scratch_path(spark, "stored")
+        vector_table.write_table(vector_rows(spark, sf), path, buckets=STORED_BUCKETS)
+        _stored[key] = vector_table.read_table(spark, path)
     return _stored[key]
 
 
@@ -355,6 +360,7 @@ def artefact_sample(spark, sf):
 
 @query
 def prepare_vector_table(spark, sf):
+    _prepared.pop((spark.sparkContext.applicationId, sf), None)  # this query is the flow itself
     rows, _ = prepared(spark, sf)
     return rows.drop("embedding")
 
@@ -362,6 +368,11 @@ def prepare_vector_table(spark, sf):
 _prepared: dict[tuple, tuple[DataFrame, fcm.FuzzyModel]] = {}
 
 
+def forget_shared() -> None:
+    for kept in (_models, _stored, _prepared):
+        kept.clear()
+
+
 def prepared(spark, sf):
     """The whole offline flow on ``documents``: clean, dedupe, embed, fit, score, write."""
     key = (spark.sparkContext.applicationId, sf)

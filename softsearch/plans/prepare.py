@@ -10,7 +10,8 @@ from softsearch.operators.embed import ModelFactory, embed
 from softsearch.operators.fcm import FuzzyCMeans, FuzzyModel
 from softsearch.schemas import VECTOR_TABLE
 from softsearch.sources.corpus import load_corpus, with_category
-from softsearch.sources.vector_table import with_metadata
+from softsearch.sources.model_store import save_model
+from softsearch.sources.vector_table import table_exists, upsert_into, with_metadata, write_table
 
 
 def build_vector_table(
@@ -36,6 +37,21 @@ def prepare(
     return build_vector_table(embedded, categories, model), model
 
 
+def publish(
+    raw: DataFrame, categories: DataFrame, table_path: str, model_path: str, fcm: FuzzyCMeans | None = None, buckets: int = 64, **options
+) -> FuzzyModel:
+    """``prepare``, saved: the model, and the rows written to a new table or upserted into
+    the stored one. Searches then read the table (``read_table``) and score nothing again."""
+    spark = raw.sparkSession
+    rows, model = prepare(raw, categories, fcm, **options)
+    save_model(spark, model, model_path)
+    if table_exists(spark, table_path):
+        upsert_into(table_path, rows)
+    else:
+        write_table(rows, table_path, buckets=buckets)
+    return model
+
+
 def categories_of(raw: DataFrame, label_col: str = "label", name_col: str = "category") -> DataFrame:
     """The category dimension that occurs in a table: ``(label, category)``."""
     return raw.groupBy(F.col(label_col).alias("label")).agg(F.min(name_col).alias("category"))

@@ -104,7 +104,8 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "doc_id", order: st
     return target.join(changed, key, "left_anti").unionByName(updates)
 
 
-ID_BUCKET = "id_bucket"
+#: partition columns of the stored files, not part of the rows
+ID_BUCKET, ID_VERSION = "id_bucket", "id_version"
 _POINTER = "version int, id_bucket int, folder string, buckets int, batch long"
 
 
@@ -115,7 +116,7 @@ def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
 def _write_version(df: DataFrame, path: str, version: int) -> str:
     """Write rows beside what is stored: one partition per bucket, split or merged to the
     advisory size while the job runs, sorted by cluster where there is one."""
-    folder = f"data/version={version}"
+    folder = f"data/{ID_VERSION}={version}"
     order = [ID_BUCKET, *(["dominant_cluster"] if "dominant_cluster" in df.columns else [])]
     rows = df.hint("rebalance", ID_BUCKET).sortWithinPartitions(*order)
     rows.write.mode("overwrite").partitionBy(ID_BUCKET).parquet(f"{path}/{folder}")
@@ -160,7 +161,11 @@ def _stored(spark: SparkSession, path: str, pointers: list[Row]) -> DataFrame:
         raise FileNotFoundError(f"no rows are stored at {path}")
     folders = sorted(f"{path}/{r.folder}/{ID_BUCKET}={r.id_bucket}" for r in held)
     rows = spark.read.option("basePath", f"{path}/data").parquet(*folders)
-    return rows.drop("version")
+    return rows.drop(ID_VERSION)
+
+
+def table_exists(spark: SparkSession, path: str) -> bool:
+    return bool(_pointers(spark, path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:

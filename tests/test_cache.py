@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import CLUSTERS, DIM, member, unit
+from conftest import CLUSTERS, DIM, filed_under, direction
 from pyspark.sql import functions as F
 
 from softsearch.operators import semcache as sc
@@ -51,9 +51,9 @@ def random_log(n=160, copies=0.3, caches=("a", "b"), seed=0):
     rows = []
     for seq in range(n):
         cache = caches[0] if rng.random() < 0.8 else caches[-1]
-        v = unit(0) if rng.random() < copies else unit(int(rng.integers(1, 90)))
+        v = direction(0) if rng.random() < copies else direction(int(rng.integers(1, 90)))
         c = int(np.argmax(v[:CLUSTERS]))
-        rows.append((cache, seq, v, member(c, boundary=seq % 3 == 0)))
+        rows.append((cache, seq, v, filed_under(c, boundary=seq % 3 == 0)))
     return rows
 
 
@@ -66,9 +66,9 @@ def one_lookup(spark, query, entries, threshold=0.9):
 
 def test_exact_match_hits_and_orthogonal_misses(spark):
     e = [1.0] + [0.0] * 7
-    hit = one_lookup(spark, (9, e, member(0)), [(1, e, member(0))])
+    hit = one_lookup(spark, (9, e, filed_under(0)), [(1, e, filed_under(0))])
     assert hit.cache_hit and hit.matched_seq == 1 and abs(hit.similarity - 1) < 1e-5
-    miss = one_lookup(spark, (9, [0.0, 1.0] + [0.0] * 6, member(0)), [(1, e, member(0))])
+    miss = one_lookup(spark, (9, [0.0, 1.0] + [0.0] * 6, filed_under(0)), [(1, e, filed_under(0))])
     assert not miss.cache_hit and miss.matched_seq is None and miss.similarity is None
 
 
@@ -76,34 +76,34 @@ def test_threshold_zero_and_best_of_two(spark):
     v = np.array([1.0, 0.2] + [0.0] * 6)
     v = (v / np.linalg.norm(v)).tolist()
     far = [0.0, 1.0] + [0.0] * 6
-    assert one_lookup(spark, (9, v, member(0)), [(1, far, member(0))], 0.0).matched_seq == 1
+    assert one_lookup(spark, (9, v, filed_under(0)), [(1, far, filed_under(0))], 0.0).matched_seq == 1
     near = [1.0] + [0.0] * 7
-    assert one_lookup(spark, (9, v, member(0)), [(1, far, member(0)), (2, near, member(0))], 0.0).matched_seq == 2
+    assert one_lookup(spark, (9, v, filed_under(0)), [(1, far, filed_under(0)), (2, near, filed_under(0))], 0.0).matched_seq == 2
 
 
 def test_buckets_limit_the_search(spark):
-    v = unit(4)
-    assert not one_lookup(spark, (9, v, member(1)), [(1, v, member(0))]).cache_hit
+    v = direction(4)
+    assert not one_lookup(spark, (9, v, filed_under(1)), [(1, v, filed_under(0))]).cache_hit
     for cluster in (0, 1):  # filed under 0 and 1
-        assert one_lookup(spark, (9, v, member(cluster)), [(1, v, member(0, True))]).cache_hit
-    assert one_lookup(spark, (9, v, member(3, True)), [(1, v, member(0))]).cache_hit  # looks into 3 and 0
-    assert not one_lookup(spark, (9, v, member(2)), [(1, v, member(0, True))]).cache_hit
+        assert one_lookup(spark, (9, v, filed_under(cluster)), [(1, v, filed_under(0, True))]).cache_hit
+    assert one_lookup(spark, (9, v, filed_under(3, True)), [(1, v, filed_under(0))]).cache_hit  # looks into 3 and 0
+    assert not one_lookup(spark, (9, v, filed_under(2)), [(1, v, filed_under(0, True))]).cache_hit
 
 
 def test_ties_prefer_the_first_bucket_then_the_oldest(spark):
-    v = unit(4)
-    entries = [(1, v, member(1)), (2, v, member(0)), (3, v, member(0))]
-    assert one_lookup(spark, (9, v, member(0, True)), entries).matched_seq == 2
+    v = direction(4)
+    entries = [(1, v, filed_under(1)), (2, v, filed_under(0)), (3, v, filed_under(0))]
+    assert one_lookup(spark, (9, v, filed_under(0, True)), entries).matched_seq == 2
 
 
 def test_caches_do_not_see_each_other(spark):
-    v = unit(4)
-    got = sc.lookup(log_of(spark, [("x", 9, v, member(0))]), log_of(spark, [("y", 1, v, member(0))]), 0.9)
+    v = direction(4)
+    got = sc.lookup(log_of(spark, [("x", 9, v, filed_under(0))]), log_of(spark, [("y", 1, v, filed_under(0))]), 0.9)
     assert not got.first().cache_hit
 
 
 def test_bucket_rows(spark):
-    got = sc.bucket_rows(log_of(spark, [(1, unit(1), member(2)), (2, unit(2), member(3, True))])).collect()
+    got = sc.bucket_rows(log_of(spark, [(1, direction(1), filed_under(2)), (2, direction(2), filed_under(3, True))])).collect()
     assert sorted((r.seq, r.bucket_rank, r.bucket) for r in got) == [(1, 0, 2), (2, 0, 3), (2, 1, 0)]
 
 
@@ -150,25 +150,25 @@ def test_only_some_caches_overflow(spark):
 
 
 def test_short_vectors_do_not_answer_their_own_copy(spark):
-    half = [0.5 * x for x in unit(3)]
-    rows = [("c", i, half, member(0)) for i in range(5)]
+    half = [0.5 * x for x in direction(3)]
+    rows = [("c", i, half, filed_under(0)) for i in range(5)]
     assert outcome(sc.replay(log_of(spark, rows), 0.9, None)) == walk(rows, 0.9)[0] == {("c", i): None for i in range(5)}
 
 
 def test_oldest_entry_goes_and_touched_entry_stays(spark):
     v = np.eye(DIM).tolist()
-    rows = [("c", i, v[i], member(0)) for i in range(4)] + [("c", 4, v[0], member(0))]
+    rows = [("c", i, v[i], filed_under(0)) for i in range(4)] + [("c", 4, v[0], filed_under(0))]
     assert outcome(sc.replay(log_of(spark, rows), 0.9, 3))["c", 4] is None
-    rows = [("c", 0, v[0], member(0)), ("c", 1, v[1], member(0)), ("c", 2, v[0], member(0)), ("c", 3, v[2], member(0)),
-            ("c", 4, v[3], member(0)), ("c", 5, v[0], member(0)), ("c", 6, v[1], member(0))]
+    rows = [("c", 0, v[0], filed_under(0)), ("c", 1, v[1], filed_under(0)), ("c", 2, v[0], filed_under(0)), ("c", 3, v[2], filed_under(0)),
+            ("c", 4, v[3], filed_under(0)), ("c", 5, v[0], filed_under(0)), ("c", 6, v[1], filed_under(0))]
     got = outcome(sc.replay(log_of(spark, rows), 0.9, 3))
     assert got["c", 5] == 0 and got["c", 6] is None  # 1 went, not first in its bucket
 
 
 def test_boundary_entry_leaves_both_buckets(spark):
     v = np.eye(DIM).tolist()
-    rows = [("c", 0, v[0], member(0, True)), ("c", 1, v[1], member(2)), ("c", 2, v[2], member(3)),
-            ("c", 3, v[0], member(0)), ("c", 4, v[0], member(1))]
+    rows = [("c", 0, v[0], filed_under(0, True)), ("c", 1, v[1], filed_under(2)), ("c", 2, v[2], filed_under(3)),
+            ("c", 3, v[0], filed_under(0)), ("c", 4, v[0], filed_under(1))]
     assert outcome(sc.replay(log_of(spark, rows), 0.9, 2)) == {("c", i): None for i in range(5)}
 
 
@@ -180,8 +180,8 @@ def test_empty_log(spark):
 
 
 def test_stats_touch_evict_flush(spark):
-    v = unit(7)
-    rows = [("c", 0, v, member(0, True)), ("c", 1, v, member(0)), ("c", 2, v, member(1))]
+    v = direction(7)
+    rows = [("c", 0, v, filed_under(0, True)), ("c", 1, v, filed_under(0)), ("c", 2, v, filed_under(1))]
     run = sc.replay(log_of(spark, rows), 0.9, None)
     assert sc.stats(run.decisions, run.entries).first().asDict() == {
         "total_entries": 1, "hit_count": 2, "miss_count": 1, "hit_rate": 0.6667,
@@ -196,8 +196,8 @@ def test_stats_touch_evict_flush(spark):
 
 
 def test_flush_between_queries(spark):
-    v = unit(7)
-    rows = [(name, i, v, member(0)) for name in ("c", "d") for i in range(5)]
+    v = direction(7)
+    rows = [(name, i, v, filed_under(0)) for name in ("c", "d") for i in range(5)]
     flushes = spark.createDataFrame([("c", 2), ("c", 9)], "cache_id string, seq long")
     run = sc.replay(sc.split_by_flush(log_of(spark, rows), flushes), 0.9, None)
     assert outcome(run) == {
@@ -206,6 +206,18 @@ def test_flush_between_queries(spark):
     }
 
 
+def test_counters_after_the_last_flush(spark):
+    v = direction(7)
+    log = log_of(spark, [("c", i, v, filed_under(0)) for i in range(6)] + [("d", 0, v, filed_under(0))])
+    flushes = spark.createDataFrame([("c", 0), ("c", 2), ("c", 2)], "cache_id string, seq long")
+    run = sc.replay(sc.split_by_flush(log, flushes), 0.9, None)
+    mine = lambda rows: sc.last_stretch(rows, log, flushes).where("cache_id like 'c%'")
+    assert sc.stats(mine(run.decisions), mine(run.entries)).first().asDict() == {
+        "total_entries": 1, "hit_count": 2, "miss_count": 1, "hit_rate": 0.6667,
+    }
+    assert {r.cache_id for r in sc.last_stretch(run.decisions, log, flushes).collect()} == {"c#2", "d#0"}
+
+
 def test_hot_cache_is_cut_before_the_shuffle(spark):
     entries = spark.createDataFrame([("c", 1, 1)], "cache_id string, seq long, access_time long")
     assert "WindowGroupLimit" in sc.evict_lru(entries, 2)._jdf.queryExecution().executedPlan().toString()
@@ -218,7 +230,7 @@ def test_stream_equals_replay(spark, tmp_path):
     """Batches of one file each; the state carries over."""
     model = FuzzyModel(np.eye(DIM)[:CLUSTERS], 1.5)
     rng = np.random.default_rng(5)
-    rows = [("a" if rng.random() < 0.7 else "b", i, unit(int(rng.integers(0, 40)))) for i in range(120)]
+    rows = [("a" if rng.random() < 0.7 else "b", i, direction(int(rng.integers(0, 40)))) for i in range(120)]
     log = spark.createDataFrame(rows, "cache_id string, seq long, embedding array<float>")
     source = str(tmp_path / "log")
     for part in range(3):
@@ -247,9 +259,9 @@ def test_validation(spark):
 
 
 def test_answers(spark):
-    docs = [(f"d{i}", unit(i), i % 2, f"document number {i}") for i in range(20)]
+    docs = [(f"d{i}", direction(i), i % 2, f"document number {i}") for i in range(20)]
     table = spark.createDataFrame(docs, "doc_id string, embedding array<float>, dominant_cluster int, document string")
-    rows = [("c", 1, "first", unit(3), member(1)), ("c", 2, "again", unit(3), member(1, True)), ("c", 3, "lost", unit(8), member(3))]
+    rows = [("c", 1, "first", direction(3), filed_under(1)), ("c", 2, "again", direction(3), filed_under(1, True)), ("c", 3, "lost", direction(8), filed_under(3))]
     log = spark.createDataFrame(rows, "cache_id string, seq long, query string, embedding array<float>, membership array<double>")
     got = {r.seq: r for r in answer_log(log, table, threshold=0.9).collect()}
     assert not got[1].cache_hit and got[1].matched_query is None and got[1].similarity_score is None
@@ -263,7 +275,7 @@ def test_answers(spark):
 
 def test_answers_from_text(spark):
     model = FuzzyModel(np.eye(64)[:4], 2.0)
-    table = spark.createDataFrame([("d", unit(1, 64), 0, "text")], "doc_id string, embedding array<float>, dominant_cluster int, document string")
+    table = spark.createDataFrame([("d", direction(1, 64), 0, "text")], "doc_id string, embedding array<float>, dominant_cluster int, document string")
     asked = spark.createDataFrame([("c", 1, "space shuttle"), ("c", 2, "Space shuttle!"), ("c", 3, ""), ("c", 4, "gun law")], "cache_id string, seq long, query string")
     got = {r.seq: r.cache_hit for r in answer_queries(asked, table, model).collect()}
     assert got == {1: False, 2: True, 4: False}

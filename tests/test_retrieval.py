@@ -1,6 +1,7 @@
 import numpy as np
 import pytest
-from conftest import unit
+from pyspark.sql import functions as F
+from conftest import direction
 
 from softsearch.operators import retrieve, tfidf
 from softsearch.operators.similarity import similarity_topk
@@ -10,7 +11,7 @@ from softsearch.sources import vector_table as vt
 @pytest.fixture(scope="module")
 def rows(spark):
     """200 vectors in 4 clusters, two thirds of them in cluster 0."""
-    data = [(i, unit(i), 0 if i % 3 else 1 + i % 9 // 3, f"text {i}") for i in range(200)]
+    data = [(i, direction(i), 0 if i % 3 else 1 + i % 9 // 3, f"text {i}") for i in range(200)]
     return spark.createDataFrame(data, "doc_id long, embedding array<float>, dominant_cluster int, document string").cache()
 
 
@@ -32,8 +33,8 @@ def found(df):
 
 @pytest.fixture(scope="module")
 def asked(spark):
-    data = [(q, unit(1000 + q), [0.5, 0.3, 0.1, 0.1, 0.0] if q % 2 else [0.1, 0.1, 0.5, 0.3, 0.0]) for q in range(15)]
-    data.append((99, unit(5), [0.0, 0.1, 0.0, 0.0, 0.9]))  # nothing is filed in cluster 4
+    data = [(q, direction(1000 + q), [0.5, 0.3, 0.1, 0.1, 0.0] if q % 2 else [0.1, 0.1, 0.5, 0.3, 0.0]) for q in range(15)]
+    data.append((99, direction(5), [0.0, 0.1, 0.0, 0.0, 0.9]))  # nothing is filed in cluster 4
     return spark.createDataFrame(data, "query_id long, embedding array<float>, membership array<double>").cache()
 
 
@@ -96,7 +97,7 @@ def test_no_pairs_join_and_ranking_is_cut_before_the_shuffle(rows, asked):
 @pytest.mark.parametrize("k", [1, 4])
 def test_rows_with_several_keys(spark, options, k):
     keys = [["a"], ["b", "a"], ["a", "b"], ["c"]]
-    data = [(str(i), unit(i % 37), i, keys[i % 4]) for i in range(120)]  # copies: many exact ties
+    data = [(str(i), direction(i % 37), i, keys[i % 4]) for i in range(120)]  # copies: many exact ties
     side = spark.createDataFrame(data, "id string, vec array<float>, ord long, keys array<string>").cache()
     x = np.array([d[1] for d in data], dtype=float)
     sims, want = np.round(x @ x.T, 9), []
@@ -131,6 +132,47 @@ def test_upsert_is_idempotent(spark, tmp_path):
     assert vt.store_count(vt.read_table(spark, path)).first().n_docs == 51
 
 
+def test_stored_table_keeps_one_row_per_key(spark, tmp_path):
+    schema = "doc_id string, document string, dominant_cluster int"
+    path, other = str(tmp_path / "table"), str(tmp_path / "other")
+    base = spark.createDataFrame([(str(i), f"old {i}", 0) for i in range(40)] + [("3", "zzz", 1)], schema)
+    vt.write_table(base, path, buckets=16)
+    fresh = spark.createDataFrame([("5", "a", 0), ("5", "b", 0), ("new", "c", 1)], schema)
+    with pytest.raises(ValueError):
+        vt.upsert_into(path, fresh, buckets=8)
+    vt.upsert_into(path, fresh, batch=0)  # the stored number of buckets holds
+    rows = {r.doc_id: r.document for r in vt.read_table(spark, path).collect()}
+    assert vt.read_table(spark, path).count() == len(rows) == 41 and (rows["3"], rows["5"], rows["new"]) == ("zzz", "b", "c")
+    vt.upsert_into(path, spark.createDataFrame([("5", "late", 0)], schema), batch=0)  # a batch that was taken in before
+    assert vt.read_table(spark, path).where("doc_id = '5'").first().document == "b"
+    with pytest.raises(FileNotFoundError):
+        vt.upsert_into(other, fresh)
+
+
+def test_failed_upsert_leaves_the_table_as_it_was(spark, tmp_path, monkeypatch):
+    schema = "doc_id string, document string, dominant_cluster int"
+    path = str(tmp_path / "table")
+    vt.write_table(spark.createDataFrame([(str(i), "old", 0) for i in range(20)], schema), path, buckets=4)
+    fresh = spark.createDataFrame([("1", "new", 0), ("x", "new", 0)], schema)
+
+    def broken(*_):
+        raise OSError("the driver is gone")
+
+    with monkeypatch.context() as m:
+        m.setattr(vt, "_switch", broken)
+        with pytest.raises(OSError):
+            vt.upsert_into(path, fresh)
+    assert vt.read_table(spark, path).where("document = 'old'").count() == vt.read_table(spark, path).count() == 20
+    vt.upsert_into(path, fresh)
+    assert vt.read_table(spark, path).where("document = 'new'").count() == 2 and vt.read_table(spark, path).count() == 21
+
+
+def test_all_terms_are_weighed(spark):
+    docs = spark.createDataFrame([(i % 2, " ".join(f"term{i // 2}x{j}" for j in range(3000))) for i in range(4)], "doc_id long, text string")
+    docs = docs.groupBy("doc_id").agg(F.concat_ws(" ", F.collect_list("text")).alias("text"))
+    assert tfidf.tfidf_weights(docs).select("term").distinct().count() == 6000
+
+
 def test_filters_reach_the_scan(spark, tmp_path):
     path = str(tmp_path / "table")
     vt.write_table(spark.createDataFrame([("a", "x", 1), ("b", "y", 2)], "doc_id string, document string, dominant_cluster int"), path)

@@ -4,37 +4,27 @@ import pytest
 from pyspark.sql import functions as F
 
 from softsearch.functions import text as tx
-from softsearch.sources.corpus import distinct_queries, load_corpus, load_summary, select_subset
+from softsearch.sources.corpus import distinct_queries, load_corpus, load_summary, select_subset, with_category
 
 
 def one(spark, value, fn):
     return spark.createDataFrame([(value,)], "t string").select(fn("t")).first()[0]
 
 
-HEADER = re.compile(
-    "^(" + "|".join(re.escape(w) for w in tx.HEADER_WORDS) + r")[^\n]*\n", re.MULTILINE | re.IGNORECASE
-)
-
-
-def expected(text):
-    text = HEADER.sub("", text)
-    text = re.sub(r"^>.*$", "", text, flags=re.MULTILINE)
-    text = re.sub(r"\S+@\S+\.\S+", " ", text)
-    text = re.sub(r"[^\w\s]", " ", text)
-    return re.sub(r"\s+", " ", text).strip()[:512]
-
-
-EDGES = [
-    "", "From: a\nSubject: b\n", "Fromage is nice\nkept", "from x\nhello\n> quoted\nDate", "> only", "a@b.c x",
-    "@foo.bar y", "a@@b.c.d z", "a@.b", "x a@b. y", "a@b.c.", "\x1ca\x1fb@c.d\x1d", "é@è.ü ü", "a@b@c.d", "@@b.c",
-    "ab@cd", "a@b..", "é ⁵ ² ½ _x_", "tab\there\r\nnext line end", "x" * 600, "a b " * 300,
-    "Lines: 3\n> q\nmail me: joe@host.org, now!\n  spaced   out  ", "İstanbul étude", "kept\nFrom: tail",
+# input and what is left of it
+CLEANED = [
+    ("", ""), ("From: a\nSubject: b\n", ""), ("Fromage is nice\nkept", "kept"), ("from x\nhello\n> quoted\nDate", "hello Date"),
+    ("> only", ""), ("a@b.c x", "x"), ("@foo.bar y", "foo bar y"), ("a@@b.c.d z", "z"), ("a@.b", "a b"), ("x a@b. y", "x a b y"),
+    ("a@b.c.", ""), ("\x1ca\x1fb@c.d\x1d", "a"), ("é@è.ü ü", "ü"), ("a@b@c.d", ""), ("@@b.c", ""), ("ab@cd", "ab cd"), ("a@b..", ""),
+    ("é ⁵ ² ½ _x_", "é ⁵ ² ½ _x_"), ("tab\there\r\nnext\u2028line\xa0end", "tab here next line end"), ("x" * 600, "x" * 600),
+    ("a b " * 300, "a b " * 299 + "a b"), ("Lines: 3\n> q\nmail me: joe@host.org, now!\n  spaced   out  ", "mail me now spaced out"),
+    ("I\u0307stanbul e\u0301tude", "I stanbul e tude"), ("kept\nFrom: tail", "kept From tail"),
 ]
 
 
-def test_clean_text_matches_regular_expressions(spark):
-    rows = spark.createDataFrame(list(enumerate(EDGES)), "i int, t string").select("t", tx.clean_text("t").alias("c"))
-    assert [(r.t, r.c) for r in rows.collect() if r.c != expected(r.t)] == []
+def test_clean_text_gives_the_expected_texts(spark):
+    rows = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(CLEANED)], "i int, t string").select("i", tx.clean_text("t").alias("c"))
+    assert {r.i: r.c for r in rows.collect()} == {i: want for i, (_, want) in enumerate(CLEANED)}
 
 
 def test_single_steps(spark):
@@ -44,7 +34,8 @@ def test_single_steps(spark):
     assert "@" not in one(spark, "write to joe@host.org today", tx.blank_emails)
     assert one(spark, "a,b!c", tx.blank_punctuation) == "a b c"
     assert one(spark, "  a \n\t b ", tx.collapse_space) == "a b"
-    assert len(one(spark, "y" * 2000, tx.clean_text)) == 512
+    assert len(one(spark, "y" * 2000, tx.clean_text)) == 2000
+    assert len(one(spark, "y" * 2000, lambda c: tx.clean_text(c, 512))) == 512
     assert one(spark, "", tx.clean_text) == ""
 
 
@@ -75,14 +66,27 @@ def posts(spark):
 
 def test_corpus_drops_short_and_keeps_first_copy(posts):
     rows = {r.src_id: r for r in load_corpus(posts).collect()}
-    assert set(rows) == {1, 2}  # 6 agrees with 1 in its first 512 characters
+    assert set(rows) == {1, 2, 6}  # 6 agrees with 1 in its first 512 characters only
+    assert set(r.src_id for r in load_corpus(posts, max_chars=512).collect()) == {1, 2}
     assert rows[1].label == 3 and rows[2].label == 1
-    assert all(re.fullmatch("[0-9a-f]{16}", r.doc_id) and len(r.text) <= 512 for r in rows.values())
+    assert all(re.fullmatch("[0-9a-f]{16}", r.doc_id) for r in rows.values())
     assert load_summary(posts).first().asDict() == {
-        "n_read": 6, "n_kept": 2, "n_short": 1, "n_duplicate": 3, "n_dropped": 4,
+        "n_read": 6, "n_kept": 3, "n_short": 1, "n_duplicate": 2, "n_dropped": 3,
     }
 
 
+def test_unknown_category_is_kept(spark):
+    docs = spark.createDataFrame([(1, 5), (2, None), (3, 7)], "src_id long, label int")
+    names = spark.createDataFrame([(5, "five")], "label int, category string")
+    assert {r.src_id: r.category for r in with_category(docs, names).collect()} == {1: "five", 2: None, 3: None}
+
+
+def test_posts_lose_their_parts_when_loaded(spark):
+    body = "what was said here is long enough to be kept as a document of its own"
+    rows = spark.createDataFrame([(1, f"From: a\n\nIn article x\n> old\n{body}\n--\nJoe\n", 0)], "src_id long, text string, label int")
+    assert load_corpus(rows, strip_parts=True).first().text == body
+
+
 def test_all_short_is_empty(posts):
     assert load_corpus(posts.where("src_id = 3")).isEmpty()
     assert load_summary(posts.limit(0)).first().n_read == 0
