@@ -74,11 +74,13 @@ def format_chats(
     ``loss_spans``, the (start, end) in code points of the texts of role ``trained``."""
     value, who = F.coalesce(F.col(f"`{text}`"), F.lit("")), F.coalesce(F.col(f"`{role}`"), F.lit(""))
     rows = df.select(F.col(f"`{conv}`").alias("conv"), F.col(f"`{turn}`").alias("turn"), who.alias("role"), value.alias("text"))
-    same = lambda r: F.coalesce(parse(r) == F.array(F.struct("role", "text")), F.lit(False))
-    for shown_role, shown_text in ((F.col("role"), F.col("text")), (escape_role(F.col("role")), escape_text(F.col("text")))):
-        done = F.when(F.col("rendered").isNotNull(), F.col("rendered")) if "rendered" in rows.columns else F.lit(None).cast("string")
-        rows = rows.withColumn("rendered", done).withColumn("tried", render(shown_role, shown_text))
-        rows = rows.withColumn("rendered", F.when(F.col("rendered").isNull() & same(F.col("tried")), F.col("tried")).otherwise(F.col("rendered")))
+    same = lambda shown: F.coalesce(parse(shown) == F.array(F.struct("role", "text")), F.lit(False))
+    # as it is; where that does not read back, escaped
+    rows = rows.withColumn("tried", render(F.col("role"), F.col("text")))
+    rows = rows.withColumn("rendered", F.when(same(F.col("tried")), F.col("tried")))
+    escaped = render(escape_role(F.col("role")), escape_text(F.col("text")))
+    rows = rows.withColumn("tried", F.when(F.col("rendered").isNull(), escaped))
+    rows = rows.withColumn("rendered", F.coalesce("rendered", F.when(same(F.col("tried")), F.col("tried"))))
     failed = F.raise_error(F.concat(F.lit("a turn does not survive its round trip: "), F.col("text"))).cast("string")
     rows = rows.withColumn("rendered", F.when(F.col("rendered").isNull(), failed).otherwise(F.col("rendered")))
     order = Window.partitionBy("conv").orderBy("turn", "role", "text").rowsBetween(Window.unboundedPreceding, 0)
