@@ -10,6 +10,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 @dataclass(frozen=True)
@@ -84,10 +85,16 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = 500_000) -> DataFrame:
-    """Mark a narrow table for broadcast if a count shows that it is small; else leave the
-    join to Spark. Meant for keys and dimensions, not for rows that carry texts or vectors."""
-    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+def broadcast_if_small(df: DataFrame, max_rows: int = 500_000, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Mark a narrow table for broadcast if a count of rows and bytes shows that it is small;
+    else leave the join to Spark. Meant for keys and dimensions: a table with nested or binary
+    columns, whose size a count does not tell, is never marked."""
+    if any(isinstance(f.dataType, (T.ArrayType, T.MapType, T.StructType, T.BinaryType)) for f in df.schema):
+        return df
+    texts = [F.coalesce(F.octet_length(f"`{f.name}`"), F.lit(0)) for f in df.schema if isinstance(f.dataType, T.StringType)]
+    size = sum(texts, F.lit(16 * len(df.columns)))
+    rows, total = df.limit(max_rows + 1).agg(F.count(F.lit(1)), F.sum(size.cast("long"))).first()
+    return F.broadcast(df) if rows <= max_rows and (total or 0) <= max_bytes else df
 
 
 def cut_lineage(df: DataFrame) -> DataFrame:

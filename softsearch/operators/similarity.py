@@ -161,9 +161,10 @@ def _as_batch(found: dict[str, np.ndarray]) -> pa.RecordBatch:
 
 
 def _take_small(df: DataFrame, max_bytes: int) -> pa.Table | None:
-    """The side as one Arrow table if its vectors fit the bound, else None."""
-    size = df.agg(F.count(F.lit(1)).alias("n"), F.max(F.size("vec")).alias("d")).first()
-    if size["n"] * (size["d"] or 0) * 8 > max_bytes:
+    """The side as one Arrow table if its vectors, ids and keys fit the bound, else None."""
+    keys = F.aggregate("keys", F.lit(0), lambda n, k: n + F.coalesce(F.octet_length(k), F.lit(0)) + 8)
+    row = F.coalesce(F.size("vec"), F.lit(0)) * 8 + F.coalesce(F.octet_length("id"), F.lit(0)) + F.coalesce(keys, F.lit(0)) + 32
+    if (df.agg(F.sum(row.cast("long"))).first()[0] or 0) > max_bytes:
         return None
     return df.toArrow()
 
