@@ -165,8 +165,10 @@ def resample(
 
     keep = [c for c in keep if c not in ("n_grams", "log_weight", "gumbel_score", "kept")]
     src = df.withColumn("_key", F.col(f"`{key}`")).withColumn("_noise", -F.log(-F.log(uniform(F.col("_key"), seed))))
-    scored = map_texts(src, text, [*keep, "_key", "_noise"], make, "n_grams long, log_weight double")
-    scored = saved(scored.withColumn("gumbel_score", F.col("log_weight") + F.col("_noise")).drop("_noise"), "importance")
+    fields, value = "n_grams long, log_weight double", F.col("log_weight") + F.col("_noise")
+    # only numbers are stored; the rows are scored again below rather than kept with their texts
+    numbers = map_texts(src, text, ["_key", "_noise"], make, fields).select("_key", "log_weight", value.alias("gumbel_score"))
+    scored = saved(numbers, "importance")
     marked = scored.select("_key", "log_weight").join(sample.where(~fitting), F.col("_key") == F.col("_k"))
     # a number for each labelled key: max_labelled at most
     rows = marked.groupBy("_key").agg(F.min("log_weight").alias("w"), F.first("_good").alias("good")).collect()
@@ -174,7 +176,8 @@ def resample(
     least = parting(np.array([r.w for r in rows]), good) if good.any() else float("-inf")
     k = scored.where(F.col("log_weight") >= least).count()
     limit = kth_largest(scored.select("gumbel_score"), "gumbel_score", k) if k else float("inf")
-    return scored.drop("_key").withColumn("kept", F.col("gumbel_score") >= limit)
+    again = map_texts(src, text, [*keep, "_noise"], make, fields).withColumn("gumbel_score", value).drop("_noise")
+    return again.withColumn("kept", F.col("gumbel_score") >= limit)
 
 
 def op6_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
