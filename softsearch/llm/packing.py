@@ -36,7 +36,7 @@ LINEAR, QUADRATIC = 1.0, 1 / 1024
 #: Tokens that a task packs at a time.
 WINDOW = 2_000_000
 #: Distinct words whose tokens a worker remembers.
-REMEMBERED = 200_000
+REMEMBERED = 120_000
 
 
 class Encoder:

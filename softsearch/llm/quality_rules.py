@@ -30,7 +30,7 @@ COMMON = 0.002
 #: Least share of a language with a reference of its own among the words of the corpus.
 RARE = 0.01
 #: Distinct words that a worker counts before it passes the counts on.
-CHUNK_WORDS = 200_000
+CHUNK_WORDS = 150_000
 #: Characters counted as symbols, and punctuation taken off words before they are looked up.
 SYMBOLS = b"#*$%&|<>"
 EDGES = b".,;:!?\"'()"

@@ -39,6 +39,8 @@ MAX_LABELLED = 24_000
 LEAST_DOCS, LEAST_ODDS, ENTRIES = 6, 6.0, 4000
 #: Lengths of word beginnings, and words on either side in which a pronoun counts as near.
 BEGINNINGS, NEAR = (4, 5), 6
+#: Distinct words that a task remembers.
+REMEMBERED = 200_000
 #: Second-person pronouns of the four languages, and letters written as other characters.
 PRONOUNS = set(
     "you your yours yourself u ya du dich dir dein deine deinen deiner ihr euch euer tu te toi ton ta tes vous votre vos "
@@ -107,7 +109,7 @@ def describe(df: DataFrame, text: str, keep: list[str], lexicon: dict[str, float
             words = (value or "").split()
             if not words:
                 return [0.0] * len(FEATURES)
-            if len(known) > 300_000:
+            if len(known) > REMEMBERED:
                 known.clear()
             for w in {w for w in words if w not in known}:
                 known[w] = look(w)
