@@ -39,7 +39,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Live-looking credentials are replaced in the texts; copied examples stay."""
-    found = scan(docs, docs.columns, owner="source", repo="doc_id")
+    found = scan(docs, docs.columns, owner="source")
     clean = found.withColumn("text", redacted(F.col("text"), F.col("found")))
     return clean.withColumn("n_chars", F.char_length("text").cast("long")).select(docs.columns)
 

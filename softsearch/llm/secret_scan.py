@@ -4,9 +4,12 @@ Candidates of every text are hashed; for each hash the distinct owners and repos
 counted over the whole corpus (a repository belongs to its owner, so the counts add up
 owner by owner and every step is combined before its shuffle). A value that many owners or
 repositories share is a copied example; a value that few hold is taken for a live credential.
+Where the rows name no repository, the owners alone decide: one owner with any number of
+documents or copies holds a live value.
 
-Kinds of the base list are always reported. The further kinds, known token formats and other
-words of high entropy, are reported only where the frequency says that they are live.
+``found`` has every candidate of every kind with a flag. ``spans`` has the base kinds, and of
+the further kinds, known token formats and other words of high entropy, those that are live;
+``copied_spans`` has all candidates of any kind that are not live.
 
 Defined results: a null text counts as empty and has no spans; a null owner or repository is
 one owner or repository of its own; every row is reported once, repeated rows as often as
@@ -87,12 +90,15 @@ def told(spans: list) -> str:
 
 
 def scan(
-    df: DataFrame, keep: list[str], owner: str, repo: str, text: str = "text", *, max_owners: int = 2, max_repos: int = 5
+    df: DataFrame, keep: list[str], owner: str, repo: str | None = None, text: str = "text", *, max_owners: int = 2,
+    max_repos: int = 5,
 ) -> DataFrame:
-    """Add to ``keep``: ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans`` and
-    ``found``, an array of (start, kind, end, live, n_owners, n_repos) by start and kind.
+    """Add to ``keep``: ``n_assign``, ``n_access``, ``n_hex``, ``base_sha256``, ``spans``,
+    ``copied_spans`` and ``found``, an array of (start, kind, end, live, n_owners, n_repos) by
+    start and kind.
 
     A value is live if at most ``max_owners`` owners and ``max_repos`` repositories hold it.
+    Without ``repo`` an owner counts as one repository and ``max_owners`` alone decides.
     """
 
     def make():
@@ -112,9 +118,11 @@ def scan(
 
         return func
 
-    src = df.withColumn("_owner", F.col(f"`{owner}`").cast("string")).withColumn("_repo", F.col(f"`{repo}`").cast("string"))
+    src = df.withColumn("_owner", F.col(f"`{owner}`").cast("string")).withColumn(
+        "_repo", F.lit(None).cast("string") if repo is None else F.col(f"`{repo}`").cast("string")
+    )
     fields = "n_assign long, n_access long, n_hex long, base_sha256 string, "
-    keep = [c for c in keep if c not in ("n_assign", "n_access", "n_hex", "base_sha256", "found", "spans")]
+    keep = [c for c in keep if c not in ("n_assign", "n_access", "n_hex", "base_sha256", "found", "spans", "copied_spans")]
     cands = "_cands array<struct<start:int,kind:int,end:int,hash:string>>"
     docs = saved(
         map_texts(src, text, [*keep, "_owner", "_repo"], make, fields + cands).withColumn("_row", F.monotonically_increasing_id()),
@@ -124,19 +132,24 @@ def scan(
     repos = one.select("hash", "_owner", "_repo").distinct()
     owners = repos.groupBy("hash", "_owner").agg(F.count("*").alias("n"))
     stats = owners.groupBy("hash").agg(F.count("*").alias("n_owners"), F.sum("n").alias("n_repos"))
-    live = (F.col("n_owners") <= max_owners) & (F.col("n_repos") <= max_repos)
-    shown = one.join(stats, "hash").withColumn("live", live).where((F.col("kind") < len(BASE)) | F.col("live"))
-    by_row = shown.groupBy("_row").agg(
+    live = F.col("n_owners") <= max_owners
+    if repo is not None:
+        live &= F.col("n_repos") <= max_repos
+    by_row = one.join(stats, "hash").withColumn("live", live).groupBy("_row").agg(
         F.array_sort(F.collect_list(F.struct("start", "kind", "end", "live", "n_owners", "n_repos"))).alias("found")
     )
     kinds = F.array(*map(F.lit, KINDS))
-    spans = F.array_join(
-        F.transform("found", lambda x: F.concat_ws(":", F.element_at(kinds, x["kind"] + 1), x["start"], x["end"])), ","
-    )
+
+    def listed(wanted):
+        chosen = F.filter("found", wanted)
+        return F.array_join(F.transform(chosen, lambda x: F.concat_ws(":", F.element_at(kinds, x["kind"] + 1), x["start"], x["end"])), ",")
+
+    spans = listed(lambda x: (x["kind"] < len(BASE)) | x["live"])
     hits = docs.where(F.size("_cands") > 0).join(by_row, "_row", "left")
     none = docs.where(F.size("_cands") == 0).withColumn("found", F.lit(None).cast(by_row.schema["found"].dataType))
     whole = hits.unionByName(none).withColumn("found", F.coalesce("found", F.array().cast(by_row.schema["found"].dataType)))
-    return whole.withColumn("spans", spans).select(*keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "found")
+    whole = whole.withColumn("spans", spans).withColumn("copied_spans", listed(lambda x: ~x["live"]))
+    return whole.select(*keep, "n_assign", "n_access", "n_hex", "base_sha256", "spans", "copied_spans", "found")
 
 
 def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
@@ -156,6 +169,6 @@ def redacted(text: Column, found: Column, mark: str = "[SECRET]") -> Column:
 
 
 def op2_secret_ownership(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Owner is the source. The table names no repositories: each document is one of its own."""
-    found = scan(table(spark, sf_dir, "documents"), ["doc_id"], owner="source", repo="doc_id")
+    """Owner is the source. The table names no repositories: the owners alone decide."""
+    found = scan(table(spark, sf_dir, "documents"), ["doc_id"], owner="source")
     return found.withColumn("n_live", F.size(F.filter("found", lambda x: x["live"])).cast("long")).drop("found")

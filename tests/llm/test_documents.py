@@ -121,6 +121,24 @@ def test_ownership_separates_examples_from_live_values(spark):
     assert texts[50] == "x [SECRET]" and texts[51] == "value [SECRET] end" and shared in texts[0]
 
 
+def test_a_secret_of_one_owner_is_live_in_any_number_of_documents(spark, tmp_path):
+    import corpus_pipeline
+
+    github, key, example = "ghp_" + "a1B2" * 9, "AKIAONEOWNERSKEY01", "Zz9example0Aa8copied1B"
+    own = f"password=onlyminehere999 {key} {github} 0123456789abcdef01"
+    texts = [(f"{i} {own}", "hot") for i in range(300)] + [(f"copy {own}", "hot")] * 200 + [(own, None)]
+    texts += [(f"the {example} here password=copiedexample123", f"owner{i}") for i in range(3)]
+    docs = spark.createDataFrame([(i, t, "en", s, len(t)) for i, (t, s) in enumerate(texts)], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(f"{tmp_path}/documents.parquet")
+    out = {r.doc_id: r for r in secret_scan.op2_secret_ownership(spark, str(tmp_path)).collect()}
+    assert len(out) == 504 and all(out[i].n_live == 4 and "github:" in out[i].spans and out[i].copied_spans == "" for i in range(501))
+    for i in range(501, 504):
+        assert (out[i].n_live, out[i].spans) == (0, "assign:32:57") and out[i].copied_spans == "entropy:4:26,assign:32:57"
+    clean = {r.doc_id: r.text for r in corpus_pipeline.secret_scan(spark, docs, str(tmp_path)).collect()}
+    assert clean[0] == "0 [SECRET] [SECRET] [SECRET] [SECRET]" and clean[499] == "copy [SECRET] [SECRET] [SECRET] [SECRET]"
+    assert clean[501] == texts[501][0]
+
+
 def test_overlapping_spans_are_redacted_once(spark):
     text = "é token = 0123456789abcdef0123 é 0123456789abcdef99"
     docs = spark.createDataFrame([(1, text, "s")], "doc_id long, text string, source string")
