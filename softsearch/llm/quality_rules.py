@@ -3,34 +3,41 @@
 A document is compared with the reference of its language by two Jensen-Shannon distances
 (base 2, so between 0 and 1): over character classes and over common words. The references
 are histograms over all documents of the language. A word is common if it makes up at least
-``COMMON`` of the words of its language. Languages with less than ``RARE`` of all words, and
-rows without a language, share one reference. So at most ``1 / RARE + 1`` references of
-``1 / COMMON`` words each reach the driver, whatever the size of the corpus. Words are
-counted inside tasks before they are shuffled.
-
-Defined results: null and empty texts have no words and fail the base rules; below
-``min_chars`` or ``min_words`` the distance concerned is null and decides nothing; rows are
-judged one by one, so repeated rows get equal results; an empty table gives no rows.
+``COMMON`` of the words of its language, so a reference has at most ``1 / COMMON`` of them.
+Every language has its own reference, whatever its share of the corpus: a row of a stored
+table, which goes to all tasks at once only if it is measured to be small and is joined by
+language otherwise. Words are counted inside tasks before they are shuffled.
+
+Defined results: null and empty texts have no words and fail the base rules; both distances
+are null, and decide nothing, for rows without a language and for languages of fewer than
+``min_reference`` words; below ``min_chars`` or ``min_words`` the distance concerned is null;
+rows are judged one by one, so repeated rows get equal results; an empty table gives no rows.
 """
 
 from __future__ import annotations
 
+import json
 from collections import Counter, defaultdict
-from collections.abc import Callable
+from collections.abc import Callable, Iterator, Mapping
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from softsearch.config import broadcast_if_small
 from softsearch.llm.common import map_texts, saved, table
 
 #: Least share of a common word among the words of its language.
 COMMON = 0.002
-#: Least share of a language with a reference of its own among the words of the corpus.
-RARE = 0.01
-#: Distinct words that a worker counts before it passes the counts on.
+#: Least number of words of a language whose documents are held to its reference.
+MIN_REFERENCE = 1000
+#: Distinct words, and languages, that a worker counts before it passes the counts on.
 CHUNK_WORDS = 150_000
+CHUNK_LANGS = 10_000
+#: Largest references, in bytes, that are sent to all tasks; references that a worker remembers of larger ones.
+REFERENCE_BYTES = 4 << 20
+REMEMBERED = 64
 #: Characters counted as symbols, and punctuation taken off words before they are looked up.
 SYMBOLS = b"#*$%&|<>"
 EDGES = b".,;:!?\"'()"
@@ -134,73 +141,113 @@ def _count_classes():
         sums[name] += np.append(class_counts(byte_counts(raw), kind), len(raw.split()))
 
     def rows(end):
-        return [(name, key, int(n)) for name, c in sums.items() for key, n in zip([*CLASSES, "words"], c)] if end else None
+        if not end and len(sums) < CHUNK_LANGS:
+            return None
+        found = [(name, key, int(n)) for name, c in sums.items() for key, n in zip([*CLASSES, "words"], c)]
+        sums.clear()
+        return found
 
     return add, rows
 
 
 def _count_words():
-    words = defaultdict(Counter)
+    words, held = defaultdict(Counter), 0
 
     def add(name, raw):
-        words[name].update(raw.split())
+        nonlocal held
+        counts = words[name]
+        held -= len(counts)
+        counts.update(raw.split())
+        held += len(counts)
 
     def rows(end):
-        if not end and sum(map(len, words.values())) < CHUNK_WORDS:
+        nonlocal held
+        if not end and held < CHUNK_WORDS and len(words) < CHUNK_LANGS:
             return None
         found = [(name, w.decode("utf-8", "replace"), n) for name, c in words.items() for w, n in _bare(c).items()]
         words.clear()
+        held = 0
         return found
 
     return add, rows
 
 
-def language_references(df: DataFrame, text: str = "text", lang: str = "lang") -> dict:
-    """``{language: (class histogram, {common word: count}, words in all)}``; under ``None``
-    the reference of rare languages and of rows without a language."""
+class References(Mapping):
+    """The table of references, one row per language: ``lang``, ``classes`` (counts by class),
+    ``common`` (of ``word`` and ``n``) and ``words`` (in all). As a mapping it reads the row of a
+    language: ``(class histogram, {common word: count}, words in all)``. Under ``None`` are the
+    counts of rows without a language, which no document is compared with."""
+
+    def __init__(self, rows: DataFrame):
+        self.table = rows
+
+    def __getitem__(self, lang: str | None) -> tuple:
+        row = self.table.where(F.col("lang").eqNullSafe(F.lit(lang).cast("string"))).first()
+        if row is None:
+            raise KeyError(lang)
+        return np.array(row.classes, float), {x.word: x.n for x in row.common}, row.words
+
+    def __iter__(self) -> Iterator:
+        return (r.lang for r in self.table.select("lang").collect())
+
+    def __len__(self) -> int:
+        return self.table.count()
+
+
+def language_references(df: DataFrame, text: str = "text", lang: str = "lang") -> References:
     lang = F.col(f"`{lang}`").cast("string")
     first = saved(_count(df, text, lang, _count_classes), "quality-classes")
-    words = first.where("key = 'words'")
-    whole = words.agg(F.sum("n")).first()[0] or 0
-    own = [r.lang for r in words.where(F.col("n") >= max(1, RARE * whole)).collect() if r.lang is not None]
-    group = F.when(lang.isin(own), lang) if own else F.lit(None).cast("string")
-    named = F.when(F.col("lang").isin(own), F.col("lang")) if own else F.lit(None).cast("string")
-    classes, in_all = defaultdict(lambda: np.zeros(len(CLASSES))), Counter()
-    for r in first.groupBy(named.alias("lang"), "key").agg(F.sum("n").alias("n")).collect():
-        if r.key == "words":
-            in_all[r.lang] = r.n
-        else:
-            classes[r.lang][CLASSES.index(r.key)] = r.n
-    least = F.lit(max(1.0, COMMON * in_all[None]))
-    for name in own:
-        least = F.when(F.col("lang") == name, max(1.0, COMMON * in_all[name])).otherwise(least)
-    common = defaultdict(dict)
-    for r in _count(df, text, group, _count_words).where(F.col("n") >= least).collect():
-        common[r.lang][r.key] = r.n
-    return {name: (classes[name], common[name], in_all[name]) for name in classes}
+    of = {k: F.coalesce(F.sum(F.when(F.col("key") == k, F.col("n"))), F.lit(0)) for k in [*CLASSES, "words"]}
+    whole = first.groupBy("lang").agg(F.array(*[of[k] for k in CLASSES]).alias("classes"), of["words"].alias("words"))
+    totals = first.where((F.col("key") == "words") & F.col("lang").isNotNull()).select("lang", F.col("n").alias("words"))
+    counted = _count(df.where(lang.isNotNull()), text, lang, _count_words).join(broadcast_if_small(totals), "lang")
+    common = counted.where(F.col("n") >= F.greatest(F.lit(1.0), COMMON * F.col("words"))).groupBy("lang").agg(
+        F.array_sort(F.collect_list(F.struct(F.col("key").alias("word"), "n"))).alias("common")
+    )
+    none = F.array().cast(common.schema["common"].dataType)
+    rows = whole.join(common, "lang", "left").select("lang", "classes", F.coalesce("common", none).alias("common"), "words")
+    return References(saved(rows, "quality-references"))
+
+
+def _ready(told: str) -> tuple[np.ndarray, dict, np.ndarray]:
+    """Class histogram, place of each common word, and their counts with the rest at the end."""
+    ref = json.loads(told)
+    index = {x["word"].encode("utf-8"): i for i, x in enumerate(ref["common"])}
+    shares = np.array([x["n"] for x in ref["common"]], float)
+    return np.array(ref["classes"], float), index, np.append(shares, max(0.0, ref["words"] - shares.sum()))
 
 
 def judge(
-    df: DataFrame, references: dict, keep: list[str], text: str = "text", lang: str = "lang", *, min_words: int = 50,
+    df: DataFrame, references: References, keep: list[str], text: str = "text", lang: str = "lang", *, min_words: int = 50,
     max_repeated: float = 0.5, min_chars: int = 200, max_class: float = MAX_CLASS, max_word: float = MAX_WORD,
+    min_reference: int = MIN_REFERENCE,
 ) -> DataFrame:
     """Add the counts, both distances, ``base_failed`` and ``kept`` to the columns ``keep``.
 
     ``class_distance`` is null below ``min_chars`` characters, ``word_distance`` below
-    ``min_words`` words or where the reference has no common words. A document is kept if it
+    ``min_words`` words or where the reference has no common words; both are null where the
+    language is null or has fewer than ``min_reference`` words. A document is kept if it
     passes the base rules (``min_words`` words, at most ``max_repeated`` of them in repeated
     windows) and no distance is above its limit.
     """
+    usable = references.table.where(F.col("lang").isNotNull() & (F.col("words") >= min_reference)).select(
+        F.col("lang").alias("_of"), F.to_json(F.struct("classes", "common", "words")).alias("_told")
+    )
+    size = usable.agg(F.sum(F.octet_length("_of") + F.octet_length("_told") + F.lit(16).cast("long"))).first()[0] or 0
+    sent = {r["_of"]: r["_told"] for r in usable.collect()} if size <= REFERENCE_BYTES else None
 
     def make():
         kind = class_of_byte()
-        refs = {}
-        for name, (classes, common, total) in references.items():
-            index = {w.encode("utf-8"): i for i, w in enumerate(sorted(common))}
-            shares = np.array([common[w] for w in sorted(common)], float)
-            refs[name] = classes, index, np.append(shares, max(0.0, total - shares.sum()))
+        refs = {name: _ready(told) for name, told in (sent or {}).items()}
         nothing = np.zeros(len(CLASSES)), {}, np.zeros(1)
 
+        def reference(name, told):
+            if told is not None and name not in refs:
+                if len(refs) >= REMEMBERED:
+                    refs.clear()
+                refs[name] = _ready(told)
+            return refs.get(name, nothing)
+
         def func(rows):
             out = []
             for row in rows:
@@ -209,7 +256,7 @@ def judge(
                 words = raw.split()
                 by_byte = byte_counts(raw)
                 chars, symbols, lines, repeated = base_counts(value, words, by_byte)
-                classes, index, shares = refs.get(name) or refs.get(None) or nothing
+                classes, index, shares = reference(name, row["told"])
                 class_distance = word_distance = None
                 if len(value) >= min_chars and classes.sum():
                     class_distance = js_distance(class_counts(by_byte, kind), classes)
@@ -225,7 +272,11 @@ def judge(
 
         return func
 
-    both = df.withColumn("_judged", F.struct(F.col(f"`{text}`").alias("text"), F.col(f"`{lang}`").cast("string").alias("lang")))
+    named = F.col(f"`{lang}`").cast("string")
+    if sent is None:
+        df = df.join(usable, named == F.col("_of"), "left")
+    told = F.lit(None).cast("string") if sent is not None else F.col("_told")
+    both = df.withColumn("_judged", F.struct(F.col(f"`{text}`").alias("text"), named.alias("lang"), told.alias("told")))
     return map_texts(
         both, "_judged", keep, make,
         "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, "

@@ -80,6 +80,33 @@ def test_quality_references_and_distances(spark):
     assert out[100].class_distance is None and out[100].word_distance is None
 
 
+@pytest.mark.parametrize("limit", [quality_rules.REFERENCE_BYTES, 0])  # sent to the tasks, joined by language
+def test_every_language_has_its_own_reference(spark, monkeypatch, limit):
+    monkeypatch.setattr(quality_rules, "REFERENCE_BYTES", limit)
+    monkeypatch.setattr(quality_rules, "CHUNK_LANGS", 3)
+    monkeypatch.setattr(quality_rules, "REMEMBERED", 2)
+    good = "the cat sat on the mat and the dog ran to the door of the old house " * 8
+    texts = [(f"{good} {i}", "en") for i in range(3000)] + [(f"{good} {i}", None) for i in range(40)]
+    for n, lang in enumerate(["zh", "ja", "ko", "ru"]):  # each less than a hundredth of the words
+        at = 0x4E00 + 40 * n
+        texts += [(" ".join(chr(at + (i + j) % 11) * 9 for j in range(60)), lang) for i in range(25)]
+    texts += [(good + "zz## " * 40, "few"), ("zz## || QQ " * 60, None), ("zz## || QQ " * 60, "zh")]
+    docs = spark.createDataFrame([(i, t, lang, "x") for i, (t, lang) in enumerate(texts)], "doc_id long, text string, lang string, words string")
+    refs = quality_rules.language_references(docs)
+    assert set(refs) == {"en", None, "zh", "ja", "ko", "ru", "few"} and refs["few"][2] == 176
+    for lang in ("zh", "ru"):
+        held = [t for t, name in texts if name == lang]
+        assert refs[lang][0][quality_rules.CLASSES.index("other")] == sum(ord(c) > 127 for t in held for c in t)
+        assert refs[lang][2] == sum(len(t.split()) for t in held) < 0.01 * 3000 * 137
+    out = {r.doc_id: r for r in quality_rules.judge(docs, refs, ["doc_id", "lang", "words"], max_repeated=1.0).collect()}
+    assert len(out) == len(texts) and all(r.words == "x" for r in out.values())
+    for i, (_, lang) in enumerate(texts[:-1]):
+        assert out[i].kept, (i, lang, out[i])
+        assert (out[i].class_distance is None) == (out[i].word_distance is None) == (lang in (None, "few"))
+    last = out[len(texts) - 1]
+    assert not last.kept and last.class_distance > quality_rules.MAX_CLASS
+
+
 def test_js_distance():
     assert quality_rules.js_distance(np.array([1, 1.0]), np.array([2, 2.0])) == 0
     assert quality_rules.js_distance(np.array([1, 0.0]), np.array([0, 3.0])) == pytest.approx(1)
