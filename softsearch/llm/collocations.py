@@ -22,18 +22,20 @@ other columns, whatever their names, are not read.
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from softsearch.llm.common import saved, table
 from softsearch.operators.ranking import top_per_group
 
-#: Words that a worker counts at a time; distinct words that it remembers, over all languages.
-CHUNK_WORDS = 1 << 20
-VOCABULARY = 400_000
+#: Words of a block of texts, and distinct words, that a worker counts before it passes the counts on.
+BLOCK_WORDS = 1 << 19
+DISTINCT_WORDS = 200_000
 #: Rows of a batch that become Python objects at a time.
 ROWS = 256
 #: The bitmap has 2 ** BITS places.
@@ -42,7 +44,6 @@ BITS = 26
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BREAK = b"\xff"
 
-_GRAMS = "lang string, words array<string>, n long"
 _STREAM = "lang string, words array<string>, n long, heads array<long>, ends array<long>, ext long, ghost boolean"
 
 
@@ -53,22 +54,10 @@ def pieces(raw: bytes) -> list[bytes]:
     return plain.replace(BREAK, b" " + BREAK + b" ").split()
 
 
-class Vocabulary(dict):
-    """Numbers of words as they come, with a hash for each; 0 is the break."""
-
-    def __init__(self, lang: str):
-        super().__init__({BREAK: 0})
-        self.seed, self.words, self.hashes = zlib.crc32(lang.encode()), [b""], [0]
-
-    def __missing__(self, word: bytes) -> int:
-        self[word] = number = len(self.words)
-        self.words.append(word)
-        self.hashes.append(zlib.crc32(word, self.seed))
-        return number
-
-
 def places(hashes: list[np.ndarray]) -> np.ndarray:
     """Place in the bitmap of phrases, given the hashes of their first, second, ... words."""
+    if len(hashes) == 1:
+        return hashes[0] & np.uint64((1 << BITS) - 1)
     h = np.zeros(len(hashes[0]), np.uint64)
     for x in hashes:
         h = (h ^ x) * np.uint64(0x9E3779B97F4A7C15)
@@ -76,73 +65,119 @@ def places(hashes: list[np.ndarray]) -> np.ndarray:
     return (h * np.uint64(0xBF58476D1CE4E5B9)) >> np.uint64(64 - BITS)
 
 
-def _lists(words: pa.Array, sizes: np.ndarray) -> pa.Array:
-    return pa.ListArray.from_arrays(pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32()), words)
+class Vocabulary(dict):
+    """Numbers and hashes of the words that may be frequent; breaks and all other words have
+    number 0 and, as they seldom come again, are not remembered."""
 
+    def __init__(self, lang: str, frequent: bytes):
+        super().__init__({BREAK: 0})
+        self.seed, self.frequent, self.words, self.hashes = zlib.crc32(lang.encode()), frequent, [b""], [0]
 
-def _counted(lang: str, known: Vocabulary, ids: np.ndarray, size: int, bitmap: np.ndarray | None) -> pa.RecordBatch | None:
+    def __missing__(self, word: bytes) -> int:
+        h = zlib.crc32(word, self.seed)
+        at = h & ((1 << BITS) - 1)
+        if not self.frequent[at >> 3] >> (at & 7) & 1:
+            return 0
+        self[word] = number = len(self.words)
+        self.words.append(word)
+        self.hashes.append(h)
+        return number
+
+
+def _phrases(lang: str, known: Vocabulary, ids: np.ndarray, size: int, bitmap: np.ndarray) -> tuple[pa.Array, np.ndarray] | None:
     """The phrases of ``size`` words of a block and how often they stand there."""
-    words = pa.array(known.words, pa.binary()).cast(pa.string())
-    if size == 1:
-        counts = np.bincount(ids, minlength=len(known.words))
-        counts[0] = 0
-        found = np.flatnonzero(counts)
-        lists = _lists(words.take(pa.array(found)), np.append(np.ones(len(found), int), 0))
-        counts = np.append(counts[found], counts.sum())  # with the empty phrase at the end
-    else:
-        hashes, inner = np.array(known.hashes, np.uint64)[ids], size - 1
-        n = len(ids) - inner + 1
-        if n < 2:
-            return None
-        at = places([hashes[j : n + j] for j in range(inner)])
-        may = (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
-        for j in range(inner):
-            may &= ids[j : n + j] > 0
-        rows = np.flatnonzero(may[:-1] & may[1:])[:, None] + np.arange(size)
-        if not len(rows):
-            return None
-        rows = ids[rows]
-        key = rows[:, 0]
-        for j in range(1, size):
-            if j > 1:
-                key = np.unique(key, return_inverse=True)[1]
-            key = key * len(known.words) + rows[:, j]
-        _, first, counts = np.unique(key, return_index=True, return_counts=True)
-        lists = _lists(words.take(pa.array(rows[first].ravel())), np.full(len(first), size))
-    return pa.RecordBatch.from_arrays([pa.array([lang] * len(counts), pa.string()), lists, pa.array(counts, pa.int64())], names=["lang", "words", "n"])
-
-
-def count_phrases(df: DataFrame, size: int, bitmap: np.ndarray | None) -> DataFrame:
-    """``lang, words, n`` of phrases of ``size`` words in ``df(lang, text)``, text as bytes."""
+    inner = size - 1
+    n = len(ids) - inner + 1
+    hashes = np.array(known.hashes, np.uint64)[ids]
+    at = places([hashes[j : n + j] for j in range(inner)])
+    may = (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 > 0
+    for j in range(inner):
+        may &= ids[j : n + j] > 0
+    rows = np.flatnonzero(may[:-1] & may[1:])
+    if not len(rows):
+        return None
+    rows = ids[rows[:, None] + np.arange(size)]
+    key = rows[:, 0]
+    for j in range(1, size):
+        if j > 1:
+            key = np.unique(key, return_inverse=True)[1]
+        key = key * len(known.words) + rows[:, j]
+    _, first, counts = np.unique(key, return_index=True, return_counts=True)
+    words = pa.array(known.words, pa.binary()).cast(pa.string()).take(pa.array(rows[first].ravel()))
+    lists = pa.ListArray.from_arrays(pa.array(np.arange(len(first) + 1) * size, pa.int32()), words)
+    return pc.binary_join(lists, " "), counts
+
+
+def _batch(phrases: pa.Array, counts: np.ndarray, lang: str) -> pa.RecordBatch:
+    keys = pc.binary_join_element_wise(phrases, lang, "\t")  # no word holds a tab
+    return pa.RecordBatch.from_arrays([keys, pa.array(counts, pa.int64())], names=["key", "n"])
+
+
+def _texts(batches):
+    for whole in batches:
+        for at in range(0, whole.num_rows, ROWS):
+            batch = whole.slice(at, ROWS)
+            yield from zip(batch.column(0).to_pylist(), batch.column(1).to_pylist())
+
+
+def _count_words(batches):
+    counts: dict[str, Counter] = {}
+
+    def rows():
+        for lang, c in counts.items():
+            c.pop(BREAK, None)
+            total = sum(c.values())
+            if total:
+                c[b""] = total  # the empty phrase
+                yield _batch(pa.array(list(c), pa.binary()).cast(pa.string()), np.fromiter(c.values(), np.int64, len(c)), lang)
+        counts.clear()
+
+    held = 0
+    for lang, raw in _texts(batches):
+        c = counts.setdefault(lang, Counter())
+        held -= len(c)
+        c.update(pieces(raw))
+        held += len(c) + 1
+        if held >= DISTINCT_WORDS:
+            yield from rows()
+            held = 0
+    yield from rows()
+
+
+def count_phrases(df: DataFrame, size: int, frequent: np.ndarray | None, bitmap: np.ndarray | None) -> DataFrame:
+    """``lang, words, n`` of phrases of ``size`` words in ``df(lang, text)``, text as bytes.
+    Those of several words are counted only where all words lie in the bitmap ``frequent``, and
+    both phrases of ``size - 1`` words in ``bitmap``."""
+    told = None if frequent is None else frequent.tobytes()
 
     def run(batches):
         known, blocks, held = {}, {}, 0
 
         def rows():
             for lang, ids in blocks.items():
-                out = _counted(lang, known[lang], np.concatenate(ids), size, bitmap)
+                out = _phrases(lang, known[lang], np.concatenate([*ids, np.zeros(size, np.int64)]), size, bitmap)
                 if out is not None:
-                    yield out
+                    yield _batch(*out, lang)
             blocks.clear()
-            if sum(map(len, known.values())) > VOCABULARY:
+            if sum(map(len, known.values())) > DISTINCT_WORDS:
                 known.clear()
 
-        for whole in batches:
-            for at in range(0, whole.num_rows, ROWS):
-                batch = whole.slice(at, ROWS)
-                for lang, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    if lang not in known:
-                        known[lang] = Vocabulary(lang)
-                    words = pieces(raw)
-                    words.append(BREAK)
-                    blocks.setdefault(lang, []).append(np.fromiter(map(known[lang].__getitem__, words), np.int64, len(words)))
-                    held += len(words)
-                    if held >= CHUNK_WORDS:
-                        yield from rows()
-                        held = 0
+        for lang, raw in _texts(batches):
+            if lang not in known:
+                known[lang] = Vocabulary(lang, told)
+            words = pieces(raw)
+            words.append(BREAK)
+            blocks.setdefault(lang, []).append(np.fromiter(map(known[lang].__getitem__, words), np.int64, len(words)))
+            held += len(words)
+            if held >= BLOCK_WORDS:
+                yield from rows()
+                held = 0
         yield from rows()
 
-    return df.mapInArrow(run, _GRAMS).groupBy("lang", "words").agg(F.sum("n").alias("n"))
+    counted = df.mapInArrow(_count_words if size == 1 else run, "key string, n long").groupBy("key").agg(F.sum("n").alias("n"))
+    phrase = F.substring_index("key", "\t", 1)
+    words = F.when(phrase == "", F.array().cast("array<string>")).otherwise(F.split(phrase, " "))
+    return counted.select(F.expr("substring(key, instr(key, '\t') + 1)").alias("lang"), words.alias("words"), "n")
 
 
 def frequent_places(level: DataFrame) -> np.ndarray:
@@ -176,12 +211,12 @@ def frequent_phrases(df: DataFrame, text: str, lang: str, max_words: int, min_co
         F.coalesce(F.col(f"`{lang}`").cast("string"), F.lit("und")).alias("lang"),
         F.coalesce(F.col(f"`{text}`"), F.lit("")).cast("binary").alias("text"),
     )
-    levels, bitmap = [], None
+    levels, bitmaps = [], [None]
     for size in range(1, max_words + 1):
-        counted = count_phrases(rows, size, bitmap).where((F.col("n") >= min_count) | (F.size("words") == 0))
+        counted = count_phrases(rows, size, bitmaps[min(size - 1, 1)], bitmaps[-1]).where((F.col("n") >= min_count) | (F.size("words") == 0))
         levels.append(saved(counted, f"phrases-{size}"))
         if size < max_words:
-            bitmap = frequent_places(levels[-1])
+            bitmaps.append(frequent_places(levels[-1]))
     whole = levels[0]
     for level in levels[1:]:
         whole = whole.unionByName(level)
