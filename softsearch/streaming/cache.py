@@ -8,13 +8,15 @@ from typing import Any
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.query import StreamingQuery
 from pyspark.sql.streaming.state import GroupStateTimeout
 
-from softsearch.config import DEFAULTS
+from softsearch.config import DEFAULTS, cut_lineage, scratch_path
 from softsearch.operators.fcm import FuzzyModel
-from softsearch.operators.semcache import log_rows, lru_step
+from softsearch.operators.semcache import extend, log_rows, lru_step, split_by_flush
+from softsearch.sources.commits import commit, data_folder, versions
 
 _STATE = "seq array<long>, access_time array<long>, b1 array<int>, b2 array<int>, vec array<double>"
 DECISIONS = "cache_id string, seq long, cache_hit boolean, matched_seq long, similarity double"
@@ -82,6 +84,74 @@ def stream_decisions(
     )
 
 
+# -- unbounded caches, batch by batch ------------------------------------------------
+
+_COMMIT = "version long, folder string"
+#: control rows of the log have a true ``flush`` and no vector
+LOG = "cache_id string, seq long, embedding array<float>, flush boolean"
+
+
+def _kept(spark: SparkSession, path: str, kind: str) -> DataFrame | None:
+    """All committed rows of a kind: ``decision``, ``entry`` or ``flush``."""
+    if not versions(spark, path):
+        return None
+    found = spark.read.schema(_COMMIT).json(f"{path}/commit/v-*.json").collect()  # a row per batch
+    folders = [f"{path}/{r.folder}/{kind}" for r in found]
+    return spark.read.parquet(*folders)
+
+
+def cached_stream(
+    log: DataFrame,
+    model: FuzzyModel,
+    path: str,
+    threshold: float = DEFAULTS.cache_threshold,
+    boundary: float = DEFAULTS.boundary,
+    checkpoint: str | None = None,
+) -> StreamingQuery:
+    """Answer a streaming log ``LOG``, in the order of ``seq`` from batch to batch, by caches
+    that store every miss until they are flushed.
+
+    A micro-batch of any size is decided by ``semcache.extend`` against the stored entries of
+    its caches, spread over tasks like a batch replay. Its decisions, new entries and flushes
+    are written to a folder of their own and become valid together by one version file that
+    can be made once: a batch that is delivered again, or that two drivers run at once, counts
+    once, and one that fails half-way not at all. The order within a batch doesn't matter, so
+    any split of the log into batches gives the decisions of ``replay``.
+    """
+    spark = log.sparkSession
+    checkpoint = checkpoint or scratch_path(spark, "stream")
+
+    def settle(batch: DataFrame, batch_id: int) -> None:
+        if batch_id + 1 in versions(spark, path):
+            return
+        rows = cut_lineage(batch.select("cache_id", "seq", "embedding", "flush"))
+        flushes = rows.where("flush").select("cache_id", "seq")
+        before = _kept(spark, path, "flush")
+        marks = flushes if before is None else before.unionByName(flushes)
+        asked = model.score(rows.where("NOT coalesce(flush, false)").drop("flush"))
+        step = extend(_kept(spark, path, "entry"), split_by_flush(asked, marks), threshold, boundary)
+        folder = data_folder()
+        for kind, part in (("decision", step.decisions), ("entry", step.added), ("flush", flushes)):
+            part.write.parquet(f"{path}/{folder}/{kind}")
+        commit(spark, path, batch_id + 1, [{"version": batch_id + 1, "folder": folder}])
+
+    return (
+        log.writeStream.foreachBatch(settle).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+
+
+def stored_decisions(spark: SparkSession, path: str) -> DataFrame:
+    """The decisions of all committed batches; stretches between flushes are caches ``name#n``."""
+    found = _kept(spark, path, "decision")
+    return spark.createDataFrame([], DECISIONS) if found is None else found
+
+
+def stored_entries(spark: SparkSession, path: str) -> DataFrame:
+    """``cache_id, seq`` of the entries of all stretches."""
+    found = _kept(spark, path, "entry")
+    return (spark.createDataFrame([], "cache_id string, seq long") if found is None else found).select("cache_id", "seq")
+
+
 def stream_stats(decisions: DataFrame) -> DataFrame:
     """Running hits and misses per cache over a stream of decisions."""
     return decisions.groupBy("cache_id").agg(

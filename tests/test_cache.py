@@ -112,8 +112,8 @@ def test_bucket_rows(spark):
 
 @pytest.mark.parametrize(
     "options",
-    [{}, {"block_rows": 25}, {"block_rows": 25, "max_bytes": 0, "tile_bytes": 8 * DIM * 16}],
-    ids=["one block", "blocks", "blocks and tiles"],
+    [{}, {"tail_rows": 0}, {"tail_rows": 20}, {"tail_rows": 0, "max_bytes": 0, "tile_bytes": 8 * DIM * 16}],
+    ids=["one task", "rounds", "rounds and a tail", "rounds and tiles"],
 )
 def test_unbounded_replay(spark, options):
     rows = random_log()
