@@ -3,8 +3,8 @@
 Rows of the searched table belong to the cell of their nearest pivot; of a cell are known its
 size, the largest distance of a row from its pivot and the largest squared norm. A query first
 searches the nearest cells that hold ``k`` rows together, which gives a lower bound of its k-th
-similarity, and then exactly the cells that may hold more similar rows: for a row x of a cell
-with pivot p, radius r and largest squared norm s
+similarity, and then the cells that may hold rows as similar as that: for a row x of a cell with
+pivot p, radius r and largest squared norm s
 
     q.x <= q.p + |q| r    and    q.x <= (|q|^2 + s - max(0, |q - p| - r)^2) / 2,
 
@@ -24,8 +24,10 @@ from pyspark.sql import types as T
 
 from softsearch.config import cut_lineage
 from softsearch.operators.fcm import to_matrix
-from softsearch.operators.similarity import Rule, best, similarity_topk
+from softsearch.operators.similarity import similarity_topk
 
+#: rows per pivot aimed at
+CELL_ROWS = 512
 #: pivots at most: their vectors, and a row of distances to them per query, go to every task
 MAX_PIVOTS = 4096
 #: similarities are compared at 9 decimals, so a bound has to be exceeded by more than that
@@ -80,12 +82,12 @@ class Cells:
 
 def make_cells(rows: DataFrame, n_pivots: int | None = None) -> Cells | None:
     """Cells of ``rows(id, vec)``; None where there are no rows. The pivots are rows chosen by a
-    hash of their id, about the root of their number and ``MAX_PIVOTS`` at most; all rows count
-    for sizes and radii, summed in tasks."""
+    hash of their id, one for ``CELL_ROWS`` rows and ``MAX_PIVOTS`` at most; all rows count for
+    sizes and radii, summed in tasks."""
     n = rows.count()
     if n == 0:
         return None
-    wanted = n_pivots or max(1, min(MAX_PIVOTS, int(np.ceil(np.sqrt(n)))))
+    wanted = n_pivots or min(MAX_PIVOTS, -(-n // CELL_ROWS))
     chosen = rows.select(F.xxhash64("id").alias("h"), "id", "vec").orderBy("h", "id").limit(wanted).collect()
     pivots = np.unique(np.array([r.vec for r in chosen], dtype=np.float64), axis=0)
 
@@ -111,40 +113,35 @@ def make_cells(rows: DataFrame, n_pivots: int | None = None) -> Cells | None:
     return Cells(pivots, size, radius, square)
 
 
-def _visits(left: DataFrame, cells: Cells, k: int, rest: bool) -> DataFrame:
-    """The queries with the cells that they search: the nearest, or the ``rest`` of those that
-    the k-th similarity found there (``floor``, null where fewer were found) leaves."""
-
-    def of_block(x: np.ndarray, floor: np.ndarray) -> list[np.ndarray]:
-        near = cells.nearest(x, k)
-        if not rest:
-            return near
-        may = cells.possible(x, floor)
-        for row, seen in enumerate(near):
-            may[row, seen] = False
-        return [np.flatnonzero(row) for row in may]
+def _visits(left: DataFrame, cells: Cells, k: int) -> DataFrame:
+    """The queries with the cells that they search: without a column ``floor`` the nearest, else
+    all that may hold rows as similar as that (all cells where it is null)."""
+    bounded = "floor" in left.columns
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
     def names(vec: pa.Array, floor: pa.Array) -> pa.Array:
         x, low = to_matrix(vec), floor.fill_null(-np.inf).to_numpy(zero_copy_only=False)
-        found = [row for i in range(0, len(x), BLOCK) for row in of_block(x[i : i + BLOCK], low[i : i + BLOCK])]
+        found = []
+        for i in range(0, len(x), BLOCK):
+            block = x[i : i + BLOCK]
+            found += [np.flatnonzero(row) for row in cells.possible(block, low[i : i + BLOCK])] if bounded else cells.nearest(block, k)
         return pa.array([[str(c) for c in row] for row in found], pa.list_(pa.string()))
 
-    floor = F.col("floor") if rest else F.lit(None).cast("double")
-    return left.withColumn("keys", names("vec", floor)).where(F.size("keys") > 0).select("id", "vec", "ord", "keys")
+    floor = F.col("floor") if bounded else F.lit(None).cast("double")
+    return left.withColumn("keys", names("vec", floor)).select("id", "vec", "ord", "keys")
 
 
 def bounded_topk(left: DataFrame, right: DataFrame, k: int, cells: Cells | None = None, **join_options) -> DataFrame:
-    """As ``similarity_topk`` over all pairs, the columns ``keys`` of both sides not read."""
-    left, right = cut_lineage(left.select("id", "vec", "ord")), right.select("id", "vec", "ord")
+    """As ``similarity_topk`` over all pairs, the columns ``keys`` of both sides not read. Both
+    sides are read several times: give rows that are stored or cheap to compute."""
+    left, right = left.select("id", "vec", "ord"), right.select("id", "vec", "ord")
     cells = cells or make_cells(right)
+    options = {"prefer_small": "left", "unique_pairs": True, **join_options}
     if cells is None:
         none = F.array().cast("array<string>")
-        return similarity_topk(left.withColumn("keys", none), right.withColumn("keys", none), k, unique_pairs=True, **join_options)
+        return similarity_topk(left.withColumn("keys", none), right.withColumn("keys", none), k, **options)
     filed = cells.keys(right).select("id", "vec", "ord", "keys")
-    options = {"prefer_small": "left", "unique_pairs": True, **join_options}
-    first = cut_lineage(similarity_topk(_visits(left, cells, k, False), filed, k, **options))
+    first = similarity_topk(_visits(left, cells, k), filed, k, **options)
     floors = first.where(F.col("rank") == k).select(F.col("left_id").alias("id"), F.col("similarity").alias("floor"))
-    more = cut_lineage(_visits(left.join(floors, "id", "left"), cells, k, True))
-    second = similarity_topk(more, filed, k, **options)
-    return best(first.unionByName(second).drop("rank"), Rule(k, unique=True))
+    bounded = left.join(floors, "id", "left").select("id", "vec", "ord", "floor")
+    return similarity_topk(cut_lineage(_visits(bounded, cells, k)), filed, k, **options)

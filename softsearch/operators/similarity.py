@@ -126,6 +126,13 @@ def _winners(left: Side, right: Side, rule: Rule) -> dict[str, np.ndarray]:
     if not parts:
         return _EMPTY
     r, c, s, g = (np.concatenate(x) for x in zip(*parts))
+    if rule.k > 1:  # places are in tie-break order, so all but the winners are dropped by number
+        at = np.lexsort((c, g, -s, r))
+        if not rule.unique:  # of a pair the first is the best
+            _, first = np.unique(r[at] * len(right.ids) + c[at], return_index=True)
+            at = at[np.sort(first)]
+        at = at[np.arange(len(at)) - np.searchsorted(r[at], r[at], side="left") < rule.k]
+        r, c, s, g = r[at], c[at], s[at], g[at]
     return _trim({"l": left.ids[r], "r": right.ids[c], "s": s, "g": g, "o": right.ord[c]}, rule)
 
 
@@ -170,7 +177,7 @@ def _take_small(df: DataFrame, max_bytes: int) -> pa.Table | None:
     return df.toArrow()
 
 
-def best(pairs: DataFrame, rule: Rule) -> DataFrame:
+def _best(pairs: DataFrame, rule: Rule) -> DataFrame:
     """Final ranking of the winners of all tasks."""
     if rule.k > 1 and not rule.unique:
         pairs = pairs.groupBy("left_id", "right_id").agg(
@@ -277,10 +284,10 @@ def similarity_topk(
         if small is None:
             continue
         if side == "left":
-            return best(_scan_right(small, right, rule), rule)
+            return _best(_scan_right(small, right, rule), rule)
         pairs = _scan_left(left, small, rule)
         if k == 1:  # one batch saw all of the right side: already final
             return pairs.withColumn("rank", F.lit(1))
-        return best(pairs, rule)
+        return _best(pairs, rule)
     width = left.select(F.size("vec")).first()[0]
-    return best(_tiled(left, right, rule, max(1, tile_bytes // (8 * width))), rule)
+    return _best(_tiled(left, right, rule, max(1, tile_bytes // (8 * width))), rule)

@@ -82,7 +82,8 @@ def test_bounded_search_equals_brute_force(spark, options):
     groups = rng.normal(size=(12, DIM)) * 3
     x = np.vstack([groups[rng.integers(0, 12, 400)] + 0.2 * rng.normal(size=(400, DIM)), np.tile(groups[3], (150, 1)), np.zeros((2, DIM))])
     q = np.vstack([x[:30], rng.normal(size=(20, DIM)), np.zeros((1, DIM))])
-    found = pivots.bounded_topk(side(spark, q, range(len(q))), side(spark, x, range(len(x))), 7, **options).collect()
+    rows = side(spark, x, range(len(x)))
+    found = pivots.bounded_topk(side(spark, q, range(len(q))), rows, 7, pivots.make_cells(rows, 30), **options).collect()
     got = {(r.left_id, r["rank"]): (r.right_id, round(r.similarity, 9)) for r in found}
     sims = np.round(q @ x.T, 9)
     for i, row in enumerate(sims):
