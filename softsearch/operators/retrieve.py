@@ -96,12 +96,15 @@ def knn_by_cluster(
     order: str | None = None,
     exclude_self: bool = False,
     include: Sequence[str] = (),
+    lists: DataFrame | None = None,
     **join_options: Any,
 ) -> DataFrame:
     """The ``k`` nearest rows among those filed in the query's best ``n_probe`` clusters.
 
     ``queries`` carries ``membership``. With ``fallback``, a query none of whose clusters
-    holds a row searches everything; a cluster with few rows gives few results.
+    holds a row searches everything; a cluster with few rows gives few results. ``lists`` is
+    the same table laid out by cluster (``vector_table.write_lists``): the clusters that the
+    queries search then prune its folders while the plan runs.
     """
     wanted = F.transform(F.slice(ranked("membership"), 1, n_probe), lambda r: r["cluster"])
     filled = [r[0] for r in table.select("dominant_cluster").distinct().collect()]  # one row per cluster
@@ -110,10 +113,11 @@ def knn_by_cluster(
     names = F.transform(present, lambda c: c.cast("string"))
     asked = cut_lineage(queries.select(query_id, "embedding", names.alias("_clusters")))  # scored once
     left = search_side(asked.where(F.size("_clusters") > 0), query_id, F.col("_clusters"))
-    used = {r[0] for r in left.select(F.explode("keys")).distinct().collect()}  # one row per cluster
-    rows = table
-    if len(used) < len(filled):  # reaches the scan: pruned or pushed down
-        rows = table.where(F.col("dominant_cluster").isin(sorted(int(c) for c in used)))
+    used = left.where(F.size("keys") > 0).select(F.explode(F.col("keys").cast("array<int>")).alias("dominant_cluster")).distinct()
+    if lists is not None:
+        rows = lists.join(F.broadcast(used), "dominant_cluster", "left_semi")  # one row per cluster
+    else:  # reaches the scan of the keyed table: pushed down
+        rows = table.where(F.col("dominant_cluster").isin(sorted(r[0] for r in used.collect())))
     pairs = similarity_topk(
         left, search_side(rows, key, F.array(F.col("dominant_cluster").cast("string")), order), k + exclude_self,
         prefer_small="left", unique_pairs=True, **join_options,

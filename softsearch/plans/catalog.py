@@ -22,6 +22,7 @@ from softsearch.operators.embed import embed, embed_pairs
 from softsearch.operators.sampling import sample_fixed
 from softsearch.plans.answer import answer_queries, reject_reason
 from softsearch.plans.prepare import build_vector_table, prepare
+from softsearch.plans.report import report_rows
 from softsearch.sources import corpus, vector_table
 from softsearch.sources.model_store import load_model, save_model
 from softsearch.streaming import cache as stream_cache
@@ -630,6 +631,20 @@ def text_pair_similarity(spark, sf):
     return found.select("conv_id", "turn", F.round("similarity", 6).alias("similarity"))
 
 
+#: sections of the report: the query whose rows they hold, and their keys
+REPORT = {
+    "k_selection": ("select_k", ["k"]), "fuzziness": ("m_sweep", ["m"]), "cluster_terms": ("cluster_top_terms", ["cluster", "rank"]),
+    "cluster_categories": ("cluster_top_categories", ["cluster", "rank"]), "boundary_examples": ("boundary_examples", ["vec_id"]),
+    "thresholds": ("threshold_sweep", ["threshold"]),
+}
+
+
+@query
+def analysis_report(spark, sf):
+    sections = {section: QUERIES[source](spark, sf) for section, (source, _) in REPORT.items()}
+    return report_rows(sections, {section: keys for section, (_, keys) in REPORT.items()})
+
+
 # -- streams ------------------------------------------------------------------------
 
 

@@ -337,6 +337,32 @@ def _converged() -> str:
 
 
 def oracles() -> dict[str, str]:
+    found = _of_queries()
+    return found | {"analysis_report": _report(found)}
+
+
+#: of each section of the report the columns that are numbers, and the others
+_CELLS = {
+    "k_selection": ("silhouette davies_bouldin", "is_best"), "fuzziness": ("boundary_pct mean_entropy mean_top", ""),
+    "cluster_terms": ("n_docs score", "term"), "cluster_categories": ("label n", ""),
+    "boundary_examples": ("cluster1 mem1 cluster2 mem2", "snippet"),
+    "thresholds": ("true_hits n_same false_hits n_diff precision recall f1", ""),
+}
+
+
+def _report(found: dict[str, str]) -> str:
+    parts = []
+    for section, (source, keys) in c.REPORT.items():
+        key = " || '/' || ".join(f"{k}::VARCHAR" for k in keys)
+        numbers, texts = (names.split() for names in _CELLS[section])
+        for name in numbers + texts:
+            value, text = (f"{name}::DOUBLE", "NULL::VARCHAR") if name in numbers else ("NULL::DOUBLE", f"{name}::VARCHAR")
+            parts.append(f"SELECT '{section}' AS section, {key} AS key, '{name}' AS name, {value} AS value, {text} AS text FROM {section}")
+    ctes = ", ".join(f"{section} AS MATERIALIZED ({found[source]})" for section, (source, _) in c.REPORT.items())
+    return f"WITH {ctes}\n" + "\nUNION ALL ".join(parts)
+
+
+def _of_queries() -> dict[str, str]:
     return {
         "corpus_scan_subset": _sql(RAW, "SELECT src_id, text, label FROM raw WHERE src_id IN (SELECT doc_id FROM labels)"),
         "category_lookup": _sql(RAW, "SELECT src_id, label, category FROM raw"),

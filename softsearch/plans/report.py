@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from softsearch.config import cut_lineage
 from softsearch.functions.membership import dominant_cluster
@@ -53,6 +54,22 @@ def analyse(
     }
 
 
+def report_rows(sections: dict[str, DataFrame], keys: dict[str, list[str]]) -> DataFrame:
+    """The whole report as one table ``(section, key, name, value, text)``: a row for every cell
+    that is not a key; ``value`` holds numbers, ``text`` the rest."""
+    parts = []
+    for section, table in sections.items():
+        key = F.concat_ws("/", *[F.col(k).cast("string") for k in keys[section]])
+        cells = []
+        for f in table.schema:
+            if f.name not in keys[section]:
+                number = isinstance(f.dataType, T.NumericType)
+                value, text = (F.col(f.name), F.lit(None)) if number else (F.lit(None), F.col(f.name))
+                cells.append(F.struct(F.lit(f.name).alias("name"), value.cast("double").alias("value"), text.cast("string").alias("text")))
+        parts.append(table.select(F.lit(section).alias("section"), key.alias("key"), F.inline(F.array(*cells))))
+    return reduce(DataFrame.unionByName, parts)
+
+
 def write_report(sections: dict[str, DataFrame], path: str) -> None:
     """Each section as a JSON table below ``path``."""
     for name, table in sections.items():

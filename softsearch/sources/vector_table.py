@@ -159,6 +159,12 @@ def write_table(df: DataFrame, path: str, key: str = "doc_id", buckets: int = 64
         pass
 
 
+def write_lists(df: DataFrame, path: str, columns: tuple[str, ...] = ("doc_id", "embedding")) -> None:
+    """The vectors laid out for search beside the keyed table: a folder per cluster, of as many
+    files as its size asks for. Rewrite it after upserts that move documents."""
+    df.select("dominant_cluster", *columns).hint("rebalance", "dominant_cluster").write.mode("overwrite").partitionBy("dominant_cluster").parquet(path)
+
+
 def _stored(spark: SparkSession, path: str, pointers: list[Row]) -> DataFrame:
     held = [r for r in pointers if r.folder is not None]
     if not held:

@@ -123,6 +123,18 @@ def test_queries_that_fall_back_do_not_refile_the_table(spark):
         assert [got[100 + i, n] for n in (1, 2, 3)] == sorted(sims, key=lambda j: (-sims[j], j))[:3]
 
 
+def test_clusters_of_the_queries_prune_the_lists(spark, tmp_path):
+    rows = spark.createDataFrame([(i, direction(i), i % 4) for i in range(80)], "doc_id long, embedding array<float>, dominant_cluster int")
+    vector_table.write_lists(rows, str(tmp_path / "lists"))
+    lists = spark.read.parquet(str(tmp_path / "lists"))
+    asked = spark.createDataFrame([(100 + i, direction(200 + i), filed_under(i % 2)) for i in range(6)], "query_id long, embedding array<float>, membership array<double>")
+    found = retrieve.knn_by_cluster(asked, rows, 3, order="doc_id", lists=lists, fallback=False, max_bytes=0, tile_bytes=8 * DIM * 1000)
+    shown = found._jdf.queryExecution().toString()
+    assert "dynamicpruning" in shown.lower()
+    plain = retrieve.knn_by_cluster(asked, rows, 3, order="doc_id", fallback=False)
+    assert sorted(map(tuple, found.collect())) == sorted(map(tuple, plain.collect()))
+
+
 def test_index_covers_every_row_and_is_tuned_to_its_recall(spark, tmp_path):
     rng = np.random.default_rng(4)
     x = rng.normal(size=(3000, 16))
