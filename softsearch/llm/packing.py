@@ -28,13 +28,15 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from softsearch.llm.common import SLICE, table, worker_state
+from softsearch.llm.common import slices, table, worker_state
 
 CAPACITY = 1024
 #: Cost of a token, and of a pair of tokens of a piece (at 1,024 tokens both weigh the same).
 LINEAR, QUADRATIC = 1.0, 1 / 1024
 #: Tokens that a task packs at a time.
 WINDOW = 2_000_000
+#: Stands for no sequence in ``Cheapest``.
+NONE = (float("inf"), 0, 0)
 #: Distinct words whose tokens a worker remembers.
 REMEMBERED = 120_000
 
@@ -85,6 +87,50 @@ def encoder(name: str) -> Encoder:
     return state[name]
 
 
+class Cheapest:
+    """Open sequences ``[cost, tokens, id]`` in a heap for each room that is left, under a tree
+    of the least (cost, id) by ranges of room: the cheapest with room for n in log(capacity)."""
+
+    def __init__(self, sequences: list[list], capacity: int):
+        self.capacity = capacity
+        self.heaps: list[list] = [[] for _ in range(capacity + 1)]
+        self.size = 1 << capacity.bit_length()
+        self.tree: list[tuple] = [NONE] * (2 * self.size)
+        for seq in sequences:
+            self.add(seq)
+
+    def _renew(self, room: int) -> None:
+        heap, at = self.heaps[room], self.size + room
+        self.tree[at] = (heap[0][0], heap[0][1], room) if heap else NONE
+        while at > 1:
+            at >>= 1
+            self.tree[at] = min(self.tree[2 * at], self.tree[2 * at + 1])
+
+    def add(self, seq: list) -> None:
+        room = self.capacity - seq[1]
+        if room:
+            heapq.heappush(self.heaps[room], (seq[0], seq[2], seq))
+            if self.heaps[room][0][2] is seq:
+                self._renew(room)
+
+    def take(self, n: int) -> list | None:
+        """The cheapest sequence with room for ``n`` tokens, taken out."""
+        best, low, high = NONE, self.size + n, self.size + self.capacity + 1
+        while low < high:
+            if low & 1:
+                best = min(best, self.tree[low])
+                low += 1
+            if high & 1:
+                high -= 1
+                best = min(best, self.tree[high])
+            low, high = low >> 1, high >> 1
+        if best is NONE:
+            return None
+        seq = heapq.heappop(self.heaps[best[2]])[2]
+        self._renew(best[2])
+        return seq
+
+
 def place(lengths: list[int], open_: list[list], new: int, capacity: int = CAPACITY) -> tuple[list, list, int]:
     """Lay pieces of ``lengths`` into sequences; returns pieces ``(item, start, length,
     sequence, offset)``, the sequences still open ``[cost, tokens, id]`` and the next free id."""
@@ -106,23 +152,14 @@ def place(lengths: list[int], open_: list[list], new: int, capacity: int = CAPAC
     for _ in range(max(0, (sum(n for n, _ in rest) - room) // capacity)):  # all of them will be full
         open_.append([0.0, 0, new])
         new += 1
-    heap, homeless = [(s[0], s[2], s) for s in open_], []
-    heapq.heapify(heap)
+    cheapest, homeless = Cheapest(open_, capacity), []
     for n, item in rest:  # descending: a sequence without room for n may have room for later ones
-        aside = []
-        while heap and capacity - heap[0][2][1] < n:
-            aside.append(heapq.heappop(heap))
-            if len(aside) > 64:  # the cheapest are nearly full: the piece is cut below
-                break
-        if heap and capacity - heap[0][2][1] >= n:
-            seq = heapq.heappop(heap)[2]
-            put(item, lengths[item] - n, n, seq)
-            if seq[1] < capacity:
-                heapq.heappush(heap, (seq[0], seq[2], seq))
-        else:
+        seq = cheapest.take(n)
+        if seq is None:
             homeless.append((n, item))
-        for entry in aside:
-            heapq.heappush(heap, entry)
+            continue
+        put(item, lengths[item] - n, n, seq)
+        cheapest.add(seq)
     free = sorted((s for s in open_ if s[1] < capacity), key=lambda s: (s[1], s[2]))
     at = 0
     for n, item in homeless:
@@ -173,8 +210,8 @@ def pack(
             return pa.RecordBatch.from_pydict(columns)
 
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
+            for at, n in slices(whole.column(1)):
+                batch = whole.slice(at, n)
                 keys.append(batch.column(0))
                 for value in batch.column(1).to_pylist():
                     ids.append(np.array([*encode(value or ""), end_id], dtype="<u4"))
