@@ -119,7 +119,7 @@ def sketches(df: DataFrame, keep: list[str], text: str, size: int, seed: int, pe
                 keys = chained((by_band[:, i] for i in range(per_band)), np.arange(1, bands + 1, dtype=np.uint64))
                 rows.append((
                     len(items), hashlib.blake2b(items.tobytes(), digest_size=16).digest(), keys.astype("<u8").tobytes(),
-                    (least >> np.uint64(56)).astype(np.uint8).tobytes(),
+                    (mix(least) >> np.uint64(56)).astype(np.uint8).tobytes(),
                 ))
             return list(zip(*rows)) if rows else [[]] * 4
 
