@@ -107,7 +107,8 @@ def op7_chat_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(HOSTILE).alias("text"),
     )
     chats = format_chats(rows.unionByName(hostile))
-    said = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == "assistant"), lambda t: t["text"]), "")
+    shown = lambda x: F.substring("formatted", x["start"].cast("int") + 1, (x["end"] - x["start"]).cast("int"))
+    said = F.array_join(F.transform("loss_spans", lambda x: unescape_text(shown(x))), "")  # what the mask covers, read back
     return chats.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"),
         F.sha2(F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), ""), 256).alias("turns_sha256"),
