@@ -7,9 +7,9 @@ repositories share is a copied example; a value that few hold is taken for a liv
 Where the rows name no repository, the owners alone decide: one owner with any number of
 documents or copies holds a live value.
 
-``found`` has every candidate of every kind with a flag. ``spans`` has the base kinds, and of
-the further kinds, known token formats and other words of high entropy, those that are live;
-``copied_spans`` has all candidates of any kind that are not live.
+``found`` has every candidate of every kind with a flag, ``spans`` lists them all: the base kinds
+and the further ones, known token formats and other words of high entropy. ``copied_spans``
+lists those of any kind that are not live.
 
 Defined results: a null text counts as empty and has no spans; a null owner or repository is
 one owner or repository of its own; every row is reported once, repeated rows as often as
@@ -21,6 +21,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_left
 from collections import Counter
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -61,6 +62,28 @@ def base_spans(text: str) -> list[tuple[int, int, int, str]]:
     return sorted(found)
 
 
+class Taken:
+    """Stretches of a text, those of the base kinds joined where they touch, in order."""
+
+    def __init__(self, base: list):
+        self.starts, self.ends = [], []
+        for start, _, end, _ in base:
+            if self.ends and start < self.ends[-1]:
+                self.ends[-1] = max(self.ends[-1], end)
+            else:
+                self.starts.append(start)
+                self.ends.append(end)
+
+    def add(self, start: int, end: int) -> bool:
+        """Take a stretch if it is free."""
+        at = bisect_left(self.starts, end)  # those before begin before its end
+        if at and self.ends[at - 1] > start:
+            return False
+        self.starts.insert(at, start)
+        self.ends.insert(at, end)
+        return True
+
+
 def further_spans(text: str, base: list) -> list[tuple[int, int, int, str]]:
     """Candidates of the further kinds that do not touch a base span or one another."""
     found = []
@@ -77,11 +100,10 @@ def further_spans(text: str, base: list) -> list[tuple[int, int, int, str]]:
                 if classes == 3 and bits_per_char(value) >= 3.5:
                     found.append((at + m.start(), KINDS.index("entropy"), at + m.end(), value))
             at += len(word)
-    kept, taken = [], [(s, e) for s, _, e, _ in base]
+    kept, taken = [], Taken(base)
     for span in sorted(found, key=lambda x: (x[1], x[0])):
-        if all(span[2] <= s or span[0] >= e for s, e in taken):
+        if taken.add(span[0], span[2]):
             kept.append(span)
-            taken.append((span[0], span[2]))
     return kept
 
 
@@ -144,7 +166,7 @@ def scan(
         chosen = F.filter("found", wanted)
         return F.array_join(F.transform(chosen, lambda x: F.concat_ws(":", F.element_at(kinds, x["kind"] + 1), x["start"], x["end"])), ",")
 
-    spans = listed(lambda x: (x["kind"] < len(BASE)) | x["live"])
+    spans = listed(lambda x: F.lit(True))
     hits = docs.where(F.size("_cands") > 0).join(by_row, "_row", "left")
     none = docs.where(F.size("_cands") == 0).withColumn("found", F.lit(None).cast(by_row.schema["found"].dataType))
     whole = hits.unionByName(none).withColumn("found", F.coalesce("found", F.array().cast(by_row.schema["found"].dataType)))
