@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from softsearch.llm.common import SLICE, map_texts, saved, table
+from softsearch.llm.common import map_texts, saved, slices, table
 
 #: Buckets of word n-grams and of shape n-grams.
 WORD_BUCKETS, SHAPE_BUCKETS = 1 << 15, 1 << 12
@@ -83,8 +83,8 @@ def bucket_counts(df: DataFrame, text: str) -> np.ndarray:
     def run(batches):
         features, total = Features(), np.zeros(BUCKETS, np.int64)
         for batch in batches:
-            for at in range(0, batch.num_rows, SLICE):
-                found = [features(x) for x in batch.column(0).slice(at, SLICE).to_pylist()]
+            for at, n in slices(batch.column(0)):
+                found = [features(x) for x in batch.column(0).slice(at, n).to_pylist()]
                 total += np.bincount(np.concatenate(found), minlength=BUCKETS)
         used = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(used.astype(np.int32)), pa.array(total[used])], names=["bucket", "n"])

@@ -248,15 +248,15 @@ def judge(
                 refs[name] = _ready(told)
             return refs.get(name, nothing)
 
-        def func(rows):
+        def func(texts, langs, said):
             out = []
-            for row in rows:
-                value, name = row["text"] or "", row["lang"]
+            for value, name, told in zip(texts, langs, said):
+                value = value or ""
                 raw = value.encode("utf-8", "surrogatepass")
                 words = raw.split()
                 by_byte = byte_counts(raw)
                 chars, symbols, lines, repeated = base_counts(value, words, by_byte)
-                classes, index, shares = reference(name, row["told"])
+                classes, index, shares = reference(name, told)
                 class_distance = word_distance = None
                 if len(value) >= min_chars and classes.sum():
                     class_distance = js_distance(class_counts(by_byte, kind), classes)
@@ -276,11 +276,11 @@ def judge(
     if sent is None:
         df = df.join(usable, named == F.col("_of"), "left")
     told = F.lit(None).cast("string") if sent is not None else F.col("_told")
-    both = df.withColumn("_judged", F.struct(F.col(f"`{text}`").alias("text"), named.alias("lang"), told.alias("told")))
+    both = df.withColumns({"_lang": named, "_told": told})
     return map_texts(
-        both, "_judged", keep, make,
+        both, text, keep, make,
         "n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, class_distance double, "
-        "word_distance double, base_failed boolean, kept boolean",
+        "word_distance double, base_failed boolean, kept boolean", ["_lang", "_told"],
     )
 
 
