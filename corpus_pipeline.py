@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from softsearch.llm.common import saved, table
+from softsearch.llm.common import saved, scratch, table
 from softsearch.llm.importance import resample
 from softsearch.llm.minhash import near_duplicates
 from softsearch.llm.packing import pack
@@ -62,7 +62,11 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = table(spark, sf_dir, "documents")
+    rows, held = table(spark, sf_dir, "documents"), []
     for name, stage in STAGES[:-1]:
-        rows = saved(stage(spark, rows, sf_dir), name)
+        with scratch(spark) as written:  # ends with what the stage and the one before it have stored
+            rows = saved(stage(spark, rows, sf_dir), name)
+            last = written.pop()
+            written += held
+            held = [last]
     return STAGES[-1][1](spark, rows, sf_dir)
