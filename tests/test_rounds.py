@@ -3,6 +3,7 @@
 import threading
 
 import numpy as np
+import pandas as pd
 import pytest
 from conftest import CLUSTERS, DIM, direction, filed_under
 from pyspark.sql import functions as F
@@ -26,9 +27,6 @@ def test_one_cache_of_100_000_distinct_queries(spark):
     x = np.unique(x, axis=0)[rng.permutation(n)]
     centres = rng.normal(size=(k, DIM))
     model = fcm.FuzzyModel(centres / np.linalg.norm(centres, axis=1, keepdims=True), 1.2)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "20000")
-    import pandas as pd
-
     rows = spark.createDataFrame(pd.DataFrame({"seq": np.arange(n), "embedding": list(x)}), "seq long, embedding array<float>").repartition(8)
     log = model.score(rows.withColumn("cache_id", F.lit("one"))).select("cache_id", "seq", "embedding", "membership")
     run = sc.replay(log, threshold, None)
