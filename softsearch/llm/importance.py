@@ -1,10 +1,14 @@
 """Quality classifier by importance resampling.
 
 Two generative models over hashed n-grams, one of target text (documents labelled good) and
-one of raw text (all documents), give every document the log ratio of its probabilities.
-With Gumbel noise added, the ``k`` largest values are a sample without replacement in
-proportion to the ratios; ``k`` is the number of documents, of the whole table, whose ratio is
-at least the one that best parts the labelled documents into good ones and the rest.
+one of raw text (all documents), give every document the log ratio of its probabilities. N-grams of
+a text overlap and repeat, so they are no independent evidence, and the sum over a long text
+would drown any noise: a document counts as ``effective`` n-grams at most, and its log weight is
+the sum of the log ratios times ``min(1, effective / n_grams)``. With Gumbel noise added, the
+``k`` largest values are a sample without replacement in proportion to the weights. ``k`` is a
+number or a share of the table; by default it is the number of documents, of the whole table,
+whose weight is at least the one that best parts the labelled documents into good ones and the
+rest. Then the noise decides about documents near that weight, and about few others.
 
 N-grams are words and pairs of words in lower case, and pairs of word shapes (letters in
 upper and lower case, digits and other characters as runs, and whether a word repeats the one
@@ -20,6 +24,7 @@ the noise of its own hash; without labels everything is kept; an empty table giv
 
 from __future__ import annotations
 
+import math
 import re
 import zlib
 
@@ -37,6 +42,8 @@ BUCKETS = WORD_BUCKETS + SHAPE_BUCKETS
 MAX_LABELLED = 20_000
 #: Counts that pull the ratio of a bucket towards 1, so that rare n-grams decide little.
 SMOOTHING = 10.0
+#: N-grams that a document counts as at most.
+EFFECTIVE = 8.0
 #: What a good document that is lost costs, in documents of the rest that stay.
 LOSS = 4.0
 REMEMBERED = 200_000
@@ -136,12 +143,17 @@ def parting(weights: np.ndarray, good: np.ndarray) -> float:
 
 def resample(
     df: DataFrame, labels: DataFrame, keep: list[str], key: str = "doc_id", text: str = "text", label: str = "quality", *,
-    max_labelled: int = MAX_LABELLED, seed: int = 6,
+    k: int | None = None, share: float | None = None, effective: float = EFFECTIVE, max_labelled: int = MAX_LABELLED, seed: int = 6,
 ) -> DataFrame:
     """Add ``n_grams``, ``log_weight``, ``gumbel_score`` and ``kept`` to the columns ``keep``.
 
-    ``labels`` holds ``key`` and ``label``, 1 for target text and 0 for the rest.
+    ``labels`` holds ``key`` and ``label``, 1 for target text and 0 for the rest. ``k`` documents
+    are drawn, or ``share`` of all (rounded up); where both are left out, the labels decide.
     """
+    if k is not None and share is not None:
+        raise ValueError("give k or share, not both")
+    if not effective > 0 or (k is not None and k < 0) or (share is not None and not 0 <= share <= 1):
+        raise ValueError("effective has to be above 0, k at least 0, share between 0 and 1")
     known = labels.where(F.col(label).isNotNull() & F.col(key).isNotNull())
     known = known.groupBy(F.col(key).alias("_k")).agg((F.min(label) == 1).alias("_good"))
     part = min(1.0, 0.95 * max_labelled / max(1, known.count()))
@@ -159,7 +171,7 @@ def resample(
 
         def func(texts):
             found = [features(t) for t in texts]
-            return [[len(x) for x in found], [float(ratio[x].sum()) for x in found]]
+            return [[len(x) for x in found], [float(ratio[x].sum()) * min(1.0, effective / max(1, len(x))) for x in found]]
 
         return func
 
@@ -169,12 +181,17 @@ def resample(
     # only numbers are stored; the rows are scored again below rather than kept with their texts
     numbers = map_texts(src, text, ["_key", "_noise"], make, fields).select("_key", "log_weight", value.alias("gumbel_score"))
     scored = saved(numbers, "importance")
-    marked = scored.select("_key", "log_weight").join(sample.where(~fitting), F.col("_key") == F.col("_k"))
-    # a number for each labelled key: max_labelled at most
-    rows = marked.groupBy("_key").agg(F.min("log_weight").alias("w"), F.first("_good").alias("good")).collect()
-    good = np.array([r.good for r in rows], bool)
-    least = parting(np.array([r.w for r in rows]), good) if good.any() else float("-inf")
-    k = scored.where(F.col("log_weight") >= least).count()
+    if share is not None:
+        k = math.ceil(share * scored.count())
+    elif k is not None:
+        k = min(k, scored.count())
+    else:
+        marked = scored.select("_key", "log_weight").join(sample.where(~fitting), F.col("_key") == F.col("_k"))
+        # a number for each labelled key: max_labelled at most
+        rows = marked.groupBy("_key").agg(F.min("log_weight").alias("w"), F.first("_good").alias("good")).collect()
+        good = np.array([r.good for r in rows], bool)
+        least = parting(np.array([r.w for r in rows]), good) if good.any() else float("-inf")
+        k = scored.where(F.col("log_weight") >= least).count()
     limit = kth_largest(scored.select("gumbel_score"), "gumbel_score", k) if k else float("inf")
     again = map_texts(src, text, [*keep, "_noise"], make, fields).withColumn("gumbel_score", value).drop("_noise")
     return again.withColumn("kept", F.col("gumbel_score") >= limit)

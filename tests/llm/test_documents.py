@@ -195,6 +195,79 @@ def test_importance_keeps_good_documents(spark, small):
     assert all(r.kept == (r.gumbel_score >= limit) for r in weights.values())
 
 
+def brute_buckets(text):
+    """Buckets of n-grams, word by word in plain integers."""
+    mask, golden = (1 << 64) - 1, importance.GOLDEN
+    one = [zlib.crc32(w.lower()) for w in (text or "").encode().split()]
+
+    def shape(word):
+        kinds = b"".join(b"A" if 65 <= c <= 90 else b"a" if 97 <= c <= 122 or c >= 128 else b"0" if 48 <= c <= 57 else bytes([c]) for c in word)
+        return zlib.crc32(re.sub(rb"(?s)(.)\1+", rb"\1\1", kinds))
+
+    shapes = [shape(w) for w in (text or "").encode().split()]
+    spread = lambda x, bits: ((x & mask) * golden & mask) >> (64 - bits)
+    out = [spread(x, 15) for x in one]
+    for i in range(len(one) - 1):
+        out.append(spread(one[i] * golden + one[i + 1], 15))
+        pair = (shapes[i] * importance.MIX_A + shapes[i + 1]) * importance.MIX_B + (one[i] == one[i + 1])
+        out.append((1 << 15) + spread(pair, 12))
+    return out
+
+
+def test_importance_weights_and_draw_match_brute_force(spark, small):
+    """Log weights, noise and kept set, from the labelled keys that the same rule picks."""
+    docs, labels = table(spark, small, "documents"), table(spark, small, "labels")
+    u = importance.uniform
+    noise = docs.select("doc_id", "text", u(F.col("doc_id"), 6).alias("n"), (u(F.col("doc_id"), 8) < 2 / 3).alias("fit"))
+    rows, good = noise.collect(), {r.doc_id: r.quality for r in labels.collect() if r.quality is not None}
+    # fewer labels than the bound: all but a twentieth of them, or all, may be sampled
+    part = min(1.0, 0.95 * importance.MAX_LABELLED / len(good))
+    assert part == 1.0
+    raw, target, found = Counter(), Counter(), {}
+    for r in rows:
+        found[r.doc_id] = brute_buckets(r.text)
+        raw.update(found[r.doc_id])
+        if good.get(r.doc_id) == 1 and r.fit:
+            target.update(found[r.doc_id])
+    scale = sum(target.values()) / sum(raw.values())
+    ratio = {b: math.log((target[b] + importance.SMOOTHING) / (n * scale + importance.SMOOTHING)) for b, n in raw.items()}
+    weight = {i: math.fsum(ratio[b] for b in x) * min(1, importance.EFFECTIVE / max(1, len(x))) for i, x in found.items()}
+    value = {r.doc_id: weight[r.doc_id] - math.log(-math.log(r.n)) for r in rows}
+    for given in ({}, {"k": 37}, {"share": 0.5}):
+        out = {r.doc_id: r for r in importance.resample(docs, labels, ["doc_id"], **given).collect()}
+        assert all(r.n_grams == len(found[i]) for i, r in out.items())
+        assert all(abs(r.log_weight - weight[i]) < 1e-7 and abs(r.gumbel_score - value[i]) < 1e-7 for i, r in out.items())
+        held = [i for i in weight if i in good and not next(r.fit for r in rows if r.doc_id == i)]
+        cuts = sorted({weight[i] for i in held} | {math.inf})
+        cost = lambda c: sum(importance.LOSS * (weight[i] < c) if good[i] == 1 else weight[i] >= c for i in held)
+        best = min(cuts, key=lambda c: (cost(c), c))
+        below = max((weight[i] for i in held if weight[i] < best), default=best)
+        n = given.get("k") or (math.ceil(len(rows) / 2) if given else sum(w >= (best + below) / 2 for w in weight.values()))
+        assert {i for i, r in out.items() if r.kept} == set(sorted(value, key=value.get, reverse=True)[:n])
+
+
+def test_importance_draws_in_proportion(spark):
+    """Over many seeds, rows are drawn as often as a draw without replacement by weight draws them."""
+    texts = ["good words here", "good words there", "bad stuff", "more bad stuff here"]
+    docs = spark.createDataFrame([(i, texts[i % 4]) for i in range(40)], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i % 4 < 2)) for i in range(40)], "doc_id long, quality int")
+    first = importance.resample(docs, labels, ["doc_id"], k=1, effective=2.0)
+    weight = {r.doc_id: math.exp(r.log_weight) for r in first.collect()}
+    total, keys = sum(weight.values()), spark.range(40)
+    seeds = range(6, 406)
+    draws = keys.select("id", *[(-F.log(-F.log(importance.uniform(F.col("id"), s)))).alias(f"s{s}") for s in seeds]).collect()
+    won = Counter(max(draws, key=lambda r: r[f"s{s}"] + math.log(weight[r.id])).id % 4 for s in seeds)
+    for kind in range(4):
+        p = sum(w for i, w in weight.items() if i % 4 == kind) / total
+        assert abs(won[kind] / 400 - p) < 5 * math.sqrt(p * (1 - p) / 400) + 1e-9
+    kept = [r.doc_id for r in first.collect() if r.kept]
+    assert kept == [max(draws, key=lambda r: r.s6 + math.log(weight[r.id])).id]
+    assert importance.resample(docs, labels, ["doc_id"], k=0).where("kept").count() == 0
+    assert importance.resample(docs, labels, ["doc_id"], k=100).where("kept").count() == 40
+    with pytest.raises(ValueError):
+        importance.resample(docs, labels, ["doc_id"], k=1, share=0.1)
+
+
 def test_importance_on_odd_rows(spark, odd, none, small):
     labels = table(spark, small, "labels")
     out = importance.resample(odd, labels, ["doc_id", "kept", "row"]).collect()
