@@ -374,6 +374,16 @@ def test_segmentations_of_odd_rows(spark, odd, none):
     assert sorted(map(repr, again)) == sorted(map(repr, out))
 
 
+def test_decode_gives_the_texts_back(spark, odd, none):
+    sampled = segment_sampling.sample_segmentations(odd, k=3).withColumn("text", F.lit("old"))
+    out = segment_sampling.decode(sampled, ["doc_id", "sample", "text"]).collect()
+    assert {(r.doc_id, r.text) for r in out} == {(r.doc_id, r.text or "") for r in odd.collect()}
+    pieces = [([], ""), (None, None), ([5, None], None), ([5, 10_000_000], None), ([-1], None)]
+    lists = spark.createDataFrame([(i, p) for i, (p, _) in enumerate(pieces)], "i int, ids array<int>")
+    assert [r.t for r in segment_sampling.decode(lists, ["i"], out="t").orderBy("i").collect()] == [t for _, t in pieces]
+    assert segment_sampling.decode(segment_sampling.sample_segmentations(none), ["doc_id"]).count() == 0
+
+
 def test_segmentations_round_trip(spark, small):
     docs = table(spark, small, "documents")
     out = segment_sampling.sample_segmentations(docs, with_ids=False)
