@@ -173,6 +173,56 @@ def test_overlapping_spans_are_redacted_once(spark):
     assert out.t == "é [SECRET] é [SECRET]"
 
 
+def test_distances_match_brute_force(spark, small):
+    """Character by character and word by word; the divergence from entropies."""
+    kinds = {**dict.fromkeys("aeiou", "v"), **dict.fromkeys("bcdfghjklmnpqrstvwxyz", "c"), **dict.fromkeys("0123456789", "d")}
+    kinds |= {**dict.fromkeys(" \t", "s"), **dict.fromkeys("\r\n", "l"), **dict.fromkeys(".,", "."), **dict.fromkeys(":;!?'\"()-", "m")}
+
+    def kind(c):
+        return kinds.get(c) or ("A" if "A" <= c <= "Z" else "o" if ord(c) > 127 else "x" if ord(c) < 32 or ord(c) == 127 else "y")
+
+    def bare(text):
+        found = (re.sub("[A-Z]", lambda m: m[0].lower(), w).strip(".,;:!?\"'()") for w in words(text))
+        return Counter(w for w in found if w)
+
+    def distance(p, q):
+        entropy = lambda x: -math.fsum(v * math.log2(v) for v in x.values() if v)
+        p, q = ({k: v / sum(x.values()) for k, v in x.items()} for x in (p, q))
+        middle = {k: (p.get(k, 0) + q.get(k, 0)) / 2 for k in {*p, *q}}
+        return math.sqrt(max(0.0, entropy(middle) - (entropy(p) + entropy(q)) / 2))
+
+    docs = table(spark, small, "documents")
+    texts = {r.doc_id: (r.lang, r.text or "") for r in docs.collect()}
+    classes, counts, totals = {}, {}, Counter()
+    for lang, text in texts.values():
+        classes.setdefault(lang, Counter()).update(map(kind, text))
+        counts.setdefault(lang, Counter()).update(bare(text))
+        totals[lang] += len(words(text))
+    common = {}
+    for lang, c in counts.items():
+        common[lang] = {w: n for w, n in c.items() if n >= quality_rules.COMMON * totals[lang]}
+        common[lang][None] = totals[lang] - sum(common[lang].values())
+    out = quality_rules.judge(docs, quality_rules.language_references(docs), ["doc_id"]).collect()
+    seen = 0
+    for r in out:
+        lang, text = texts[r.doc_id]
+        usable = lang is not None and totals[lang] >= quality_rules.MIN_REFERENCE
+        if usable and len(text) >= 200:
+            assert abs(r.class_distance - distance(Counter(map(kind, text)), classes[lang])) < 1e-5
+        else:
+            assert r.class_distance is None
+        if usable and len(words(text)) >= 50:
+            found = Counter()
+            for w, n in bare(text).items():
+                found[w if w in common[lang] else None] += n
+            assert abs(r.word_distance - (distance(found, common[lang]) if found else 1.0)) < 1e-5
+            seen += 1
+        else:
+            assert r.word_distance is None
+        assert r.kept == (not r.base_failed and (r.class_distance or 0) <= quality_rules.MAX_CLASS and (r.word_distance or 0) <= quality_rules.MAX_WORD)
+    assert seen > 50
+
+
 # importance resampling
 
 
