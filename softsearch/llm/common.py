@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import sys
 import types
 from collections.abc import Callable, Iterator, Sequence
@@ -55,6 +56,14 @@ def worker_state() -> dict:
     return sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state")).__dict__
 
 
+def give_back() -> None:
+    """Return memory that a task has freed to the system: workers and their allocators outlive tasks."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of glibc
+    if trim is not None:
+        trim(0)
+
+
 def slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
     """Start and length of parts of a batch of at most ``SLICE`` rows and ``SLICE_BYTES``, or of
     one row."""
@@ -96,6 +105,8 @@ def map_texts(
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(0), *(pa.array(c, type=k) for c, k in zip(columns, kinds))], names=names
                 )
+        func = None
+        give_back()
 
     schema = T.StructType([T.StructField("row", src.schema["row"].dataType), *fields.fields])
     return src.mapInArrow(run, schema).select("row.*", *fields.names)

@@ -8,8 +8,8 @@
    only, confirm it. Components of these links settle most of each bucket.
 3. Pairs of a bucket that are still in different components are compared inside tasks:
    by signature first, and those that pass by full sets, in the first band that they share.
-   Only links that join components leave a task. Buckets above ``TILE`` classes are cut
-   into tiles, and every two tiles meet in a task of their own.
+   Only links that join components leave a task. Buckets above ``TILE`` classes, or above
+   ``TILE_BYTES`` of sets, are cut into tiles, and every two tiles meet in a task of their own.
 4. Components again, by alternating large-star and small-star.
 
 No pair of copies is ever listed, and no partner is left out: a pair at the similarity limit
@@ -31,15 +31,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from softsearch.llm.common import SLICE, map_texts, saved, table
+from softsearch.llm.common import give_back, map_texts, saved, slices, table
 from softsearch.llm.components import components
 
 #: Hash functions at most, and chance at most that a pair at the limit shares no band.
 HASHES, MISS = 192, 1e-6
 #: Signatures agree in this many standard deviations less than the limit at least.
 DEVIATIONS = 5
-#: Classes of a bucket that a task compares with each other.
-TILE = 1024
+#: Classes of a bucket, and bytes of their sets on average, that a task compares with each other.
+TILE, TILE_BYTES = 1024, 16 << 20
 #: Bits of the filter that tells the second pass which documents to look at.
 FILTER_BITS = 1 << 23
 #: Distinct words whose hash a task remembers.
@@ -145,8 +145,8 @@ def full_sets(df: DataFrame, key: str, text: str, size: int, wanted: DataFrame)
     def run(batches):
         shingles = Shingles(size)
         for whole in batches:
-            for at in range(0, whole.num_rows, SLICE):
-                batch = whole.slice(at, SLICE)
+            for at, n in slices(whole.column("text")):
+                batch = whole.slice(at, n)
                 rows = []
                 for i, (k, b) in enumerate(zip(batch.column("k").to_pylist(), batch.column("b").to_pylist())):
                     if k in parts and parts[k][b >> 3] >> (b & 7) & 1:
@@ -155,6 +155,7 @@ def full_sets(df: DataFrame, key: str, text: str, size: int, wanted: DataFrame)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r[i] for r in rows], pa.binary()) for i in range(2)], names=["digest", "items"]
                 )
+        give_back()
 
     found = src.mapInArrow(run, "digest binary, items binary")
     return found.join(wanted.select("node", "digest"), "digest").select("node", "items").dropDuplicates(["node"])
@@ -228,9 +229,10 @@ def link_classes(nodes: DataFrame, sets_of, limit: int) -> DataFrame:
     band_keys = F.transform(
         F.sequence(F.lit(0), F.lit(banding(limit)[1] - 1)), lambda i: F.struct(i.alias("band"), F.substring("bands", i * 8 + 1, F.lit(8)).alias("key"))
     )
-    places = nodes.select("node", F.explode(band_keys).alias("p")).select("node", "p.band", "p.key")
-    buckets = places.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count("*").alias("many")).where("many > 1")
-    members = saved(places.join(buckets, ["band", "key"]), "minhash-members")
+    places = nodes.select("node", "n_shingles", F.explode(band_keys).alias("p")).select("node", "n_shingles", "p.band", "p.key")
+    tiles = F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n_shingles") * 8 / TILE_BYTES)).cast("int")
+    buckets = places.groupBy("band", "key").agg(F.min("node").alias("hub"), F.count("*").alias("many"), tiles.alias("tiles")).where("many > 1")
+    members = saved(places.drop("n_shingles").join(buckets, ["band", "key"]), "minhash-members")
     star = members.where("node <> hub").select(F.col("hub").alias("a"), F.col("node").alias("b")).distinct()
 
     def both(pairs, side, columns):
@@ -246,9 +248,8 @@ def link_classes(nodes: DataFrame, sets_of, limit: int) -> DataFrame:
     # what the stars left apart
     placed = members.where("many > 2").join(first, "node", "left").withColumn("root", F.coalesce("root", "node"))
     apart = placed.groupBy("band", "key").agg((F.min("root") != F.max("root")).alias("apart")).where("apart").select("band", "key")
-    tiles = F.ceil(F.col("many") / TILE).cast("int")
-    cell = F.pmod(F.xxhash64("node"), tiles).cast("int")
-    pair = F.transform(F.sequence(F.lit(0), tiles - 1), lambda o: F.struct(F.least(o, F.col("cell")).alias("low"), F.greatest(o, F.col("cell")).alias("high")))
+    cell = F.pmod(F.xxhash64("node"), "tiles").cast("int")
+    pair = F.transform(F.sequence(F.lit(0), F.col("tiles") - 1), lambda o: F.struct(F.least(o, F.col("cell")).alias("low"), F.greatest(o, F.col("cell")).alias("high")))
     tiled = (
         saved(placed, "minhash-placed").join(apart, ["band", "key"]).withColumn("cell", cell)
         .select("band", "key", "node", "root", "cell", F.explode(pair).alias("tile")).select("*", "tile.low", "tile.high").drop("tile")
