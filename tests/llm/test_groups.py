@@ -79,8 +79,9 @@ def test_minhash_matches_brute_force(spark, small):
     same(minhash.near_duplicates(docs, ["doc_id"], size=3, percent=85).collect(), brute_components(rows, 3, 85))
 
 
-def test_minhash_on_one_large_group_cut_into_tiles(spark, monkeypatch):
-    monkeypatch.setattr(minhash, "TILE", 16)
+@pytest.mark.parametrize("bound, value", [("TILE", 16), ("TILE_BYTES", 16_000)])
+def test_minhash_on_one_large_group_cut_into_tiles(spark, monkeypatch, bound, value):
+    monkeypatch.setattr(minhash, bound, value)
     rng = np.random.default_rng(8)
     base = [f"w{i}" for i in range(120)]
     rows = []
