@@ -649,9 +649,10 @@ def analysis_report(spark, sf):
 
 
 def _stream(spark, sf, name):
-    """A table as a file stream: its folder, filtered by name."""
+    """A table as a file stream, be it one file or a folder of them: a pattern that only its name
+    fits, as a stream refuses the plain path of a file."""
     schema = table(spark, sf, name).schema
-    return spark.readStream.schema(schema).option("pathGlobFilter", f"{name}.parquet").parquet(sf)
+    return spark.readStream.schema(schema).parquet(f"{sf}/[{name[0]}]{name[1:]}.parquet")
 
 
 def _streamed_decisions(spark, sf, max_size):

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from softsearch.operators import semcache as sc
 from softsearch.operators.fcm import FuzzyModel
+from softsearch.plans import catalog
 from softsearch.plans.answer import answer_log, answer_queries, validate
 from softsearch.streaming import cache as stream
 from softsearch.streaming import sinks
@@ -279,3 +280,17 @@ def test_answers_from_text(spark):
     asked = spark.createDataFrame([("c", 1, "space shuttle"), ("c", 2, "Space shuttle!"), ("c", 3, ""), ("c", 4, "gun law")], "cache_id string, seq long, query string")
     got = {r.seq: r.cache_hit for r in answer_queries(asked, table, model).collect()}
     assert got == {1: False, 2: True, 4: False}
+
+
+@pytest.mark.parametrize("files", [1, 3])
+def test_a_table_streams_as_a_folder_and_as_a_file(spark, tmp_path, files):
+    rows = spark.range(30).select(F.col("id").alias("doc_id"), F.lit("x").alias("text"))
+    rows.repartition(files).write.parquet(str(tmp_path / "written"))
+    if files > 1:
+        (tmp_path / "written").rename(tmp_path / "documents.parquet")
+    else:
+        next((tmp_path / "written").glob("*.parquet")).rename(tmp_path / "documents.parquet")
+    rows.limit(5).write.parquet(str(tmp_path / "other_documents.parquet"))
+    out = str(tmp_path / "out")
+    sinks.append_to(catalog._stream(spark, str(tmp_path), "documents"), out, str(tmp_path / "check")).awaitTermination()
+    assert spark.read.parquet(out).count() == 30
