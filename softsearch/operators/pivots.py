@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from softsearch.config import cut_lineage
 from softsearch.operators.fcm import to_matrix
-from softsearch.operators.similarity import similarity_topk
+from softsearch.operators.similarity import best_pairs, similarity_pairs, similarity_topk
 
 #: rows per pivot aimed at
 CELL_ROWS = 512
@@ -58,22 +58,25 @@ class Cells:
         enough = (np.cumsum(self.size[order], axis=1) < k).sum(axis=1) + 1
         return [np.sort(o[:n]) for o, n in zip(order, enough)]
 
+    def nearest_pivot(self, x: np.ndarray) -> np.ndarray:
+        blocks = [distances(x[i : i + BLOCK], self.pivots).argmin(axis=1) for i in range(0, len(x), BLOCK)]
+        return np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+
     def possible(self, x: np.ndarray, floor: np.ndarray) -> np.ndarray:
         """Which cells may hold rows at least as similar as ``floor`` to each query."""
         squares = (x * x).sum(axis=1)[:, None]
         away = np.maximum(distances(x, self.pivots) - self.radius, 0.0)
         bound = np.minimum(x @ self.pivots.T + np.sqrt(squares) * self.radius, (squares + self.square - away * away) / 2)
-        return (bound + SLACK >= floor[:, None]) & (self.size > 0)
+        low = np.where(np.isnan(floor), -np.inf, floor)[:, None]
+        return (bound + SLACK >= low) & (self.size > 0)
 
     def keys(self, df: DataFrame) -> DataFrame:
         """Rows of the searched side with the name of their cell in ``keys``."""
-        pivots = self.pivots
+        nearest = self.nearest_pivot
 
         @F.arrow_udf(T.ArrayType(T.StringType()))
         def cell(vec: pa.Array) -> pa.Array:
-            x = to_matrix(vec)
-            blocks = [distances(x[i : i + BLOCK], pivots).argmin(axis=1) for i in range(0, len(x), BLOCK)]
-            at = np.concatenate(blocks) if blocks else np.zeros(0, int)
+            at = nearest(to_matrix(vec))
             names = pa.array(at).cast(pa.string())
             return pa.ListArray.from_arrays(pa.array(np.arange(len(at) + 1), pa.int32()), names)
 
@@ -114,34 +117,40 @@ def make_cells(rows: DataFrame, n_pivots: int | None = None) -> Cells | None:
 
 
 def _visits(left: DataFrame, cells: Cells, k: int) -> DataFrame:
-    """The queries with the cells that they search: without a column ``floor`` the nearest, else
-    all that may hold rows as similar as that (all cells where it is null)."""
-    bounded = "floor" in left.columns
+    """The queries with the nearest cells that hold ``k`` rows, which they search first."""
 
     @F.arrow_udf(T.ArrayType(T.StringType()))
-    def names(vec: pa.Array, floor: pa.Array) -> pa.Array:
-        x, low = to_matrix(vec), floor.fill_null(-np.inf).to_numpy(zero_copy_only=False)
-        found = []
+    def names(vec: pa.Array) -> pa.Array:
+        x, found = to_matrix(vec), []
         for i in range(0, len(x), BLOCK):
-            block = x[i : i + BLOCK]
-            found += [np.flatnonzero(row) for row in cells.possible(block, low[i : i + BLOCK])] if bounded else cells.nearest(block, k)
+            found += cells.nearest(x[i : i + BLOCK], k)
         return pa.array([[str(c) for c in row] for row in found], pa.list_(pa.string()))
 
-    floor = F.col("floor") if bounded else F.lit(None).cast("double")
-    return left.withColumn("keys", names("vec", floor)).select("id", "vec", "ord", "keys")
+    return left.withColumn("keys", names("vec")).select("id", "vec", "ord", "keys")
 
 
-def bounded_topk(left: DataFrame, right: DataFrame, k: int, cells: Cells | None = None, **join_options) -> DataFrame:
-    """As ``similarity_topk`` over all pairs, the columns ``keys`` of both sides not read. Both
-    sides are read several times: give rows that are stored or cheap to compute."""
+def bounded_pairs(left: DataFrame, right: DataFrame, k: int, cells: Cells | None = None, **join_options) -> DataFrame:
+    """As ``similarity_pairs`` over all pairs, the columns ``keys`` of both sides not read. Both
+    sides are read several times: give rows that are stored or cheap to compute.
+
+    Which cells a query has to search is found inside the task that holds it, for a block of
+    queries at a time, so it takes no memory and is not shuffled: where no bound helps, all
+    pairs are compared, block by block."""
     left, right = left.select("id", "vec", "ord"), right.select("id", "vec", "ord")
     cells = cells or make_cells(right)
     options = {"prefer_small": "left", "unique_pairs": True, **join_options}
     if cells is None:
         none = F.array().cast("array<string>")
-        return similarity_topk(left.withColumn("keys", none), right.withColumn("keys", none), k, **options)
+        return similarity_pairs(left.withColumn("keys", none), right.withColumn("keys", none), k, **options)
     filed = cells.keys(right).select("id", "vec", "ord", "keys")
     first = similarity_topk(_visits(left, cells, k), filed, k, **options)
-    floors = first.where(F.col("rank") == k).select(F.col("left_id").alias("id"), F.col("similarity").alias("floor"))
-    bounded = left.join(floors, "id", "left").select("id", "vec", "ord", "floor")
-    return similarity_topk(cut_lineage(_visits(bounded, cells, k)), filed, k, **options)
+    floors = first.where(F.col("rank") == k).select(F.col("left_id").alias("id"), F.col("similarity").alias("bound"))
+    one = F.array(F.lit("")).alias("keys")
+    bounded = cut_lineage(left.join(floors, "id", "left").select("id", "vec", "ord", one, "bound"))
+    filed = filed.select("id", "vec", "ord", one, F.get("keys", F.lit(0)).cast("double").alias("bound"))
+    return similarity_pairs(bounded, filed, k, cells=cells, **options)
+
+
+def bounded_topk(left: DataFrame, right: DataFrame, k: int, cells: Cells | None = None, **join_options) -> DataFrame:
+    """The pairs of ``bounded_pairs``, ranked."""
+    return best_pairs(bounded_pairs(left, right, k, cells, **join_options), k, unique_pairs=True)

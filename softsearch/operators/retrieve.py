@@ -11,8 +11,8 @@ from pyspark.sql import functions as F
 from softsearch.config import DEFAULTS, cut_lineage
 from softsearch.functions.membership import ranked
 from softsearch.functions.text import NO_RESULT, fixed3, snippet
-from softsearch.operators.pivots import bounded_topk
-from softsearch.operators.similarity import similarity_topk
+from softsearch.operators.pivots import bounded_pairs
+from softsearch.operators.similarity import best_pairs, similarity_pairs
 from softsearch.sources.vector_table import metadata_filter
 
 def search_side(df: DataFrame, id_col: str, keys: Column, order: Column | str | None = None) -> DataFrame:
@@ -52,7 +52,7 @@ def _search_all(
     queries: DataFrame, table: DataFrame, k: int, query_id: str, key: str, order: str | None, join_options: dict
 ) -> DataFrame:
     none = F.array().cast("array<string>")
-    return bounded_topk(search_side(queries, query_id, none), search_side(table, key, none, order), k, **join_options)
+    return bounded_pairs(search_side(queries, query_id, none), search_side(table, key, none, order), k, **join_options)
 
 
 def _included(hits: DataFrame, table: DataFrame, key: str, include: Sequence[str]) -> DataFrame:
@@ -80,6 +80,7 @@ def knn(
     ``include`` names columns of the table that the result carries as well.
     """
     pairs = _search_all(queries, metadata_filter(table, where), k + exclude_self, query_id, key, order, join_options)
+    pairs = best_pairs(pairs, k + exclude_self, unique_pairs=True)
     pairs = _drop_self(pairs, k) if exclude_self else pairs
     return _included(_with_types(pairs, queries, query_id, table, key), table, key, include)
 
@@ -118,7 +119,7 @@ def knn_by_cluster(
         rows = lists.join(F.broadcast(used), "dominant_cluster", "left_semi")  # one row per cluster
     else:  # reaches the scan of the keyed table: pushed down
         rows = table.where(F.col("dominant_cluster").isin(sorted(r[0] for r in used.collect())))
-    pairs = similarity_topk(
+    pairs = similarity_pairs(
         left, search_side(rows, key, F.array(F.col("dominant_cluster").cast("string")), order), k + exclude_self,
         prefer_small="left", unique_pairs=True, **join_options,
     )
@@ -126,6 +127,7 @@ def knn_by_cluster(
         lost = asked.where(F.size("_clusters") == 0)
         if not lost.isEmpty():
             pairs = pairs.unionByName(_search_all(lost, table, k + exclude_self, query_id, key, order, join_options))
+    pairs = best_pairs(pairs, k + exclude_self, unique_pairs=True)
     pairs = _drop_self(pairs, k) if exclude_self else pairs
     return _included(_with_types(pairs, queries, query_id, table, key), table, key, include)
 

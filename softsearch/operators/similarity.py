@@ -18,7 +18,8 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from dataclasses import dataclass
-from functools import cached_property
+from functools import reduce
+from typing import Any
 
 import numpy as np
 import pyarrow as pa
@@ -31,47 +32,84 @@ from softsearch.operators.fcm import to_matrix
 
 #: similarities that agree to this many decimals are ties, decided by key rank and order
 SIM_DECIMALS = 9
-#: rows of one block of a matrix product
-_BLOCK = 1024
+#: more than rounding to these decimals can move a similarity
+_SLACK = 1e-9
+#: left and right rows of one block of a matrix product
+_ROWS, _COLS = 512, 4096
+#: winners that a task holds besides those of one block
+_HELD = 1 << 20
+#: bytes of a winner that a scan of the right side keeps for each left row
+_WINNER_BYTES = 64
+#: winners that leave a task in one batch
+_OUT_ROWS = 1 << 16
 
 PAIRS = "left_id string, right_id string, similarity double, key_rank int, ord long"
 
 
 @dataclass
 class Side:
-    """Rows of one side inside a task, in tie-break order."""
+    """Rows of one side inside a task. Places of the right side are in tie-break order; rows
+    with equal ids have equal codes. ``groups`` holds the places of each (rank of the key in
+    its row, key), ``bound`` a left row's floor or a right row's cell."""
 
-    ids: np.ndarray
+    ids: pa.Array
+    code: np.ndarray
     vec: np.ndarray
     ord: np.ndarray
-    keys: list[list[str]]
+    groups: dict[tuple[int, str], np.ndarray]
+    bound: np.ndarray
 
     @classmethod
-    def of(cls, table: pa.Table | pa.RecordBatch) -> Side:
-        ids = np.array(table.column("id").to_pylist(), dtype=object)
-        order = table.column("ord").to_numpy(zero_copy_only=False) if isinstance(
-            table, pa.RecordBatch
-        ) else table.column("ord").to_numpy()
-        at = np.lexsort((ids.astype(str), order)) if len(ids) else np.zeros(0, dtype=int)
-        keys = table.column("keys").to_pylist()
-        return cls(ids[at], to_matrix(table.column("vec"))[at], order[at], [keys[i] for i in at])
-
-    @cached_property
-    def by_key(self) -> dict[tuple[int, str], np.ndarray]:
-        """Row positions by (rank of the key in its row, key), built once for a side."""
-        out: dict[tuple[int, str], list[int]] = {}
-        for i, keys in enumerate(self.keys):
-            for rank, key in enumerate(keys or ()):
-                if key is not None:
-                    out.setdefault((rank, key), []).append(i)
-        return {k: np.array(v) for k, v in out.items()}
+    def of(cls, table: pa.Table | pa.RecordBatch, cells: Any = None) -> Side:
+        """``table(id, vec, ord, bound)`` with ``keys``, or with ``key_rank`` where all rows have one key."""
+        table = pa.Table.from_batches([table]) if isinstance(table, pa.RecordBatch) else table
+        table = table.combine_chunks()
+        vec = to_matrix(table.column("vec"))
+        if cells is None:
+            at = pc.sort_indices(table.select(["ord", "id"]), sort_keys=[("ord", "ascending"), ("id", "ascending")]).to_numpy()
+        else:  # rows of one block have cells in common
+            at = np.argsort(cells.nearest_pivot(vec), kind="stable")
+        ids = _flat(table.column("id")).take(pa.array(at))
+        code = pc.fill_null(ids.dictionary_encode().indices, -1).to_numpy(zero_copy_only=False)
+        order, bound = (table.column(c).to_numpy()[at] for c in ("ord", "bound"))
+        place = np.empty(len(at), np.int64)
+        place[at] = np.arange(len(at))
+        if "key_rank" in table.column_names:
+            row, rank = np.arange(len(at)), table.column("key_rank").to_numpy()
+            names, key = [""], np.zeros(len(at), np.int64)
+        else:
+            row, rank, names, key = _exploded(_flat(table.column("keys")))
+        return cls(ids, code, vec[at], order, _groups(place[row], rank, names, key), bound)
+
+
+def _flat(column: pa.ChunkedArray) -> pa.Array:
+    found = column.combine_chunks()
+    return pa.concat_arrays(found.chunks) if isinstance(found, pa.ChunkedArray) else found
+
+
+def _exploded(keys: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list[str], np.ndarray]:
+    """Row, rank and number of each key that is not null, and the keys."""
+    sizes = pc.fill_null(pc.list_value_length(keys), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    row = np.repeat(np.arange(len(sizes)), sizes)
+    rank = np.arange(len(row)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    coded = keys.flatten().dictionary_encode()
+    key = pc.fill_null(coded.indices, -1).to_numpy(zero_copy_only=False).astype(np.int64)
+    return row[key >= 0], rank[key >= 0], coded.dictionary.to_pylist(), key[key >= 0]
+
+
+def _groups(place: np.ndarray, rank: np.ndarray, names: list[str], key: np.ndarray) -> dict[tuple[int, str], np.ndarray]:
+    at = np.lexsort((place, key, rank))
+    place, rank, key = place[at], rank[at], key[at]
+    new = np.flatnonzero(np.diff(rank, prepend=-1).astype(bool) | np.diff(key, prepend=-1).astype(bool))
+    return {(int(rank[i]), names[key[i]]): part for i, part in zip(new, np.split(place, new[1:]))} if len(at) else {}
 
 
 @dataclass(frozen=True)
 class Rule:
     """Which pairs count: similarity floor, and whether the right row must come earlier.
 
-    ``unique`` says that no pair of rows shares more than one key.
+    ``unique`` says that no pair of rows shares more than one key; ``cells`` knows which cells
+    may hold rows as similar as a left row's floor, see ``pivots``.
     """
 
     k: int
@@ -79,93 +117,137 @@ class Rule:
     earlier: bool = False
     ranked_keys: bool = False
     unique: bool = False
-
-
-def _block_winners(left: Side, right: Side, rows: np.ndarray, cols: np.ndarray, rule: Rule):
-    """The best ``k`` of ``cols`` for each of ``rows``: positions and similarities."""
-    sims = np.round(left.vec[rows] @ right.vec[cols].T, SIM_DECIMALS)
-    if rule.earlier:
-        sims[right.ord[cols][None, :] >= left.ord[rows][:, None]] = -np.inf
-    if rule.min_sim is not None:
-        sims[sims < rule.min_sim] = -np.inf
-    if rule.k == 1:  # the first maximum is the first in tie-break order
-        best = sims.argmax(axis=1)
-        r, c = np.arange(len(rows)), best
-    else:
-        if len(cols) > rule.k:
-            floor = -np.partition(-sims, rule.k - 1, axis=1)[:, rule.k - 1 : rule.k]
-            r, c = np.nonzero(sims >= floor)  # ties included, cut below
-        else:
-            r, c = np.nonzero(np.ones_like(sims, dtype=bool))
-        at = np.lexsort((c, -sims[r, c], r))
-        r, c = r[at], c[at]
-        rank = np.arange(len(r)) - np.searchsorted(r, r, side="left")
-        r, c = r[rank < rule.k], c[rank < rule.k]
-    s = sims[r, c]
-    ok = np.isfinite(s)
-    return rows[r[ok]], cols[c[ok]], s[ok]
-
-
-def _winners(left: Side, right: Side, rule: Rule) -> dict[str, np.ndarray]:
-    """Per left row its best ``k`` right rows over all shared keys (one batch or tile)."""
-    right_by_key: dict[str, list[np.ndarray]] = {}
-    for (_, key), cols in right.by_key.items():
-        right_by_key.setdefault(key, []).append(cols)
-    parts = []
-    for (rank, key), rows in left.by_key.items():
-        if key not in right_by_key:
+    cells: Any = None
+
+    @property
+    def shared(self) -> bool:
+        """Whether what a row found under one key bounds what it needs under others."""
+        return self.unique or self.k == 1
+
+    def floors(self, left: Side) -> np.ndarray:
+        least = -np.inf if self.min_sim is None else self.min_sim
+        return np.fmax(left.bound.astype(float), least) if self.cells is not None else np.full(len(left.ids), least)
+
+
+Found = tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]
+_NONE: Found = (np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros(0, np.int64))
+
+
+def _cut(code: np.ndarray, found: Found, rule: Rule) -> Found:
+    """The best ``k`` per left id of ``found``: left and right places, similarities, key ranks."""
+    r, c, s, g = found
+    owner = code[r]
+    at = np.lexsort((c, g, -s, owner))
+    if rule.k > 1 and not rule.unique:  # of a pair the first is the best
+        _, first = np.unique(r[at] * (c.max(initial=0) + 1) + c[at], return_index=True)
+        at = at[np.sort(first)]
+    owner = owner[at]
+    at = at[np.arange(len(at)) - np.searchsorted(owner, owner, side="left") < rule.k]
+    return r[at], c[at], s[at], g[at]
+
+
+def _raise(low: np.ndarray, code: np.ndarray, r: np.ndarray, s: np.ndarray, k: int) -> None:
+    """Raise the floors of rows that have ``k`` winners, given sorted ones of whole rows."""
+    owner = code[r]
+    last = np.arange(len(r)) - np.searchsorted(owner, owner, side="left") == k - 1
+    low[r[last]] = np.maximum(low[r[last]], s[last])
+
+
+def _block(left: Side, right: Side, rows: np.ndarray, cols: np.ndarray, low: np.ndarray, rule: Rule) -> tuple[np.ndarray, ...]:
+    """The best ``k`` of ``cols`` for each of ``rows`` that reach ``low``: left and right places
+    and similarities. Columns are multiplied part by part; the best so far raise the floor."""
+    x, k = left.vec[rows], rule.k
+    low, br, bc, bs = low.copy(), _NONE[0], _NONE[1], _NONE[2]
+    one, first = np.full(len(rows), -np.inf), np.zeros(len(rows), np.int64)
+    for offset in range(0, len(cols), _COLS):
+        part = cols[offset : offset + _COLS]
+        sims = x @ right.vec[part].T
+        if rule.earlier:
+            sims[right.ord[part][None, :] >= left.ord[rows][:, None]] = -np.inf
+        if k == 1:  # the first maximum is the first in tie-break order
+            top = np.round(sims.max(axis=1), SIM_DECIMALS)
+            up = np.flatnonzero((top > one) & (top >= low))
+            if len(up):
+                one[up] = top[up]
+                first[up] = part[(np.round(sims[up], SIM_DECIMALS) >= top[up, None]).argmax(axis=1)]
+            continue
+        near = sims >= (low - _SLACK)[:, None]
+        if len(part) > k and np.count_nonzero(near) > 4 * k * len(rows):
+            least = -np.partition(-sims, k - 1, axis=1)[:, k - 1]
+            low = np.fmax(low, np.round(least, SIM_DECIMALS))
+            near = sims >= (low - _SLACK)[:, None]
+        r, c = np.nonzero(near)
+        s = np.round(sims[r, c], SIM_DECIMALS)
+        ok = np.isfinite(s) & (s >= low[r])
+        if not ok.any():
             continue
-        cols = np.sort(np.concatenate(right_by_key[key]))
-        for start in range(0, len(rows), _BLOCK):
-            block, end = rows[start : start + _BLOCK], len(cols)
-            if rule.earlier:  # both sides are in order: what comes later is not multiplied
-                end = int(np.searchsorted(right.ord[cols], left.ord[block].max()))
-            for offset in range(0, end, 16 * _BLOCK):
-                r, c, s = _block_winners(left, right, block, cols[offset : min(end, offset + 16 * _BLOCK)], rule)
+        r, c, s = np.append(br, r[ok]), np.append(bc, part[c[ok]]), np.append(bs, s[ok])
+        at = np.lexsort((c, -s, r))
+        r, c, s = r[at], c[at], s[at]
+        place = np.arange(len(r)) - np.searchsorted(r, r, side="left")
+        br, bc, bs = (v[place < k] for v in (r, c, s))
+        full = place[place < k] == k - 1
+        low[br[full]] = np.maximum(low[br[full]], bs[full])
+    if k == 1:
+        br = np.flatnonzero(np.isfinite(one))
+        bc, bs = first[br], one[br]
+    return rows[br], bc, bs
+
+
+def _winners(left: Side, right: Side, rule: Rule, low: np.ndarray, near: dict) -> Iterator[Found]:
+    """Per left row its best ``k`` right rows over all shared keys that reach ``low``, for
+    so many left rows at a time that about ``_HELD`` winners are held. ``near`` keeps which cells the
+    blocks of the left side search, for all batches of the right side."""
+    by_key: dict[str, list[np.ndarray]] = {}
+    for (_, key), cols in right.groups.items():
+        by_key.setdefault(key, []).append(cols)
+    columns = {key: np.sort(np.concatenate(parts)) for key, parts in by_key.items()}
+    cell = right.bound.astype(np.int64) if rule.cells is not None else None
+    step = max(_ROWS, _HELD // rule.k)
+    for begin in range(0, len(left.ids), step):
+        own, parts, held = low.copy(), [_NONE], 0
+        for (rank, key), rows in left.groups.items():
+            if key not in columns:
+                continue
+            rows = rows[np.searchsorted(rows, begin) : np.searchsorted(rows, begin + step)]
+            for start in range(0, len(rows), _ROWS):
+                block, cols = rows[start : start + _ROWS], columns[key]
+                if rule.earlier:  # what comes later is not multiplied
+                    cols = cols[: int(np.searchsorted(right.ord[cols], left.ord[block].max()))]
+                if rule.cells is not None:
+                    at = (begin, rank, key, start)
+                    if at not in near:
+                        near[at] = rule.cells.possible(left.vec[block], left.bound[block]).any(axis=0)
+                    cols = cols[near[at][cell[cols]]]
+                r, c, s = _block(left, right, block, cols, own[block], rule)
+                if not len(r):
+                    continue
                 parts.append((r, c, s, np.full(len(r), rank if rule.ranked_keys else 0)))
-    if not parts:
-        return _EMPTY
-    r, c, s, g = (np.concatenate(x) for x in zip(*parts))
-    if rule.k > 1:  # places are in tie-break order, so all but the winners are dropped by number
-        at = np.lexsort((c, g, -s, r))
-        if not rule.unique:  # of a pair the first is the best
-            _, first = np.unique(r[at] * len(right.ids) + c[at], return_index=True)
-            at = at[np.sort(first)]
-        at = at[np.arange(len(at)) - np.searchsorted(r[at], r[at], side="left") < rule.k]
-        r, c, s, g = r[at], c[at], s[at], g[at]
-    return _trim({"l": left.ids[r], "r": right.ids[c], "s": s, "g": g, "o": right.ord[c]}, rule)
-
-
-def _trim(found: dict[str, np.ndarray], rule: Rule) -> dict[str, np.ndarray]:
-    """Keep the best ``k`` per left id; a pair found under two keys counts once."""
-    if not len(found["l"]):
-        return found
-    left = found["l"].astype(str)
-    at = np.lexsort((found["r"].astype(str), found["o"], found["g"], -found["s"], left))
-    found = {name: values[at] for name, values in found.items()}
-    if rule.k > 1 and not rule.unique:
-        pair = np.char.add(np.char.add(found["l"].astype(str), "\x01"), found["r"].astype(str))
-        _, first = np.unique(pair, return_index=True)
-        first.sort()
-        found = {name: values[first] for name, values in found.items()}
-    left = found["l"].astype(str)
-    starts = np.concatenate([[True], left[1:] != left[:-1]])
-    begin = np.maximum.accumulate(np.where(starts, np.arange(len(left)), 0))
-    keep = np.arange(len(left)) - begin < rule.k
-    return {name: values[keep] for name, values in found.items()}
-
-
-def _as_batch(found: dict[str, np.ndarray]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(found["l"].tolist(), pa.string()),
-            pa.array(found["r"].tolist(), pa.string()),
-            pa.array(found["s"].astype(np.float64)),
-            pa.array(found["g"].astype(np.int32)),
-            pa.array(found["o"].astype(np.int64)),
-        ],
-        names=["left_id", "right_id", "similarity", "key_rank", "ord"],
-    )
+                held += len(r)
+                if held > 2 * _HELD:
+                    parts = [_cut(left.code, tuple(map(np.concatenate, zip(*parts))), rule)]
+                    held = len(parts[0][0]) - _HELD
+                    if rule.shared:
+                        _raise(own, left.code, parts[0][0], parts[0][2], rule.k)
+        if len(parts) > 1:
+            yield _cut(left.code, tuple(map(np.concatenate, zip(*parts))), rule)
+
+
+def _batches(left: Side, r: np.ndarray, right_ids: pa.Array, s: np.ndarray, g: np.ndarray, o: np.ndarray) -> Iterator[pa.RecordBatch]:
+    for i in range(0, len(r), _OUT_ROWS):
+        part = slice(i, i + _OUT_ROWS)
+        yield pa.RecordBatch.from_arrays(
+            [
+                left.ids.take(pa.array(r[part])), right_ids.slice(i, _OUT_ROWS), pa.array(s[part].astype(np.float64)),
+                pa.array(g[part].astype(np.int32)), pa.array(o[part].astype(np.int64)),
+            ],
+            names=["left_id", "right_id", "similarity", "key_rank", "ord"],
+        )
+
+
+def _all_winners(left: Side, right: Side, rule: Rule) -> Iterator[pa.RecordBatch]:
+    for r, c, s, g in _winners(left, right, rule, rule.floors(left), {}):
+        yield from _batches(left, r, right.ids.take(pa.array(c)), s, g, right.ord[c])
 
 
 def _take_small(df: DataFrame, max_bytes: int) -> pa.Table | None:
@@ -177,37 +259,38 @@ def _take_small(df: DataFrame, max_bytes: int) -> pa.Table | None:
     return df.toArrow()
 
 
-def _best(pairs: DataFrame, rule: Rule) -> DataFrame:
-    """Final ranking of the winners of all tasks."""
-    if rule.k > 1 and not rule.unique:
-        pairs = pairs.groupBy("left_id", "right_id").agg(
-            F.max("similarity").alias("similarity"), F.min("key_rank").alias("key_rank"), F.min("ord").alias("ord")
-        )
-    w = Window.partitionBy("left_id").orderBy(F.desc("similarity"), "key_rank", "ord", "right_id")
-    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= rule.k)
-
-
 def _scan_left(left: DataFrame, small: pa.Table, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         right = Side.of(small)
         for batch in batches:
             if batch.num_rows:
-                yield _as_batch(_winners(Side.of(batch), right, rule))
+                yield from _all_winners(Side.of(batch, rule.cells), right, rule)
 
     return left.mapInArrow(run, PAIRS)
 
 
 def _scan_right(small: pa.Table, right: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, best = Side.of(small), None
+        left, near = Side.of(small, rule.cells), {}
+        low, ids = rule.floors(left), pa.array([], pa.string())
+        r, s, g, o = _NONE[0], _NONE[2], _NONE[3], _NONE[0]
         for batch in batches:
-            if batch.num_rows:
-                found = _winners(left, Side.of(batch), rule)
-                if best is not None:
-                    found = {name: np.concatenate([best[name], found[name]]) for name in found}
-                best = _trim(found, rule)
-        if best is not None:
-            yield _as_batch(best)
+            side = Side.of(batch)
+            for fr, fc, fs, fg in _winners(left, side, rule, low, near):
+                touched = np.zeros(int(left.code.max()) + 2, bool)  # the last is that of null ids
+                touched[left.code[fr]] = True
+                same = touched[left.code[r]]  # these rows are ranked anew
+                found = pa.concat_arrays([ids.filter(pa.array(same)), side.ids.take(pa.array(fc))])
+                fr, fs, fg, fo = (np.append(a[same], b) for a, b in ((r, fr), (s, fs), (g, fg), (o, side.ord[fc])))
+                order = pa.table({"l": left.code[fr], "s": fs, "g": fg, "o": fo, "id": found})
+                at = pc.sort_indices(order, sort_keys=[("l", "ascending"), ("s", "descending"), ("g", "ascending"), ("o", "ascending"), ("id", "ascending")]).to_numpy()
+                owner = left.code[fr[at]]
+                at = at[np.arange(len(at)) - np.searchsorted(owner, owner, side="left") < rule.k]
+                if rule.shared:
+                    _raise(low, left.code, fr[at], fs[at], rule.k)
+                ids = pa.concat_arrays([ids.filter(pa.array(~same)), found.take(pa.array(at))])
+                r, s, g, o = (np.append(a[~same], b[at]) for a, b in ((r, fr), (s, fs), (g, fg), (o, fo)))
+        yield from _batches(left, r, ids, s, g, o)
 
     return right.mapInArrow(run, PAIRS)
 
@@ -216,7 +299,7 @@ def _tiled(left: DataFrame, right: DataFrame, rule: Rule, tile_rows: int) -> Dat
     """Cut every key into tiles on both sides and join tile with tile."""
 
     def spread(df: DataFrame) -> DataFrame:
-        ranked = df.select("id", "vec", "ord", F.posexplode("keys").alias("key_rank", "key"))
+        ranked = df.select("id", "vec", "ord", "bound", F.posexplode("keys").alias("key_rank", "key"))
         return ranked.where(F.col("key").isNotNull())
 
     def tiles(df: DataFrame, name: str) -> DataFrame:
@@ -234,29 +317,27 @@ def _tiled(left: DataFrame, right: DataFrame, rule: Rule, tile_rows: int) -> Dat
             df.join(grid, "key", "left")
             .withColumn(f"tile_{own}", F.pmod(F.xxhash64("id"), number(own)).cast("int"))
             .withColumn(f"tile_{other}", F.explode(F.sequence(F.lit(0), number(other) - 1)))
-            .select("key", "tile_l", "tile_r", F.lit(is_left).alias("is_left"), "id", "vec", "ord", "key_rank")
+            .select("key", "tile_l", "tile_r", F.lit(is_left).alias("is_left"), "id", "vec", "ord", "bound", "key_rank")
         )
 
-    def run(cell: pa.Table) -> pa.Table:
-        # a cell has one key; its rank in the left row is the length of the padding
-        is_left, text = cell.column("is_left"), pa.list_(pa.string())
+    def run(cell: pa.Table) -> pa.Table:  # of one key
+        is_left = cell.column("is_left")
         lhs = cell.filter(is_left)
         rhs = cell.filter(pc.invert(is_left))
-        if not (lhs.num_rows and rhs.num_rows):
-            return pa.Table.from_batches([_as_batch(_EMPTY)])
-        left_keys = [[None] * rank + ["cell"] for rank in lhs.column("key_rank").to_pylist()]
-        left = Side.of(lhs.append_column("keys", pa.array(left_keys, text)))
-        right = Side.of(rhs.append_column("keys", pa.array([["cell"]] * rhs.num_rows, text)))
-        return pa.Table.from_batches([_as_batch(_winners(left, right, rule))])
+        del cell
+        found = [pa.RecordBatch.from_pylist([], _PAIRS)]
+        if lhs.num_rows and rhs.num_rows:
+            found += _all_winners(Side.of(lhs, rule.cells), Side.of(rhs), rule)
+        return pa.Table.from_batches(found)
 
     cells = place(lhs, True).unionByName(place(rhs, False))
     return cells.groupBy("key", "tile_l", "tile_r").applyInArrow(run, PAIRS)
 
 
-_EMPTY = {name: np.zeros(0) for name in "lrsgo"}
+_PAIRS = pa.schema([("left_id", pa.string()), ("right_id", pa.string()), ("similarity", pa.float64()), ("key_rank", pa.int32()), ("ord", pa.int64())])
 
 
-def similarity_topk(
+def similarity_pairs(
     left: DataFrame,
     right: DataFrame,
     k: int,
@@ -268,7 +349,36 @@ def similarity_topk(
     prefer_small: str = "right",
     max_bytes: int = BROADCAST_BYTES,
     tile_bytes: int = TILE_BYTES,
+    cells: Any = None,
 ) -> DataFrame:
+    """The winners of all tasks, ``PAIRS``, which ``best_pairs`` ranks. With ``cells`` (of
+    ``pivots``) a column ``bound`` holds a left row's floor, or null, and a right row's cell."""
+    rule = Rule(k, min_sim, earlier, ranked_keys, unique_pairs, cells)
+    none = F.lit(None).cast("double").alias("bound")
+    left, right = (df.select("id", "vec", "ord", "keys", none if cells is None else F.col("bound")) for df in (left, right))
+    for side in (prefer_small, "left" if prefer_small == "right" else "right"):
+        small = _take_small(left if side == "left" else right, max_bytes)
+        if small is not None and side == "right":
+            return _scan_left(left, small, rule)
+        if small is not None:  # so many left rows at a time that their winners fit as well
+            n = max(1, max_bytes // (_WINNER_BYTES * k))
+            parts = [small.slice(i, n) for i in range(0, small.num_rows, n)] or [small]
+            return reduce(DataFrame.unionByName, [_scan_right(part, right, rule) for part in parts])
+    width = left.agg(F.max(F.size("vec"))).first()[0] or 0
+    return _tiled(left, right, rule, max(1, tile_bytes // (8 * max(1, width))))
+
+
+def best_pairs(pairs: DataFrame, k: int, unique_pairs: bool = False) -> DataFrame:
+    """Final ranking of the winners of all tasks."""
+    if k > 1 and not unique_pairs:
+        pairs = pairs.groupBy("left_id", "right_id").agg(
+            F.max("similarity").alias("similarity"), F.min("key_rank").alias("key_rank"), F.min("ord").alias("ord")
+        )
+    w = Window.partitionBy("left_id").orderBy(F.desc("similarity"), "key_rank", "ord", "right_id")
+    return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
+
+
+def similarity_topk(left: DataFrame, right: DataFrame, k: int, *, unique_pairs: bool = False, **options: Any) -> DataFrame:
     """``(left_id, right_id, similarity, key_rank, ord, rank)``, ``rank`` from 1.
 
     Both sides need ``id STRING`` (unique), ``vec``, ``ord LONG`` (tie-break, and the clock
@@ -276,18 +386,4 @@ def similarity_topk(
     that meets in the left row's first key; ``unique_pairs`` promises that no two rows share
     more than one key, which saves a step. ``prefer_small`` is the side measured first.
     """
-    rule = Rule(k, min_sim, earlier, ranked_keys, unique_pairs)
-    cols = ["id", "vec", "ord", "keys"]
-    left, right = left.select(*cols), right.select(*cols)
-    for side in (prefer_small, "left" if prefer_small == "right" else "right"):
-        small = _take_small(left if side == "left" else right, max_bytes)
-        if small is None:
-            continue
-        if side == "left":
-            return _best(_scan_right(small, right, rule), rule)
-        pairs = _scan_left(left, small, rule)
-        if k == 1:  # one batch saw all of the right side: already final
-            return pairs.withColumn("rank", F.lit(1))
-        return _best(pairs, rule)
-    width = left.select(F.size("vec")).first()[0]
-    return _best(_tiled(left, right, rule, max(1, tile_bytes // (8 * width))), rule)
+    return best_pairs(similarity_pairs(left, right, k, unique_pairs=unique_pairs, **options), k, unique_pairs)
