@@ -19,7 +19,6 @@ from __future__ import annotations
 
 import base64
 import heapq
-import re
 import zlib
 
 import numpy as np
@@ -37,16 +36,12 @@ LINEAR, QUADRATIC = 1.0, 1 / 1024
 WINDOW = 2_000_000
 #: Stands for no sequence in ``Cheapest``.
 NONE = (float("inf"), 0, 0)
-#: Distinct words whose tokens a worker remembers.
-REMEMBERED = 120_000
 
 
 class Encoder:
     """Token ids of the byte-level BPE vocabulary, as the ``tokenizers`` library gives them.
 
-    Tokens of this vocabulary never reach over a single space before a word, so words are
-    encoded one by one and remembered. Texts with other runs of white space are encoded
-    whole, and those that hold a special token by ``tokenizers`` itself.
+    Texts are encoded whole; those that hold a special token by ``tokenizers`` itself.
     """
 
     def __init__(self, name: str):
@@ -59,25 +54,11 @@ class Encoder:
         with open(public_tokenizers.path(name.replace(".json", ".tiktoken")), "rb") as lines:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
         self.fast = tiktoken.Encoding("byte_bpe", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={})
-        self.runs = re.compile(r" \s|\s ")
-        self.known: dict[str, list[int]] = {}
 
     def __call__(self, text: str) -> list[int]:
         if any(s in text for s in self.special):
             return self.exact.encode(text, add_special_tokens=False).ids
-        if self.runs.search(text):
-            return self.fast.encode_ordinary(text)
-        known, fast, ids = self.known, self.fast.encode_ordinary, []
-        if len(known) > REMEMBERED:
-            known.clear()
-        first, *rest = text.split(" ")
-        ids += fast(first)
-        for word in rest:
-            found = known.get(word)
-            if found is None:
-                found = known[word] = fast(" " + word)
-            ids += found
-        return ids
+        return self.fast.encode_ordinary(text)
 
 
 def encoder(name: str) -> Encoder:

@@ -518,3 +518,18 @@ def test_pieces_go_to_the_cheapest_sequence_with_room():
         for item, parts in placed.items():  # every token once
             assert sum(n for _, n, _, _ in parts) == lengths[item]
             assert item in homeless or len(parts) == lengths[item] // capacity + (lengths[item] % capacity > 0)
+
+
+def test_packing_encodes_a_text_at_once(monkeypatch):
+    encode = packing.Encoder("byte_bpe_50k.json")
+    calls = []
+
+    class Fast:
+        def encode_ordinary(self, text):
+            calls.append(text)
+            return fast.encode_ordinary(text)
+
+    fast = encode.fast
+    monkeypatch.setattr(encode, "fast", Fast())
+    text = " ".join(f"word{i} it's\nnext\t{i}" for i in range(300))
+    assert encode(text) == encode.exact.encode(text, add_special_tokens=False).ids and calls == [text]
