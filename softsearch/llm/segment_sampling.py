@@ -451,7 +451,9 @@ def sample_segmentations(
                 columns.append(pa.array(round_trips(v, all_ids, wanted), kinds[-1]))
                 columns = [batch.column(0).field(0).take(pa.array(which, pa.int64())), *columns]
                 if with_ids:
-                    columns.append(pa.array(all_ids, pa.list_(pa.int32())))
+                    ends = np.cumsum([0, *map(len, all_ids)]).astype(np.int32)
+                    flat = np.concatenate(all_ids) if all_ids else np.zeros(0, np.int32)
+                    columns.append(pa.ListArray.from_arrays(pa.array(ends), pa.array(flat)))
                 yield pa.RecordBatch.from_arrays(columns, names=["key", *names, *["ids"] * with_ids])
 
     fields = [T.StructField("key", src.schema["row"].dataType.fields[0].dataType)]
@@ -463,4 +465,4 @@ def sample_segmentations(
 
 
 def op4_gumbel_segmentation(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sample_segmentations(table(spark, sf_dir, "documents"), with_ids=False)
+    return sample_segmentations(table(spark, sf_dir, "documents"))

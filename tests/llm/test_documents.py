@@ -533,3 +533,8 @@ def test_packing_encodes_a_text_at_once(monkeypatch):
     monkeypatch.setattr(encode, "fast", Fast())
     text = " ".join(f"word{i} it's\nnext\t{i}" for i in range(300))
     assert encode(text) == encode.exact.encode(text, add_special_tokens=False).ids and calls == [text]
+
+
+def test_the_segmentation_query_returns_the_segmentations(spark, small):
+    rows = segment_sampling.op4_gumbel_segmentation(spark, small).limit(20).collect()
+    assert rows and all(len(r.ids) == r.n_pieces and zlib.crc32(np.array(r.ids, "<u4").tobytes()) == r.ids_crc32 for r in rows)
