@@ -7,11 +7,11 @@ from collections.abc import Collection, Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from softsearch.config import cut_lineage
+from softsearch.config import cut_lineage, scratch_path
 from softsearch.functions.text import word_tokens
 from softsearch.operators.ranking import top_per_group
 
@@ -63,6 +63,14 @@ def term_counts(docs: DataFrame, key: str, text_col: str, stop_words: Collection
     return src.mapInArrow(run, schema)
 
 
+def _stored(counts: DataFrame) -> DataFrame:
+    """Written to the shared folder and read again. As Parquet, terms take a fraction of the bytes
+    of a checkpoint, and a file is read by as many tasks as its size asks for."""
+    path = scratch_path(counts.sparkSession, "terms")
+    counts.write.parquet(path)
+    return counts.sparkSession.read.schema(counts.schema).parquet(path)
+
+
 def tfidf_weights(
     docs: DataFrame,
     key: str = "doc_id",
@@ -79,44 +87,91 @@ def tfidf_weights(
     many, the most frequent of the corpus, are kept, equal counts in alphabetical order.
 
     The texts are read once and leave the scan as term counts; what is shuffled are terms with
-    their counts, summed in tasks. A vocabulary measured to be small goes to the tasks that
-    hold the counts; a larger one is joined by term.
+    their counts, summed in tasks. The most frequent terms, as many as fit ``vocabulary_bytes``,
+    go to the tasks that hold the counts; only what documents hold of the others is joined by term.
     """
-    counts = cut_lineage(term_counts(docs, key, text_col, stop_words))  # read twice below, without texts
+    numbered = term_counts(docs, key, text_col, stop_words).withColumn("row", F.monotonically_increasing_id())
+    counts = _stored(numbered.select("row", key, "terms", "tf"))  # read several times below, without texts
     used = counts.select(F.explode(F.arrays_zip("terms", "tf")).alias("t")).select("t.terms", "t.tf")
     terms = used.groupBy(F.col("terms").alias("term")).agg(F.sum("tf").alias("total"), F.count(F.lit(1)).alias("df"))
     vocabulary = terms.where(F.col("df") >= min_df)
     if max_features is not None:
         vocabulary = vocabulary.orderBy(F.desc("total"), "term").limit(max_features)
     n_docs = counts.count()
-    vocabulary = cut_lineage(vocabulary.select("term", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
-    size = vocabulary.agg(F.sum(F.octet_length("term") + F.lit(16).cast("long"))).first()[0] or 0
+    vocabulary = cut_lineage(vocabulary.select("term", "df", (F.log((1.0 + n_docs) / (1.0 + F.col("df"))) + 1.0).alias("idf")))
+    least, whole = _least_df(vocabulary, vocabulary_bytes)
+    frequent = vocabulary.where(F.col("df") >= least).select("term", "idf").toArrow()
+    if not whole:
+        rare = vocabulary.where(F.col("df") < least).select("term", "idf")
+        pairs = counts.select("row", "terms").mapInArrow(_outside(frequent), "row long, term string").join(rare, "term")
+        found = pairs.groupBy("row").agg(F.collect_list("term").alias("found"), F.collect_list("idf").alias("idf"))
+        counts = counts.join(found, "row", "left")
+    else:
+        counts = counts.withColumns({"found": F.lit(None).cast("array<string>"), "idf": F.lit(None).cast("array<double>")})
     schema = T.StructType([
         counts.schema[key], *T.StructType.fromDDL("term string, tf long, weight double").fields,
     ])
-    if size <= vocabulary_bytes:
-        return counts.mapInArrow(_weigh(vocabulary.toArrow()), schema)
-    exploded = counts.select(key, F.monotonically_increasing_id().alias("row"), "terms", "tf")
-    exploded = exploded.select(key, "row", F.explode(F.arrays_zip("terms", "tf")).alias("t"))
-    raw = exploded.select(key, "row", F.col("t.terms").alias("term"), F.col("t.tf").alias("tf")).join(vocabulary, "term")
-    raw = raw.withColumn("raw", F.col("tf") * F.col("idf"))
-    norm = F.sqrt(F.sum(F.col("raw") * F.col("raw")).over(Window.partitionBy("row")))
-    return raw.select(key, "term", "tf", (F.col("raw") / norm).alias("weight"))
+    return counts.select(key, "terms", "tf", "found", "idf").mapInArrow(_weigh(frequent), schema)
+
+
+def _least_df(vocabulary: DataFrame, vocabulary_bytes: int) -> tuple[int, bool]:
+    """The least document frequency from which on all terms fit the bytes, and whether that is
+    the whole vocabulary. A row per different frequency comes to the driver."""
+    size = F.sum(F.octet_length("term") + F.lit(16).cast("long")).alias("size")
+    least, total = 1 << 62, 0
+    sizes = vocabulary.groupBy("df").agg(size).orderBy(F.desc("df")).collect()
+    for r in sizes:
+        total += r["size"]
+        if total > vocabulary_bytes:
+            return least, False
+        least = r["df"]
+    return least, True
 
 
-def _weigh(vocabulary: pa.Table):
-    """Weights of the terms of each row that the vocabulary holds."""
+def _rows_of(lists: pa.ListArray) -> np.ndarray:
+    return np.repeat(np.arange(len(lists)), pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False))
+
+
+def _outside(frequent: pa.Table):
+    """The terms of each row that are not among the frequent ones."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = vocabulary.column("term").combine_chunks()
-        idf = vocabulary.column("idf").to_numpy()
+        known = _column(frequent, "term")
         for batch in batches:
             terms = batch.column(1).flatten()
+            other = pc.invert(pc.is_in(terms, value_set=known))
+            rows = batch.column(0).take(pa.array(_rows_of(batch.column(1)))).filter(other)
+            yield pa.RecordBatch.from_arrays([rows, terms.filter(other)], names=["row", "term"])
+
+    return run
+
+
+def _column(table: pa.Table, name: str) -> pa.Array:
+    return pa.concat_arrays([*table.column(name).chunks, pa.array([], table.schema.field(name).type)])
+
+
+def _weigh(frequent: pa.Table):
+    """Weights of the terms of each row ``(key, terms, tf, found, idf)`` that the vocabulary holds:
+    the frequent ones, and those that were found for the row."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known, known_idf = _column(frequent, "term"), _column(frequent, "idf").to_numpy()
+        for batch in batches:
+            terms, rows = batch.column(1).flatten(), _rows_of(batch.column(1))
             place = pc.index_in(terms, value_set=known)
-            inside = place.is_valid().to_numpy(zero_copy_only=False)
-            rows = np.repeat(np.arange(batch.num_rows), np.diff(np.asarray(batch.column(1).offsets)))[inside]
-            tf = batch.column(2).flatten().to_numpy(zero_copy_only=False)[inside]
-            raw = tf * idf[place.drop_null().to_numpy(zero_copy_only=False)]
+            inside = place.is_valid().to_numpy(zero_copy_only=False).copy()
+            idf = np.zeros(len(terms))
+            idf[inside] = known_idf[place.drop_null().to_numpy(zero_copy_only=False)]
+            if batch.column(3).null_count < batch.num_rows:
+                in_row = lambda at, names: pc.binary_join_element_wise(pa.array(at).cast(pa.string()), names, "\x1f")
+                other = np.flatnonzero(~inside)
+                own = in_row(rows[other], terms.take(pa.array(other)))
+                place = pc.index_in(own, value_set=in_row(_rows_of(batch.column(3)), batch.column(3).flatten()))
+                other = other[place.is_valid().to_numpy(zero_copy_only=False)]
+                idf[other] = batch.column(4).flatten().take(place.drop_null()).to_numpy(zero_copy_only=False)
+                inside[other] = True
+            rows, tf = rows[inside], batch.column(2).flatten().to_numpy(zero_copy_only=False)[inside]
+            raw = tf * idf[inside]
             norm = np.sqrt(np.bincount(rows, raw * raw, minlength=batch.num_rows))
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0).take(pa.array(rows)), terms.filter(pa.array(inside)), pa.array(tf), pa.array(raw / norm[rows])],

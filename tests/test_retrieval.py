@@ -248,3 +248,20 @@ def test_a_tile_is_searched_block_by_block(k):
     for f in found:
         got.setdefault(f["left_id"], []).append((-f["similarity"], f["ord"], f["right_id"]))
     assert {i: [r for _, _, r in sorted(rows)] for i, rows in got.items()} == want
+
+
+@pytest.mark.parametrize("room", [0, 200, 2000])
+def test_a_large_vocabulary_gives_the_same_weights(spark, room):
+    rng = np.random.default_rng(4)
+    texts = [" ".join(f"w{n}" for n in rng.zipf(1.4, 60) % 300) for _ in range(40)] + ["", None, texts_of_one_term()]
+    data = [(i % 39, t) for i, t in enumerate(texts)] + [(None, "w1 w2 w2")]  # keys come twice, or are null
+    docs = spark.createDataFrame(data, "doc_id long, text string").repartition(3).cache()
+    rows = lambda df: sorted((str(r.doc_id), r.term, r.tf, r.weight) for r in df.collect())
+    weights = tfidf.tfidf_weights(docs, vocabulary_bytes=room)
+    assert rows(weights) == rows(tfidf.tfidf_weights(docs))
+    plan = weights._jdf.queryExecution().executedPlan().toString()
+    assert "Window" not in plan and plan.count("explode") == 0  # the pairs of all terms are not dealt out
+
+
+def texts_of_one_term():
+    return "w5 " * 20
