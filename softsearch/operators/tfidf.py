@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from softsearch.config import cut_lineage, scratch_path
+from softsearch.config import broadcast_if_small, cut_lineage, scratch_path
 from softsearch.functions.text import word_tokens
 from softsearch.operators.ranking import top_per_group
 
@@ -188,9 +188,11 @@ def cluster_top_terms(weights: DataFrame, assigned: DataFrame, key: str = "doc_i
     cluster's documents of membership times weight.
     """
     sizes = assigned.groupBy("dominant_cluster").agg(F.count(F.lit(1)).alias("n_docs"))
+    # up to 64 MB of documents go to the weights, so that these are not dealt out by document
+    narrow = broadcast_if_small(assigned.select(key, "dominant_cluster", "mem_top1"), max_rows=2_000_000)
     sums = (
         weights.select(key, "term", "weight")
-        .join(assigned.select(key, "dominant_cluster", "mem_top1"), key)
+        .join(narrow, key)
         .groupBy("dominant_cluster", "term")
         .agg(F.sum(F.col("mem_top1") * F.col("weight")).alias("total"))
     )

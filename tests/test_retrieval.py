@@ -265,3 +265,15 @@ def test_a_large_vocabulary_gives_the_same_weights(spark, room):
 
 def texts_of_one_term():
     return "w5 " * 20
+
+
+def test_weights_are_not_dealt_out_by_document(spark):
+    weights = spark.range(3000).selectExpr("id % 50 doc_id", "concat('t', id % 70) term", "0.5D weight")
+    assigned = spark.range(50).selectExpr("id doc_id", "cast(id % 3 as int) dominant_cluster", "0.5D mem_top1")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as if the documents were many
+    try:
+        plan = tfidf.cluster_top_terms(weights, assigned)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert "hashpartitioning(doc_id" not in plan and "hashpartitioning(term" not in plan
