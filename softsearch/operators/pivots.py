@@ -43,6 +43,12 @@ def distances(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
     return np.sqrt(np.maximum(squares, 0.0))
 
 
+def nearest_row(x: np.ndarray, pivots: np.ndarray) -> np.ndarray:
+    """For each of ``x`` the number of its nearest pivot, block by block."""
+    blocks = [distances(x[i : i + BLOCK], pivots).argmin(axis=1) for i in range(0, len(x), BLOCK)]
+    return np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+
+
 @dataclass(frozen=True)
 class Cells:
     """Pivots and what is known of their cells."""
@@ -59,8 +65,7 @@ class Cells:
         return [np.sort(o[:n]) for o, n in zip(order, enough)]
 
     def nearest_pivot(self, x: np.ndarray) -> np.ndarray:
-        blocks = [distances(x[i : i + BLOCK], self.pivots).argmin(axis=1) for i in range(0, len(x), BLOCK)]
-        return np.concatenate(blocks) if blocks else np.zeros(0, np.int64)
+        return nearest_row(x, self.pivots)
 
     def possible(self, x: np.ndarray, floor: np.ndarray) -> np.ndarray:
         """Which cells may hold rows at least as similar as ``floor`` to each query."""

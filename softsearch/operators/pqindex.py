@@ -20,16 +20,19 @@ from pyspark.sql import types as T
 from softsearch.config import cut_lineage
 from softsearch.functions.vectors import dot
 from softsearch.operators.fcm import to_list_array, to_matrix
-from softsearch.operators.pivots import bounded_topk, distances
+from softsearch.operators.pivots import BLOCK, bounded_topk, nearest_row
 from softsearch.operators.ranking import top_per_group
 from softsearch.operators.similarity import SIM_DECIMALS, similarity_topk
 
+#: rows of the index that one task of a search reads at least, if all cores are busy
+TASK_ROWS = 1 << 20
+
 
 def kmeans(x: np.ndarray, k: int, rounds: int = 10) -> np.ndarray:
     """Centres of a bounded sample, by Lloyd's rounds from evenly spread rows."""
     centres = x[np.linspace(0, len(x) - 1, min(k, len(x))).astype(int)].copy()
     for _ in range(rounds):
-        at = distances(x, centres).argmin(axis=1)
+        at = nearest_row(x, centres)
         n = np.bincount(at, minlength=len(centres))
         sums = np.zeros_like(centres)
         np.add.at(sums, at, x)
@@ -67,7 +70,7 @@ def fit_index(
     if x.shape[1] % parts:
         raise ValueError("the dimension is not divisible by the number of parts")
     centres = kmeans(x, lists)
-    left = (x - centres[distances(x, centres).argmin(axis=1)]).reshape(len(x), parts, -1)
+    left = (x - centres[nearest_row(x, centres)]).reshape(len(x), parts, -1)
     fitted = [kmeans(left[:, p], codes) for p in range(parts)]
     books = np.stack(fitted)
 
@@ -75,9 +78,9 @@ def fit_index(
         for batch in batches:
             v = to_matrix(batch.column(1))
             if len(v):
-                at = distances(v, centres).argmin(axis=1)
+                at = nearest_row(v, centres)
                 rest = (v - centres[at]).reshape(len(v), parts, -1)
-                code = np.stack([distances(rest[:, p], books[p]).argmin(axis=1) for p in range(parts)], axis=1).astype(np.uint8)
+                code = np.stack([nearest_row(rest[:, p], books[p]) for p in range(parts)], axis=1).astype(np.uint8)
                 packed = pa.array([c.tobytes() for c in code], pa.binary())
                 yield pa.RecordBatch.from_arrays([batch.column(0), packed, pa.array(at.astype(np.int32))], names=["key", "code", "list"])
 
@@ -99,8 +102,9 @@ def search_index(
         x = to_matrix(vec)
         if not len(x):
             return pa.array([], pa.list_(pa.string()))
-        found = np.argsort(-(x @ centres.T), axis=1, kind="stable")[:, :n_probe]
-        return pa.array([[str(c) for c in row] for row in found], pa.list_(pa.string()))
+        parts = [np.argsort(-(x[i : i + BLOCK] @ centres.T), axis=1, kind="stable")[:, :n_probe] for i in range(0, len(x), BLOCK)]
+        names = pa.array(np.concatenate(parts).ravel()).cast(pa.string())
+        return pa.ListArray.from_arrays(pa.array(np.arange(len(x) + 1, dtype=np.int32) * parts[0].shape[1]), names)
 
     @F.arrow_udf(T.ArrayType(T.DoubleType()))
     def decoded(at: pa.Array, code: pa.Array) -> pa.Array:
@@ -113,7 +117,10 @@ def search_index(
     asked = queries.select(F.col(query_id).alias("query"), F.col(vector_col).alias("vec")).where(F.col(vector_col).isNotNull())
     zero = F.lit(0).cast("long").alias("ord")
     left = asked.select(F.col("query").cast("string").alias("id"), "vec", zero, probes("vec").alias("keys"))
+    # each task keeps ``rerank`` winners of a query, so tasks follow rows and cores, not lists
     held = index.rows(queries.sparkSession)
+    tasks = max(queries.sparkSession.sparkContext.defaultParallelism, -(-held.count() // TASK_ROWS))
+    held = held.coalesce(tasks)
     right = held.select(F.col("key").cast("string").alias("id"), decoded("list", "code").alias("vec"), zero, F.array(F.col("list").cast("string")).alias("keys"))
     options = {"prefer_small": "left", "unique_pairs": True, **join_options}
     pairs = similarity_topk(left, right, rerank + exclude_self, **options).select("left_id", "right_id")

@@ -37,7 +37,7 @@ _SLACK = 1e-9
 #: left and right rows of one block of a matrix product
 _ROWS, _COLS = 512, 4096
 #: winners that a task holds besides those of one block
-_HELD = 1 << 20
+_HELD = 1 << 18
 #: bytes of a winner that a scan of the right side keeps for each left row
 _WINNER_BYTES = 64
 #: winners that leave a task in one batch
@@ -50,7 +50,8 @@ PAIRS = "left_id string, right_id string, similarity double, key_rank int, ord l
 class Side:
     """Rows of one side inside a task. Places of the right side are in tie-break order; rows
     with equal ids have equal codes. ``groups`` holds the places of each (rank of the key in
-    its row, key), ``bound`` a left row's floor or a right row's cell."""
+    its row, key); where ranks do not count they are 0, so there are no more groups than keys.
+    ``bound`` is a left row's floor or a right row's cell."""
 
     ids: pa.Array
     code: np.ndarray
@@ -60,7 +61,7 @@ class Side:
     bound: np.ndarray
 
     @classmethod
-    def of(cls, table: pa.Table | pa.RecordBatch, cells: Any = None) -> Side:
+    def of(cls, table: pa.Table | pa.RecordBatch, cells: Any = None, ranked: bool = False) -> Side:
         """``table(id, vec, ord, bound)`` with ``keys``, or with ``key_rank`` where all rows have one key."""
         table = pa.Table.from_batches([table]) if isinstance(table, pa.RecordBatch) else table
         table = table.combine_chunks()
@@ -79,7 +80,7 @@ class Side:
             names, key = [""], np.zeros(len(at), np.int64)
         else:
             row, rank, names, key = _exploded(_flat(table.column("keys")))
-        return cls(ids, code, vec[at], order, _groups(place[row], rank, names, key), bound)
+        return cls(ids, code, vec[at], order, _groups(place[row], rank if ranked else np.zeros(len(row), np.int64), names, key), bound)
 
 
 def _flat(column: pa.ChunkedArray) -> pa.Array:
@@ -100,8 +101,10 @@ def _exploded(keys: pa.ListArray) -> tuple[np.ndarray, np.ndarray, list[str], np
 def _groups(place: np.ndarray, rank: np.ndarray, names: list[str], key: np.ndarray) -> dict[tuple[int, str], np.ndarray]:
     at = np.lexsort((place, key, rank))
     place, rank, key = place[at], rank[at], key[at]
+    once = np.append(True, (np.diff(place) != 0) | (np.diff(key) != 0) | (np.diff(rank) != 0))[: len(at)]
+    place, rank, key = place[once], rank[once], key[once]
     new = np.flatnonzero(np.diff(rank, prepend=-1).astype(bool) | np.diff(key, prepend=-1).astype(bool))
-    return {(int(rank[i]), names[key[i]]): part for i, part in zip(new, np.split(place, new[1:]))} if len(at) else {}
+    return {(int(rank[i]), names[key[i]]): part for i, part in zip(new, np.split(place, new[1:]))} if len(place) else {}
 
 
 @dataclass(frozen=True)
@@ -264,14 +267,14 @@ def _scan_left(left: DataFrame, small: pa.Table, rule: Rule) -> DataFrame:
         right = Side.of(small)
         for batch in batches:
             if batch.num_rows:
-                yield from _all_winners(Side.of(batch, rule.cells), right, rule)
+                yield from _all_winners(Side.of(batch, rule.cells, rule.ranked_keys), right, rule)
 
     return left.mapInArrow(run, PAIRS)
 
 
 def _scan_right(small: pa.Table, right: DataFrame, rule: Rule) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        left, near = Side.of(small, rule.cells), {}
+        left, near = Side.of(small, rule.cells, rule.ranked_keys), {}
         low, ids = rule.floors(left), pa.array([], pa.string())
         r, s, g, o = _NONE[0], _NONE[2], _NONE[3], _NONE[0]
         for batch in batches:
@@ -327,7 +330,7 @@ def _tiled(left: DataFrame, right: DataFrame, rule: Rule, tile_rows: int) -> Dat
         del cell
         found = [pa.RecordBatch.from_pylist([], _PAIRS)]
         if lhs.num_rows and rhs.num_rows:
-            found += _all_winners(Side.of(lhs, rule.cells), Side.of(rhs), rule)
+            found += _all_winners(Side.of(lhs, rule.cells, rule.ranked_keys), Side.of(rhs), rule)
         return pa.Table.from_batches(found)
 
     cells = place(lhs, True).unionByName(place(rhs, False))
