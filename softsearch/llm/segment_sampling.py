@@ -29,7 +29,6 @@ from __future__ import annotations
 
 import re
 import zlib
-from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -71,16 +70,10 @@ class Growing:
 
 
 class States(dict):
-    """States of words. A word that is met for the first time gets a negative number until its
-    lattice is built, so that every word of a batch is looked up once."""
-
-    def __init__(self):
-        self.fresh: list[str] = []
+    """States of words, -1 for a word that has no lattice yet."""
 
     def __missing__(self, word: str) -> int:
-        self.fresh.append(word)
-        self[word] = -len(self.fresh)
-        return -len(self.fresh)
+        return -1
 
 
 class Vocabulary:
@@ -141,43 +134,47 @@ class Vocabulary:
             array.n = 0
         self.others: list[list[int]] = []  # byte pieces of characters that need several
 
-    def add(self, words: list[str]) -> None:
-        """Lattices of new words: pieces by place, masses from the end of the words."""
+    def add(self, words: list[str]) -> np.ndarray:
+        """Lattices of new words: pieces by place, masses from the end of the words; their states."""
         chars = np.frombuffer("".join(words).encode("utf-32-le"), np.uint32)
         sizes = np.fromiter(map(len, words), np.int64, len(words))
         ends = np.cumsum(sizes)
-        word_end = np.repeat(ends, sizes)
-        at, h = np.arange(len(chars)), np.zeros(len(chars), np.uint64)
-        found, many = [], np.zeros(len(chars), np.int64)  # pieces of each place so far
+        word_end = np.repeat(ends, sizes).astype(np.int32)
+        at, h = np.arange(len(chars), dtype=np.int32), np.zeros(len(chars), np.uint64)
+        found, many = [], np.zeros(len(chars), np.int32)  # pieces of each place so far
         for n in range(1, self.longest + 1):
-            inside = at + n <= word_end[at]
-            at, h = at[inside], h[inside]
-            h = h * PRIME + chars[at + n - 1].astype(np.uint64) + np.uint64(1)
+            if n > 1:
+                inside = at + n <= word_end[at]
+                at, h = at[inside], h[inside]
+            h = h * PRIME + chars[at + (n - 1)] + np.uint64(1)
             k = self.find(h)
-            more = k >= 0
-            code = np.where(more, self.ids[k], -1)
+            more = np.flatnonzero(k >= 0)
+            at_more, code = at[more], self.ids[k[more]]
             hit = code >= 0
-            src = at[hit]
-            found.append((src, np.full(len(src), n), code[hit], many[src]))
-            many[src] += 1
+            src = at_more[hit]
+            found.append((src, n, code[hit], many[src]))
             if n == 1:
-                for i in at[~hit]:
+                whole = np.zeros(len(chars), bool)
+                whole[src] = True
+                for i in np.flatnonzero(~whole):
                     ids = [self.byte[b] for b in chr(chars[i]).encode("utf-8", "replace")]
                     code = ids[0]
                     if len(ids) > 1:
                         self.others.append(ids)
                         code = -len(self.others)
-                    found.append((np.array([i]), np.array([1]), np.array([code]), np.array([0])))
+                    found.append((np.array([i]), 1, np.array([code]), np.array([0])))
                     many[i] = 1
-            at, h = at[more], h[more]
+            many[src] += 1
+            at, h = at_more, h[more]
             if not len(at):
                 break
         # by place, at each place by size, which grows from part to part
-        first = np.cumsum(many) - many
-        order = np.concatenate([first[f[0]] + f[3] for f in found])
-        src, size, code = np.empty(len(order), np.int64), np.empty(len(order), np.int64), np.empty(len(order), np.int64)
-        for i, values in enumerate((src, size, code)):
-            values[order] = np.concatenate([f[i] for f in found])
+        first = np.cumsum(many, dtype=np.int64) - many
+        total = int(many.sum())
+        src, size, code = np.empty(total, np.int32), np.empty(total, np.int32), np.empty(total, np.int32)
+        for part, n, ids, before in found:
+            order = first[part] + before
+            src[order], size[order], code[order] = part, n, ids
         score = self.score[np.maximum(code, 0)]
         for i in np.flatnonzero(code < 0):
             score[i] = self.score[self.others[-code[i] - 1]].sum()
@@ -202,18 +199,21 @@ class Vocabulary:
         below = upto - np.repeat((upto - share)[first], many)
         below[first + many - 1] = 2.0  # the last piece takes what rounding leaves
         base = self.first.n
-        self.states.update(zip(words, (base + ends - sizes + np.arange(len(words))).tolist()))
+        states = base + ends - sizes + np.arange(len(words))
+        self.states.update(zip(words, states.tolist()))
         f, m = np.zeros(len(mass), np.int64), np.zeros(len(mass), np.int32)
         f[slot], m[slot] = first + self.below.n, many
         for grown, values in ((self.first, f), (self.many, m), (self.below, below), (self.log, log), (self.next, base + target), (self.piece, code)):
             grown.add(values)
+        return states
 
 
-def units(text: str) -> list[str]:
+def spaced(text: str) -> str:
+    """The words of a text, with spaces between them; there may be empty words."""
     text = SPACE + text.replace(" ", SPACE)
     if SPACE * 2 in text:
-        return RUNS.findall(text)
-    return [u for u in text.replace(SPACE, " " + SPACE).replace("\n", " \n ").split(" ") if u]
+        return " ".join(RUNS.findall(text))
+    return text.replace(SPACE, " " + SPACE).replace("\n", " \n ")
 
 
 def uniform(keys: np.ndarray) -> np.ndarray:
@@ -261,17 +261,20 @@ def walk(v: Vocabulary, state: np.ndarray, keys: np.ndarray) -> tuple[np.ndarray
 
 def sample_batch(v: Vocabulary, texts: list[str], seeds: np.ndarray, k: int) -> list[list[tuple]]:
     """For each text up to ``k`` samples ``(edges, log_prob, value, kappa)``, kappa that of the row."""
-    split = [units(t) if t else [] for t in texts]
+    split = pc.split_pattern(pa.array([spaced(t) if t else "" for t in texts], pa.string()), " ")
+    word = split.flatten()
+    filled = pc.greater(pc.binary_length(word), 0)
+    ends = np.append(0, np.cumsum(filled.to_numpy(zero_copy_only=False)))[split.offsets.to_numpy()]
+    coded = word.filter(filled).dictionary_encode()  # a word is looked up once
+    words = coded.dictionary.to_numpy(zero_copy_only=False)
     if len(v.states) > REMEMBERED:
         v.reset()
-    sizes = [len(row) for row in split]
-    flat = np.fromiter(map(v.states.__getitem__, chain.from_iterable(split)), np.int64, sum(sizes))
-    fresh, v.states.fresh = v.states.fresh, []
-    if fresh:
-        v.add(fresh)
-        new = np.flatnonzero(flat < 0)
-        flat[new] = np.fromiter(map(v.states.__getitem__, fresh), np.int64, len(fresh))[-1 - flat[new]]
-    at = np.cumsum([0, *sizes])
+    known = np.fromiter(map(v.states.__getitem__, words), np.int64, len(words))
+    fresh = np.flatnonzero(known < 0)
+    if len(fresh):
+        known[fresh] = v.add(words[fresh].tolist())
+    flat = known[coded.indices.to_numpy()]
+    at, sizes = ends, np.diff(ends).tolist()
     # where each row goes on: a list of edges to keep, then states to draw from
     heads = [np.zeros(0, np.int64) for _ in texts]
     tails = [flat[at[i] : at[i + 1]] for i in range(len(texts))]

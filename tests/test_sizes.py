@@ -4,6 +4,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from softsearch.llm import segment_sampling
 from softsearch.operators import pqindex, similarity
 
 
@@ -48,3 +49,22 @@ def test_a_search_of_the_index_has_tasks_by_rows_and_not_by_lists(spark, tmp_pat
     unit = x / np.linalg.norm(x, axis=1, keepdims=True)
     want = {(q, n + 1): int(d) for q in range(0, 400, 40) for n, d in enumerate(np.argsort(-(unit @ unit[q]))[:3])}
     assert got == want
+
+
+def test_a_word_of_a_batch_is_looked_up_once():
+    vocabulary = segment_sampling.Vocabulary("piece_bpe_32k.model")
+    asked = []
+
+    class Counted(segment_sampling.States):
+        def __getitem__(self, word):
+            asked.append(word)
+            return super().__getitem__(word)
+
+    vocabulary.states = Counted()
+    texts, seeds = ["one two  three\none two\n" * 50, "", "two three", " one"], np.arange(4, dtype=np.uint64)
+    found = segment_sampling.sample_batch(vocabulary, texts, seeds, 2)
+    assert 0 < len(asked) == len(set(asked)) < 12
+    for text, samples in zip(texts, found):
+        paths = [segment_sampling.piece_ids(vocabulary, s[0]) for s in samples]
+        assert all(segment_sampling.round_trips(vocabulary, paths, [text.encode()] * len(paths)))
+        assert text == "" or len(samples) == 2
