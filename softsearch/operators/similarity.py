@@ -37,7 +37,7 @@ _SLACK = 1e-9
 #: left and right rows of one block of a matrix product
 _ROWS, _COLS = 512, 4096
 #: winners that a task holds besides those of one block
-_HELD = 1 << 18
+_HELD = 1 << 20
 #: bytes of a winner that a scan of the right side keeps for each left row
 _WINNER_BYTES = 64
 #: winners that leave a task in one batch
