@@ -4,12 +4,12 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Callable
-from functools import lru_cache
+from collections.abc import Callable, Iterable
 from itertools import chain
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.functions import predict_batch_udf
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -21,6 +21,8 @@ from softsearch.sources.corpus import distinct_queries
 
 #: texts whose words the default model numbers at a time
 HASHED_BATCH = 512
+#: tokens that are one word in any version of Unicode; the others are cut by Python's ``\w``
+ONE_WORD = r"^[0-9A-Za-z_À-ÖØ-öø-ɏ]{2,}$"
 
 #: makes, inside the worker, a function from a batch of strings to a matrix
 ModelFactory = Callable[[], Callable[[np.ndarray], np.ndarray]]
@@ -34,22 +36,35 @@ def hashed_model(dim: int = 64) -> ModelFactory:
     """
 
     def make():
-        words = re.compile(r"\w{2,}")
+        words, md5 = re.compile(r"\w{2,}"), hashlib.md5
 
-        @lru_cache(maxsize=1 << 17)
-        def place(word: str) -> tuple[int, float]:
-            digest = hashlib.md5(word.encode()).hexdigest()
-            return int(digest[:8], 16) % dim, 1.0 if int(digest[8], 16) < 8 else -1.0
+        def places(found: Iterable[bytes]) -> np.ndarray:
+            """Position of each word, ``dim`` higher where it counts as -1."""
+            digests = np.frombuffer(b"".join([md5(word).digest() for word in found]), np.uint8).reshape(-1, 16)
+            number = np.ascontiguousarray(digests[:, :4]).view(">u4").ravel().astype(np.int64)
+            return number % dim + np.where(digests[:, 4] < 128, 0, dim)
 
         def predict(texts: np.ndarray) -> np.ndarray:
-            found = [words.findall(text) for text in texts.ravel()]
-            rows = np.repeat(np.arange(len(found)), [len(f) for f in found])
-            tokens = pa.array(chain.from_iterable(found), pa.string()).dictionary_encode()
-            if not len(tokens):
+            # no word holds white space, so only the distinct tokens between it are cut into words
+            split = pc.utf8_split_whitespace(pa.array(texts.ravel(), pa.large_string()))
+            tokens = split.flatten().dictionary_encode()
+            whole = pc.match_substring_regex(tokens.dictionary, ONE_WORD)
+            rest = pc.invert(whole)
+            cut = [words.findall(token) for token in tokens.dictionary.filter(rest).to_numpy(zero_copy_only=False)]
+            alone = tokens.dictionary.filter(whole).cast(pa.large_binary()).to_numpy(zero_copy_only=False)
+            at = places(chain(alone, (word.encode() for found in cut for word in found)))
+            if not len(at):
                 return np.zeros((len(texts), dim))
-            at, sign = (np.array(c) for c in zip(*map(place, tokens.dictionary.to_pylist())))
+            whole, rest = (c.to_numpy(zero_copy_only=False) for c in (whole, rest))
+            n, first = np.ones(len(whole), np.int64), np.empty(len(whole), np.int64)
+            n[rest] = [len(found) for found in cut]
+            first[whole], first[rest] = np.arange(len(alone)), len(alone) + np.cumsum(n[rest]) - n[rest]
             code = tokens.indices.to_numpy(zero_copy_only=False)
-            return np.bincount(rows * dim + at[code], sign[code], minlength=len(texts) * dim).reshape(-1, dim)
+            rows = np.repeat(np.arange(len(texts)), pc.list_value_length(split).to_numpy(zero_copy_only=False))
+            times = n[code]  # the words of each token that occurs
+            word = np.repeat(first[code] - (np.cumsum(times) - times), times) + np.arange(times.sum())
+            sums = np.bincount(np.repeat(rows, times) * (2 * dim) + at[word], minlength=len(texts) * 2 * dim).reshape(-1, 2, dim)
+            return (sums[:, 0] - sums[:, 1]).astype(np.float64)
 
         return predict
 

@@ -23,7 +23,7 @@ from softsearch.functions.membership import buckets
 from softsearch.functions.vectors import dot
 from softsearch.operators.fcm import to_list_array, to_matrix
 from softsearch.operators.ranking import top_per_group
-from softsearch.operators.similarity import SIM_DECIMALS, similarity_topk
+from softsearch.operators.similarity import SIM_DECIMALS, similar_rows, similarity_topk
 
 #: undecided queries of a cache that one task settles at the end
 TAIL_ROWS = 256
@@ -173,7 +173,7 @@ def _stored_queries(
 
 def _with_neighbour(rows: DataFrame, others: DataFrame, threshold: float, **join_options) -> DataFrame:
     """``(id, waits)``, ``waits`` true, of the rows with an earlier neighbour among ``others``."""
-    found = similarity_topk(rows, others, 1, min_sim=threshold, earlier=True, **join_options)
+    found = similar_rows(rows, others, threshold, earlier=True, **join_options)
     return found.select(F.col("left_id").alias("id"), F.lit(True).alias("waits"))
 
 

@@ -36,6 +36,8 @@ SIM_DECIMALS = 9
 _SLACK = 1e-9
 #: left and right rows of one block of a matrix product
 _ROWS, _COLS = 512, 4096
+#: columns that a row without a match is multiplied with first
+_FIRST_COLS = 256
 #: winners that a task holds besides those of one block
 _HELD = 1 << 20
 #: bytes of a winner that a scan of the right side keeps for each left row
@@ -112,7 +114,8 @@ class Rule:
     """Which pairs count: similarity floor, and whether the right row must come earlier.
 
     ``unique`` says that no pair of rows shares more than one key; ``cells`` knows which cells
-    may hold rows as similar as a left row's floor, see ``pivots``.
+    may hold rows as similar as a left row's floor, see ``pivots``. With ``any_match`` one pair
+    that counts is enough for a left row, be it the best or not.
     """
 
     k: int
@@ -121,6 +124,7 @@ class Rule:
     ranked_keys: bool = False
     unique: bool = False
     cells: Any = None
+    any_match: bool = False
 
     @property
     def shared(self) -> bool:
@@ -197,6 +201,25 @@ def _block(left: Side, right: Side, rows: np.ndarray, cols: np.ndarray, low: np.
     return rows[br], bc, bs
 
 
+def _matched(left: Side, right: Side, rows: np.ndarray, cols: np.ndarray, low: np.ndarray, rule: Rule) -> tuple[np.ndarray, ...]:
+    """One of ``cols`` for each of ``rows`` that reaches ``low``, as ``_block``. A row is multiplied
+    until its first match, with more and more columns, so rows with many matches cost little."""
+    found, start, width = [_NONE[:3]], 0, _FIRST_COLS
+    rows, low = rows[low < np.inf], low[low < np.inf]
+    while start < len(cols) and len(rows):
+        part = cols[start : start + width]
+        sims = left.vec[rows] @ right.vec[part].T
+        if rule.earlier and right.ord[part[-1]] >= left.ord[rows].min():
+            sims[right.ord[part][None, :] >= left.ord[rows][:, None]] = -np.inf
+        at = sims.argmax(axis=1)
+        top = np.round(sims[np.arange(len(rows)), at], SIM_DECIMALS)
+        hit = np.isfinite(top) & (top >= low)
+        found.append((rows[hit], part[at[hit]], top[hit]))
+        rows, low = rows[~hit], low[~hit]
+        start, width = start + width, min(2 * width, _COLS)
+    return tuple(map(np.concatenate, zip(*found)))
+
+
 def _winners(left: Side, right: Side, rule: Rule, low: np.ndarray, near: dict) -> Iterator[Found]:
     """Per left row its best ``k`` right rows over all shared keys that reach ``low``, for
     so many left rows at a time that about ``_HELD`` winners are held. ``near`` keeps which cells the
@@ -222,9 +245,11 @@ def _winners(left: Side, right: Side, rule: Rule, low: np.ndarray, near: dict) -
                     if at not in near:
                         near[at] = rule.cells.possible(left.vec[block], left.bound[block]).any(axis=0)
                     cols = cols[near[at][cell[cols]]]
-                r, c, s = _block(left, right, block, cols, own[block], rule)
+                r, c, s = (_matched if rule.any_match else _block)(left, right, block, cols, own[block], rule)
                 if not len(r):
                     continue
+                if rule.any_match:  # needs no other
+                    own[r] = np.inf
                 parts.append((r, c, s, np.full(len(r), rank if rule.ranked_keys else 0)))
                 held += len(r)
                 if held > 2 * _HELD:
@@ -353,10 +378,11 @@ def similarity_pairs(
     max_bytes: int = BROADCAST_BYTES,
     tile_bytes: int = TILE_BYTES,
     cells: Any = None,
+    any_match: bool = False,
 ) -> DataFrame:
     """The winners of all tasks, ``PAIRS``, which ``best_pairs`` ranks. With ``cells`` (of
     ``pivots``) a column ``bound`` holds a left row's floor, or null, and a right row's cell."""
-    rule = Rule(k, min_sim, earlier, ranked_keys, unique_pairs, cells)
+    rule = Rule(k, min_sim, earlier, ranked_keys, unique_pairs, cells, any_match)
     none = F.lit(None).cast("double").alias("bound")
     left, right = (df.select("id", "vec", "ord", "keys", none if cells is None else F.col("bound")) for df in (left, right))
     for side in (prefer_small, "left" if prefer_small == "right" else "right"):
@@ -381,6 +407,11 @@ def best_pairs(pairs: DataFrame, k: int, unique_pairs: bool = False) -> DataFram
     return pairs.withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= k)
 
 
+def similar_rows(left: DataFrame, right: DataFrame, min_sim: float, **options: Any) -> DataFrame:
+    """``(left_id)`` of the left rows with a right row that shares a key and is similar enough."""
+    return similarity_pairs(left, right, 1, min_sim=min_sim, any_match=True, **options).select("left_id").distinct()
+
+
 def similarity_topk(left: DataFrame, right: DataFrame, k: int, *, unique_pairs: bool = False, **options: Any) -> DataFrame:
     """``(left_id, right_id, similarity, key_rank, ord, rank)``, ``rank`` from 1.
 

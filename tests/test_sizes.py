@@ -1,11 +1,17 @@
 """What a task holds does not grow with the number of lists, keys or rows of the other side."""
 
+import hashlib
+import re
+from types import SimpleNamespace
+
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pytest
+from conftest import direction
 
 from softsearch.llm import segment_sampling
-from softsearch.operators import pqindex, similarity
+from softsearch.operators import embed, pqindex, similarity
 
 
 def _table(keys: list[list[str]]) -> pa.Table:
@@ -68,3 +74,58 @@ def test_a_word_of_a_batch_is_looked_up_once():
         paths = [segment_sampling.piece_ids(vocabulary, s[0]) for s in samples]
         assert all(segment_sampling.round_trips(vocabulary, paths, [text.encode()] * len(paths)))
         assert text == "" or len(samples) == 2
+
+
+def test_words_of_a_text_are_cut_once_however_often_they_occur(monkeypatch):
+    cut = []
+
+    class Counting:
+        def __init__(self, pattern):
+            self.pattern = re.compile(pattern)
+
+        def findall(self, text):
+            cut.extend(self.pattern.findall(text))
+            return self.pattern.findall(text)
+
+    monkeypatch.setattr(embed, "re", SimpleNamespace(compile=Counting))
+    texts = ["say don't stop, " * 500, "", " ", "été ½½ x　yy\x1fzz-zz " * 300]
+    got = embed.hashed_model(16)()(np.array(texts, dtype=object))
+    assert len(cut) < 20
+    for text, row in zip(texts, got):
+        want = np.zeros(16)
+        for word in re.findall(r"\w{2,}", text):
+            digest = hashlib.md5(word.encode()).hexdigest()
+            want[int(digest[:8], 16) % 16] += 1 if int(digest[8], 16) < 8 else -1
+        assert row.tolist() == want.tolist()
+
+
+def test_no_word_holds_what_parts_tokens():
+    every = [chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000]
+    parts = pc.list_value_length(pc.utf8_split_whitespace(pa.array([f"a{c}b" for c in every]))).to_numpy()
+    alone = pc.match_substring_regex(pa.array([f"a{c}" for c in every]), embed.ONE_WORD).to_numpy(zero_copy_only=False)
+    word = np.array([re.fullmatch(r"\w", c) is not None for c in every])
+    assert not (word & (parts > 1)).any() and not (alone & ~word).any()
+
+
+@pytest.mark.parametrize("options", [{}, {"max_bytes": 0}, {"max_bytes": 0, "tile_bytes": 8 * 8 * 20}, {"prefer_small": "left"}])
+def test_rows_with_any_match(spark, options):
+    data = [(str(i), direction(i), i, [["a"], ["b", "a"], ["c", "b"]][i % 3]) for i in range(150)]
+    side = spark.createDataFrame(data, "id string, vec array<float>, ord long, keys array<string>").cache()
+    x = np.round(np.array([d[1] for d in data], dtype=float) @ np.array([d[1] for d in data], dtype=float).T, 9)
+    want = {a[0] for i, a in enumerate(data) if any(x[i, j] >= 0.7 and set(a[3]) & set(b[3]) for j, b in enumerate(data[:i]))}
+    got = similarity.similar_rows(side, side, 0.7, earlier=True, **options).collect()
+    assert 0 < len(want) < 150 and sorted(r.left_id for r in got) == sorted(want)
+
+
+def test_a_row_is_compared_until_its_first_match(monkeypatch):
+    n = 20_000
+    table = pa.table({
+        "id": [str(i) for i in range(n)], "vec": [direction(i % 40) for i in range(n)], "ord": pa.array(range(n)),
+        "bound": pa.nulls(n, pa.float64()), "keys": [["a", "b"]] * n,
+    })
+    parts = []
+    monkeypatch.setattr(np, "round", lambda a, d, round=np.round: parts.append(np.size(a)) or round(a, d))
+    side = similarity.Side.of(table)
+    found = list(similarity._all_winners(side, side, similarity.Rule(1, 0.999999, earlier=True, any_match=True)))
+    assert {i for b in found for i in b.column(0).to_pylist()} == {str(i) for i in range(40, n)}
+    assert len(parts) < 100  # about one part of the columns for each block of rows, and not all of them
