@@ -25,6 +25,9 @@ from softsearch.operators.fcm import to_list_array, to_matrix
 from softsearch.operators.ranking import top_per_group
 from softsearch.operators.similarity import SIM_DECIMALS, similar_rows, similarity_topk
 
+#: bytes of one side that every task of a search in a cache gets whole, and vector bytes of a tile where
+#: both sides are larger: the rounds search the whole log in itself, so a task holds these, and no more
+SENT_BYTES, CACHE_TILE_BYTES = 8 << 20, 16 << 20
 #: undecided queries of a cache that one task settles at the end
 TAIL_ROWS = 256
 #: queries per cache and slice of the bounded replay
@@ -74,9 +77,13 @@ def lookup(
     return _match(_cache_side(queries, boundary), _cache_side(entries, boundary), threshold, earlier, **join_options)
 
 
+def _bounded(join_options: dict) -> dict:
+    return {"max_bytes": SENT_BYTES, "tile_bytes": CACHE_TILE_BYTES, **join_options}
+
+
 def _match(queries: DataFrame, entries: DataFrame, threshold: float, earlier: bool, **join_options) -> DataFrame:
     best = similarity_topk(
-        queries, entries, 1, min_sim=threshold, earlier=earlier, ranked_keys=True, **join_options
+        queries, entries, 1, min_sim=threshold, earlier=earlier, ranked_keys=True, **_bounded(join_options)
     ).select(F.col("left_id").alias("id"), F.col("ord").alias("matched_seq"), "similarity")
     return queries.select("id", "cache_id", "seq").join(best, "id", "left").select(
         "cache_id", "seq", F.col("matched_seq").isNotNull().alias("cache_hit"), "matched_seq", "similarity"
@@ -173,7 +180,7 @@ def _stored_queries(
 
 def _with_neighbour(rows: DataFrame, others: DataFrame, threshold: float, **join_options) -> DataFrame:
     """``(id, waits)``, ``waits`` true, of the rows with an earlier neighbour among ``others``."""
-    found = similar_rows(rows, others, threshold, earlier=True, **join_options)
+    found = similar_rows(rows, others, threshold, earlier=True, **_bounded(join_options))
     return found.select(F.col("left_id").alias("id"), F.lit(True).alias("waits"))
 
 

@@ -11,7 +11,7 @@ import pytest
 from conftest import direction
 
 from softsearch.llm import segment_sampling
-from softsearch.operators import embed, pqindex, similarity
+from softsearch.operators import embed, pqindex, semcache, similarity
 
 
 def _table(keys: list[list[str]]) -> pa.Table:
@@ -129,3 +129,14 @@ def test_a_row_is_compared_until_its_first_match(monkeypatch):
     found = list(similarity._all_winners(side, side, similarity.Rule(1, 0.999999, earlier=True, any_match=True)))
     assert {i for b in found for i in b.column(0).to_pylist()} == {str(i) for i in range(40, n)}
     assert len(parts) < 100  # about one part of the columns for each block of rows, and not all of them
+
+
+def test_a_cache_sends_no_more_to_a_task_however_long_its_log(spark, monkeypatch):
+    sent, take = [], similarity._take_small
+    monkeypatch.setattr(similarity, "_take_small", lambda df, max_bytes: sent.append(max_bytes) or take(df, max_bytes))
+    rows = [("c", i, direction(i), [0.5, 0.4, 0.1]) for i in range(400)]
+    log = spark.createDataFrame(rows, "cache_id string, seq long, embedding array<float>, membership array<double>").cache()
+    hits = lambda **options: sorted(semcache.replay(log, 0.8, None, tail_rows=10, **options).decisions.collect())
+    want = hits()
+    assert max(sent) <= 8 << 20
+    assert hits(max_bytes=0, tile_bytes=8 * 8 * 50) == want and any(r.cache_hit for r in want)
